@@ -13,6 +13,8 @@ SYMBOLS, UPPER = byte_class(b"#*$%&|<>"), byte_class(range(0x41, 0x5B))
 LETTER = byte_class([*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x100)])
 LOUD, NEWLINE = byte_class(b"!?"), byte_class(b"\n")
 GRAM, LEAST_WORDS, MOST_REPEAT_PERCENT = 8, 20, 30
+#: Bounds of the label model: objections to clean texts, and how blind a rule is to other junk.
+ALARM, BLIND = 0.002, 0.75
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_loud")
 
 
@@ -100,29 +102,30 @@ def rules() -> list[tuple[str, object, object]]:
 def label_model(votes: np.ndarray, weight: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray]:
     """Posterior probability of good quality for each vote pattern, and each rule's accuracy.
 
-    Expectation-maximisation over patterns with their counts: for each class and rule the odds of
-    voting against, abstaining and voting for. It begins from the majority vote, and 5 % pseudo
-    counts that favour right votes over wrong ones keep the classes from changing places.
+    Expectation-maximisation over patterns with their counts: for each class and rule the odds that
+    a vote, if there is one, is an objection; to abstain says nothing. Each rule is built to object
+    to one kind of junk and to hardly any clean text, so two bounds hold in every round: clean texts
+    draw at most ALARM objections a rule, and junk passes a rule BLIND times as often as clean texts
+    at least. They keep the classes from changing places, and junk that one rule sees stays junk.
     """
     if not votes.size:
         return np.zeros(0), np.zeros(votes.shape[1])
-    total = weight.sum()
-    score = np.where(votes == -1, -1.0, np.where(votes == 1, 0.4, 0)).sum(1)
-    good = 1 / (1 + np.exp(-2 * score))
-    prior_counts = np.array([[3.0, 1.0, 1.0], [1.0, 1.0, 3.0]]) * max(1.0, 0.05 * total) / 5
-    hit = np.stack([votes == v for v in (-1, 0, 1)], -1)  # patterns, rules, vote
+    against, in_favour = votes == -1, votes == 1
+    bad_odds, good_odds, share = np.full(votes.shape[1], 0.3), np.full(votes.shape[1], ALARM), 0.9
+    good = np.zeros(len(votes))
     for _ in range(rounds):
-        mass = np.stack([(1 - good) * weight, good * weight])
-        odds = np.einsum("cp,prv->crv", mass, hit) + prior_counts[:, None, :]
-        odds /= odds.sum(-1, keepdims=True)
-        share = (mass.sum(1) + [1.0, 1.0]) / (total + 2)
-        like = np.log(share)[:, None] + np.einsum("crv,prv->cp", np.log(odds), hit)
-        new = 1 / (1 + np.exp(np.clip(like[0] - like[1], -500, 500)))
-        if np.abs(new - good).max() < 1e-9:
-            good = new
+        bad = np.log(1 - share) + against @ np.log(bad_odds) + in_favour @ np.log(1 - bad_odds)
+        fine = np.log(share) + against @ np.log(good_odds) + in_favour @ np.log(1 - good_odds)
+        new = 1 / (1 + np.exp(np.clip(bad - fine, -500, 500)))
+        change, good = np.abs(new - good).max(), new
+        share = float(np.clip((good @ weight + 9) / (weight.sum() + 10), 0.5, 0.99))
+        mass = [(1 - good) * weight, good * weight]
+        bad_odds, good_odds = ((m @ against + 30 * p) / (m @ (against | in_favour) + 30) for m, p in zip(mass, (0.3, ALARM), strict=True))
+        good_odds = np.clip(good_odds, 1e-6, ALARM)
+        bad_odds = np.clip(bad_odds, good_odds, 1 - BLIND * (1 - good_odds))
+        if change < 1e-9:
             break
-        good = new
-    right = (odds[0, :, 0] * share[0] + odds[1, :, 2] * share[1]) / ((odds[:, :, [0, 2]].sum(-1) * share[:, None]).sum(0))
+    right = (bad_odds * (1 - share) + (1 - good_odds) * share)
     return good, right
 
 

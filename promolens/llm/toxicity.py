@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import zlib
 from collections import Counter
 from dataclasses import dataclass, field
 from itertools import combinations
@@ -16,6 +17,8 @@ from promolens.llm.common import doc_texts, map_rows
 
 #: Labelled documents of each class that training reads at most, landmarks, and negative words.
 SAMPLE, LANDMARKS, NEGATIVES = 2000, 96, 6000
+#: What a positive and a negative on the wrong side cost.
+COSTS = (6.0, 3.0)
 #: Words whose decisions a worker remembers.
 CACHED = 400_000
 #: The kernel: subsequences of three signs inside a stretch, each gap sign weighing DECAY. Signs are
@@ -157,16 +160,25 @@ def train(rows: list[tuple[str, int]], share: float | None = None, seed: int = 7
     rng = np.random.default_rng(seed)
     bags = [(words_of(t), y) for t, y in rows]
     seen = {0: Counter(), 1: Counter()}
-    for words, y in bags:
+    # copies of a text count once: near copies agree in their word of the smallest hash
+    copies = {(y, min((zlib.crc32(w.encode()) for w in words if len(w) > 5), default=k)): words for k, (words, y) in enumerate(bags)}
+    for (y, _), words in copies.items():
         seen[y].update(words)
-    n = Counter(y for _, y in bags)
+    n = Counter(y for y, _ in copies)
     none = Model(np.zeros(LETTERS**3, np.float32), 0.0, 1.0, -3.0 if n[0] >= n[1] else 3.0)
     if not n[0] or not n[1]:
         return none
-    gain = {w: c * np.log((c + 0.1) / n[1] / ((seen[0][w] + 0.5) / (n[0] + 1))) for w, c in seen[1].items() if c >= 2 and len(w) >= 3 and seen[0][w] * n[1] * 20 <= c * n[0]}
+    # words that stand in toxic texts so much more often that chance gives less than one of them
+    part, many = n[1] / len(copies), np.log(len(seen[1]) + 2)
+
+    def surprise(c: int, d: int) -> float:
+        q = (c - 0.01) / (c + d)
+        return (c + d) * (q * np.log(q / part) + (1 - q) * np.log((1 - q) / (1 - part))) if q > part else 0.0
+
+    gain = {w: g for w, c in seen[1].items() if c >= 2 and len(w) >= 3 and (g := surprise(c, seen[0][w])) > many and seen[0][w] * n[1] * 20 <= c * n[0]}
     # a word of few toxic texts is chance where those hold a much better one
     chosen: list[str] = []
-    best = [(words, max((gain.get(w, 0) for w in words), default=0)) for words, y in bags if y]
+    best = [(words, max((gain.get(w, 0) for w in words), default=0)) for (y, _), words in copies.items() if y]
     alone = Counter(w for words, top in best for w in words if w in gain and top <= 4 * gain[w])
     for w in sorted(gain, key=lambda w: (-gain[w], w)):
         if alone[w] >= max(2, 0.3 * seen[1][w]):
@@ -197,7 +209,7 @@ def train(rows: list[tuple[str, int]], share: float | None = None, seed: int = 7
     for turn in range(3):
         z = np.concatenate([project(codes, table), project(_first_rows(negatives), table)]).astype(float)
         y = np.r_[np.ones(len(chosen)), -np.ones(len(negatives))]
-        w = _svm(np.c_[z, np.ones(len(y))], y, np.r_[2 * weight / weight.mean(), np.full(len(negatives), 3.0)])
+        w = _svm(np.c_[z, np.ones(len(y))], y, np.r_[COSTS[0] * weight / weight.mean(), np.full(len(negatives), COSTS[1])])
         model = Model((table @ w[:-1]).astype(np.float32), float(w[-1]), 1.0, 0.0)
         if turn < 2:
             hard = np.argsort(-model.words(rest))[:1500] if rest else []
@@ -206,8 +218,8 @@ def train(rows: list[tuple[str, int]], share: float | None = None, seed: int = 7
     decided = model.words(list(index))
     worst = np.array([max((decided[index[w]] for w in words), default=-9.0) for words, _ in bags])
     labels = np.array([y for _, y in bags], float)
-    share = n[1] / len(bags) if share is None else share
-    model.slope, model.offset = _logistic(worst, labels, np.where(labels > 0, share / n[1], (1 - share) / n[0]) * len(bags))
+    share = labels.mean() if share is None else share
+    model.slope, model.offset = _logistic(worst, labels, np.where(labels > 0, share / labels.mean(), (1 - share) / (1 - labels.mean())))
     return model
 
 
