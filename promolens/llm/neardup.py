@@ -16,8 +16,8 @@ from promolens.llm.graph import components
 #: Values that a sketch keeps. For a similarity of 0.8 the shared ones of two sketches are binomial
 #: (40, 0.8): 20 at least but for a chance of 4e-6.
 SKETCH = 40
-#: Members of an inverted list that are compared in one block of a task.
-BLOCK = 128
+#: Members of an inverted list that a task compares with a chunk of the others.
+BLOCK, CHUNK = 128, 2048
 _LOWER = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], np.uint8)
 
 
@@ -101,28 +101,62 @@ def postings(classes: DataFrame, similarity: float) -> DataFrame:
     return ranked.withColumn("keep", prefix - alone).where(F.col("r") <= F.col("keep")).select("v", "id", "n")
 
 
-def star_pairs(lists: DataFrame, salt: int) -> DataFrame:
-    """Each member of a list with the list's leader, where their components differ."""
-    leader = lists.groupBy("v").agg(F.min(F.struct(F.xxhash64("id", F.lit(salt)).alias("h"), "id", "c")).alias("l"), F.min("c").alias("low"), F.max("c").alias("high"))
-    leader = leader.where(F.col("low") != F.col("high")).select("v", F.col("l.id").alias("lead"), F.col("l.c").alias("lc"))
-    pairs = lists.join(leader, "v").where(F.col("c") != F.col("lc"))
+def star_pairs(lists: DataFrame, salt: int, similarity: float) -> DataFrame:
+    """Each member of a list with the list's leader, where components differ and sizes allow it."""
+    leader = lists.groupBy("v").agg(F.min(F.struct(F.xxhash64("id", F.lit(salt)).alias("h"), "id", "n", "c")).alias("l"), F.min("c").alias("low"), F.max("c").alias("high"))
+    leader = leader.where(F.col("low") != F.col("high")).select("v", F.col("l.id").alias("lead"), F.col("l.n").alias("ln"), F.col("l.c").alias("lc"))
+    pairs = lists.join(leader, "v").where((F.col("c") != F.col("lc")) & (F.least("n", "ln") >= F.lit(similarity) * F.greatest("n", "ln") - 1e-9))
     return pairs.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
 
 
-def block_pairs(lists: DataFrame) -> DataFrame:
-    """All pairs of a list's members from different components, for lists that still hold several.
-
-    Members are dealt to blocks by hash; a task compares two blocks and drops at once pairs of
-    one component. Members of a component that has taken in the whole list are gone before.
+def _meet(similarity: float):
+    """Pairs of two blocks whose sizes allow the similarity and whose sketches share enough values."""
+    least = shared_least(similarity)
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, parts, sizes, side = (table.column(c).to_numpy() for c in ("id", "c", "n", "side"))
+        low = table.column("low").combine_chunks()
+        flat, off = low.flatten().to_numpy(), np.r_[0, np.cumsum(low.value_lengths().to_numpy())]
+        owner = np.repeat(np.arange(ids.size), np.diff(off))
+        right = side[owner] == 1
+        order = np.argsort(flat[right], kind="stable")
+        values, holders = flat[right][order], owner[right][order]
+        found = []
+        for k in np.flatnonzero(side == 0):
+            mine = flat[off[k] : off[k + 1]]
+            first, last = np.searchsorted(values, mine), np.searchsorted(values, mine, "right")
+            if not (last > first).any():
+                continue
+            shared = np.bincount(np.concatenate([holders[a:b] for a, b in zip(first, last, strict=True)]), minlength=ids.size)
+            small, large = np.minimum(sizes, sizes[k]), np.maximum(sizes, sizes[k])
+            need = np.where(large <= SKETCH, np.ceil(similarity * large - 1e-9), least)
+            hit = np.flatnonzero((shared >= need) & (parts != parts[k]) & (small >= similarity * large - 1e-9))
+            found.append((np.minimum(ids[hit], ids[k]), np.maximum(ids[hit], ids[k])))
+        a, b = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+        return pa.table({"a": a, "b": b})
+
+    return run
+
+
+def block_pairs(lists: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """The likely pairs of a list's members from different components that no star has compared.
+
+    Members of the list's most frequent component need no pairs among themselves. All others are
+    dealt to blocks; every member meets each of these blocks once, in chunks of bounded size, and
+    a task gives only pairs whose sketches agree. Lists of two members are done already.
     """
-    several = lists.groupBy("v").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("members")).where(F.col("low") != F.col("high"))
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    dealt = lists.join(several.select("v", "members"), "v").withColumn("k", F.pmod(F.xxhash64("id", "v"), blocks).cast("int")).withColumn("blocks", blocks)
-    other = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    other = other.select("v", F.least("k", "o").alias("i"), F.greatest("k", "o").alias("j"), "k", "id", "c")
-    left, right = other.where("k = i").select("v", "i", "j", F.col("id").alias("x"), F.col("c").alias("cx")), other.where("k = j").select("v", "i", "j", F.col("id").alias("y"), F.col("c").alias("cy"))
-    met = left.join(right, ["v", "i", "j"]).where("cx != cy and (x < y or i != j)")
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    several = lists.groupBy("v").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.mode("c").alias("most"), F.count("*").alias("members"))
+    several = several.where((F.col("low") != F.col("high")) & (F.col("members") > 2)).select("v", "most", "members")
+    met = lists.join(several, "v")
+    others = met.where("c != most").groupBy("v").agg(F.count("*").alias("others"))
+    met = met.join(others, "v").withColumn("i", F.ceil(F.col("others") / BLOCK).cast("int")).withColumn("j", F.ceil(F.col("members") / CHUNK).cast("int"))
+    hashed = lambda n, salt: F.pmod(F.xxhash64("id", "v", F.lit(salt)), F.col(n)).cast("int")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = met.where("c != most").withColumn("x", hashed("i", 1)).withColumn("y", upto("j")).withColumn("side", F.lit(0))
+    right = met.withColumn("x", upto("i")).withColumn("y", hashed("j", 2)).withColumn("side", F.lit(1))
+    both = left.unionByName(right).select("v", "x", "y", "side", "id", "n", "c")
+    both = both.join(classes.select("id", "low"), "id")
+    return both.groupBy("v", "x", "y").applyInArrow(_meet(similarity), "a long, b long").distinct()
 
 
 def likely(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
@@ -183,11 +217,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     # the text of a class: one row's, or equal rows'
     texts = _hashed(docs).join(reps.select("id", "r.doc_id", "r.th"), ["doc_id", "th"]).select("id", "text")
     texts = materialise(texts, "nd-texts")
-    links = None
+    parts = None
     for step in range(3):
-        found = star_pairs(with_c, step) if step < 2 else block_pairs(with_c)
-        good = materialise(verified(likely(found, classes, similarity), texts, width, percent), f"nd-links{step}")
-        links = good if links is None else links.unionByName(good)
+        found = likely(star_pairs(with_c, step, similarity), classes, similarity) if step < 2 else block_pairs(with_c, classes, similarity)
+        links = verified(found, texts, width, percent)
+        if parts is not None:  # what is known stays as links of each node to its component
+            links = links.unionByName(parts.select(F.col("node").alias("a"), F.col("component").alias("b")))
         parts = materialise(components(links), f"nd-parts{step}")
         if step < 2:
             with_c = materialise(lists.join(parts.withColumnRenamed("node", "id"), "id", "left").select("v", "id", "n", member.alias("c")), f"nd-lists{step}")
