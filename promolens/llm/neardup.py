@@ -17,7 +17,7 @@ from promolens.llm.graph import components
 #: (40, 0.8): 20 at least but for a chance of 4e-6.
 SKETCH = 40
 #: Members of an inverted list that a task compares with a chunk of the others.
-BLOCK, CHUNK = 128, 2048
+BLOCK, CHUNK = 128, 512
 _LOWER = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], np.uint8)
 
 
@@ -109,54 +109,58 @@ def star_pairs(lists: DataFrame, salt: int, similarity: float) -> DataFrame:
     return pairs.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
 
 
-def _meet(similarity: float):
-    """Pairs of two blocks whose sizes allow the similarity and whose sketches share enough values."""
-    least = shared_least(similarity)
+def _meet(width: int, percent: int):
+    """Links between two blocks of texts; sketches tell which full sets are worth comparing."""
+    similarity, least = percent / 100, shared_least(percent / 100)
 
     def run(table: pa.Table) -> pa.Table:
         ids, parts, sizes, side = (table.column(c).to_numpy() for c in ("id", "c", "n", "side"))
-        low = table.column("low").combine_chunks()
-        flat, off = low.flatten().to_numpy(), np.r_[0, np.cumsum(low.value_lengths().to_numpy())]
-        owner = np.repeat(np.arange(ids.size), np.diff(off))
-        right = side[owner] == 1
-        order = np.argsort(flat[right], kind="stable")
-        values, holders = flat[right][order], owner[right][order]
+        sets = shingle_sets(*flat_text(table.column("text")), width)
+        right = np.flatnonzero(side == 1)
+        lows = [sets[k][:SKETCH] for k in right]
+        flat = np.concatenate(lows) if lows else np.zeros(0, np.uint64)
+        order = np.argsort(flat, kind="stable")
+        values, holders = flat[order], np.repeat(right, [x.size for x in lows])[order]
         found = []
         for k in np.flatnonzero(side == 0):
-            mine = flat[off[k] : off[k + 1]]
+            mine = sets[k][:SKETCH]
             first, last = np.searchsorted(values, mine), np.searchsorted(values, mine, "right")
             if not (last > first).any():
                 continue
-            shared = np.bincount(np.concatenate([holders[a:b] for a, b in zip(first, last, strict=True)]), minlength=ids.size)
+            shared = np.bincount(np.concatenate([holders[x:y] for x, y in zip(first, last, strict=True)]), minlength=ids.size)
             small, large = np.minimum(sizes, sizes[k]), np.maximum(sizes, sizes[k])
             need = np.where(large <= SKETCH, np.ceil(similarity * large - 1e-9), least)
-            hit = np.flatnonzero((shared >= need) & (parts != parts[k]) & (small >= similarity * large - 1e-9))
-            found.append((np.minimum(ids[hit], ids[k]), np.maximum(ids[hit], ids[k])))
-        a, b = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
-        return pa.table({"a": a, "b": b})
+            for o in np.flatnonzero((shared >= need) & (parts != parts[k]) & (small >= similarity * large - 1e-9)):
+                both = np.intersect1d(sets[k], sets[o], assume_unique=True).size
+                if 100 * both >= percent * (sets[k].size + sets[o].size - both):
+                    found.append((ids[k], ids[o]))
+        return pa.table({"a": pa.array([min(x) for x in found], pa.int64()), "b": pa.array([max(x) for x in found], pa.int64())})
 
     return run
 
 
-def block_pairs(lists: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
-    """The likely pairs of a list's members from different components that no star has compared.
+def block_links(lists: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between members of one list in different components that no star has compared.
 
-    Members of the list's most frequent component need no pairs among themselves. All others are
-    dealt to blocks; every member meets each of these blocks once, in chunks of bounded size, and
-    a task gives only pairs whose sketches agree. Lists of two members are done already.
+    Lists with the same leader, as those of one group of near copies mostly are, become one
+    cluster, so a pair is compared once and not in each list. Members of the cluster's most
+    frequent component need no pairs among themselves. All others are dealt to blocks; every
+    member meets each of these once, in chunks of bounded size, and a task compares full sets and
+    gives links only. Lists of two members are done already.
     """
-    several = lists.groupBy("v").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.mode("c").alias("most"), F.count("*").alias("members"))
-    several = several.where((F.col("low") != F.col("high")) & (F.col("members") > 2)).select("v", "most", "members")
-    met = lists.join(several, "v")
-    others = met.where("c != most").groupBy("v").agg(F.count("*").alias("others"))
-    met = met.join(others, "v").withColumn("i", F.ceil(F.col("others") / BLOCK).cast("int")).withColumn("j", F.ceil(F.col("members") / CHUNK).cast("int"))
-    hashed = lambda n, salt: F.pmod(F.xxhash64("id", "v", F.lit(salt)), F.col(n)).cast("int")
+    leads = lists.groupBy("v").agg(F.min(F.struct(F.xxhash64("id", F.lit(0)).alias("h"), "id")).alias("l"), F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("members"))
+    leads = leads.where((F.col("low") != F.col("high")) & (F.col("members") > 2)).select("v", F.col("l.id").alias("g"))
+    members = materialise(lists.join(leads, "v").select("g", "id", "n", "c").distinct(), "nd-clusters")
+    several = members.groupBy("g").agg(F.mode("c", deterministic=True).alias("most"), F.count("*").alias("members"))
+    met = members.join(several, "g")
+    others = met.where("c != most").groupBy("g").agg(F.count("*").alias("others"))
+    met = met.join(others, "g").withColumn("i", F.ceil(F.col("others") / BLOCK).cast("int")).withColumn("j", F.ceil(F.col("members") / CHUNK).cast("int"))
+    hashed = lambda n, salt: F.pmod(F.xxhash64("id", "g", F.lit(salt)), F.col(n)).cast("int")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = met.where("c != most").withColumn("x", hashed("i", 1)).withColumn("y", upto("j")).withColumn("side", F.lit(0))
     right = met.withColumn("x", upto("i")).withColumn("y", hashed("j", 2)).withColumn("side", F.lit(1))
-    both = left.unionByName(right).select("v", "x", "y", "side", "id", "n", "c")
-    both = both.join(classes.select("id", "low"), "id")
-    return both.groupBy("v", "x", "y").applyInArrow(_meet(similarity), "a long, b long").distinct()
+    both = left.unionByName(right).select("g", "x", "y", "side", "id", "n", "c").join(texts, "id")
+    return both.groupBy("g", "x", "y").applyInArrow(_meet(width, percent), "a long, b long")
 
 
 def likely(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
@@ -219,8 +223,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     texts = materialise(texts, "nd-texts")
     parts = None
     for step in range(3):
-        found = likely(star_pairs(with_c, step, similarity), classes, similarity) if step < 2 else block_pairs(with_c, classes, similarity)
-        links = verified(found, texts, width, percent)
+        if step < 2:
+            links = verified(likely(star_pairs(with_c, step, similarity), classes, similarity), texts, width, percent)
+        else:
+            links = block_links(with_c, texts, width, percent)
         if parts is not None:  # what is known stays as links of each node to its component
             links = links.unionByName(parts.select(F.col("node").alias("a"), F.col("component").alias("b")))
         parts = materialise(components(links), f"nd-parts{step}")
