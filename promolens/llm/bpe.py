@@ -68,21 +68,23 @@ class Transducer:
 
     def merge(self, units: list[str]) -> list[str]:
         """Plain merging by rank, leftmost first: for pairs, short pre-tokens and the proof."""
-        units = list(units)
-        while len(units) > 1:
-            rank, at = min((self.ranks.get(p, 1 << 60), k) for k, p in enumerate(zip(units, units[1:], strict=False)))
-            if rank == 1 << 60:
+        units, get, none = list(units), self.ranks.get, 1 << 60
+        ranks = [get(p, none) for p in zip(units, units[1:], strict=False)]
+        while ranks:
+            rank = min(ranks)
+            if rank == none:
                 break
-            a, b = units[at], units[at + 1]
-            out, k = [], 0
-            while k < len(units):
-                if k + 1 < len(units) and units[k] == a and units[k + 1] == b:
-                    out.append(a + b)
-                    k += 2
-                else:
-                    out.append(units[k])
-                    k += 1
-            units = out
+            k = ranks.index(rank)
+            a, b = units[k], units[k + 1]
+            while k < len(units) - 1:  # all places of this pair, from the left
+                if ranks[k] == rank and units[k] == a and units[k + 1] == b:
+                    units[k : k + 2] = [a + b]
+                    del ranks[k]
+                    if k:
+                        ranks[k - 1] = get((units[k - 1], units[k]), none)
+                    if k < len(ranks):
+                        ranks[k] = get((units[k], units[k + 1]), none)
+                k += 1
         return units
 
     def fits(self, left: str, right: str) -> bool:
@@ -131,11 +133,14 @@ class Transducer:
         return [last[k - 1][0] for k in self._path(last, end)][::-1]
 
     def encode_pretoken(self, pretoken: str):
-        """Tokens of a pre-token, streamed; units are letters of bytes, the last with the word end."""
+        """Tokens of a pre-token, streamed if it is longer than the lookahead; units are letters of bytes, the last with the word end."""
         letters, raw = self.letters, pretoken.encode()
-        for token in self.stream((letters[b] if k < len(raw) - 1 else letters[b] + self.end) for k, b in enumerate(raw)):
-            if token in self.ids:
-                yield token
+        if len(raw) <= self.lookahead:  # its end comes before any token could be emitted
+            units = [letters[b] for b in raw]
+            units[-1] += self.end
+            return [t for t in self.merge(units) if t in self.ids]
+        units = (letters[b] if k < len(raw) - 1 else letters[b] + self.end for k, b in enumerate(raw))
+        return (t for t in self.stream(units) if t in self.ids)
 
 
 class Codec:
