@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import cache
 
 import ahocorasick
@@ -27,6 +28,8 @@ NOTICES = (
 )
 #: Edits allowed for each so many characters of a notice.
 CHARS_AN_EDIT = 10
+#: Characters of the grams that a place must share with a notice before edits are looked for.
+GRAM = 3
 
 _NOT_WORD = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 
@@ -57,18 +60,28 @@ def _machine(notices):
         automaton.add_word(piece, (len(piece), tuple(hits)))
     automaton.make_automaton()
     patterns = [regex.compile(f"(?b)(?:{regex.escape(n)}){{e<={edits(n)}}}") for n, _ in notices]
-    return automaton, patterns
+    return automaton, patterns, [grams(n) for n, _ in notices]
+
+
+def grams(text: str) -> Counter:
+    return Counter(text[k : k + GRAM] for k in range(len(text) - GRAM + 1))
+
+
+def may_hold(window: str, notice: str, wanted: Counter) -> bool:
+    """Whether a window can hold the notice: an edit harms GRAM grams at most, all others must be there."""
+    return (wanted & grams(window)).total() >= len(notice) - GRAM + 1 - GRAM * edits(notice)
 
 
 def notice_spans(joined: str, notices=NOTICES) -> list[tuple[str, int, int, int, float]]:
     """(label, start, end, edits, likeness) of notices in normalised text.
 
     A seed fixes where the notice would begin, give or take the edits; hits that point to the
-    same place are one candidate, which the bounded-error pattern then confirms or refuses.
+    same place are one candidate. It is dropped if it lacks grams that no notice within the
+    edits can lack; the bounded-error pattern confirms or refuses all others.
     Pieces of the notices themselves are all that is looked for, so one pass over the text
     finds every candidate.
     """
-    automaton, patterns = _machine(notices)
+    automaton, patterns, wanted = _machine(notices)
     places: dict[int, set[int]] = {}
     for end, (length, hits) in automaton.iter(joined):
         for k, at in hits:
@@ -80,7 +93,7 @@ def notice_spans(joined: str, notices=NOTICES) -> list[tuple[str, int, int, int,
         for start in sorted(starts):
             low = max(0, start - slack, done)
             high = min(len(joined), start + len(notice) + slack)
-            if high - low < len(notice) - slack:
+            if high - low < len(notice) - slack or not may_hold(joined[low:high], notice, wanted[k]):
                 continue
             if m := patterns[k].search(joined, low, high):
                 wrong = sum(m.fuzzy_counts)
