@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from promolens.llm.common import SPACE, U64, arrow_batches, flat_text, materialise, mix, span_hashes, spans
-from promolens.llm.graph import components
+from promolens.llm.graph import components, contract, link_edges, nearest
 
 #: Values that a sketch keeps. For a similarity of 0.8 the shared ones of two sketches are binomial
 #: (40, 0.8): 20 at least but for a chance of 4e-6.
@@ -221,17 +221,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     # the text of a class: one row's, or equal rows'
     texts = _hashed(docs).join(reps.select("id", "r.doc_id", "r.th"), ["doc_id", "th"]).select("id", "text")
     texts = materialise(texts, "nd-texts")
-    parts = None
-    for step in range(3):
-        if step < 2:
-            links = verified(likely(star_pairs(with_c, step, similarity), classes, similarity), texts, width, percent)
-        else:
-            links = block_links(with_c, texts, width, percent)
-        if parts is not None:  # what is known stays as links of each node to its component
-            links = links.unionByName(parts.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        parts = materialise(components(links), f"nd-parts{step}")
-        if step < 2:
-            with_c = materialise(lists.join(parts.withColumnRenamed("node", "id"), "id", "left").select("v", "id", "n", member.alias("c")), f"nd-lists{step}")
+    edges = None
+    for step, rounds in enumerate((1, 2)):  # all edges go on to the next step, so these need not end in whole components
+        links = verified(likely(star_pairs(with_c, step, similarity), classes, similarity), texts, width, percent)
+        edges = link_edges(links if edges is None else links.unionByName(edges.toDF("a", "b")))
+        for _ in range(rounds):
+            edges = contract(edges)
+        parts = nearest(edges).withColumnRenamed("node", "id")
+        with_c = materialise(lists.join(parts, "id", "left").select("v", "id", "n", member.alias("c")), f"nd-lists{step}")
+    parts = components(block_links(with_c, texts, width, percent).unionByName(edges.toDF("a", "b")))
     named = classes.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("c", member)
     names = named.groupBy("c").agg(F.min("least").alias("component_id"))
     by_key = named.join(names, "c").select("key", "component_id")

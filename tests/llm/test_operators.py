@@ -9,7 +9,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from promolens.llm import bpe, licenses, media, mixing, neardup, quality, secrets, substrings, tokens, toxicity
+from promolens.llm import bpe, graph, licenses, media, mixing, neardup, quality, secrets, substrings, tokens, toxicity
 from tests.llm import brute
 
 SMALL = "/root/testdata/sf0.001"
@@ -211,3 +211,22 @@ def test_label_model_keeps_clean_and_drops_junk(spark):
     got = quality.judge_quality(docs).where("not base_failed").select("doc_id", "kept").join(labels, "doc_id").collect()
     clean, junk = ([r["kept"] for r in got if r["quality"] == y] for y in (1, 0))
     assert sum(clean) >= 0.99 * len(clean) and sum(junk) <= 0.5 * len(junk)
+
+
+def test_components_of_any_shape(spark):
+    rng = random.Random(11)
+    chain = [(k, k + 1) for k in range(300)]
+    star = [(1000 + k, 5000) for k in range(300)] + [(5000, 4999), (1003, 1003)]
+    tangle = [(rng.randrange(6000, 6400), rng.randrange(6000, 6400)) for _ in range(300)]
+    rng.shuffle(chain)
+    links = chain + star + tangle + [(b, a) for a, b in tangle[:50]]
+    root = {x: x for pair in links for x in pair}
+    for _ in range(600):
+        before = dict(root)
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+        if root == before:
+            break
+    got = dict(graph.components(spark.createDataFrame(links, "a long, b long")).collect())
+    assert {x: got.get(x, x) for x in root} == root
+    assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
