@@ -33,11 +33,24 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
+#: Spark's setting that frees the shuffle files of an execution when it ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it again: lineage ends, lost executors cost nothing."""
-    path = f"{shared_dir(df.sparkSession)}/promolens/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write a table to the shared folder and read it again: lineage ends, lost executors cost nothing.
+
+    Nothing reads the shuffle files behind a table that is written, so they go with its execution.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/promolens/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def arrow_batches(spark: SparkSession) -> None:

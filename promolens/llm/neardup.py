@@ -109,28 +109,51 @@ def star_pairs(lists: DataFrame, salt: int, similarity: float) -> DataFrame:
     return pairs.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
 
 
+def _alike(lows: list[np.ndarray], parts: np.ndarray, sizes: np.ndarray, side: np.ndarray, percent: int):
+    """Of each left member those right ones in other components whose sketches and sizes allow a link."""
+    similarity, least = percent / 100, shared_least(percent / 100)
+    right = np.flatnonzero(side == 1)
+    if not right.size:
+        return
+    flat = np.concatenate([lows[k] for k in right])
+    order = np.argsort(flat, kind="stable")
+    values, holders = flat[order], np.repeat(right, [lows[k].size for k in right])[order]
+    for k in np.flatnonzero(side == 0):
+        first, last = np.searchsorted(values, lows[k]), np.searchsorted(values, lows[k], "right")
+        if not (last > first).any():
+            continue
+        shared = np.bincount(np.concatenate([holders[x:y] for x, y in zip(first, last, strict=True)]), minlength=side.size)
+        small, large = np.minimum(sizes, sizes[k]), np.maximum(sizes, sizes[k])
+        need = np.where(large <= SKETCH, np.ceil(similarity * large - 1e-9), least)
+        yield k, np.flatnonzero((shared >= need) & (parts != parts[k]) & (small >= similarity * large - 1e-9))
+
+
+def _hopeful(percent: int):
+    """Members of two blocks whose sketches leave any link possible: a row a member, not a pair."""
+
+    def run(table: pa.Table) -> pa.Table:
+        parts, sizes, side = (table.column(c).to_numpy() for c in ("c", "n", "side"))
+        lists = table.column("low").combine_chunks()
+        off = lists.offsets.to_numpy()
+        flat = lists.values.to_numpy()
+        some = np.zeros(side.size, bool)
+        for k, found in _alike([flat[x:y] for x, y in zip(off[:-1], off[1:], strict=True)], parts, sizes, side, percent):
+            some[found] = True
+            some[k] |= found.size > 0
+        return table.drop_columns(["low"]).filter(pa.array(some))
+
+    return run
+
+
 def _meet(width: int, percent: int):
     """Links between two blocks of texts; sketches tell which full sets are worth comparing."""
-    similarity, least = percent / 100, shared_least(percent / 100)
 
     def run(table: pa.Table) -> pa.Table:
         ids, parts, sizes, side = (table.column(c).to_numpy() for c in ("id", "c", "n", "side"))
         sets = shingle_sets(*flat_text(table.column("text")), width)
-        right = np.flatnonzero(side == 1)
-        lows = [sets[k][:SKETCH] for k in right]
-        flat = np.concatenate(lows) if lows else np.zeros(0, np.uint64)
-        order = np.argsort(flat, kind="stable")
-        values, holders = flat[order], np.repeat(right, [x.size for x in lows])[order]
         found = []
-        for k in np.flatnonzero(side == 0):
-            mine = sets[k][:SKETCH]
-            first, last = np.searchsorted(values, mine), np.searchsorted(values, mine, "right")
-            if not (last > first).any():
-                continue
-            shared = np.bincount(np.concatenate([holders[x:y] for x, y in zip(first, last, strict=True)]), minlength=ids.size)
-            small, large = np.minimum(sizes, sizes[k]), np.maximum(sizes, sizes[k])
-            need = np.where(large <= SKETCH, np.ceil(similarity * large - 1e-9), least)
-            for o in np.flatnonzero((shared >= need) & (parts != parts[k]) & (small >= similarity * large - 1e-9)):
+        for k, others in _alike([s[:SKETCH] for s in sets], parts, sizes, side, percent):
+            for o in others:
                 both = np.intersect1d(sets[k], sets[o], assume_unique=True).size
                 if 100 * both >= percent * (sets[k].size + sets[o].size - both):
                     found.append((ids[k], ids[o]))
@@ -139,14 +162,15 @@ def _meet(width: int, percent: int):
     return run
 
 
-def block_links(lists: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def block_links(lists: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Links between members of one list in different components that no star has compared.
 
     Lists with the same leader, as those of one group of near copies mostly are, become one
     cluster, so a pair is compared once and not in each list. Members of the cluster's most
     frequent component need no pairs among themselves. All others are dealt to blocks; every
-    member meets each of these once, in chunks of bounded size, and a task compares full sets and
-    gives links only. Lists of two members are done already.
+    member meets each of these once, in chunks of bounded size. First sketches meet; only texts
+    that they leave a partner follow, and a task compares full sets and gives links only. Lists of
+    two members are done already.
     """
     leads = lists.groupBy("v").agg(F.min(F.struct(F.xxhash64("id", F.lit(0)).alias("h"), "id")).alias("l"), F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("members"))
     leads = leads.where((F.col("low") != F.col("high")) & (F.col("members") > 2)).select("v", F.col("l.id").alias("g"))
@@ -159,7 +183,9 @@ def block_links(lists: DataFrame, texts: DataFrame, width: int, percent: int) ->
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = met.where("c != most").withColumn("x", hashed("i", 1)).withColumn("y", upto("j")).withColumn("side", F.lit(0))
     right = met.withColumn("x", upto("i")).withColumn("y", hashed("j", 2)).withColumn("side", F.lit(1))
-    both = left.unionByName(right).select("g", "x", "y", "side", "id", "n", "c").join(texts, "id")
+    dealt = left.unionByName(right).select("g", "x", "y", "side", "id", "n", "c").join(classes.select("id", "low"), "id")
+    hopeful = dealt.groupBy("g", "x", "y").applyInArrow(_hopeful(percent), "id long, g long, x int, y int, side int, n long, c long")
+    both = materialise(hopeful, "nd-hopeful").join(texts, "id")
     return both.groupBy("g", "x", "y").applyInArrow(_meet(width, percent), "a long, b long")
 
 
@@ -229,7 +255,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
             edges = contract(edges)
         parts = nearest(edges).withColumnRenamed("node", "id")
         with_c = materialise(lists.join(parts, "id", "left").select("v", "id", "n", member.alias("c")), f"nd-lists{step}")
-    parts = components(block_links(with_c, texts, width, percent).unionByName(edges.toDF("a", "b")))
+    parts = components(block_links(with_c, classes, texts, width, percent).unionByName(edges.toDF("a", "b")))
     named = classes.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("c", member)
     names = named.groupBy("c").agg(F.min("least").alias("component_id"))
     by_key = named.join(names, "c").select("key", "component_id")
