@@ -22,9 +22,13 @@ NULL_ID = 2**63 - 1
 
 
 def named_runs(data: np.ndarray, width: int = WIDTH):
-    """Runs of string starts that have one and the same smallest gram: first start, number, gram hash."""
+    """Runs of string starts that have one and the same smallest gram: first start, number, gram hash.
+
+    A run that goes on beyond the end of a piece is one run, so that where runs start hangs on the
+    bytes alone and not on how rows fell into batches.
+    """
     n = data.size
-    first, count, name = [], [], []
+    first, place, name = [], [], []
     for low in range(0, max(0, n - width + 1), PIECE):
         part = data[low : low + PIECE + width - 1]
         m = mix(eight_bytes(part))
@@ -40,11 +44,14 @@ def named_runs(data: np.ndarray, width: int = WIDTH):
         anchor = (best & U64(PIECE * 2 - 1)).astype(np.int64)
         new = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
         first.append(new + low)
-        count.append(np.diff(np.r_[new, anchor.size]))
+        place.append(anchor[new] + low)
         name.append(h[anchor[new]])
     if not first:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(first), np.concatenate(count), np.concatenate(name)
+    first, place, name = np.concatenate(first), np.concatenate(place), np.concatenate(name)
+    new = np.r_[True, place[1:] != place[:-1]]
+    first = first[new]
+    return first, np.diff(np.r_[first, n - width + 1]), name[new]
 
 
 def batch_runs(data: np.ndarray, off: np.ndarray, width: int):

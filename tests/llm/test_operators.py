@@ -130,6 +130,49 @@ class TestAgainstBruteForce:
         assert len(got) == docs.count() and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in got)
 
 
+def test_runs_do_not_hang_on_batches(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(substrings, "PIECE", 128)
+    rng = random.Random(6)
+    texts = [bytes(rng.choice(b"abcdefgh ") for _ in range(rng.choice((0, 49, 50, 76, 300, 700)))) for _ in range(60)]
+    runs = lambda some: [x.tolist() for x in substrings.batch_runs(np.frombuffer(b"".join(some), np.uint8), np.cumsum([0, *map(len, some)]), 50)]
+    alone = [list(zip(*runs([t])[1:], strict=True)) for t in texts]
+    for size in (7, 60):
+        for low in range(0, 60, size):
+            got = defaultdict(list)
+            for row, *run in zip(*runs(texts[low : low + size]), strict=True):
+                got[low + row].append(tuple(run))
+            assert all(got[k] == alone[k] for k in range(low, min(60, low + size)))
+    monkeypatch.setattr(substrings, "PIECE", 1 << 20)
+    assert [list(zip(*runs([t])[1:], strict=True)) for t in texts] == alone
+
+
+def test_short_matches_across_pieces(spark, monkeypatch):
+    rng = random.Random(7)
+    say = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passages = [say(rng.randrange(50, 77)) for _ in range(40)]
+    texts = [say(rng.randrange(90)) + p + say(rng.randrange(90)) for p in passages * 2]
+    both, few = substrings._seed_packets, substrings._context_packets
+
+    def pieces(make, size):  # a worker's own pieces, other ones in either pass
+        def made(*args):
+            run = make(*args)
+
+            def small(batches):
+                substrings.PIECE = size
+                return run(batches)
+
+            return small
+
+        return made
+
+    monkeypatch.setattr(substrings, "_seed_packets", pieces(both, 1 << 20))
+    monkeypatch.setattr(substrings, "_context_packets", pieces(few, 128))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    same(substrings.remove_shared_strings(docs).collect(), brute.shared_strings(rows_of(docs)))
+
+
 def test_chunks_are_spliced():
     path = public_tokenizers.path(tokens.MODEL)
     few, whole = tokens.PieceCounter(path, chunk=64, overlap=4), sentencepiece.SentencePieceProcessor(model_file=path)
