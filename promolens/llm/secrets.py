@@ -21,12 +21,19 @@ KINDS = ("assign", "access", "hex", "entropy")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 WINDOW = 20
 CLASSES = (("hex", re.compile(r"[0-9a-fA-F]+\Z"), 3.0), ("alnum", re.compile(r"[0-9A-Za-z]+\Z"), 3.6), ("base64", re.compile(r"[A-Za-z0-9+/_=-]+\Z"), 3.8))
-#: What random strings are but secrets are not: no digit or no letter at all, UUIDs, digests that
-#: say so, paths of words, repeated characters, alphabets in order.
-ALLOWED = re.compile(
-    r"(?:[^0-9]*|[^A-Za-z]*|[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}|(?:sha(?:1|256|512)|md5)[-_=].*|(?:[A-Za-z]{2,}[0-9]{0,4}[/_-])+[A-Za-z]{2,}[0-9]{0,4}"
-    r"|.*(?:0123456789|abcdefghij|example|sample|xxxxxx|(.)\1{7}).*)\Z", re.I | re.S,
+#: What a whole candidate may be that is no secret: no letter at all, a UUID.
+ALLOWED = re.compile(r"(?:[^A-Za-z]*|[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})\Z", re.I)
+#: A digest that says so, as long as its kind is, in hex or base64; what follows it is looked at.
+DIGEST = re.compile(
+    r"(?:sha1[-_=](?:[0-9a-f]{40}|[A-Za-z0-9+/_-]{27}=)|sha256[-_=](?:[0-9a-f]{64}|[A-Za-z0-9+/_-]{43}=)|sha512[-_=](?:[0-9a-f]{128}|[A-Za-z0-9+/_-]{86}==)"
+    r"|md5[-_=](?:[0-9a-f]{32}|[A-Za-z0-9+/_-]{22}==))(?![A-Za-z0-9])", re.I,
 )
+#: Words and paths of words. Only their parts between separators that are long enough to be random letters are looked at.
+WORDY = re.compile(r"(?:[^0-9]*|(?:[A-Za-z]{2,}[0-9]{0,4}[/_-])+[A-Za-z]{2,}[0-9]{0,4})\Z")
+PART = re.compile(r"[0-9A-Za-z]{%d,}" % WINDOW)
+#: Stretches that no window of a secret holds whole: words of examples, repeated characters, alphabets in order.
+_ORDERS = ("0123456789abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz0123456789")
+PLACEHOLDER = re.compile("(?=(example|sample|xxxxxx|" + "|".join(sorted({o[k : k + 10] for o in _ORDERS for k in range(27)})) + r"|(.)\2{7}))", re.I | re.S)
 
 _XLOG = [0.0] + [k * math.log2(k) for k in range(1, 4097)]
 
@@ -70,15 +77,43 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return out
 
 
+def _pieces(text: str, start: int, stop: int):
+    """Stretches of text[start:stop] that have, between them, just the windows that hold no placeholder whole."""
+    for m in PLACEHOLDER.finditer(text, start, stop):
+        if m.end(1) - 1 - start >= WINDOW:
+            yield start, m.end(1) - 1
+        start = max(start, m.start() + 1)
+    if stop - start >= WINDOW:
+        yield start, stop
+
+
 def method_spans(text: str) -> list[tuple[int, str, int]]:
-    """(start, kind, end) of high-entropy stretches of candidate strings that no allow rule covers."""
+    """(start, kind, end) of high-entropy stretches of candidate strings, but for what the rules above cover.
+
+    A rule takes no more than it covers: a placeholder the windows that hold it, a digest itself,
+    words their parts. In words, capitals count as their small letters.
+    """
     out = []
     for m in CANDIDATE.finditer(text):
-        value = m[0]
-        if ALLOWED.match(value):
+        start, stop = m.span()
+        if digest := DIGEST.match(text, start, stop):
+            start = digest.end()
+        value = text[start:stop]
+        if len(value) < WINDOW or ALLOWED.match(value):
             continue
         least = next(e for _, pattern, e in CLASSES if pattern.match(value))
-        out += [(a, "entropy", b) for a, b in entropy_spans(text, m.start(), m.end(), least)]
+        parts = [(0, len(value))]
+        if WORDY.match(value):
+            value, least = value.lower(), CLASSES[1][2]
+            parts = [p.span() for p in PART.finditer(value)]
+        found: list[tuple[int, int]] = []
+        for a, b in (piece for part in parts for piece in _pieces(value, *part)):
+            for low, high in entropy_spans(value, a, b, least):
+                if found and low <= found[-1][1]:
+                    found[-1] = (found[-1][0], max(high, found[-1][1]))
+                else:
+                    found.append((low, high))
+        out += [(start + a, "entropy", start + b) for a, b in found]
     return out
 
 

@@ -215,6 +215,21 @@ def test_entropy_counts_are_incremental():
     assert secrets.method_spans("key kJ8vQ2mZx7Lw9TqB4nRs")
 
 
+def test_rules_hide_no_more_than_they_cover():
+    rng = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    say = lambda n, of=letters: "".join(rng.choice(of) for _ in range(n))
+    hides = lambda text, part: part not in secrets.redact(text)
+    for _ in range(20):
+        token, wide = say(32), say(60) + "A" * 9 + say(400)
+        for text in (f"example_{token}", f"{token}/sample", f"0123456789-{token}", f"sha256_{token}", f"md5-{token}", f"sha1-{'0a' * 20}/{token}", f"x{'=' * 9}{token}", say(40, letters[:52]), f"path/{say(40, letters[:52])}"):
+            assert hides(f"see {text} there", text[-20:] if not text.endswith("sample") else token[:20]), text
+        assert hides(wide, wide[:60]) and hides(wide, wide[-60:])
+    for text in ("see abcdefghijklmnopqrstuvwxyz0123456789 or ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "sha256-" + say(43) + "=", "SHA1_" + say(40, "0123456789ABCDEF"),
+                 "example_example_example_1", "x" * 80, "path/to/internationalisation/of2024/words", "550e8400-e29b-41d4-a716-446655440000"):
+        assert not secrets.method_spans(text), text
+
+
 def test_redacting_leaves_the_rest():
     assert secrets.redact("a password=abcdefgh1 b") == "a [ASSIGN] b" and secrets.redact("clean text") == "clean text"
 
