@@ -155,22 +155,20 @@ class Codec:
             spec = json.load(f)
         self.split = regex.compile(next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"))
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.machine.special)) + ")") if self.machine.special else None
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.known: dict[str, bytes] = {}
 
-    def word(self, word: str) -> tuple[bytes, str]:
-        """Ids as little-endian bytes and tokens joined by blanks, of a word that holds no white space."""
+    def word(self, word: str) -> bytes:
+        """Ids as little-endian bytes, of a word that holds no white space."""
         found = self.known.get(word)
         if found is None:
-            ids, names = [], []
+            ids = []
             for pretoken in self.split.findall(word):
                 part = self.known.get(pretoken) if pretoken != word else None
                 if part is None:
-                    tokens = list(self.machine.encode_pretoken(pretoken))
-                    part = b"".join(self.machine.ids[t].to_bytes(4, "little") for t in tokens), " ".join(tokens)
+                    part = b"".join(self.machine.ids[t].to_bytes(4, "little") for t in self.machine.encode_pretoken(pretoken))
                     self._keep(pretoken, part)
-                ids.append(part[0])
-                names.append(part[1])
-            found = b"".join(ids), " ".join(names)
+                ids.append(part)
+            found = b"".join(ids)
             self._keep(word, found)
         return found
 
@@ -190,22 +188,21 @@ class Codec:
             for word in text.lower().split():
                 yield self.word(word)
 
-    def _lettered(self, piece: str) -> tuple[bytes, str]:
+    def _lettered(self, piece: str) -> bytes:
         """A pre-token that the library has already written in letters of bytes."""
         found = self.known.get("\0" + piece)
         if found is None:
             units = [*piece[:-1], piece[-1] + self.machine.end]
-            tokens = [t for t in self.machine.stream(units) if t in self.machine.ids]
-            found = b"".join(self.machine.ids[t].to_bytes(4, "little") for t in tokens), " ".join(tokens)
+            found = b"".join(self.machine.ids[t].to_bytes(4, "little") for t in self.machine.stream(units) if t in self.machine.ids)
             self._keep("\0" + piece, found)
         return found
 
     def encode(self, text: str):
-        """(ids as bytes, tokens joined by blanks) word by word; special strings are their own token."""
+        """Ids as bytes, word by word; special strings are their own token."""
         parts = self.specials.split(text) if self.specials else [text]
         for k, part in enumerate(parts):
             if k % 2:
-                yield self.machine.special[part].to_bytes(4, "little"), part
+                yield self.machine.special[part].to_bytes(4, "little")
             elif part:
                 yield from self._words(part)
 
@@ -251,7 +248,7 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
         import numpy as np
 
         one = codec(path)
-        return {"doc_id": rows["doc_id"], "ids": [np.frombuffer(b"".join(a for a, _ in one.encode(t)), "<u4").astype("i4") for t in rows["text"]]}
+        return {"doc_id": rows["doc_id"], "ids": [np.frombuffer(b"".join(one.encode(t)), "<u4").astype("i4") for t in rows["text"]]}
 
     return map_rows(doc_texts(docs), run, "doc_id long, ids array<int>")
 
@@ -259,25 +256,24 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
 def digest_encoding(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Operator: number and digest of the ids of each whole text, and the digest of what they decode to.
 
-    Words go to the digests in blocks, so a huge text needs no list of its tokens. The decoder
-    reads the ids back. Null and empty texts have no ids and decode to nothing; repeated rows are
+    Words go to the digests in blocks, so a huge text needs no list of its tokens. The decoder is
+    fed the ids of each block, as they went to their digest, and nothing else. Null and empty texts have no ids and decode to nothing; repeated rows are
     encoded each; an empty table gives no rows.
     """
     path = path or model_path()
 
     def run(rows):
+        import numpy as np
+
         one, out = codec(path), {k: [] for k in ("n_tokens", "ids_sha256", "decoded_sha256")}
         for text in rows["text"]:
-            ids_hash, text_hash, n, begun = hashlib.sha256(), hashlib.sha256(), 0, False
+            ids_hash, text_hash, n, decoder = hashlib.sha256(), hashlib.sha256(), 0, Decoder(one.machine.names)
             words = one.encode(text)
             while block := list(islice(words, BLOCK)):
-                ids = b"".join([a for a, _ in block])
+                ids = b"".join(block)
                 ids_hash.update(ids)
                 n += len(ids) // 4
-                decoded = " ".join([b for _, b in block if b])
-                if decoded:
-                    text_hash.update((" " + decoded if begun else decoded).encode())
-                    begun = True
+                text_hash.update(decoder.feed(np.frombuffer(ids, "<u4").tolist()).encode())
             for k, v in zip(out, (n, ids_hash.hexdigest(), text_hash.hexdigest()), strict=True):
                 out[k].append(v)
         return {"doc_id": rows["doc_id"]} | out

@@ -192,6 +192,22 @@ def test_stream_is_merge():
             assert list(machine.stream(units)) == machine.merge(units)
 
 
+def test_decoded_digest_is_read_from_the_ids(spark, monkeypatch):
+    text = "the first words and, again, the first words <|endoftext|> naïve 日本 " * 900
+    model = Tokenizer.from_file(public_tokenizers.path(bpe.MODEL))
+    ids = model.encode(text, add_special_tokens=False).ids
+    fault = max(set(ids), key=ids.count)
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    machine = bpe.Codec(bpe.model_path())
+    monkeypatch.setattr(bpe, "codec", lambda path: machine)
+    monkeypatch.setattr(bpe, "map_rows", lambda docs, run, schema: run({"doc_id": [1], "text": [text]}))
+    digest = lambda ids: hashlib.sha256(model.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+    assert bpe.digest_encoding(docs)["decoded_sha256"] == [digest(ids)]
+    machine.known.clear()
+    machine.machine.ids[machine.machine.names[fault]] = 5  # an encoder that writes a wrong id for one token
+    assert fault != 5 and bpe.digest_encoding(docs)["decoded_sha256"] == [digest([5 if i == fault else i for i in ids])]
+
+
 def test_byte_decoder_waits_for_whole_characters():
     letters, state = bpe.byte_letters(), bpe.ByteDecoder()
     raw = "é日x".encode()
