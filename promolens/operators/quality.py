@@ -1,4 +1,4 @@
-"""Quality checks on weekly results."""
+"""Quality checks on weekly results."""
 
 from __future__ import annotations
 
@@ -19,7 +19,7 @@ def count_shift(now: DataFrame, before: DataFrame, drop: float = 20.0, gain: flo
 
 
 def distribution(verdicts: DataFrame) -> DataFrame:
-    """Shares of the verdicts over stores that are neither unmatched nor exclusive."""
+    """Shares of the verdicts over stores that are neither unmatched nor exclusive."""
     rows = verdicts.where(~F.col("parity").isin("UNMATCHED", "EXCLUSIVE_OWN"))
     share = lambda v: F.round(F.count(F.when(F.col("parity") == v, 1)) / F.count("*") * 100, 1).alias(f"pct_{v.lower()}")
     return rows.groupBy("week_num").agg(*[share(v) for v in ("SUPERIORITY", "PARITY", "INFERIORITY")])

@@ -1,4 +1,4 @@
-"""Matching of stores and products across the two sides."""
+"""Matching of stores and products across the two sides (J01, J03, J08, A12, W01, W10; parts of J13, J14, A13)."""
 
 from __future__ import annotations
 
@@ -34,7 +34,7 @@ def best_two(pairs: DataFrame) -> DataFrame:
 
 
 def price_band(left: DataFrame, right: DataFrame, on: list[str], width: float = 1.0, rel: float = 0.05) -> DataFrame:
-    """Prices within ``width`` and within ``rel`` of the larger one: an equi-join on neighbouring buckets."""
+    """The band of J14, without its name score and without leaving out hits by name: prices within ``width`` and within ``rel`` of the larger one, by an equi-join on neighbouring buckets."""
     a = left.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("pa") / width) - 1, F.floor(F.col("pa") / width) + 1)))
     b = right.withColumn("bucket", F.floor(F.col("pb") / width))
     gap = F.abs(F.col("pa") - F.col("pb"))
@@ -42,7 +42,7 @@ def price_band(left: DataFrame, right: DataFrame, on: list[str], width: float =
 
 
 def fingerprint(comp: DataFrame, own: DataFrame, least: int = 4) -> DataFrame:
-    """For each competitor store the own store whose menu shares most product names."""
+    """J13 and the overlap of A13, without hits that prices confirm: for each competitor store the own store whose menu shares most product names."""
     c = comp.select("city_code", F.col("store_name").alias("comp"), "n").distinct()
     o = own.select("city_code", F.col("store_name").alias("own"), "n").distinct()
     sizes = c.groupBy("city_code", "comp").agg(F.count("*").alias("products")).where(F.col("products") >= least)

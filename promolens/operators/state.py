@@ -1,4 +1,4 @@
-"""Keyed state: upserts, retention, decision logs and mapping commands."""
+"""Keyed state: upserts, retention, decision logs and mapping commands."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""File tables: product scans, weekly archives and guarded sinks."""
+"""File tables: product scans, weekly archives and guarded sinks (S05, S12, K06, K11; parts of S01, S03)."""
 
 from __future__ import annotations
 
@@ -16,7 +16,7 @@ def ensure_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def read_products(spark: SparkSession, path: str) -> DataFrame:
-    """Either schema of the product file as one: names lower case, numbers 0 where they can't be read, flags trimmed upper case."""
+    """S01 for UTF-8 files only: either schema of the product file as one: names lower case, numbers 0 where they can't be read, flags trimmed upper case."""
     df = spark.read.csv(path, header=True, inferSchema=False, encoding="UTF-8")
     df = df.toDF(*[c.replace("﻿", "").strip().lower().replace(" ", "_") for c in df.columns])
     if "promo_non_prime" not in df.columns:
