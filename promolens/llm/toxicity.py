@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 from itertools import combinations
 
@@ -153,6 +153,28 @@ def _first_rows(words: list[str]) -> np.ndarray:
     return codes[np.searchsorted(of, np.arange(len(words)))]
 
 
+def _without_copies(rows: list[tuple[str, int]], bags: list[tuple[set[str], int]]) -> list[tuple[set[str], int]]:
+    """(words, class) of texts, near copies as one with the words of all of them.
+
+    Near copies mostly agree in their long word of the smallest hash, and unrelated texts may; so
+    texts with one such word are copies only where they share half of their runs of three words.
+    """
+    out: list[tuple[set[str], int]] = []
+    alike = defaultdict(list)
+    for (text, _), (words, y) in zip(rows, bags, strict=True):
+        order = text.lower().split()
+        runs = {hash(run) for run in zip(order, order[1:], order[2:], strict=False)} or {hash(tuple(order))}
+        group = alike[y, min((zlib.crc32(w.encode()) for w in words if len(w) > 5), default=-1)]
+        for other, k in group:
+            if 2 * min(len(runs), len(other)) >= max(len(runs), len(other)) and 3 * len(runs & other) >= len(runs) + len(other):
+                out[k][0].update(words)
+                break
+        else:
+            group.append((runs, len(out)))
+            out.append((set(words), y))
+    return out
+
+
 def train(rows: list[tuple[str, int]], share: float | None = None, seed: int = 7) -> Model:
     """Learn from (text, toxic) rows: words that toxic sentences hold and clean ones don't give the
     positives and the landmarks, words of clean texts the negatives, hard ones in later rounds.
@@ -160,11 +182,10 @@ def train(rows: list[tuple[str, int]], share: float | None = None, seed: int = 7
     rng = np.random.default_rng(seed)
     bags = [(words_of(t), y) for t, y in rows]
     seen = {0: Counter(), 1: Counter()}
-    # copies of a text count once: near copies agree in their word of the smallest hash
-    copies = {(y, min((zlib.crc32(w.encode()) for w in words if len(w) > 5), default=k)): words for k, (words, y) in enumerate(bags)}
-    for (y, _), words in copies.items():
+    copies = _without_copies(rows, bags)
+    for words, y in copies:
         seen[y].update(words)
-    n = Counter(y for y, _ in copies)
+    n = Counter(y for _, y in copies)
     none = Model(np.zeros(LETTERS**3, np.float32), 0.0, 1.0, -3.0 if n[0] >= n[1] else 3.0)
     if not n[0] or not n[1]:
         return none
@@ -178,7 +199,7 @@ def train(rows: list[tuple[str, int]], share: float | None = None, seed: int = 7
     gain = {w: g for w, c in seen[1].items() if c >= 2 and len(w) >= 3 and (g := surprise(c, seen[0][w])) > many and seen[0][w] * n[1] * 20 <= c * n[0]}
     # a word of few toxic texts is chance where those hold a much better one
     chosen: list[str] = []
-    best = [(words, max((gain.get(w, 0) for w in words), default=0)) for (y, _), words in copies.items() if y]
+    best = [(words, max((gain.get(w, 0) for w in words), default=0)) for words, y in copies if y]
     alone = Counter(w for words, top in best for w in words if w in gain and top <= 4 * gain[w])
     for w in sorted(gain, key=lambda w: (-gain[w], w)):
         if alone[w] >= max(2, 0.3 * seen[1][w]):

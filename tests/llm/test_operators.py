@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 from collections import defaultdict
 
 import public_tokenizers
@@ -280,6 +281,20 @@ def test_toxicity_holds_out_of_sample(spark):
     assert sum(p for p, y in held if y) >= 0.85 * sum(y for _, y in held)
 
 
+def test_texts_that_share_a_word_are_no_copies():
+    rng = random.Random(9)
+    say = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(n))
+    insult, shared = "zwurblex", min(("shared", "common", "member", "people", "winter", "summer"), key=lambda w: zlib.crc32(w.encode()))
+    assert zlib.crc32(shared.encode()) < zlib.crc32(insult.encode())
+    rows = [(f"{say(15)} {shared} {say(15)}", 0) for _ in range(40)] + [(f"{say(15)} {shared} {insult} {say(15)}", 1) for _ in range(40)]
+    model = toxicity.train(rows)
+    bad, good = model.score([f"{say(9)} {insult} {say(9)}", f"{say(9)} {shared} {say(9)}"])
+    assert bad >= 0.5 > good
+    copies = [(f"{rows[0][0]} {say(2)}", 0) for _ in range(50)]
+    groups = toxicity._without_copies(copies, [(toxicity.words_of(t), y) for t, y in copies])
+    assert len(groups) == 1 and groups[0][0] == set(" ".join(t for t, _ in copies).split())
+
+
 def test_label_model_keeps_clean_and_drops_junk(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     got = quality.judge_quality(docs).where("not base_failed").select("doc_id", "kept").join(labels, "doc_id").collect()
