@@ -21,9 +21,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of the smallest id, of each group of near copies (five words, 0.8)."""
-    kept = neardup.near_duplicates(docs, width=5, percent=80).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*COLUMNS)
+    """One document, the one of the smallest id, of each group of near copies (five words, 0.8).
+
+    Rows are compared under keys of their own, so null and repeated ids make no difference; null
+    ids count as larger than all others.
+    """
+    rows = materialise(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row_key")), "pipeline-rows")
+    found = neardup.near_duplicates(rows.select(F.col("row_key").alias("doc_id"), "text"), width=5, percent=80)
+    found = found.select(F.col("doc_id").alias("row_key"), "component_id").join(rows.select("row_key", "doc_id"), "row_key")
+    firsts = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row_key")).alias("first"))
+    return rows.join(firsts.select("first.row_key"), "row_key", "left_semi").select(*COLUMNS)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -257,8 +257,9 @@ def _covered(width: int, shard: int):
             for a, b in zip(np.r_[0, cuts[:-1]], cuts, strict=True):
                 base, stop = (ends[a - 1] if a else 0), ends[b - 1]
                 inner = np.arange(base, stop) - np.repeat(ends[a:b] - lengths[a:b], lengths[a:b])
-                owner = np.where(inner <= np.repeat(lengths[a:b], lengths[a:b]) - width, np.repeat(low[a:b], lengths[a:b]), NULL_ID)
-                shards.append((everything[base:stop], owner))
+                begins = inner <= np.repeat(lengths[a:b], lengths[a:b]) - width
+                owner = np.where(begins, np.repeat(low[a:b], lengths[a:b]), NULL_ID)
+                shards.append((everything[base:stop], owner, begins))
                 bases.append(base)
             found = np.concatenate(smallest_owners(shards, width))
             # every start of every context's occurrence

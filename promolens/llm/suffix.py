@@ -106,16 +106,17 @@ def common_prefixes(data: np.ndarray, sa: np.ndarray, most: int, lanes: int = 0)
     return out
 
 
-def window_groups(data: np.ndarray, start_owner: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def window_groups(data: np.ndarray, start_owner: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Groups of equal ``width``-byte strings among marked starts.
 
-    start_owner holds an owner for each position that starts a string, a huge number elsewhere.
+    starts marks the positions that start a string; start_owner holds their owners, and the
+    largest number elsewhere, which an owner may be as well.
     Returns, for each marked start in suffix order, its position, its group, and the smallest
     owner of each group.
     """
     sa = suffix_array(data)
     lcp = common_prefixes(data, sa, width)
-    marked = start_owner[sa] < np.iinfo(np.int64).max
+    marked = starts[sa]
     group = np.cumsum(lcp < width) - 1
     least = np.minimum.reduceat(start_owner[sa], np.flatnonzero(np.r_[True, np.diff(group) > 0])) if sa.size else np.zeros(0, np.int64)
     group = group[marked]
@@ -131,17 +132,17 @@ def _strings(data: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
     return out.view(f"S{width + 1}").ravel()
 
 
-def smallest_owners(shards: list[tuple[np.ndarray, np.ndarray]], width: int) -> list[np.ndarray]:
-    """For each shard (bytes, owner of each string start) the smallest owner of each start's string in any shard.
+def smallest_owners(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]], width: int) -> list[np.ndarray]:
+    """For each shard (bytes, owner of each string start, where strings start) the smallest owner of each start's string in any shard.
 
     Each shard has its own suffix array. Its distinct strings, in suffix order, are then looked
     up in the other shards' by binary search, and the smaller owner is taken over.
     """
     none = np.iinfo(np.int64).max
-    parts = [window_groups(data, owner, width) for data, owner in shards]
+    parts = [window_groups(data, owner, starts, width) for data, owner, starts in shards]
     if len(shards) > 1:
         runs = []
-        for (data, _), (pos, group, _) in zip(shards, parts, strict=True):
+        for (data, _, _), (pos, group, _) in zip(shards, parts, strict=True):
             first = np.unique(group, return_index=True)[1]
             runs.append(_strings(data, pos[first], width))
         best = [least.copy() for _, _, least in parts]
@@ -156,7 +157,7 @@ def smallest_owners(shards: list[tuple[np.ndarray, np.ndarray]], width: int) ->
                 best[b][at[hit]] = np.minimum(best[b][at[hit]], low)
         parts = [(pos, group, least) for (pos, group, _), least in zip(parts, best, strict=True)]
     out = []
-    for (_, owner), (pos, group, least) in zip(shards, parts, strict=True):
+    for (_, owner, _), (pos, group, least) in zip(shards, parts, strict=True):
         found = np.full(owner.size, none)
         found[pos] = least[group]
         out.append(found)

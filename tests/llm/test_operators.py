@@ -174,6 +174,14 @@ def test_short_matches_across_pieces(spark, monkeypatch):
     same(substrings.remove_shared_strings(docs).collect(), brute.shared_strings(rows_of(docs)))
 
 
+def test_null_ids_lose_edges_too(spark):
+    rng = random.Random(10)
+    say = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = say(300)
+    docs = spark.createDataFrame([(1, say(90) + passage + say(90))] + [(None, say(90) + passage + say(90)) for _ in range(3)], "doc_id long, text string")
+    same(substrings.remove_shared_strings(docs).collect(), brute.shared_strings(rows_of(docs)))
+
+
 def test_chunks_are_spliced():
     path = public_tokenizers.path(tokens.MODEL)
     few, whole = tokens.PieceCounter(path, chunk=64, overlap=4), sentencepiece.SentencePieceProcessor(model_file=path)

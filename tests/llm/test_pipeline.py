@@ -20,3 +20,11 @@ def test_stages(spark):
     assert len(kept["secret_scans"]) == len(kept["near_duplicates"]) and not any(base_spans(r["text"]) for r in kept["secret_scans"])
     assert {r["doc_id"] for r in kept["source_mix"]} <= {r["doc_id"] for r in kept["secret_scans"]}
     assert len(kept["token_ids"]) == len(kept["source_mix"])
+
+
+def test_one_row_of_each_group(spark):
+    say = lambda name: " ".join(f"{name}{k}" for k in range(60))
+    rows = [(5, say("a")), (5, say("a")), (7, say("a") + " end"), (None, say("a")), (None, say("b")), (None, say("b")), (9, say("c")), (9, say("d")), (3, say("d")), (None, ""), (None, None)]
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, SMALL).collect()]
+    assert sorted(got, key=str) == sorted([(5, say("a")), (None, say("b")), (9, say("c")), (3, say("d")), (None, ""), (None, None)], key=str)
