@@ -15,8 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of one Arrow batch: some MB of ordinary texts.
-BATCH_ROWS = 1000
+#: Rows and bytes of one Arrow batch at most, but for a single longer text.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 U64 = np.uint64
 
 
@@ -25,9 +25,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; set here only where the session names none (tests)."""
+    """The folder all executors share, as the session names it.
+
+    Only a session in one process (tests) gets a folder of its own where none is named; on a
+    cluster that would scatter tables over the machines' disks.
+    """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = f"file://{tempfile.mkdtemp(prefix='promolens-')}"
         spark.conf.set("spark.checkpoint.dir", where)
     return where
@@ -50,11 +57,22 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(FREE_SHUFFLES, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that materialise wrote, once nothing will read them again."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def arrow_batches(spark: SparkSession) -> None:
+    """Bound the rows and the bytes of the Arrow batches that the session's later plans hand to Python."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def doc_texts(docs: DataFrame, *more) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promolens.llm.common import materialise
+from promolens.llm.common import discard, materialise
 
 
 def link_edges(links: DataFrame) -> DataFrame:
@@ -38,6 +39,25 @@ def settled(edges: DataFrame) -> bool:
     return not nodes.where("out > 1 or (out = 1 and root = 0)").agg(F.count("*")).first()[0]
 
 
+def forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the (a, b) links, taken in order, join two parts that those before leave apart."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            root[x] = root.get(up, up)
+            x = up
+        return x
+
+    out = np.zeros(len(a), bool)
+    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+        x, y = find(x), find(y)
+        if x != y:
+            root[x] = y
+            out[k] = True
+    return out
+
+
 def nearest(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node that an edge leads to; the whole component's once all is settled."""
     return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
@@ -54,5 +74,6 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         if settled(edges):
             return nearest(edges)
-        edges = contract(edges)
+        before, edges = edges, contract(edges)
+        discard(before)
     raise RuntimeError(f"components are not settled after {most_rounds} rounds")
