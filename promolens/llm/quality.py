@@ -13,8 +13,11 @@ SYMBOLS, UPPER = byte_class(b"#*$%&|<>"), byte_class(range(0x41, 0x5B))
 LETTER = byte_class([*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x100)])
 LOUD, NEWLINE = byte_class(b"!?"), byte_class(b"\n")
 GRAM, LEAST_WORDS, MOST_REPEAT_PERCENT = 8, 20, 30
-#: Bounds of the label model: objections to clean texts, and how blind a rule is to other junk.
-ALARM, BLIND = 0.002, 0.75
+#: Votes, and what is expected of them beforehand: by a rule on texts with its fault and on all others,
+#: as (objects strongly, objects weakly, abstains, approves), and the part of the table each counts as.
+STRONG, WEAK, ABSTAIN, FOR = range(4)
+FAULT, SOUND = np.array([0.8, 0.15, 1.0, 0.05]), np.array([0.002, 0.1, 1.0, 0.898])
+PRIOR_FAULT, PRIOR_SOUND = 0.1, 0.5
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_loud")
 
 
@@ -84,67 +87,77 @@ def measure(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     return chosen.mapInArrow(run, f"doc_id long{types}, " + ", ".join(f"{k} long" for k in FEATURES))
 
 
-def rules() -> list[tuple[str, object, object]]:
-    """(name, votes against, votes for): neither is to abstain, so a rule speaks only of what it can see."""
+def rules() -> list[tuple[str, object, object, object]]:
+    """(name, objects strongly, objects weakly, approves): what comes first counts, none is to abstain.
+
+    A rule and its weaker form look at one thing, so they are one rule with one vote.
+    """
     c = F.col
     words, lines, letters = F.greatest(c("n_words"), F.lit(1)), F.greatest(c("n_lines"), F.lit(1)), F.greatest(c("n_letters"), F.lit(1))
+    length = c("word_chars") / words
     return [
-        ("length", c("n_words") < LEAST_WORDS, c("n_words") >= 50),
-        ("symbols", c("n_symbols") > 0.15 * words, c("n_symbols") <= 0.02 * words),
-        ("capitals", c("n_upper") > 0.5 * letters, c("n_upper") <= 0.15 * letters),
-        ("loudness", c("n_loud") > 0.3 * words, c("n_loud") <= 0.05 * words),
-        ("repeats", c("n_repeat_words") * 100 > MOST_REPEAT_PERCENT * words, c("n_repeat_words") == 0),
-        ("lines", c("n_dup_lines") > 0.5 * lines, (c("n_dup_lines") == 0) & (c("n_lines") > 1)),
-        ("word_length", ~(c("word_chars") / words).between(2, 14), (c("word_chars") / words).between(3, 10)),
+        ("length", c("n_words") < LEAST_WORDS, c("n_words") < 50, c("n_words") >= 100),
+        ("symbols", c("n_symbols") > 0.15 * words, c("n_symbols") > 0, c("n_symbols") == 0),
+        ("capitals", c("n_upper") > 0.5 * letters, c("n_upper") > 0.08 * letters, c("n_upper") <= 0.05 * letters),
+        ("loudness", c("n_loud") > 0.3 * words, c("n_loud") > 0.02 * words, c("n_loud") <= 0.01 * words),
+        ("repeats", c("n_repeat_words") * 100 > MOST_REPEAT_PERCENT * words, c("n_repeat_words") > 0, c("n_repeat_words") == 0),
+        ("lines", c("n_dup_lines") > 0.5 * lines, c("n_dup_lines") > 0, c("n_lines") > 1),
+        ("word_length", ~length.between(2, 14), ~length.between(3.5, 9), length.between(4, 8)),
     ]
 
 
-def label_model(votes: np.ndarray, weight: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray]:
+def label_model(votes: np.ndarray, weight: np.ndarray, rounds: int = 500) -> tuple[np.ndarray, np.ndarray]:
     """Posterior probability of good quality for each vote pattern, and each rule's accuracy.
 
-    Expectation-maximisation over patterns with their counts: for each class and rule the odds that
-    a vote, if there is one, is an objection; to abstain says nothing. Each rule is built to object
-    to one kind of junk and to hardly any clean text, so two bounds hold in every round: clean texts
-    draw at most ALARM objections a rule, and junk passes a rule BLIND times as often as clean texts
-    at least. They keep the classes from changing places, and junk that one rule sees stays junk.
+    A text is good or has the fault that one of the rules is made for. A rule votes by FAULT on
+    texts with its fault and by SOUND on all others, good or not; to abstain says nothing. So an
+    objection is a fault or a false alarm, and expectation-maximisation weighs one against the
+    other: it estimates how frequent each fault is and how each rule votes on either kind of text.
+    Where rules do not overlap the data can't tell the two apart, and the priors lead: they count
+    as much as a fixed part of the table, so that a table of any size is judged alike.
     """
+    some = votes != ABSTAIN
+    n, rule = votes.shape[1], np.arange(votes.shape[1])
     if not votes.size:
-        return np.zeros(0), np.zeros(votes.shape[1])
-    against, in_favour = votes == -1, votes == 1
-    bad_odds, good_odds, share = np.full(votes.shape[1], 0.3), np.full(votes.shape[1], ALARM), 0.9
-    good = np.zeros(len(votes))
+        return np.zeros(0), np.zeros(n)
+    sound, fault = np.tile(SOUND, (n, 1)), np.tile(FAULT, (n, 1))
+    share, good = np.r_[0.9, np.full(n, 0.1 / n)], np.full(len(votes), -1.0)
     for _ in range(rounds):
-        bad = np.log(1 - share) + against @ np.log(bad_odds) + in_favour @ np.log(1 - bad_odds)
-        fine = np.log(share) + against @ np.log(good_odds) + in_favour @ np.log(1 - good_odds)
-        new = 1 / (1 + np.exp(np.clip(bad - fine, -500, 500)))
+        odds = share[1:] / share[0] * np.where(some, fault[rule, votes] / sound[rule, votes], 1.0)
+        new = 1 / (1 + odds.sum(1))
         change, good = np.abs(new - good).max(), new
-        share = float(np.clip((good @ weight + 9) / (weight.sum() + 10), 0.5, 0.99))
-        mass = [(1 - good) * weight, good * weight]
-        bad_odds, good_odds = ((m @ against + 30 * p) / (m @ (against | in_favour) + 30) for m, p in zip(mass, (0.3, ALARM), strict=True))
-        good_odds = np.clip(good_odds, 1e-6, ALARM)
-        bad_odds = np.clip(bad_odds, good_odds, 1 - BLIND * (1 - good_odds))
         if change < 1e-9:
             break
-    right = (bad_odds * (1 - share) + (1 - good_odds) * share)
-    return good, right
+        faulty = odds * good[:, None]
+        share = np.r_[good @ weight + 1, weight @ faulty + 1 / n]
+        share /= share.sum()
+        for k in (STRONG, WEAK, FOR):
+            fault[:, k] = weight @ (faulty * (votes == k)) + PRIOR_FAULT * (weight.sum() + 100) * FAULT[k]
+            sound[:, k] = weight @ ((1 - faulty) * (votes == k)) + PRIOR_SOUND * (weight.sum() + 100) * SOUND[k]
+        fault[:, [STRONG, WEAK, FOR]] /= fault[:, [STRONG, WEAK, FOR]].sum(1, keepdims=True)
+        sound[:, [STRONG, WEAK, FOR]] /= sound[:, [STRONG, WEAK, FOR]].sum(1, keepdims=True)
+    return good, share[1:] * (1 - fault[:, FOR]) + (1 - share[1:]) * sound[:, FOR]
 
 
 def judge(seen: DataFrame, fitted_on: DataFrame, least: float = 0.5) -> DataFrame:
     """base_failed, quality and kept for rows of FEATURES, by a label model of all rows of another table.
 
-    Votes are counted by pattern (at most 3 to the power of the rules), so what reaches the driver
+    Votes are counted by pattern (at most 4 to the power of the rules), so what reaches the driver
     and goes back has a fixed bound.
     """
     names = rules()
-    vote = [F.when(F.coalesce(bad, F.lit(False)), -1).when(F.coalesce(good, F.lit(False)), 1).otherwise(0) for _, bad, good in names]
-    key = sum(((v + 1) * 3**k for k, v in enumerate(vote)), F.lit(0)).cast("int")
-    counted = fitted_on.groupBy(key.alias("pattern")).agg(F.count("*").alias("n")).collect()  # at most 3**7 rows
+    true = lambda x: F.coalesce(x, F.lit(False))
+    vote = [F.when(true(strong), STRONG).when(true(weak), WEAK).when(true(good), FOR).otherwise(ABSTAIN) for _, strong, weak, good in names]
+    key = sum((v * 4**k for k, v in enumerate(vote)), F.lit(0)).cast("int")
+    counted = fitted_on.groupBy(key.alias("pattern")).agg(F.count("*").alias("n")).orderBy("pattern").collect()  # at most 4**7 rows
     patterns = np.array([r["pattern"] for r in counted], np.int64)
-    votes = np.stack([patterns // 3**k % 3 - 1 for k in range(len(names))], 1) if counted else np.zeros((0, len(names)), np.int64)
+    votes = np.stack([patterns // 4**k % 4 for k in range(len(names))], 1) if counted else np.zeros((0, len(names)), np.int64)
     good, _ = label_model(votes, np.array([r["n"] for r in counted], float))
-    table = F.create_map(*[F.lit(x) for pair in zip(patterns.tolist(), good.tolist(), strict=True) for x in pair]) if counted else F.create_map(F.lit(0), F.lit(0.0))
+    found = [(int(k), float(g)) for k, g in zip(patterns, good, strict=True)]
+    table = seen.sparkSession.createDataFrame(found, "vote_pattern int, quality double")  # as many rows as patterns
+    seen = seen.withColumn("vote_pattern", key).join(F.broadcast(table), "vote_pattern", "left").drop("vote_pattern")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEAT_PERCENT * F.col("n_words"))
-    out = seen.withColumn("base_failed", failed).withColumn("quality", F.coalesce(F.try_element_at(table, key), F.lit(0.0)))
+    out = seen.withColumn("base_failed", failed).withColumn("quality", F.coalesce("quality", F.lit(0.0)))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= least))
 
 
