@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import Counter
-from functools import cache
+from functools import cache, lru_cache
+from itertools import accumulate
 
 import ahocorasick
 import regex
@@ -13,18 +15,19 @@ from promolens.llm.common import doc_texts, map_rows
 
 # The base phrases and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
-#: Short notices as they stand after normalising (lower case, words joined by one space).
+#: Short notices as they stand after normalising (lower case, words joined by one space), their
+#: labels, and the words that tell this license from others: they must stand in a place unharmed.
 NOTICES = (
-    ("released under the mit license", "mit"),
-    ("permission is hereby granted free of charge to any person obtaining a copy of this software", "mit"),
-    ("licensed under the apache license version 2 0", "apache"),
-    ("you may not use this file except in compliance with the license", "apache"),
-    ("this work is licensed under the gnu general public license version 3", "gpl"),
-    ("you can redistribute it and or modify it under the terms of the gnu general public license", "gpl"),
-    ("licensed under cc by nc 4 0", "cc-by-nc"),
-    ("licensed under a creative commons attribution 4 0 international license", "cc-by"),
-    ("redistribution and use in source and binary forms with or without modification are permitted", "bsd"),
-    ("subject to the terms of the mozilla public license v 2 0", "mpl"),
+    ("released under the mit license", "mit", r"\bmit\b"),
+    ("permission is hereby granted free of charge to any person obtaining a copy of this software", "mit", r""),
+    ("licensed under the apache license version 2 0", "apache", r"\bapache\b"),
+    ("you may not use this file except in compliance with the license", "apache", r""),
+    ("this work is licensed under the gnu general public license version 3", "gpl", r"\bgnu general public\b"),
+    ("you can redistribute it and or modify it under the terms of the gnu general public license", "gpl", r"\bgnu general public\b"),
+    ("licensed under cc by nc 4 0", "cc-by-nc", r"\bcc by nc \d"),
+    ("licensed under a creative commons attribution 4 0 international license", "cc-by", r"\battribution \d"),
+    ("redistribution and use in source and binary forms with or without modification are permitted", "bsd", r""),
+    ("subject to the terms of the mozilla public license v 2 0", "mpl", r"\bmozilla\b"),
 )
 #: Edits allowed for each so many characters of a notice.
 CHARS_AN_EDIT = 10
@@ -53,14 +56,13 @@ def seeds(notice: str) -> list[tuple[int, str]]:
 @cache
 def _machine(notices):
     automaton, where = ahocorasick.Automaton(), {}
-    for k, (notice, _) in enumerate(notices):
+    for k, (notice, _, _) in enumerate(notices):
         for at, piece in seeds(notice):
             where.setdefault(piece, []).append((k, at))
     for piece, hits in where.items():
         automaton.add_word(piece, (len(piece), tuple(hits)))
     automaton.make_automaton()
-    patterns = [regex.compile(f"(?b)(?:{regex.escape(n)}){{e<={edits(n)}}}") for n, _ in notices]
-    return automaton, patterns, [grams(n) for n, _ in notices]
+    return automaton
 
 
 def grams(text: str) -> Counter:
@@ -72,47 +74,84 @@ def may_hold(window: str, notice: str, wanted: Counter) -> bool:
     return (wanted & grams(window)).total() >= len(notice) - GRAM + 1 - GRAM * edits(notice)
 
 
+@cache
+def _pattern(notice: str, key: str):
+    """The notice with its edits, its grams, and the words that must be there."""
+    return regex.compile(f"(?b)(?:{regex.escape(notice)}){{e<={edits(notice)}}}"), grams(notice), regex.compile(key)
+
+
+@lru_cache(1 << 16)
+def _place(window: str, notice: str, key: str) -> tuple[int, int, int] | None:
+    """Start, end and edits of the notice's best place in a window (a text that repeats asks again and again)."""
+    pattern, wanted, words = _pattern(notice, key)
+    if not may_hold(window, notice, wanted) or not words.search(window):
+        return None
+    m = pattern.search(window)
+    return (*m.span(), sum(m.fuzzy_counts)) if m else None
+
+
 def notice_spans(joined: str, notices=NOTICES) -> list[tuple[str, int, int, int, float]]:
     """(label, start, end, edits, likeness) of notices in normalised text.
 
     A seed fixes where the notice would begin, give or take the edits; hits that point to the
     same place are one candidate. It is dropped if it lacks grams that no notice within the
-    edits can lack; the bounded-error pattern confirms or refuses all others.
+    edits can lack; the bounded-error pattern confirms or refuses all others. The words that carry
+    the label have no more letters than a notice may have edits, so these must stand unharmed in
+    the place itself, at its ends eked out to whole words: the name of another license is no edit.
     Pieces of the notices themselves are all that is looked for, so one pass over the text
     finds every candidate.
     """
-    automaton, patterns, wanted = _machine(notices)
+    automaton = _machine(notices)
     places: dict[int, set[int]] = {}
     for end, (length, hits) in automaton.iter(joined):
         for k, at in hits:
             places.setdefault(k, set()).add(end + 1 - length - at)
     out = []
     for k, starts in places.items():
-        notice, label = notices[k]
+        notice, label, key = notices[k]
         slack, done = edits(notice), -1
         for start in sorted(starts):
             low = max(0, start - slack, done)
             high = min(len(joined), start + len(notice) + slack)
-            if high - low < len(notice) - slack or not may_hold(joined[low:high], notice, wanted[k]):
+            if high - low < len(notice) - slack:
                 continue
-            if m := patterns[k].search(joined, low, high):
-                wrong = sum(m.fuzzy_counts)
-                if out and out[-1][0] == label and out[-1][1:3] == m.span():
+            if found := _place(joined[low:high], notice, key):
+                a, b, wrong = low + found[0], low + found[1], found[2]
+                if out and out[-1][0] == label and out[-1][1:3] == (a, b):
                     continue
-                out.append((label, *m.span(), wrong, 1 - wrong / len(notice)))
-                done = m.end()
+                if key and not regex.search(key, _whole_words(joined, a, b)):
+                    continue
+                out.append((label, a, b, wrong, 1 - wrong / len(notice)))
+                done = b
     return out
 
 
+def _whole_words(joined: str, a: int, b: int) -> str:
+    """A place without the parts of words at its ends that it does not hold whole."""
+    while a < b and a and joined[a - 1] != " " and joined[a] != " ":
+        a += 1
+    while b > a and b < len(joined) and joined[b] != " " and joined[b - 1] != " ":
+        b -= 1
+    return joined[a:b]
+
+
 def scan_text(text: str, phrases=PHRASES, notices=NOTICES) -> dict:
     words = words_of(text)
     joined = b" ".join(words).decode()
     padded, starts, labels = f" {joined} ", [], set()
+    begins: list[int] = []  # where each word begins, once anything needs it
+
+    def word(at: int) -> int:
+        """Words that begin before a place."""
+        if not begins:
+            begins.extend(accumulate((len(w) + 1 for w in joined.split(" ")), initial=0))
+        return bisect_left(begins, at)
+
     if " license " in padded:
         for phrase, label in phrases:
             at = padded.find(needle := f" {phrase} ")
             while at >= 0:
-                starts.append(padded.count(" ", 0, at))
+                starts.append(word(at))
                 labels.add(label)
                 at = padded.find(needle, at + 1)
     found = notice_spans(joined, notices)
@@ -120,7 +159,7 @@ def scan_text(text: str, phrases=PHRASES, notices=NOTICES) -> dict:
         "n_words": len(words), "n_base": len(starts), "first_word": min(starts, default=None), "last_word": max(starts, default=None),
         "base_labels": ",".join(sorted(labels)), "labels": ",".join(sorted(labels | {x[0] for x in found})),
         "score": max([1.0] * bool(starts) + [x[4] for x in found], default=0.0),
-        "spans": ",".join(f"{label}:{joined.count(' ', 0, a)}:{joined.count(' ', 0, b) + 1}:{wrong}" for label, a, b, wrong, _ in sorted(found, key=lambda x: x[1:])),
+        "spans": ",".join(f"{label}:{word(a + 1) - 1}:{word(b)}:{wrong}" for label, a, b, wrong, _ in sorted(found, key=lambda x: x[1:])),
     }
 
 

@@ -3,7 +3,7 @@
 import hashlib
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import public_tokenizers
 import pytest
@@ -266,6 +266,76 @@ def test_notices_with_edits():
     assert found["labels"] == "cc-by-nc" and found["score"] == 1 and found["spans"] == "cc-by-nc:1:8:0"
 
 
+def test_other_licenses_are_no_edits():
+    for text in ("Released under the GPL license", "Released under the BSD license", "Released under the new license", "Licensed under CC BY-SA 4.0", "Licensed under CC BY-ND 4.0", "Licensed under CC BY-NC-SA 4.0",
+                 "Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "released under the summit license"):
+        assert licenses.scan_text(text)["labels"] == "", text
+    assert licenses.scan_text("This work is licensed under the GNU Lesser General Public License, version 3")["spans"] == ""
+
+
+def test_notices_against_edit_distance():
+    rng = random.Random(13)
+    plain = tuple((n, label, "") for n, label, _ in licenses.NOTICES)
+
+    def nearest(notice, text):  # the least edits of any part of the text, row by row
+        row = [0] * (len(text) + 1)
+        for k, ch in enumerate(notice, 1):
+            last, row = row, [k]
+            for j, other in enumerate(text, 1):
+                row.append(min(last[j - 1] + (ch != other), last[j] + 1, row[j - 1] + 1))
+        return min(row)
+
+    found = Counter()
+    for _ in range(150):
+        notice, label, _ = rng.choice(plain)
+        harmed = list(notice)
+        for _ in range(rng.randrange(0, 2 * licenses.edits(notice) + 1)):
+            at, how = rng.randrange(len(harmed)), rng.randrange(3)
+            harmed[at : at + 1] = [[], [rng.choice("abcdefg ")], [harmed[at], rng.choice("abcdefg")]][how]
+        text = " ".join(f"{brute_words(rng)} {''.join(harmed)} {brute_words(rng)}".split())
+        want = {k for n, k, _ in plain if nearest(n, text) <= licenses.edits(n)}
+        spans = licenses.notice_spans(text, plain)
+        assert {x[0] for x in spans} == want, text
+        for k, a, b, wrong, _ in spans:
+            assert min(nearest(n, text[a:b]) for n, other, _ in plain if other == k) <= wrong
+        found[label in want] += 1
+    assert min(found.values()) > 20
+
+
+def brute_words(rng):
+    return " ".join(rng.choice(["the", "of", "license", "under", "granted", "x1"]) for _ in range(rng.randrange(9)))
+
+
+def test_licenses_take_linear_time():
+    import time
+
+    for line in ("mit license ", "released under the mit license ", "licensed under cc by nc "):
+        began = time.process_time()
+        got = licenses.scan_text(line * (1_000_000 // len(line)))
+        assert time.process_time() - began < 5 and got["n_base"] == ("mit" in line) * (1_000_000 // len(line))
+
+
+def test_entropy_spans_against_windows():
+    rng = random.Random(14)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    import math
+
+    def bits(part):
+        return -sum(part.count(c) / len(part) * math.log2(part.count(c) / len(part)) for c in set(part))
+
+    for _ in range(60):  # strings of letters and digits without separators, so one class and one level
+        value = "".join(rng.choice([rng.choice(letters), "a", "example", "AAAAAAAA", "0123456789", str(rng.randrange(99))]) for _ in range(rng.randrange(5, 60)))
+        if not any(c.isdigit() for c in value) or all(c in "0123456789abcdefABCDEF" for c in value) or secrets.DIGEST.match(value):
+            continue
+        want = set()
+        for k in range(len(value) - 19):
+            part = value[k : k + 20]
+            if bits(part) >= 3.6 - 1e-9 and not secrets.PLACEHOLDER.search(part):
+                want |= set(range(k, k + 20))
+        got = {p for a, _, b in secrets.method_spans(f"see {value} x") for p in range(a - 4, b - 4)}
+        assert got == want, value
+
+
 def test_images_round_trip():
     import numpy as np
 
