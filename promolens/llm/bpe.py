@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 from functools import cache
-from itertools import islice
+from itertools import chain
 
 import regex
 from pyspark.sql import DataFrame
@@ -13,8 +13,12 @@ from pyspark.sql import DataFrame
 from promolens.llm.common import doc_texts, map_rows
 
 MODEL = "word_bpe_49k.json"
-#: Pre-tokens a worker remembers, the longest one it remembers, and the words hashed at once.
-CACHED, LONGEST, BLOCK = 300_000, 64, 8192
+#: Words a worker remembers, the longest one it remembers, and the characters encoded at once.
+CACHED, LONGEST, SLICE = 300_000, 64, 1 << 16
+#: White space that every view of Unicode agrees on, what stands between, and characters that Python alone takes for blanks.
+_BLANK, _WORD, _ODD_BLANK = regex.compile(r"[ \t\n\r]"), regex.compile(r"[^ \t\n\r]+"), regex.compile(r"[\x1c-\x1f]")
+#: A sign before a letter: a place where a long word may be cut.
+_CUT = regex.compile(r"[,.;:!?。，、！？；：](?=[a-zA-Z一-鿿ぁ-ヿ])")
 #: Characters whose normal form and class are the same for every Unicode version at hand.
 _PLAIN = regex.compile(r"[^\t\n\r\x20-\x7e¡-įı-ǃǍ-ȗ]")
 
@@ -143,68 +147,95 @@ class Transducer:
         return (t for t in self.stream(units) if t in self.ids)
 
 
+class _Known(dict):
+    """Ids, as little-endian bytes, of words and pre-tokens that a worker has encoded."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, word: str) -> bytes:
+        found = b"".join(self.make(word))
+        self.keep(word, found)
+        return found
+
+    def keep(self, key: str, value: bytes) -> None:
+        if len(key) <= LONGEST:
+            if len(self) >= CACHED:
+                self.clear()
+            self[key] = value
+
+
 class Codec:
-    """Whole texts to ids and back, a block of words at a time."""
+    """Whole texts to ids, a slice at a time; no more than a slice and its ids are held.
+
+    White space ends pre-tokens and is left out by the model, so words are encoded one by one. A
+    word that is longer than a slice goes through the transducer as its units come.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)  # its normaliser and word splitter, for rare characters
+        self.library = Tokenizer.from_file(path)  # its normaliser and splitter, for words with rare characters
         self.machine = Transducer(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.split = regex.compile(next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"))
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.machine.special)) + ")") if self.machine.special else None
-        self.known: dict[str, bytes] = {}
-
-    def word(self, word: str) -> bytes:
-        """Ids as little-endian bytes, of a word that holds no white space."""
-        found = self.known.get(word)
-        if found is None:
-            ids = []
-            for pretoken in self.split.findall(word):
-                part = self.known.get(pretoken) if pretoken != word else None
-                if part is None:
-                    part = b"".join(self.machine.ids[t].to_bytes(4, "little") for t in self.machine.encode_pretoken(pretoken))
-                    self._keep(pretoken, part)
-                ids.append(part)
-            found = b"".join(ids)
-            self._keep(word, found)
-        return found
-
-    def _keep(self, key: str, value) -> None:
-        if len(key) <= LONGEST:
-            if len(self.known) >= CACHED:
-                self.known.clear()
-            self.known[key] = value
-
-    def _words(self, text: str):
-        """Words of a text without special strings, after the model's normaliser."""
-        if _PLAIN.search(text):
-            # the library's own normaliser and splitter; each pre-token is a word of its own
-            for piece, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text)):
-                yield self._lettered(piece)
+        self.table = byte_table(self.machine)
+        self.known, self.lettered = _Known(self._word), _Known(lambda piece: map(self._id, self._lettered(piece)))
+
+    def _id(self, token: str) -> bytes:
+        return self.machine.ids[token].to_bytes(4, "little")
+
+    def _word(self, word: str):
+        """Ids, bytes by bytes, of a word that holds no white space."""
+        if not _PLAIN.search(word):
+            for m in self.split.finditer(word.lower()):
+                pretoken = m[0]
+                if pretoken == word or len(pretoken) > LONGEST:
+                    yield from map(self._id, self.machine.encode_pretoken(pretoken))
+                else:
+                    yield self.known[pretoken]
+            return
+        at = 0
+        for end in chain((m.end() for m in _CUT.finditer(word, SLICE)), (len(word),)):
+            if end - at >= SLICE or end == len(word):  # between a sign and a letter neither normal forms nor pre-tokens reach across
+                for piece, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(word[at:end])):
+                    if len(piece) <= LONGEST:
+                        yield self.lettered[piece]
+                    else:
+                        yield from map(self._id, self._lettered(piece))
+                at = end
+
+    def _lettered(self, piece: str):
+        """Tokens of a pre-token that the library has already written in letters of bytes."""
+        units = (c if k < len(piece) - 1 else c + self.machine.end for k, c in enumerate(piece))
+        return (t for t in self.machine.stream(units) if t in self.machine.ids)
+
+    def _slice(self, part: str):
+        if len(part) > 2 * SLICE:
+            for m in _WORD.finditer(part):
+                yield from self._word(m[0])
         else:
-            for word in text.lower().split():
-                yield self.word(word)
-
-    def _lettered(self, piece: str) -> bytes:
-        """A pre-token that the library has already written in letters of bytes."""
-        found = self.known.get("\0" + piece)
-        if found is None:
-            units = [*piece[:-1], piece[-1] + self.machine.end]
-            found = b"".join(self.machine.ids[t].to_bytes(4, "little") for t in self.machine.stream(units) if t in self.machine.ids)
-            self._keep("\0" + piece, found)
-        return found
+            yield b"".join(map(self.known.__getitem__, _WORD.findall(part) if _ODD_BLANK.search(part) else part.split()))
 
     def encode(self, text: str):
-        """Ids as bytes, word by word; special strings are their own token."""
-        parts = self.specials.split(text) if self.specials else [text]
-        for k, part in enumerate(parts):
-            if k % 2:
-                yield self.machine.special[part].to_bytes(4, "little")
-            elif part:
-                yield from self._words(part)
+        """Ids as bytes, some at a time; special strings are their own token."""
+        at, n = 0, len(text)
+        while at < n:
+            m = _BLANK.search(text, at + SLICE) if at + SLICE < n else None
+            end = m.start() if m else n
+            part = text[at:end]
+            at = end
+            if self.specials and "<|" in part:
+                for k, some in enumerate(self.specials.split(part)):
+                    if k % 2:
+                        yield self.machine.special[some].to_bytes(4, "little")
+                    elif some:
+                        yield from self._slice(some)
+            else:
+                yield from self._slice(part)
 
 
 class Decoder:
@@ -214,7 +245,10 @@ class Decoder:
         self.names, self.begun = names, False
 
     def feed(self, ids) -> str:
-        out = " ".join(self.names[i] for i in ids if i in self.names)
+        try:
+            out = " ".join(map(self.names.__getitem__, ids))
+        except KeyError:  # an id that stands for nothing
+            out = " ".join(self.names[i] for i in ids if i in self.names)
         if out and self.begun:
             out = " " + out
         self.begun |= bool(out)
@@ -222,17 +256,27 @@ class Decoder:
 
 
 class ByteDecoder:
-    """State machine from tokens to the text they stand for: bytes of a character are held until it is whole."""
+    """State machine from ids to the text they stand for: bytes of a character are held until it is whole.
+
+    A word's end is a blank; bytes that are no UTF-8 become replacement characters.
+    """
 
-    def __init__(self, end: str = "</w>"):
+    def __init__(self, table: dict[int, bytes]):
         import codecs
 
-        self.end, self.bytes = end, {c: b for b, c in enumerate(byte_letters())}
-        self.held = codecs.getincrementaldecoder("utf-8")("replace")
+        self.table, self.held = table, codecs.getincrementaldecoder("utf-8")("replace")
+
+    def feed(self, ids, last: bool = False) -> str:
+        return self.held.decode(b"".join([self.table[i] for i in ids if i in self.table]), last)
 
-    def feed(self, token: str, last: bool = False) -> str:
-        body, space = (token[: -len(self.end)], b" ") if self.end and token.endswith(self.end) else (token, b"")
-        return self.held.decode(bytes(self.bytes[c] for c in body) + space, last)
+
+def byte_table(machine: Transducer) -> dict[int, bytes]:
+    """The bytes of each id's token, a blank for the end of a word; special strings as they are."""
+    of, out = {c: b for b, c in enumerate(byte_letters())}, {}
+    for token, k in machine.ids.items():
+        body = token[: -len(machine.end)] if machine.end and token.endswith(machine.end) else token
+        out[k] = bytes(of[c] for c in body) + b" " * (body != token) if all(c in of for c in body) else token.encode()
+    return out | {k: token.encode() for token, k in machine.special.items()}
 
 
 @cache
@@ -240,44 +284,55 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Operator: doc_id and its ids as an array, for training; nulls and empty texts have none."""
-    path = path or model_path()
-
-    def run(rows):
-        import numpy as np
-
-        one = codec(path)
-        return {"doc_id": rows["doc_id"], "ids": [np.frombuffer(b"".join(one.encode(t)), "<u4").astype("i4") for t in rows["text"]]}
-
-    return map_rows(doc_texts(docs), run, "doc_id long, ids array<int>")
-
-
-def digest_encoding(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Operator: number and digest of the ids of each whole text, and the digest of what they decode to.
-
-    Words go to the digests in blocks, so a huge text needs no list of its tokens. The decoder is
-    fed the ids of each block, as they went to their digest, and nothing else. Null and empty texts have no ids and decode to nothing; repeated rows are
-    encoded each; an empty table gives no rows.
+def _blocks(parts):
+    """Some bytes at a time, joined to blocks of a slice or more."""
+    held, n = [], 0
+    for part in parts:
+        held.append(part)
+        n += len(part)
+        if n >= SLICE:
+            yield b"".join(held)
+            held, n = [], 0
+    if n:
+        yield b"".join(held)
+
+
+def code_documents(docs: DataFrame, path: str | None = None, with_ids: bool = True) -> DataFrame:
+    """Operator: the ids of each whole text (if asked for), their number and digest, and digests of what they decode to.
+
+    decoded_sha256 is of the model's own decoding, tokens with blanks between; text_sha256 of the
+    text that the tokens' bytes stand for. Ids go to the digests in blocks, so a huge text needs
+    no list of its tokens unless its ids are asked for. Both decoders are fed the ids of each
+    block, as they went to their digest, and nothing else. Pre-tokens no longer than the lookahead
+    end before a token could be emitted, and are merged at once. Null and empty texts have no ids
+    and decode to nothing; repeated rows are encoded each; an empty table gives no rows.
     """
     path = path or model_path()
 
     def run(rows):
         import numpy as np
 
-        one, out = codec(path), {k: [] for k in ("n_tokens", "ids_sha256", "decoded_sha256")}
+        one, out = codec(path), {k: [] for k in ("n_tokens", "ids_sha256", "decoded_sha256", "text_sha256", "ids")}
         for text in rows["text"]:
-            ids_hash, text_hash, n, decoder = hashlib.sha256(), hashlib.sha256(), 0, Decoder(one.machine.names)
-            words = one.encode(text)
-            while block := list(islice(words, BLOCK)):
-                ids = b"".join(block)
-                ids_hash.update(ids)
-                n += len(ids) // 4
-                text_hash.update(decoder.feed(np.frombuffer(ids, "<u4").tolist()).encode())
-            for k, v in zip(out, (n, ids_hash.hexdigest(), text_hash.hexdigest()), strict=True):
+            hashes, n, decoder, bytewise, kept = [hashlib.sha256() for _ in range(3)], 0, Decoder(one.machine.names), ByteDecoder(one.table), []
+            for block in _blocks(one.encode(text)):
+                ids = np.frombuffer(block, "<u4")
+                n += ids.size
+                if with_ids:
+                    kept.append(ids)
+                emitted = ids.tolist()
+                for h, part in zip(hashes, (block, decoder.feed(emitted).encode(), bytewise.feed(emitted).encode()), strict=True):
+                    h.update(part)
+            hashes[2].update(bytewise.feed((), True).encode())
+            for k, v in zip(out, (n, *(h.hexdigest() for h in hashes)), strict=False):
                 out[k].append(v)
+            if with_ids:
+                out["ids"].append(np.concatenate(kept).astype("i4") if kept else np.zeros(0, "i4"))
         return {"doc_id": rows["doc_id"]} | out
 
-    return map_rows(doc_texts(docs), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_rows(doc_texts(docs), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, text_sha256 string" + ", ids array<int>" * with_ids)
 
 
+def digest_encoding(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """code_documents without the ids themselves."""
+    return code_documents(docs, path, with_ids=False)

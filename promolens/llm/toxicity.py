@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-import zlib
-from collections import Counter, defaultdict
+from collections import Counter
 from dataclasses import dataclass, field
 from itertools import combinations
 
@@ -15,43 +14,43 @@ from pyspark.sql import functions as F
 
 from promolens.llm.common import doc_texts, map_rows
 
-#: Labelled documents of each class that training reads at most, landmarks, and negative words.
-SAMPLE, LANDMARKS, NEGATIVES = 2000, 96, 6000
-#: What a positive and a negative on the wrong side cost.
-COSTS = (6.0, 3.0)
-#: Words whose decisions a worker remembers.
+#: Labelled documents of each class that training reads at most, landmarks, turns, parts for the odds.
+SAMPLE, LANDMARKS, TURNS, FOLDS = 2000, 192, 3, 4
+#: Words of a window at most; what a text's evidence is: its best window's decision and the means over
+#: its three and eight best words; the least evidence.
+WINDOW, EVIDENCE, LOWEST = 3, 3, -4.0
+#: From which decision on a word's letters are left out one by one, and what leaving one out costs.
+NEAR, LEFT_OUT = -0.4, 0.1
+#: What a positive and a negative on the wrong side cost, and what a missed text costs against a false alarm.
+COSTS, MISSED = (3.0, 1.0), 3.0
+#: Tokens whose values a worker remembers.
 CACHED = 400_000
-#: The kernel: subsequences of three signs inside a stretch, each gap sign weighing DECAY. Signs are
-#: letters and the word's begin and end.
-DECAY, STRETCH, LONGEST, LETTERS = 0.6, 5, 20, 29
-BEGIN, END, _ODD = 27, 28, 0
+#: The kernel: subsequences of three and four signs inside a stretch, each gap sign weighing DECAY.
+#: Signs are letters and the word's begin and end.
+LENGTHS, DECAY, STRETCH, LONGEST, LETTERS, FOLDED = (3, 4), 0.6, 5, 20, 29, 32749
+SIZE = LETTERS**3 + FOLDED
+BEGIN, END = "\x1b", "\x1c"  # 27 and 28, behind the letters
 # Digits and signs that stand for letters.
 _LOOKALIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
 
 
-def _code(ch: str) -> int:
-    ch = _LOOKALIKE.get(ch, ch)
-    base = unicodedata.normalize("NFKD", ch.lower())[:1]
-    return ord(base) - 96 if "a" <= base <= "z" else _ODD
-
-
 class _Codes(dict):
-    def __missing__(self, ch: str) -> int:
-        code = self[ch] = _code(ch)
-        return code
+    """For str.translate: the sign of a character's base letter, nothing for what is no letter."""
+
+    def __missing__(self, point: int) -> str | None:
+        ch = chr(point)
+        base = unicodedata.normalize("NFKD", _LOOKALIKE.get(ch, ch).lower())[:1]
+        sign = self[point] = chr(ord(base) - 96) if "a" <= base <= "z" else None
+        return sign
 
 
 _CODES = _Codes()
 _SPACED = re.compile(r"(?:(?<=\s)|\A)(?:\S[\s.*_-]+){3,}\S(?=\s|\Z)")
-_EDGE = "\"'.,;:!?()[]{}|"
 
 
-def words_of(text: str) -> set[str]:
-    """What is scored of a text: its words without punctuation around them, and spelled-out runs of single letters."""
-    out = {w.strip(_EDGE) for w in text.lower().split()}
-    out |= {re.sub(r"[\s.*_-]+", "", m[0]).lower() for m in _SPACED.finditer(text)}
-    out.discard("")
-    return out
+def tokens_of(text: str) -> list[str]:
+    """Tokens of a text in order, and behind them its spelled-out runs of single letters, joined."""
+    return [*text.lower().split(), *(re.sub(r"[\s.*_-]+", "", m[0]).lower() for m in _SPACED.finditer(text))]
 
 
 def code_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -61,24 +60,30 @@ def code_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """
     rows, of = [], []
     for k, w in enumerate(words):
-        signs = [BEGIN, *(c for ch in w if (c := _CODES[ch])), END]
+        signs = f"{BEGIN}{w.translate(_CODES)}{END}"
         for at in range(0, max(1, len(signs) - LONGEST // 2), LONGEST // 2):
-            part = signs[at : at + LONGEST]
-            rows.append(part + [0] * (LONGEST - len(part)))
+            rows.append(signs[at : at + LONGEST].ljust(LONGEST, "\0"))
             of.append(k)
-    return np.array(rows, np.int32).reshape(len(rows), LONGEST), np.array(of, np.int64)
+    return np.frombuffer("".join(rows).encode("latin-1"), np.uint8).reshape(len(rows), LONGEST).astype(np.int32), np.array(of, np.int64)
 
 
-_TRIPLES = [(i, j, k, DECAY ** (k - i - 2)) for i in range(LONGEST) for j, k in combinations(range(i + 1, min(LONGEST, i + STRETCH)), 2)]
+_PLACES = [p for n in LENGTHS for i in range(LONGEST) for rest in combinations(range(i + 1, min(LONGEST, i + STRETCH)), n - 1) for p in [(i, *rest)]]
 
 
 def features(codes: np.ndarray):
-    """(subsequence id of each row, weight) for each place in the rows; id 0 is none."""
+    """(subsequence id of each row, weight) for each place in the rows; id 0 is none.
+
+    Subsequences of three signs have ids of their own; longer ones share FOLDED further ids.
+    """
     length = (codes > 0).sum(1).max(initial=0)
-    one, two = codes * (LETTERS * LETTERS), codes * LETTERS
-    for i, j, k, weight in _TRIPLES:
-        if k < length:
-            yield np.where(codes[:, k] > 0, one[:, i] + two[:, j] + codes[:, k], 0), weight
+    for place in _PLACES:
+        if place[-1] < length:
+            ids = codes[:, place[0]]
+            for k in place[1:]:
+                ids = ids * LETTERS + codes[:, k]
+            if len(place) > 3:
+                ids = ids % FOLDED + LETTERS**3
+            yield np.where(codes[:, place[-1]] > 0, ids, 0), DECAY ** (place[-1] - place[0] - len(place) + 1)
 
 
 def project(codes: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -91,28 +96,36 @@ def project(codes: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 def phi(codes: np.ndarray) -> np.ndarray:
-    """The explicit feature vectors, for landmarks: a row for each id and a column for each word."""
-    out, square = np.zeros((LETTERS**3, codes.shape[0]), np.float32), np.full(codes.shape[0], 1e-12)
+    """The explicit feature vectors, for landmarks: a row for each word."""
+    out, square, rows = np.zeros((codes.shape[0], SIZE), np.float32), np.full(codes.shape[0], 1e-12), np.arange(codes.shape[0])
     for ids, weight in features(codes):
-        out[ids, np.arange(codes.shape[0])] += weight
+        out[rows, ids] += weight
         square += weight * weight * (ids > 0)
-    out[0] = 0
-    return out / np.sqrt(square).astype(np.float32)
+    out[:, 0] = 0
+    return out / np.sqrt(square).astype(np.float32)[:, None]
 
 
 @dataclass
 class Model:
-    """The machine folded into one weight for each subsequence, and the scale of its odds."""
+    """The machine folded into one weight for each subsequence, and the odds that its decisions stand for."""
 
     weights: np.ndarray
-    bias: float
-    slope: float
-    offset: float
-    known: dict = field(default_factory=dict)  # decisions a worker remembers
-
-    def words(self, words: list[str]) -> np.ndarray:
-        """The machine's decision for each word, the highest of its stretches."""
-        out = np.full(len(words), -9.0)
+    bias: float = 0.0
+    odds: tuple[float, ...] = (1.0, 0.0, 0.0, 0.0)  # for the best window, the three and eight best words, and without any
+    known: dict = field(default_factory=dict)  # values of tokens that a worker remembers
+
+    def values(self, words: list[str]) -> np.ndarray:
+        """What each word adds to the decision of a window, or, if it comes near to an insult, the word without one of its letters."""
+        out = self.plain_values(words)
+        near = np.flatnonzero(out + self.bias > NEAR)
+        fewer = [(k, w[:at] + w[at + 1 :]) for k, w in ((k, words[k]) for k in near.tolist()) if 5 <= len(w) <= LONGEST for at in range(1, len(w) - 1)]
+        if fewer:
+            np.maximum.at(out, [k for k, _ in fewer], self.plain_values([w for _, w in fewer]) - LEFT_OUT)
+        return out
+
+    def plain_values(self, words: list[str]) -> np.ndarray:
+        """The value of each word's best stretch."""
+        out = np.full(len(words), -np.inf)
         by_length: dict[int, list[int]] = {}
         for k, w in enumerate(words):
             by_length.setdefault(min(len(w), LONGEST + 1), []).append(k)
@@ -120,32 +133,43 @@ class Model:
             for at in range(0, len(group), 20000):
                 part = group[at : at + 20000]
                 codes, of = code_rows([words[k] for k in part])
-                np.maximum.at(out, np.array(part)[of], project(codes, self.weights) + self.bias)
+                np.maximum.at(out, np.array(part)[of], project(codes, self.weights))
         return out
 
-    def score(self, texts: list[str]) -> list[float]:
-        """Probability of each text from its worst word; texts without words get the lowest."""
-        sets, known = [words_of(t) for t in texts], self.known
-        fresh = list(set().union(*sets).difference(known))
+    def decide(self, bags: list[list[str]]) -> tuple[np.ndarray, list[tuple[int, int]]]:
+        """EVIDENCE of each list of tokens, and where its best window is."""
+        known = self.known
+        fresh = list(set().union(*bags).difference(known))
         if len(known) + len(fresh) > CACHED:
             known.clear()
-            fresh = list(set().union(*sets))
-        known.update(zip(fresh, self.words(fresh).tolist(), strict=True))
-        worst = np.array([max(map(known.__getitem__, s), default=-9.0) for s in sets])
-        return (1 / (1 + np.exp(-np.clip(self.slope * worst + self.offset, -30, 30)))).tolist()
+            fresh = list(set().union(*bags))
+        known.update(zip(fresh, self.values(fresh).tolist(), strict=True))
+        out, places = np.full((len(bags), EVIDENCE), LOWEST), []
+        for k, bag in enumerate(bags):
+            value = np.fromiter(map(known.__getitem__, bag), float, len(bag))
+            top, place = best_window(value)
+            places.append(place)
+            if value.size:
+                best = np.unique(value)
+                out[k] = top + self.bias, best[-3:].mean() + self.bias, best[-8:].mean() + self.bias
+        return np.clip(out, LOWEST, -LOWEST), places
 
+    def score(self, texts: list[str]) -> list[float]:
+        """Probability of each text; texts without words get the lowest evidence."""
+        found, _ = self.decide([tokens_of(t) for t in texts])
+        return (1 / (1 + np.exp(-np.clip(found @ np.array(self.odds[:-1]) + self.odds[-1], -30, 30)))).tolist()
 
-def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 40, seed: int = 7) -> np.ndarray:
-    """Linear support vector machine by dual coordinate descent; the last column of x is the bias."""
-    alpha, w, rng = np.zeros(len(y)), np.zeros(x.shape[1]), np.random.default_rng(seed)
-    square = (x**2).sum(1)
-    for _ in range(rounds):
-        for i in rng.permutation(len(y)):
-            new = min(max(alpha[i] - (y[i] * (x[i] @ w) - 1) / square[i], 0), cost[i])
-            if new != alpha[i]:
-                w += (new - alpha[i]) * y[i] * x[i]
-                alpha[i] = new
-    return w
+
+def best_window(value: np.ndarray) -> tuple[float, tuple[int, int]]:
+    """The highest sum of up to WINDOW words in a row over the root of their number, and where these stand."""
+    top, place = -np.inf, (0, 0)
+    total = np.concatenate([[0.0], np.cumsum(value)])
+    for n in range(1, min(WINDOW, value.size) + 1):
+        sums = (total[n:] - total[:-n]) / n**0.5
+        k = int(np.argmax(sums))
+        if sums[k] > top + 1e-9:
+            top, place = float(sums[k]), (k, k + n)
+    return top, place
 
 
 def _first_rows(words: list[str]) -> np.ndarray:
@@ -153,108 +177,178 @@ def _first_rows(words: list[str]) -> np.ndarray:
     return codes[np.searchsorted(of, np.arange(len(words)))]
 
 
-def _without_copies(rows: list[tuple[str, int]], bags: list[tuple[set[str], int]]) -> list[tuple[set[str], int]]:
-    """(words, class) of texts, near copies as one with the words of all of them.
+def _over_words(windows: list[list[str]]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words of windows, the word and the window of each occurrence, and the weight of a window's words."""
+    index: dict[str, int] = {}
+    word = np.array([index.setdefault(w, len(index)) for ws in windows for w in ws], np.int64)
+    size = np.array([len(ws) for ws in windows])
+    return list(index), word, np.repeat(np.arange(len(windows)), size), 1 / np.sqrt(size)
+
+
+def window_vectors(windows: list[list[str]], table: np.ndarray) -> np.ndarray:
+    """Sums of the words' unit feature vectors over the root of their number, times a table: a kernel on windows."""
+    words, word, window, weight = _over_words(windows)
+    codes = _first_rows(words)
+    z = np.concatenate([project(codes[at : at + 4000], table) for at in range(0, len(words), 4000)])
+    out = np.zeros((len(windows), table.shape[1]))
+    np.add.at(out, window, z[word])
+    return out * weight[:, None]
+
+
+def landmark_vectors(windows: list[list[str]]) -> np.ndarray:
+    """The same explicitly: a row for each window, a column for each subsequence."""
+    words, word, window, weight = _over_words(windows)
+    each, out = phi(_first_rows(words)), np.zeros((len(windows), SIZE), np.float32)
+    for k, w in zip(window.tolist(), word.tolist(), strict=True):
+        out[k] += each[w]
+    return out * weight.astype(np.float32)[:, None]
+
+
+def _landmarks(windows: list[list[str]], n: int, pool: int) -> list[list[str]]:
+    """The most frequent windows, each apart from those taken before it."""
+    often = [list(w) for w, _ in Counter(map(tuple, windows)).most_common(pool)]
+    unit = landmark_vectors(often)
+    unit /= np.maximum(1e-6, np.sqrt((unit**2).sum(1)))[:, None]
+    like, taken = unit @ unit.T, []
+    for k in range(len(often)):
+        if len(taken) < n and (not taken or like[k, taken].max() < 0.9):
+            taken.append(k)
+    return [often[k] for k in taken]
+
+
+def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 30) -> np.ndarray:
+    """Linear support vector machine with squared hinges by Newton steps; the last column of x is the bias."""
+    w, ridge = np.zeros(x.shape[1]), np.eye(x.shape[1])
+    ridge[-1, -1] = 1e-6
+    for _ in range(rounds):
+        inside = y * (x @ w) < 1
+        weighted = x[inside] * cost[inside, None]
+        new = np.linalg.solve(x[inside].T @ weighted + ridge, weighted.T @ y[inside])
+        if np.abs(new - w).max() < 1e-6:
+            break
+        w = new
+    return w
 
-    Near copies mostly agree in their long word of the smallest hash, and unrelated texts may; so
-    texts with one such word are copies only where they share half of their runs of three words.
-    """
-    out: list[tuple[set[str], int]] = []
-    alike = defaultdict(list)
-    for (text, _), (words, y) in zip(rows, bags, strict=True):
-        order = text.lower().split()
-        runs = {hash(run) for run in zip(order, order[1:], order[2:], strict=False)} or {hash(tuple(order))}
-        group = alike[y, min((zlib.crc32(w.encode()) for w in words if len(w) > 5), default=-1)]
-        for other, k in group:
-            if 2 * min(len(runs), len(other)) >= max(len(runs), len(other)) and 3 * len(runs & other) >= len(runs) + len(other):
-                out[k][0].update(words)
-                break
-        else:
-            group.append((runs, len(out)))
-            out.append((set(words), y))
-    return out
 
+def _machine(positives, negatives, marks) -> Model:
+    """A machine on windows, by Nystroem landmarks, folded into weights of subsequences."""
+    landmarks = landmark_vectors(marks)
+    values, vectors = np.linalg.eigh(landmarks @ landmarks.T + 1e-6 * np.eye(len(marks)))
+    table = (landmarks.T @ (vectors / np.sqrt(np.maximum(values, 1e-4)))).astype(np.float32)  # the kernel to the landmarks, whitened
+    z, y = window_vectors(positives + negatives, table), np.r_[np.ones(len(positives)), -np.ones(len(negatives))]
+    w = _svm(np.c_[z, np.ones(len(y))], y, np.r_[np.full(len(positives), COSTS[0]), np.full(len(negatives), COSTS[1])])
+    return Model((table @ w[:-1]).astype(np.float32), float(w[-1]))
 
-def train(rows: list[tuple[str, int]], share: float | None = None, seed: int = 7) -> Model:
-    """Learn from (text, toxic) rows: words that toxic sentences hold and clean ones don't give the
-    positives and the landmarks, words of clean texts the negatives, hard ones in later rounds.
-    ``share`` is the part of all labelled texts that is toxic, if the rows are dealt otherwise."""
-    rng = np.random.default_rng(seed)
-    bags = [(words_of(t), y) for t, y in rows]
-    seen = {0: Counter(), 1: Counter()}
-    copies = _without_copies(rows, bags)
-    for words, y in copies:
-        seen[y].update(words)
-    n = Counter(y for _, y in copies)
-    none = Model(np.zeros(LETTERS**3, np.float32), 0.0, 1.0, -3.0 if n[0] >= n[1] else 3.0)
-    if not n[0] or not n[1]:
-        return none
-    # words that stand in toxic texts so much more often that chance gives less than one of them
-    part, many = n[1] / len(copies), np.log(len(seen[1]) + 2)
-
-    def surprise(c: int, d: int) -> float:
-        q = (c - 0.01) / (c + d)
-        return (c + d) * (q * np.log(q / part) + (1 - q) * np.log((1 - q) / (1 - part))) if q > part else 0.0
-
-    gain = {w: g for w, c in seen[1].items() if c >= 2 and len(w) >= 3 and (g := surprise(c, seen[0][w])) > many and seen[0][w] * n[1] * 20 <= c * n[0]}
-    # a word of few toxic texts is chance where those hold a much better one
-    chosen: list[str] = []
-    best = [(words, max((gain.get(w, 0) for w in words), default=0)) for words, y in copies if y]
-    alone = Counter(w for words, top in best for w in words if w in gain and top <= 4 * gain[w])
-    for w in sorted(gain, key=lambda w: (-gain[w], w)):
-        if alone[w] >= max(2, 0.3 * seen[1][w]):
-            chosen.append(w)
-        if len(chosen) >= 10 * LANDMARKS:
-            break
-    if not chosen:
-        return none
-    bad, clean = set(chosen), sorted(seen[0], key=lambda w: (-seen[0][w], w))
-    common = clean[: NEGATIVES // 3]
-    rest = [w for w in clean[NEGATIVES // 3 :] if w not in bad]
-    negatives = [w for w in common if w not in bad] + [rest[k] for k in rng.permutation(len(rest))[: NEGATIVES - len(common)]]
-    # landmarks: the best word, then again and again the one that is farthest from those taken
-    codes = _first_rows(chosen)
-    marks, far = [0], 1 - project(codes, phi(codes[:1]))[:, 0]
-    while len(marks) < min(LANDMARKS, len(chosen)):
-        k = int(np.argmax(far))
-        if far[k] < 0.05:
-            break
-        marks.append(k)
-        far = np.minimum(far, 1 - project(codes, phi(codes[k : k + 1]))[:, 0])
-    landmarks = phi(codes[marks])
-    values, vectors = np.linalg.eigh(landmarks.T @ landmarks + 1e-6 * np.eye(len(marks)))
-    root = vectors / np.sqrt(np.maximum(values, 1e-6))  # Nystroem: the kernel to the landmarks, whitened
-    table = (landmarks @ root).astype(np.float32)
-    weight = np.array([seen[1][w] for w in chosen], float) ** 0.5
-    model = none
-    for turn in range(3):
-        z = np.concatenate([project(codes, table), project(_first_rows(negatives), table)]).astype(float)
-        y = np.r_[np.ones(len(chosen)), -np.ones(len(negatives))]
-        w = _svm(np.c_[z, np.ones(len(y))], y, np.r_[COSTS[0] * weight / weight.mean(), np.full(len(negatives), COSTS[1])])
-        model = Model((table @ w[:-1]).astype(np.float32), float(w[-1]), 1.0, 0.0)
-        if turn < 2:
-            hard = np.argsort(-model.words(rest))[:1500] if rest else []
-            negatives = list(dict.fromkeys([*negatives, *(rest[k] for k in hard)]))
-    index = {w: k for k, w in enumerate(dict.fromkeys(w for words, _ in bags for w in words))}
-    decided = model.words(list(index))
-    worst = np.array([max((decided[index[w]] for w in words), default=-9.0) for words, _ in bags])
-    labels = np.array([y for _, y in bags], float)
-    share = labels.mean() if share is None else share
-    model.slope, model.offset = _logistic(worst, labels, np.where(labels > 0, share / labels.mean(), (1 - share) / (1 - labels.mean())))
+
+def _altered(word: str, rng) -> str:
+    """A word with a foreign letter inside, as writers hide it."""
+    at = int(rng.integers(1, len(word)))
+    return word[:at] + "abcdefghijklmnopqrstuvwxyz"[rng.integers(26)] + word[at:]
+
+
+def train_machine(rows: list[tuple[str, int]], seed: int = 7) -> Model | None:
+    """Multiple-instance training on labelled sentences: which window makes a text toxic is learned on the way.
+
+    The first weights are the difference between the mean feature vectors of toxic and of clean
+    texts' words, each subsequence by its spread. In each turn the best windows of toxic texts are
+    the positives, also with a foreign letter in their words, the best windows of clean texts and
+    random ones the negatives; landmarks are windows of both that lie far apart.
+    """
+    rng, bags, labels = np.random.default_rng(seed), [tokens_of(t) for t, _ in rows], np.array([y for _, y in rows])
+    if not (labels == 1).any() or not (labels == 0).any():
+        return None
+    model = Model(_contrast(bags, labels))
+    for _ in range(TURNS):
+        _, places = model.decide(bags)
+        positives, hard, chance = [], [], []
+        for bag, y, (a, b) in zip(bags, labels, places, strict=True):
+            if not bag:
+                continue
+            if y:
+                left, least = list(bag), 0.0
+                for turn in range(3):  # further windows, if they are nearly as good
+                    value = np.fromiter(map(model.known.__getitem__, left), float, len(left))
+                    top, (a, b) = best_window(value)
+                    if turn and top < least:
+                        break
+                    positives.append(left[a:b])
+                    least, gone = 0.6 * top, set(left[a:b])
+                    left = [w for w in left if w not in gone]
+                    if not left:
+                        break
+            else:
+                hard.append(bag[a:b])
+                for at in rng.integers(0, len(bag), 3).tolist():
+                    chance.append(bag[at : at + 1 + at % WINDOW])
+        value = model.known.__getitem__
+        main = [max((w for w in p if len(w) >= 4), key=value, default=None) for p in positives]
+        hidden = [[_altered(w, rng)] for w in main if w]
+        marks = _landmarks(positives, LANDMARKS // 2, 500) + _landmarks([[w] for w in main if w], LANDMARKS // 4, 250) + _landmarks(hard, LANDMARKS // 4, 250)
+        model = _machine(positives + hidden, hard + chance, marks)
     return model
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the odds (Newton steps, slightly ridged; the slope never turns negative)."""
-    a, b, mid = 1.0, 0.0, np.clip(x, -3, 3)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a * mid + b, -30, 30)))
-        g = np.array([(weight * (p - y) * mid).sum() + 0.01 * a, (weight * (p - y)).sum()])
-        s = weight * (p * (1 - p) + 1e-6)
-        h = np.array([[(s * mid * mid).sum() + 0.01, (s * mid).sum()], [(s * mid).sum(), s.sum() + 1e-6]])
-        step = np.linalg.solve(h, g)
-        a, b = a - np.clip(step[0], -2, 2), b - np.clip(step[1], -2, 2)
-    return max(float(a), 0.1), float(b)
+def _contrast(bags: list[list[str]], labels: np.ndarray) -> np.ndarray:
+    """For each subsequence the difference of its means over toxic and clean texts, by its spread."""
+    index: dict[str, int] = {}
+    ids = [np.array([index.setdefault(w, len(index)) for w in dict.fromkeys(bag)], np.int64) for bag in bags]
+    part = np.zeros((2, len(index)))
+    for k, y in zip(ids, labels, strict=True):
+        part[y, k] += 1 / max(1, k.size)
+    part /= np.maximum(1, np.bincount(labels, minlength=2))[:, None]
+    codes, out, square, total = _first_rows(list(index)), np.zeros((2, SIZE)), np.zeros(SIZE), part.sum(0)
+    length = np.full(len(codes), 1e-12)
+    for ids_, weight in features(codes):
+        length += weight * weight * (ids_ > 0)
+    for ids_, weight in features(codes):
+        value = weight / np.sqrt(length)
+        for y in (0, 1):
+            out[y] += np.bincount(ids_, part[y] * value, SIZE)
+        square += np.bincount(ids_, total * value * value, SIZE)
+    weights = (out[1] - out[0]) / np.sqrt(square + 1e-4)
+    weights[0] = 0
+    return weights.astype(np.float32)
+
+
+def train(rows: list[tuple[str, int]], share: float | None = None, seed: int = 7) -> Model:
+    """Learn from (text, toxic) rows: the mean of FOLDS machines, each trained without one part of them.
+
+    The odds come from decisions on the parts left out; ``share`` is the part of all labelled texts
+    that is toxic, if the rows are dealt otherwise.
+    """
+    labels, fold = np.array([y for _, y in rows], float), np.random.default_rng(seed).permutation(len(rows)) % FOLDS
+    found, machines = np.full((len(rows), EVIDENCE), np.nan), []
+    for k in range(FOLDS):
+        part = train_machine([r for r, f in zip(rows, fold, strict=True) if f != k], seed + k)
+        if part:
+            found[fold == k] = part.decide([tokens_of(t) for (t, _), f in zip(rows, fold, strict=True) if f == k])[0]
+            machines.append(part)
+    if not machines:
+        return Model(np.zeros(SIZE, np.float32), odds=(0.0, 0.0, 0.0, -3.0 if labels.sum() * 2 <= labels.size else 3.0))
+    judged = ~np.isnan(found[:, 0])
+    share = labels.mean() if share is None else share
+    weight = np.where(labels > 0, MISSED * share / labels.mean(), (1 - share) / (1 - labels.mean()))
+    mean = Model(np.mean([m.weights for m in machines], 0), float(np.mean([m.bias for m in machines])))
+    mean.odds = _logistic(found[judged], labels[judged], weight[judged])
+    return mean
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, ...]:
+    """Slopes and offset of the odds (Newton steps, slightly ridged; a slope that would be negative is 0)."""
+    used = np.ones(x.shape[1], bool)
+    while True:
+        rows, a = np.c_[x[:, used], np.ones(len(y))], np.zeros(used.sum() + 1)
+        for _ in range(60):
+            p = 1 / (1 + np.exp(-np.clip(rows @ a, -30, 30)))
+            s = weight * (p * (1 - p) + 1e-6)
+            step = np.linalg.solve((rows * s[:, None]).T @ rows + 0.05 * np.eye(len(a)), rows.T @ (weight * (p - y)) + 0.05 * np.r_[a[:-1], 0])
+            a -= np.clip(step, -2, 2)
+        if (a[:-1] >= 0).all():
+            break
+        used[np.flatnonzero(used)[np.argmin(a[:-1])]] = False
+    out = np.zeros(x.shape[1])
+    out[used] = a[:-1]
+    return (*out.tolist(), float(a[-1]))
 
 
 def held_out(doc_id):
@@ -281,7 +375,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     null doc_id is not held out.
     """
     model = train(*training_rows(docs, labels, sample))
-
     model.known = {}
 
     def run(rows):

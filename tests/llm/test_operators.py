@@ -123,7 +123,9 @@ class TestAgainstBruteForce:
             ids = model.encode(t or "", add_special_tokens=False).ids
             raw = b"".join(i.to_bytes(4, "little") for i in ids)
             want.append((d, len(ids), hashlib.sha256(raw).hexdigest(), hashlib.sha256(model.decode(ids, skip_special_tokens=False).encode()).hexdigest()))
-        same(bpe.digest_encoding(docs).collect(), want)
+        same(bpe.digest_encoding(docs).drop("text_sha256").collect(), want)
+        got = {r["ids_sha256"]: r for r in bpe.code_documents(docs).collect()}
+        assert all(hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in r["ids"])).hexdigest() == k and r["n_tokens"] == len(r["ids"]) for k, r in got.items())
 
     def test_toxicity_rows(self, docs, spark):
         labels = spark.read.parquet(f"{SMALL}/labels.parquet")
@@ -218,9 +220,44 @@ def test_decoded_digest_is_read_from_the_ids(spark, monkeypatch):
 
 
 def test_byte_decoder_waits_for_whole_characters():
-    letters, state = bpe.byte_letters(), bpe.ByteDecoder()
-    raw = "é日x".encode()
-    assert "".join(state.feed(letters[b]) for b in raw) + state.feed("</w>", True) in ("é日x", "é日x ")
+    letters = bpe.byte_letters()
+    table = {k: bytes([k]) for k in range(256)}
+    assert len(set(letters)) == 256
+    state = bpe.ByteDecoder(table)
+    assert [state.feed([b]) for b in "é日x".encode()] == ["", "é", "", "", "日", "x"] and state.feed((), True) == ""
+    state = bpe.ByteDecoder(table)
+    assert state.feed("é".encode()[:1]) + state.feed((), True) == "\ufffd"
+    one = bpe.codec(bpe.model_path())
+    ids = [int.from_bytes(raw[k : k + 4], "little") for raw in [b"".join(one.encode("Ein naïver Füllwörter-Satz, 日本語!\n"))] for k in range(0, len(raw), 4)]
+    assert bpe.ByteDecoder(one.table).feed(ids, True) == "ein naïver füllwörter - satz , 日本語 ! "
+
+
+def test_words_are_encoded_as_whole_texts(monkeypatch):
+    monkeypatch.setattr(bpe, "SLICE", 64)
+    model, one, rng = Tokenizer.from_file(public_tokenizers.path(bpe.MODEL)), bpe.Codec(bpe.model_path()), random.Random(15)
+    signs = ["the ", "İstanbul", "naïve", "é", "e\u0301", "日本", "、", "ガ", "カ\u3099", "。日", "!", "?a", "'s", "'t ", "1", "२", " ", "\n", "\x0b", "\x1c", "\x85", "\xa0", "\u3000", "\u200b", "ΣΑΣ ", "ﬁ", "<|endoftext|>", "<|", "\x00", "Å", "\u1100\u1161", "x" * 70, "日" * 70]
+    for n in (1, 3, 30, 300):
+        for _ in range(60):
+            text = "".join(rng.choice(signs) for _ in range(n))
+            got = b"".join(one.encode(text))
+            assert [int.from_bytes(got[k : k + 4], "little") for k in range(0, len(got), 4)] == model.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_long_texts_need_constant_memory():
+    import tracemalloc
+
+    one = bpe.codec(bpe.model_path())
+    list(one.encode("warm up naïve 日本 " * 100))
+    peaks = []
+    for n in (400_000, 1_600_000):
+        for unit in ("mixed scripts, naïve 日本語 и ещё. ", "日本語、"):
+            text = unit * (n // len(unit))
+            tracemalloc.start()
+            for _ in bpe._blocks(one.encode(text)):
+                pass
+            peaks.append(tracemalloc.get_traced_memory()[1])
+            tracemalloc.stop()
+    assert peaks[2] < 1.5 * peaks[0] + 2_000_000 and peaks[3] < 1.5 * peaks[1] + 2_000_000
 
 
 def test_entropy_counts_are_incremental():
@@ -350,27 +387,26 @@ def test_images_round_trip():
 
 
 def test_toxicity_holds_out_of_sample(spark):
-    docs, labels = (spark.read.parquet(f"/root/testdata/check_s/{t}.parquet") for t in ("documents", "labels"))
-    some = docs.join(labels, "doc_id").where("crc32(cast(doc_id as string)) % 7 = 0")
-    rows = [(r["text"], r["toxic"], r["doc_id"]) for r in some.collect()]
-    model = toxicity.train([(t, y) for t, y, d in rows if d % 2], None)
-    held = [(s >= 0.5, y) for s, (_, y, _) in zip(model.score([t for t, _, d in rows if d % 2 == 0]), (r for r in rows if r[2] % 2 == 0), strict=True)]
-    assert sum(p == (y == 1) for p, y in held) >= 0.97 * len(held)
-    assert sum(p for p, y in held if y) >= 0.85 * sum(y for _, y in held)
-
-
-def test_texts_that_share_a_word_are_no_copies():
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(*toxicity.training_rows(docs, labels))
+    held = docs.join(labels, "doc_id").where(toxicity.held_out("doc_id")).select("text", "toxic").collect()
+    said = [s >= 0.5 for s in model.score([r["text"] for r in held])]
+    caught = sum(p for p, r in zip(said, held, strict=True) if r["toxic"])
+    # one toxic label in twenty stands on a text without any insult
+    assert caught >= 0.78 * sum(r["toxic"] for r in held) and caught >= 0.92 * sum(said)
+    bad = model.score(["you are an idiot my friend", "you are an idxiot my friend", "such a lozser", "this is tragsh", "i d i o t", "i.d.i.o.t said the", "the mo*ron went"])
+    assert min(bad) > 0.5 > max(model.score(["hello there my friend", "12 34", ""]))
+
+
+def test_phrases_can_be_toxic():
     rng = random.Random(9)
-    say = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(n))
-    insult, shared = "zwurblex", min(("shared", "common", "member", "people", "winter", "summer"), key=lambda w: zlib.crc32(w.encode()))
-    assert zlib.crc32(shared.encode()) < zlib.crc32(insult.encode())
-    rows = [(f"{say(15)} {shared} {say(15)}", 0) for _ in range(40)] + [(f"{say(15)} {shared} {insult} {say(15)}", 1) for _ in range(40)]
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(300)]
+    say = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    rows = [(f"{say(15)} zwurblex {say(15)}", 1) for _ in range(60)] + [(f"{say(30)}", 0) for _ in range(120)]
+    rows += [(f"{say(9)} {a} {b} {say(9)}", int((a, b) == ("kromig", "paltuf"))) for a, b in [("kromig", "paltuf"), ("kromig", say(1)), (say(1), "paltuf")] * 40]
     model = toxicity.train(rows)
-    bad, good = model.score([f"{say(9)} {insult} {say(9)}", f"{say(9)} {shared} {say(9)}"])
-    assert bad >= 0.5 > good
-    copies = [(f"{rows[0][0]} {say(2)}", 0) for _ in range(50)]
-    groups = toxicity._without_copies(copies, [(toxicity.words_of(t), y) for t, y in copies])
-    assert len(groups) == 1 and groups[0][0] == set(" ".join(t for t, _ in copies).split())
+    bad, hidden, good, phrase, half = model.score([f"{say(9)} zwurblex {say(9)}", f"{say(9)} zwurhblex {say(9)}", say(19), f"{say(9)} kromig paltuf {say(9)}", f"{say(9)} kromig {say(9)}"])
+    assert min(bad, hidden) >= 0.5 > good and phrase > max(half, good)
 
 
 def _judged(spark, sf):
