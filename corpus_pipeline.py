@@ -44,8 +44,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Number and digests of each document's ids and of what they decode to."""
-    return bpe.digest_encoding(docs)
+    """Each document's ids, their number, and digests of them and of what they decode to."""
+    return bpe.code_documents(docs)
 
 
 STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates), ("secret_scans", secret_scans), ("source_mix", source_mix), ("token_ids", token_ids)]
