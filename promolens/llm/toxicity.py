@@ -19,8 +19,8 @@ SAMPLE, LANDMARKS, TURNS, FOLDS = 2000, 192, 3, 4
 #: Words of a window at most; what a text's evidence is: its best window's decision and the means over
 #: its three and eight best words; the least evidence.
 WINDOW, EVIDENCE, LOWEST = 3, 3, -4.0
-#: From which decision on a word's letters are left out one by one, and what leaving one out costs.
-NEAR, LEFT_OUT = -0.4, 0.1
+#: From which decision on a word's letters are left out one by one.
+NEAR = -0.6
 #: What a positive and a negative on the wrong side cost, and what a missed text costs against a false alarm.
 COSTS, MISSED = (3.0, 1.0), 3.0
 #: Tokens whose values a worker remembers.
@@ -120,7 +120,7 @@ class Model:
         near = np.flatnonzero(out + self.bias > NEAR)
         fewer = [(k, w[:at] + w[at + 1 :]) for k, w in ((k, words[k]) for k in near.tolist()) if 5 <= len(w) <= LONGEST for at in range(1, len(w) - 1)]
         if fewer:
-            np.maximum.at(out, [k for k, _ in fewer], self.plain_values([w for _, w in fewer]) - LEFT_OUT)
+            np.maximum.at(out, [k for k, _ in fewer], self.plain_values([w for _, w in fewer]))
         return out
 
     def plain_values(self, words: list[str]) -> np.ndarray:
