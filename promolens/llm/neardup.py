@@ -208,6 +208,7 @@ def block_links(lists: DataFrame, texts: DataFrame, width: int, percent: int) ->
     members = materialise(lists.join(leads, "v").select("g", "id", "n", "c").distinct(), "nd-clusters")
     sizes = members.groupBy("g", "c").agg(F.count("*").alias("k")).groupBy("g").agg(F.max(F.struct("k", "c")).alias("m"), F.sum("k").alias("members"))
     sizes = sizes.select("g", F.col("m.c").alias("most"), "members", (F.col("members") - F.col("m.k")).alias("others")).where("others > 0")
+    sizes = materialise(sizes, "nd-sizes")  # a table of its own, so that the join alone deals by cluster and a hot one is split
     met = members.join(sizes, "g").withColumn("i", F.ceil(F.col("others") / BLOCK).cast("int")).withColumn("j", F.ceil(F.col("members") / CHUNK).cast("int"))
     hashed = lambda n, salt: F.pmod(F.xxhash64("id", "g", F.lit(salt)), F.col(n)).cast("int")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))

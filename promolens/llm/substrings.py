@@ -10,14 +10,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promolens.llm.common import U64, arrow_batches, eight_bytes, flat_text, materialise, mix
+from promolens.llm.common import U64, arrow_batches, discard, eight_bytes, flat_text, materialise, mix
 from promolens.llm.suffix import SHARD, smallest_owners
 
 #: Bytes of a string that counts, and of the grams whose smallest hash names it. Equal strings have
 #: equal smallest grams, so documents that share none share no string.
 WIDTH, GRAM = 50, 24
-#: Bytes hashed at once, strings named in one packet at most, and context bytes meant for one task.
-PIECE, PACKET, TASK = 1 << 20, 1 << 20, 3 << 20
+#: Bytes hashed at once, strings named in one packet at most, and bytes of text whose names, and of
+#: contexts which, are meant for one task.
+PIECE, PACKET, SEED_TASK, TASK = 1 << 20, 1 << 20, 4 << 20, 3 << 20
 NULL_ID = 2**63 - 1
 
 
@@ -319,11 +320,15 @@ def remove_shared_strings(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), text.alias("text"), F.xxhash64(F.col("doc_id"), text).alias("row_key"))
     rows = base.select("doc_id", "row_key", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
-    rows = materialise(rows, "sub-rows")
-    firsts = rows.groupBy("sha").agg(F.min("doc_id").alias("first"))
-    rows = materialise(rows.join(firsts, "sha").withColumn("copy", (F.col("doc_id") > F.col("first")) & (F.col("n_bytes") >= width)).drop("first"), "sub-copies")
-
-    buckets = 4 * max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    seen = materialise(rows, "sub-rows")
+    # digests of several rows, in a table of their own: the join's sides are then dealt for the join alone, and a hot one is split
+    firsts = materialise(seen.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("k")).where("k > 1").drop("k"), "sub-firsts")
+    copy = F.coalesce((F.col("doc_id") > F.col("first")) & (F.col("n_bytes") >= width), F.lit(False))
+    rows = materialise(seen.join(firsts, "sha", "left").withColumn("copy", copy).drop("first"), "sub-copies")
+    discard(seen, firsts)
+
+    text_bytes = rows.agg(F.sum("n_bytes")).first()[0] or 0
+    buckets = max(48, int(text_bytes // SEED_TASK) + 1)
     packets = base.select("doc_id", "text").mapInArrow(_seed_packets(buckets, width), "bucket long, kind int, n int, names binary, rest binary")
     seeds = packets.groupBy("bucket").applyInArrow(_shared_seeds, "doc_id long, start int, count int")
     wanted = seeds.groupBy("doc_id").agg(F.collect_set("start").alias("starts"), F.sum(F.col("count") + width).alias("n"))

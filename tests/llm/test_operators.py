@@ -176,6 +176,17 @@ def test_short_matches_across_pieces(spark, monkeypatch):
     same(substrings.remove_shared_strings(docs).collect(), brute.shared_strings(rows_of(docs)))
 
 
+@pytest.mark.parametrize("shard", [130, 400, 5000])
+def test_shards_are_merged(spark, monkeypatch, shard):
+    monkeypatch.setattr(substrings, "SHARD", shard)
+    rng = random.Random(16)
+    say = lambda n: "".join(rng.choice("ab ") for _ in range(n))
+    passages = [say(rng.randrange(50, 90)) for _ in range(12)]
+    texts = [say(rng.randrange(60)) + rng.choice(passages) + say(rng.randrange(60)) + rng.choice(passages) for _ in range(80)] + ["a" * 300, "b" + "a" * 290, "ab" * 130, "ba" * 140 + "\0" * 60, "\0" * 70]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    same(substrings.remove_shared_strings(docs).collect(), brute.shared_strings(rows_of(docs)))
+
+
 def test_null_ids_lose_edges_too(spark):
     rng = random.Random(10)
     say = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
@@ -455,6 +466,54 @@ def test_objections_are_weighed():
     assert quality.label_model(np.zeros((0, 5), int), np.zeros(0))[0].size == 0
 
 
+def test_groups_beyond_a_block(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    monkeypatch.setattr(neardup, "CHUNK", 8)
+    rng = random.Random(17)
+    words = [f"w{k}" for k in range(400)]
+    base, rows = [rng.choice(words) for _ in range(70)], []
+    for k in range(120):  # near and not so near copies of one text, so that stars leave stragglers
+        text = list(base)
+        for at in rng.sample(range(70), rng.randrange(0, 9)):
+            text[at] = rng.choice(words)
+        rows.append((k, " ".join(text)))
+    rows += [(200 + k, " ".join(rng.choice(words) for _ in range(rng.randrange(1, 60)))) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = neardup.near_duplicates(docs, 2).collect()
+    want = brute.near(rows, 2)
+    same([r[:3] for r in got], [(d, *want[d]) for d, _ in rows])
+    assert 2 < len({r["component_id"] for r in got if r["doc_id"] < 200}) < 100
+
+
+def test_bit_maps_rule_out_no_link():
+    import numpy as np
+
+    rng = np.random.default_rng(18)
+    for _ in range(300):
+        whole = np.unique(rng.integers(0, 2**63, rng.integers(1, 200)).astype(np.uint64))
+        cut = rng.permutation(whole)
+        a, b = np.sort(cut[: int(0.95 * whole.size) + 1]), np.sort(cut[int(0.05 * whole.size) :])
+        lows = [x[: neardup.SKETCH] for x in (a, b)]
+        shared = np.intersect1d(*lows).size
+        apart = sum(int(x[0] ^ x[1]).bit_count() for x in (m.view(np.uint64) for m in map(np.ascontiguousarray, neardup.bit_maps(lows))))
+        assert 2 * shared <= lows[0].size + lows[1].size - apart
+
+
+def test_forests_keep_parts_together():
+    import numpy as np
+
+    rng = np.random.default_rng(19)
+    a, b = rng.integers(0, 60, 200), rng.integers(0, 60, 200)
+    some = graph.forest(a, b)
+    assert some.sum() <= 59
+    root = list(range(60))
+    find = lambda x: x if root[x] == x else find(root[x])
+    for x, y in zip(a[some].tolist(), b[some].tolist(), strict=True):
+        assert find(x) != find(y)
+        root[find(x)] = find(y)
+    assert all(find(x) == find(y) for x, y in zip(a.tolist(), b.tolist(), strict=True))
+
+
 def test_components_of_any_shape(spark):
     rng = random.Random(11)
     chain = [(k, k + 1) for k in range(300)]
