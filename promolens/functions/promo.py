@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Rank of each kind of own promotion, best first; labels of the ranks.
 KIND_RANKS = {"TWO_FOR_ONE": 1.0, "PERCENTAGE_DISCOUNT": 2.0, "FLAT_PRODUCT": 2.5, "BASKET_PERCENTAGE": 3.0, "FREE_DELIVERY": 4.0, "FLAT_DELIVERY": 5.0}
-RANK_LABELS = {1.0: "2x1", 2.0: "% off product", 2.5: "flat product", 3.0: "basket %", 4.0: "free delivery", 5.0: "reduced delivery", 6.0: "no promo"}
+RANK_LABELS = {1.0: "2x1", 2.0: "% off prodotto", 2.5: "Flat prodotto", 3.0: "Basket %", 4.0: "Consegna gratis", 5.0: "Consegna scontata", 6.0: "Nessuna promo"}
 NO_PROMO = 6.0
 # Patterns of competitor promotion texts by rank; the first that matches a segment counts.
 TEXT_RANKS = (
@@ -69,6 +69,19 @@ def rank_label(rank: Column) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in RANK_LABELS.items() for x in pair]), rank), F.concat(F.lit("Rank "), rank.cast("string")))
 
 
+def true_label(kind: Column, fallback: Column) -> Column:
+    """The label of the kind itself, whatever rank the usual order has given it."""
+    k = F.upper(F.coalesce(kind, F.lit("")))
+    out = F.when(k.contains("TWO_FOR_ONE"), RANK_LABELS[1.0]).when(k.contains("BASKET_PERCENTAGE"), RANK_LABELS[3.0])
+    return out.when(k.contains("PERCENTAGE_DISCOUNT"), RANK_LABELS[2.0]).otherwise(fallback)
+
+
+def product_label(comp_pct: Column, own_on: Column, own_pct: Column, tolerance: float = 0.5) -> Column:
+    """two promotions of one product, from the promoting competitor's side."""
+    out = F.when(~F.coalesce(own_on, F.lit(False)), "OWN_NO_PROMO").when(comp_pct.isNull() | own_pct.isNull(), "BOTH_PROMO")
+    return out.when(own_pct + tolerance >= comp_pct, "OWN_AT_LEAST").otherwise("COMP_STRONGER")
+
+
 def own_scope(kind: Column) -> Column:
     return F.when(F.upper(F.trim(kind)) == "BASKET_PERCENTAGE", "full").when(F.upper(F.trim(kind)) == "TWO_FOR_ONE", "selected").otherwise("")
 

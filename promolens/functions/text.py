@@ -39,8 +39,9 @@ def product_name(c: Column) -> Column:
 
 
 def clean_text(c: Column) -> Column:
-    """white space, also unbreakable, to single blanks; bars and blanks at the ends off."""
-    return F.regexp_replace(F.regexp_replace(c, r"(?U)\s+", " "), r"^[| ]+|[| ]+$", "")
+    """white space, also unbreakable, and marks of direction to single blanks; bars and blanks at the ends off."""
+    plain = F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)[\s\u200e\u200f\u202a-\u202e\u2066-\u2069]+", " ")
+    return F.regexp_replace(plain, r"^[| ]+|[| ]+$", "")
 
 
 def price(c: Column) -> Column:
@@ -64,6 +65,18 @@ def canonical_url(c: Column) -> Column:
     return F.substring_index(c, "?", 1)
 
 
+def name_from_url(c: Column) -> Column:
+    """the last part of the path as a name: decoded, dashes as blanks, capitals."""
+    path = F.regexp_extract(F.regexp_replace(canonical_url(clean_text(c)), "#.*$", ""), r"^(?:[a-z]+://[^/]*)?(/.*)$", 1)
+    last = F.try_element_at(F.filter(F.split(path, "/"), lambda p: p != ""), F.lit(-1))
+    return F.coalesce(F.initcap(F.trim(F.regexp_replace(F.replace(F.try_url_decode(F.replace(last, F.lit("+"), F.lit("%2B"))), F.lit("-"), F.lit(" ")), r"\s+", " "))), F.lit(""))
+
+
+def week_number(c: Column) -> Column:
+    """the bare number of a week label."""
+    return F.regexp_extract(c, r"W(\d+)$", 1).try_cast("int")
+
+
 def token_sort(c: Column) -> Column:
     return F.array_join(F.array_sort(F.filter(F.split(c, " "), lambda w: w != "")), " ")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from promolens.functions import promo
-from promolens.functions.text import canonical_url
+from promolens.functions.text import canonical_url, clean_text, fold, store_name
 
 KEY = ("city_code", "store_name", "week_num")
 MATCHED = ("SUPERIORITY", "PARITY", "INFERIORITY")
@@ -59,17 +59,20 @@ def store_totals(index: DataFrame) -> DataFrame:
 
 def listing(raw: DataFrame, index: DataFrame) -> DataFrame:
     """A10: a row for each name and promotion with its branches (distinct bare addresses), capped by all of them."""
-    norm = F.lower(F.trim("restaurant_name"))
-    seen = raw.groupBy("city_code", norm.alias("name_norm"), "promotion_type").agg(F.min("restaurant_name").alias("restaurant_name"), F.countDistinct(canonical_url(F.col("source_url"))).alias("n"))
+    name = clean_text(F.col("restaurant_name"))
+    place = F.when(F.coalesce(F.trim("source_url"), F.lit("")) == "", name).otherwise(canonical_url(F.trim("source_url")))
+    rows = raw.select(F.upper(clean_text(F.col("city_code"))).alias("city_code"), fold(name).alias("name_norm"), clean_text(F.col("promotion_type")).alias("promotion_type"), name.alias("restaurant_name"), place.alias("place"), "seq")
+    rows = rows.where("city_code <> '' and restaurant_name <> ''")
+    seen = rows.groupBy("city_code", "name_norm", "promotion_type").agg(F.min_by("restaurant_name", "seq").alias("restaurant_name"), F.countDistinct("place").alias("n"), F.min("seq").alias("first_seq"))
     out = seen.join(store_totals(index), ["city_code", "name_norm"], "left").withColumn("n_stores_total", F.coalesce("n_stores_total", "n"))
     out = out.withColumn("n_stores_with_promo", F.least("n", "n_stores_total"))
-    return out.select("city_code", "name_norm", "restaurant_name", "promotion_type", "n_stores_with_promo", "n_stores_total", F.bround(F.col("n_stores_with_promo") / F.col("n_stores_total") * 100, 0).alias("stores_pct"))
+    return out.select("city_code", "name_norm", "restaurant_name", "promotion_type", "first_seq", "n_stores_with_promo", "n_stores_total", F.bround(F.col("n_stores_with_promo") / F.col("n_stores_total") * 100, 0).alias("stores_pct"))
 
 
 def competitor_index(listed: DataFrame) -> DataFrame:
     """The strongest promotion that half of the branches have, else the most common one."""
     rows = listed.withColumns({"comp_rank": promo.rank_of_text(F.col("promotion_type")), "comp_pct": promo.percent_of_text(F.col("promotion_type")), "comp_basket": promo.basket_of_text(F.col("promotion_type"))})
-    rows = rows.where(F.col("comp_rank") < promo.NO_PROMO)
+    rows = rows.withColumn("name_norm", store_name(F.col("restaurant_name")))
     wide = F.col("stores_pct") >= 50
     order = F.struct((~wide).cast("int").alias("a"), F.when(wide, 0.0).otherwise(-F.col("stores_pct")).alias("b"), F.col("comp_rank").alias("c"), (-F.col("comp_pct")).alias("d"), F.col("promotion_type").alias("e"))
     best = rows.groupBy("city_code", "name_norm").agg(F.min_by(F.struct("promotion_type", "comp_rank", "comp_pct", "comp_basket", "stores_pct"), order).alias("x"))
@@ -81,7 +84,7 @@ def store_verdicts(stores: DataFrame, mapping: DataFrame, index: DataFrame, orde
 
     mapping: city_code, store_name, comp_name; a blank comp_name with its source says why there is none.
     """
-    norm = mapping.select("city_code", "store_name", F.lower(F.trim("comp_name")).alias("name_norm"), "source")
+    norm = mapping.select("city_code", "store_name", store_name(F.col("comp_name")).alias("name_norm"), "source")
     absent = norm.where("name_norm = ''").groupBy("city_code", "store_name").agg(F.max(F.when(F.col("source") == "not_on_comp", "NOT_ON_COMP").otherwise("EXCLUSIVE_OWN")).alias("why"))
     branches = norm.where("name_norm <> ''").join(index, ["city_code", "name_norm"], "left")
     own = stores.join(order_values, ["city_code", "store_name"], "left").withColumn("own_rank", promo.order_value_rank(F.col("best_promo_rank"), F.col("min_basket_size"), F.col("order_value")))

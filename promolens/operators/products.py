@@ -18,8 +18,8 @@ def anchored(mapping: DataFrame, comp: DataFrame, own: DataFrame) -> DataFrame:
     """Every competitor product beside every own product of the store that is mapped to its store.
 
     comp: city_code, comp_name, comp_product, comp_price, promotion_type; own: city_code,
-    store_name, own_product, own_price, own_rank, own_pct, weight. The join is on both stores, so a
-    pair of menus is the most that meets.
+    store_name, own_product, own_price, own_rank, own_pct, weight; comp_cut, a reduced price, where
+    there is one. The join is on both stores, so a pair of menus is the most that meets.
     """
     pairs = mapping.where("comp_name <> ''").select("city_code", "store_name", "comp_name").distinct()
     return pairs.join(comp, ["city_code", "comp_name"]).join(own, ["city_code", "store_name"])
@@ -48,12 +48,16 @@ def product_verdicts(best: DataFrame) -> DataFrame:
     """The verdict of store pairs whose promoted products are all matched.
 
     Each own product meets the strongest promotion that matches it; wins count whole and ties half,
-    weighted by what the product earns.
+    weighted by what the product earns, else costs, else alike. A competitor's percentage is that of
+    its prices, else that of its text.
     """
     pair = ["city_code", "store_name", "comp_name"]
     whole = best.groupBy(*pair).agg(F.count("*").alias("n_products"), F.count(F.when(F.col("match_type") == "auto", 1)).alias("n_auto")).where((F.col("n_products") >= PRODUCTS) & (F.col("n_auto") == F.col("n_products")))
-    rows = best.join(whole, pair).withColumns({"r": promo.rank_of_text(F.col("promotion_type")), "p": promo.percent_of_text(F.col("promotion_type"))})
-    one = rows.groupBy(*pair, "n_products", "own_product", "own_rank", "own_pct", "weight").agg(F.min(F.struct("r", (-F.col("p")).alias("p"))).alias("x"))
+    said = promo.percent_of_text(F.col("promotion_type"))
+    cut = text.percent_off(F.col("comp_price"), F.col("comp_cut")) if "comp_cut" in best.columns else F.lit(None)
+    earns = F.when(F.col("weight") > 0, F.col("weight")).when(F.col("own_price") > 0, F.col("own_price")).otherwise(1.0)
+    rows = best.join(whole, pair).withColumns({"r": promo.rank_of_text(F.col("promotion_type")), "p": F.coalesce(cut, said), "weight": earns})
+    one = rows.groupBy(*pair, "n_products", "own_product").agg(F.max("own_rank").alias("own_rank"), F.max("own_pct").alias("own_pct"), F.max("weight").alias("weight"), F.min(F.struct("r", (-F.col("p")).alias("p"))).alias("x"))
     zero, none = F.lit(0.0), F.lit("")
     one = one.withColumn("label", promo.verdict(F.col("own_rank"), F.col("x.r"), F.col("own_pct"), -F.col("x.p"), F.lit(0), zero, zero, none, none))
     won = F.sum(F.when(F.col("label") == "SUPERIORITY", F.col("weight")).when(F.col("label") == "PARITY", 0.5 * F.col("weight")).otherwise(0.0))
@@ -96,3 +100,9 @@ def open_stores(stores: DataFrame, mapping: DataFrame, review: DataFrame) -> Dat
     """Stores that neither a rejection nor an open review settles yet."""
     key = ["city_code", "store_name"]
     return stores.join(mapping.where("source = 'manual_rejected'"), key, "left_anti").join(review, key, "left_anti")
+
+
+def match_summary(best: DataFrame) -> DataFrame:
+    """Matches by kind, their share, and those that a price confirms."""
+    rows = best.groupBy("match_type").agg(F.count("*").alias("n"), F.count(F.when(F.abs("gap_pct") <= GAP, 1)).alias("n_confirmed"))
+    return rows.withColumn("share", F.round(F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy()), 1))  # a row a kind

@@ -25,12 +25,14 @@ def not_on_own(raw: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def best_two(pairs: DataFrame) -> DataFrame:
-    """The best partner of each sorted name, the runner-up's score, and what follows."""
+    """The best partner of each sorted name within its city, the runner-up's score, and what
+    follows. Pairs are scored once, in whatever cities they meet."""
     score = F.round(200.0 * lcs_length(F.col("a"), F.col("b")) / (F.length("a") + F.length("b")), 4)
-    w = Window.partitionBy("a").orderBy(F.desc("score"), "b")
-    top = pairs.withColumn("score", score).withColumn("rn", F.row_number().over(w)).withColumn("second", F.coalesce(F.lead("score").over(w), F.lit(0.0)))
+    w = Window.partitionBy("city_code", "a").orderBy(F.desc("score"), "b")
+    scored = pairs.select("a", "b").distinct().withColumn("score", score)
+    top = pairs.join(scored, ["a", "b"]).withColumn("rn", F.row_number().over(w)).withColumn("second", F.coalesce(F.lead("score").over(w), F.lit(0.0)))
     outcome = F.when((F.col("score") >= AUTO) & (F.col("score") - F.col("second") >= GAP), "auto").when(F.col("score") >= AUTO, "ambiguous").when(F.col("score") >= REVIEW, "below_threshold").otherwise("silent")
-    return top.where("rn = 1").select("a", "b", "score", "second", outcome.alias("outcome"))
+    return top.where("rn = 1").select("city_code", "a", "b", "score", "second", outcome.alias("outcome"))
 
 
 def price_band(left: DataFrame, right: DataFrame, on: list[str], width: float = 1.0, rel: float = 0.05) -> DataFrame:

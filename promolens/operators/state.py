@@ -30,13 +30,34 @@ def retain_last(df: DataFrame, part: str, keep: int) -> DataFrame:
 
 
 def fold_log(log: DataFrame, key: list[str]) -> DataFrame:
-    """Decisions in order; a blank name resets, names after the last reset stay, each once."""
-    reset = F.max(F.when(F.col("name") == "", F.col("seq"))).over(Window.partitionBy(*key))
-    rows = log.withColumn("reset", reset)
+    """Decisions in order; a blank name resets, names after the last reset stay, each once.
+
+    A key that ends in a reset is one blank row: absent from the other side if the last decision's
+    source says so, else rejected.
+    """
+    rows = log.withColumn("reset", F.max(F.when(F.col("name") == "", F.col("seq"))).over(Window.partitionBy(*key)))
     named = rows.where("name <> '' and seq > coalesce(reset, -1)").groupBy(*key, "name").agg(F.min("seq").alias("seq"))
     named = named.withColumn("status", F.lit("manual_confirmed"))
-    blank = rows.groupBy(*key).agg(F.max("seq").alias("seq"), F.max("reset").alias("reset")).where("seq = reset").select(*key, F.lit("").alias("name"), "seq", F.lit("manual_rejected").alias("status"))
-    return named.unionByName(blank)
+    absent = F.lower("source").contains("not_comp") | F.lower("source").contains("not_on_comp")
+    blank = rows.groupBy(*key).agg(F.max("seq").alias("seq"), F.max("reset").alias("reset"), F.max_by("source", "seq").alias("source")).where("seq = reset")
+    return named.unionByName(blank.select(*key, F.lit("").alias("name"), "seq", F.when(absent, "not_on_comp").otherwise("manual_rejected").alias("status")))
+
+
+def merge_log(mapping: DataFrame, folded: DataFrame) -> DataFrame:
+    """Folded decisions replace mapping rows of their stores, but for what was rejected before."""
+    key = ["city_code", "store_name"]
+    kept = mapping.join(folded.select(*key).distinct().withColumn("hit", F.lit(True)), key, "left").where("hit is null or source = 'manual_rejected'").drop("hit")
+    fresh = folded.join(mapping.where("source = 'manual_rejected'").select(*key).distinct(), key, "left_anti")
+    return kept.unionByName(fresh.select(*key, F.col("name").alias("comp_name"), F.col("status").alias("source")))
+
+
+def upsert_sheet(old: DataFrame, new: DataFrame, key: list[str], order: str, part: str | None = None, keep: int = 6) -> DataFrame:
+    """Rows of the incoming partitions, or else of the incoming keys, are replaced; columns are
+    united; where a partition column is given, only its greatest ``keep`` values stay."""
+    fresh = keep_one(new, key, order)
+    on = [part] if part else key
+    out = old.join(fresh.select(*on).distinct(), on, "left_anti").unionByName(fresh, allowMissingColumns=True)
+    return retain_last(out, part, keep) if part else out
 
 
 def confirm(mapping: DataFrame, commands: DataFrame) -> DataFrame:

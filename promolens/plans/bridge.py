@@ -24,6 +24,11 @@ VIEWS = {
                concat('https://x.example/', CAST(o.o_custkey AS STRING), '?d=', CAST(o.o_orderkey AS STRING)) AS source_url, o.o_orderdate AS scraped_at, o.o_orderkey AS seq, CAST(o.o_custkey AS STRING) AS store_id
         FROM (SELECT *, o_custkey % ns.n AS s, CAST(floor(o_custkey / ns.n) AS BIGINT) AS k FROM {{orders}} CROSS JOIN (SELECT count(*) AS n FROM {{supplier}}) ns) o
         JOIN {{supplier}} s ON o.s = s.s_suppkey JOIN {{nation}} n ON s.s_nationkey = n.n_nationkey""",
+    "comp_products": """
+        SELECT n.n_name AS city_code, s.s_name AS restaurant_name, CAST(year(o.o_orderdate) AS STRING) AS week_num, p.p_name AS product_name,
+               concat(replace(CAST(round(l.l_extendedprice / l.l_quantity, 2) AS STRING), '.', ','), ' €') AS product_price, l.l_discount, l.l_orderkey * 10 + l.l_linenumber AS seq
+        FROM {orders} o JOIN {lineitem} l ON l.l_orderkey = o.o_orderkey JOIN {part} p ON l.l_partkey = p.p_partkey JOIN {supplier} s ON l.l_suppkey = s.s_suppkey JOIN {nation} n ON s.s_nationkey = n.n_nationkey
+        WHERE l.l_discount >= 0.095""",
     "mapping": """
         SELECT n.n_name AS city_code, a.s_name AS store_name, CASE WHEN a.s_suppkey % 10 IN (7, 8) THEN '' ELSE b.s_name END AS comp_name,
                CASE a.s_suppkey % 10 WHEN 7 THEN 'manual_rejected' WHEN 8 THEN 'not_on_comp' ELSE 'manual_confirmed' END AS source
@@ -34,7 +39,8 @@ VIEWS = {
         FROM {orders} o JOIN {supplier} s ON o.o_custkey = s.s_suppkey JOIN {nation} n ON s.s_nationkey = n.n_nationkey GROUP BY n.n_name, s.s_name""",
     "managers": "SELECT n.n_name AS city_code, r.r_name AS manager FROM {nation} n JOIN {region} r ON n.n_regionkey = r.r_regionkey",
     "decisions": """
-        SELECT CAST(conv_id AS STRING) AS store_name, turn AS seq, CASE WHEN role = 'user' THEN substr(text, 1, 4) ELSE '' END AS name FROM {conversations} WHERE role IN ('user', 'assistant')""",
+        SELECT concat('C', CAST(conv_id % 12 AS STRING)) AS city_code, CAST(conv_id AS STRING) AS store_name, turn AS seq, CASE WHEN role = 'user' THEN split_part(trim(text), ' ', 1) ELSE '' END AS name,
+               CASE WHEN role = 'user' THEN 'manual_confirmed' WHEN length(text) % 2 = 0 THEN 'Manual_Not_Comp' ELSE 'manual_rejected' END AS source FROM {conversations} WHERE role IN ('user', 'assistant')""",
 }
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "conversations")
 
@@ -50,4 +56,10 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def oracle(query: str) -> str:
     """DuckDB SQL with the views that it names in front."""
     ctes = [f"{v} AS ({sql.format(**{t: t for t in TABLES})})" for v, sql in VIEWS.items() if v in query]
-    return f"WITH {', '.join(ctes)}{',' if query.lstrip().startswith('cte:') else ''} {query.replace('cte:', '', 1)}" if ctes else query.replace("cte:", "WITH ", 1)
+    begin, body = "WITH", query
+    if query.lstrip().startswith("cte:"):
+        body = query.lstrip().removeprefix("cte:").lstrip()
+        if body.startswith("RECURSIVE "):
+            begin, body = "WITH RECURSIVE", body.removeprefix("RECURSIVE ")
+        return f"{begin} {', '.join([*ctes, body])}"
+    return f"WITH {', '.join(ctes)} {query}" if ctes else query

@@ -51,13 +51,15 @@ def _stores(name: str, member: bool) -> str:
           CASE WHEN sum(revenue) > 0 THEN round(sum(promo_revenue) / sum(revenue) * 100, 1) ELSE 0.0 END AS promo_coverage_pct FROM {name}_v GROUP BY ALL) a LEFT JOIN {name}_d USING (city_code, store_name, week_num))"""
 
 
-_LISTING = """totals AS (SELECT city_code, lower(trim(restaurant_name)) AS name_norm, count(DISTINCT store_id) AS n_stores_total FROM comp_raw WHERE CAST(store_id AS BIGINT) % 5 <> 0 GROUP BY ALL),
-  listing AS (SELECT city_code, name_norm, restaurant_name, promotion_type, least(n, nt) AS n_stores_with_promo, nt AS n_stores_total, round_even(least(n, nt) / nt * 100, 0) AS stores_pct FROM (
-    SELECT a.*, coalesce(n_stores_total, n) AS nt FROM (SELECT city_code, lower(trim(restaurant_name)) AS name_norm, promotion_type, min(restaurant_name) AS restaurant_name, count(DISTINCT split_part(source_url, '?', 1)) AS n FROM comp_raw GROUP BY ALL) a
+#: The fold of names in SQL.
+FOLD = "trim(regexp_replace(strip_accents(lower({0})), '[^a-z0-9]+', ' ', 'g'))"
+_LISTING = """totals AS (SELECT city_code, trim(regexp_replace(strip_accents(lower(restaurant_name)), '[^a-z0-9]+', ' ', 'g')) AS name_norm, count(DISTINCT store_id) AS n_stores_total FROM comp_raw GROUP BY ALL),
+  listing AS (SELECT city_code, name_norm, restaurant_name, promotion_type, first_seq, least(n, nt) AS n_stores_with_promo, nt AS n_stores_total, round_even(least(n, nt) / nt * 100, 0) AS stores_pct FROM (
+    SELECT a.*, coalesce(n_stores_total, n) AS nt FROM (SELECT upper(city_code) AS city_code, trim(regexp_replace(strip_accents(lower(restaurant_name)), '[^a-z0-9]+', ' ', 'g')) AS name_norm, promotion_type, arg_min(restaurant_name, seq) AS restaurant_name, min(seq) AS first_seq, count(DISTINCT split_part(source_url, '?', 1)) AS n FROM comp_raw GROUP BY ALL) a
     LEFT JOIN totals USING (city_code, name_norm)))"""
 _INDEX = f"""ranked AS (SELECT *, {_TEXT_RANK.format('promotion_type')} AS comp_rank, {_PCT.format('promotion_type')} AS comp_pct, {_BASKET.format('promotion_type')} AS comp_basket FROM listing),
   comp_index AS (SELECT city_code, name_norm, unnest(arg_min({{'promotion_type': promotion_type, 'comp_rank': comp_rank, 'comp_pct': comp_pct, 'comp_basket': comp_basket, 'stores_pct': stores_pct}},
-    (CASE WHEN stores_pct >= 50 THEN 0 ELSE 1 END, CASE WHEN stores_pct >= 50 THEN 0.0 ELSE -stores_pct END, comp_rank, -comp_pct, promotion_type))) FROM ranked WHERE comp_rank < 6 GROUP BY city_code, name_norm)"""
+    (CASE WHEN stores_pct >= 50 THEN 0 ELSE 1 END, CASE WHEN stores_pct >= 50 THEN 0.0 ELSE -stores_pct END, comp_rank, -comp_pct, promotion_type))) FROM ranked GROUP BY city_code, name_norm)"""
 
 
 def _verdicts(name: str, stores: str) -> str:
@@ -70,7 +72,7 @@ def _verdicts(name: str, stores: str) -> str:
       {name}_m AS (SELECT s.*, m.name_norm, why, {up('best_promo_rank', 'min_basket_size')} AS g, coalesce({up('comp_rank', 'comp_basket')}, 6.0) AS d, coalesce(max_pct_off, avg_pct_off, 0) AS gp, coalesce(comp_pct, 0) AS dp,
           coalesce(promo_product_count, 0) AS np, coalesce(min_basket_size, 0) AS gb, coalesce(comp_basket, 0) AS db, CASE best_promo_type WHEN 'BASKET_PERCENTAGE' THEN 'full' WHEN 'TWO_FOR_ONE' THEN 'selected' ELSE '' END AS gs,
           CASE WHEN contains(lower(coalesce(promotion_type, '')), 'selezionat') THEN 'selected' WHEN regexp_matches(lower(coalesce(promotion_type, '')), 'spendi|risparmia|ordine|sconto|%') THEN 'full' ELSE '' END AS ds
-        FROM {stores} s LEFT JOIN order_values USING (city_code, store_name) LEFT JOIN (SELECT city_code, store_name, lower(trim(comp_name)) AS name_norm FROM mapping WHERE trim(comp_name) <> '') m USING (city_code, store_name)
+        FROM {stores} s LEFT JOIN order_values USING (city_code, store_name) LEFT JOIN (SELECT city_code, store_name, trim(regexp_replace(strip_accents(lower(comp_name)), '[^a-z0-9]+', ' ', 'g')) AS name_norm FROM mapping WHERE trim(comp_name) <> '') m USING (city_code, store_name)
         LEFT JOIN comp_index i ON i.city_code = s.city_code AND i.name_norm = m.name_norm LEFT JOIN absent a ON a.city_code = s.city_code AND a.store_name = s.store_name),
       {name} AS (SELECT city_code, store_name, week_num, unnest(arg_min({{'name_norm': name_norm, 'own_rank': g, 'comp_rank': d, 'parity': parity, 'revenue': revenue, 'promo_coverage_pct': promo_coverage_pct, 'best_promo_type': best_promo_type}},
           (CASE parity WHEN 'INFERIORITY' THEN 0 WHEN 'PARITY' THEN 1 ELSE 2 END, d, -dp, coalesce(name_norm, '')))) FROM (SELECT *, CASE WHEN name_norm IS NOT NULL THEN {ladder} ELSE coalesce(why, 'UNMATCHED') END AS parity FROM {name}_m) GROUP BY city_code, store_name, week_num)"""
@@ -100,13 +102,20 @@ def _index(get) -> DataFrame:
 
 
 def _branches(raw: DataFrame) -> DataFrame:
-    return raw.where("cast(store_id as bigint) % 5 <> 0").select("city_code", F.lower(F.trim("restaurant_name")).alias("name_norm"), "store_id")
+    return raw.select("city_code", text.fold(F.col("restaurant_name")).alias("name_norm"), "store_id")
 
 
 def _verdict_rows(get, member: bool = False) -> DataFrame:
     return parity.store_verdicts(parity.store_aggregate(get("own_products"), member), get("mapping"), _index(get), get("order_values"))
 
 
+def _latest_verdicts(get) -> DataFrame:
+    """Verdicts of the latest week: its products alone are read, and its name comes from the scan."""
+    last = get("lineitem").agg(F.max(F.year("l_shipdate")).cast("string").alias("week_num"))  # one row
+    own = get("own_products").join(F.broadcast(last), "week_num", "left_semi")
+    return parity.store_verdicts(parity.store_aggregate(own), get("mapping"), _index(get), get("order_values"))
+
+
 def _cities(get) -> DataFrame:
     return parity.city_rollup(_verdict_rows(get))
 
@@ -175,9 +184,8 @@ def score_pivot(get):
 
 @query(_BASE + "SELECT city_code, store_name, week_num, revenue, row_number() OVER (ORDER BY revenue DESC, city_code, store_name, week_num) AS priority FROM verdicts WHERE parity = 'INFERIORITY' AND week_num = (SELECT max(week_num) FROM verdicts) ORDER BY priority LIMIT 30" + _NAMES)
 def priority_actions(get):
-    v = _verdict_rows(get)
-    last = v.join(F.broadcast(v.agg(F.max("week_num").alias("week_num"))), "week_num", "left_semi").where("parity = 'INFERIORITY'")
-    top = last.orderBy(F.desc("revenue"), "city_code", "store_name", "week_num").limit(30)
+    top = _latest_verdicts(get).where("parity = 'INFERIORITY'")
+    top = top.orderBy(F.desc("revenue"), "city_code", "store_name", "week_num").limit(30)
     return top.select(*KEY, "revenue", F.row_number().over(Window.orderBy(F.desc("revenue"), "city_code", "store_name", "week_num")).alias("priority"))
 
 
@@ -188,8 +196,7 @@ def priority_live(get):
 
 @query(_BASE + "SELECT city_code, store_name, week_num, revenue FROM verdicts WHERE parity = 'UNMATCHED' AND week_num = (SELECT max(week_num) FROM verdicts)" + _NAMES)
 def unmatched_latest(get):
-    v = _verdict_rows(get)
-    return v.join(F.broadcast(v.agg(F.max("week_num").alias("week_num"))), "week_num", "left_semi").where("parity = 'UNMATCHED'").select(*KEY, "revenue")
+    return _latest_verdicts(get).where("parity = 'UNMATCHED'").select(*KEY, "revenue")
 
 
 @query(_BASE + "SELECT city_code, store_name, week_num, parity FROM verdicts QUALIFY row_number() OVER (PARTITION BY city_code, store_name ORDER BY week_num DESC) <= 4" + _NAMES)
@@ -241,11 +248,11 @@ def promo_concat_distinct(get):
     return resolve.concat_distinct(get("comp_raw").where("promotion_type <> ''").withColumn("name_norm", F.lower(F.trim("restaurant_name"))), ["city_code", "name_norm"], "promotion_type", "seq")
 
 
-@query(f"cte: t AS (SELECT DISTINCT promotion_type FROM comp_raw UNION SELECT DISTINCT concat(a.promotion_type, ' | ', b.promotion_type) FROM (SELECT DISTINCT promotion_type FROM comp_raw) a, (SELECT DISTINCT promotion_type FROM comp_raw) b) SELECT promotion_type, list_min(list_transform(string_split(promotion_type, '|'), lambda s: {_TEXT_RANK.format('trim(s)')})) AS rank, {_PCT.format('promotion_type')} AS pct, {_BASKET.format('promotion_type')} AS basket FROM t /* comp_raw */")
+@query(f"cte: t AS (SELECT DISTINCT promotion_type FROM comp_raw UNION SELECT DISTINCT concat(promotion_type, ' | ', '15% di sconto') FROM comp_raw UNION SELECT DISTINCT concat('Spendi almeno 30 € | ', promotion_type) FROM comp_raw) SELECT promotion_type, list_min(list_transform(string_split(promotion_type, '|'), lambda s: {_TEXT_RANK.format('trim(s)')})) AS rank, {_PCT.format('promotion_type')} AS pct, {_BASKET.format('promotion_type')} AS basket FROM t /* comp_raw */")
 def promo_rank_text(get):
     kinds = get("comp_raw").select("promotion_type").distinct()
-    pairs = kinds.toDF("a").join(F.broadcast(kinds.toDF("b"))).select(F.concat_ws(" | ", "a", "b").alias("promotion_type"))  # seven fixed texts
     c = F.col("promotion_type")
+    pairs = kinds.select(F.explode(F.array(F.concat(c, F.lit(" | 15% di sconto")), F.concat(F.lit("Spendi almeno 30 € | "), c))).alias("promotion_type"))
     return kinds.union(pairs).distinct().select(c, promo.rank_of_text(c).alias("rank"), promo.percent_of_text(c).alias("pct"), promo.basket_of_text(c).alias("basket"))
 
 
@@ -332,17 +339,18 @@ def comp_count_left(get):
 
 
 _SORTED = "array_to_string(list_sort(string_split(lower(p_name), ' ')), ' ')"
-_LCS = f"""WITH RECURSIVE names AS (SELECT DISTINCT {_SORTED} AS n FROM part), s AS (SELECT x.n AS a, y.n AS b, 0 AS i, list_transform(range(0, length(y.n) + 1), lambda z: CAST(0 AS BIGINT)) AS r FROM names x, names y WHERE x.n <> y.n
+_LCS = f"""WITH RECURSIVE names AS (SELECT DISTINCT p_brand AS city_code, {_SORTED} AS n FROM part), met AS (SELECT x.city_code, x.n AS a, y.n AS b FROM names x JOIN names y ON x.city_code = y.city_code AND x.n <> y.n),
+  s AS (SELECT DISTINCT a, b, 0 AS i, list_transform(range(0, length(b) + 1), lambda z: CAST(0 AS BIGINT)) AS r FROM met
   UNION ALL SELECT a, b, i + 1, list_transform(range(0, length(b) + 1), lambda j: greatest(r[j + 1], coalesce(list_max(list_transform(list_filter(range(1, j + 1), lambda k: substr(b, k, 1) = substr(a, i + 1, 1)), lambda k: r[k] + 1)), 0))) FROM s WHERE i < length(a)),
   scored AS (SELECT a, b, round(200.0 * r[length(b) + 1] / (length(a) + length(b)), 4) AS score FROM s WHERE i = length(a)),
-  ranked AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, b) AS rn, lead(score) OVER (PARTITION BY a ORDER BY score DESC, b) AS second FROM scored)
-  SELECT a, b, score, coalesce(second, 0) AS second, CASE WHEN score >= 88 AND score - coalesce(second, 0) >= 10 THEN 'auto' WHEN score >= 88 THEN 'ambiguous' WHEN score >= 70 THEN 'below_threshold' ELSE 'silent' END AS outcome FROM ranked WHERE rn = 1"""
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY city_code, a ORDER BY score DESC, b) AS rn, lead(score) OVER (PARTITION BY city_code, a ORDER BY score DESC, b) AS second FROM met JOIN scored USING (a, b))
+  SELECT city_code, a, b, score, coalesce(second, 0) AS second, CASE WHEN score >= 88 AND score - coalesce(second, 0) >= 10 THEN 'auto' WHEN score >= 88 THEN 'ambiguous' WHEN score >= 70 THEN 'below_threshold' ELSE 'silent' END AS outcome FROM ranked WHERE rn = 1"""
 
 
 @query(_LCS)
 def fuzzy_best_two(get):
-    names = get("part").select(text.token_sort(F.lower("p_name")).alias("n")).distinct()
-    pairs = names.select(F.col("n").alias("a")).join(names.select(F.col("n").alias("b")), F.col("a") != F.col("b"))  # one block: the names of a city
+    names = get("part").select(F.col("p_brand").alias("city_code"), text.token_sort(F.lower("p_name")).alias("n")).distinct()
+    pairs = names.withColumnRenamed("n", "a").join(names.withColumnRenamed("n", "b"), "city_code").where("a <> b")
     return resolve.best_two(pairs)
 
 
@@ -361,14 +369,15 @@ def fingerprint_overlap(get):
 
 
 # ---------------------------------------------------------------- keyed state
-_FOLD = """cte: r AS (SELECT *, max(CASE WHEN name = '' THEN seq END) OVER (PARTITION BY store_name) AS reset FROM decisions)
-  SELECT store_name, name, min(seq) AS seq, 'manual_confirmed' AS status FROM r WHERE name <> '' AND seq > coalesce(reset, -1) GROUP BY ALL
-  UNION ALL SELECT store_name, '' AS name, max(seq) AS seq, 'manual_rejected' AS status FROM r GROUP BY store_name HAVING max(seq) = max(reset) /* decisions */"""
+_FOLD = """cte: r AS (SELECT *, max(CASE WHEN name = '' THEN seq END) OVER (PARTITION BY city_code, store_name) AS reset FROM decisions),
+  folded AS (SELECT city_code, store_name, name, min(seq) AS seq, 'manual_confirmed' AS status FROM r WHERE name <> '' AND seq > coalesce(reset, -1) GROUP BY ALL
+  UNION ALL SELECT city_code, store_name, '' AS name, max(seq) AS seq, CASE WHEN arg_max(source, seq) ILIKE '%not_comp%' OR arg_max(source, seq) ILIKE '%not_on_comp%' THEN 'not_on_comp' ELSE 'manual_rejected' END AS status FROM r GROUP BY city_code, store_name HAVING max(seq) = max(reset))
+  SELECT * FROM folded /* decisions */"""
 
 
 @query(_FOLD)
 def decision_log_fold(get):
-    return state.fold_log(get("decisions"), ["store_name"])
+    return state.fold_log(get("decisions"), ["city_code", "store_name"])
 
 
 def _old_new(get):
@@ -439,10 +448,10 @@ def reject(get):
 
 
 # ---------------------------------------------------------------- checks
-@query("SELECT n_name AS city_code FROM nation WHERE n_name NOT IN (SELECT n.n_name FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey WHERE s_suppkey % 4 = 0)")
+@query("SELECT n_name AS city_code FROM nation WHERE n_name NOT IN (SELECT n.n_name FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey)")
 def qc_coverage(get):
     n = get("nation").select(F.col("n_name").alias("city_code"), "n_nationkey")
-    found = get("supplier").where("s_suppkey % 4 = 0").join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+    found = get("supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"))
     return quality.missing_cities(n.select("city_code"), found)
 
 
@@ -481,22 +490,20 @@ def domain_lists(get):
 
 
 # ---------------------------------------------------------------- sources and streams
-@query("SELECT doc_id AS page, cards, first_name FROM (SELECT p_partkey AS doc_id, CAST(2 AS BIGINT) AS cards, p_name AS first_name FROM part)")
-def page_cards(get):
-    return payload.cards(get("part").select(F.col("p_partkey").alias("page"), payload.sample_feed(F.col("p_name"), F.col("p_brand")).alias("body")))
 
 
-@query("""SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN '2 al prezzo di 1' WHEN 1 THEN concat('Spendi almeno 10,00 €, risparmia ', CAST(p_size AS STRING), '%') WHEN 2 THEN concat(CAST(p_size AS STRING), '% di sconto') ELSE 'Consegna gratis' END AS offer FROM part""")
-def offer_text(get):
-    kind = F.element_at(F.array(*map(F.lit, ("BuyOneGetOneFree", "FullMenu", "ItemSpecific", "FreeDelivery"))), (F.col("p_partkey") % 4 + 1).cast("int"))
-    mov = F.when(F.col("p_partkey") % 4 == 1, "10,00 €").otherwise("")
-    return get("part").select("p_partkey", payload.offer_text(kind, mov, F.col("p_size").cast("double")).alias("offer"))
+_BOX = "SELECT n_name AS code, n_nationkey / 4.0 + 7 AS x0, n_nationkey / 2.0 + 35 AS y0 FROM nation"
 
 
-@query("SELECT code, count(*) AS n FROM (SELECT 'A' AS code, unnest(range(0, 49)) AS k) GROUP BY code")
+@query(f"""WITH RECURSIVE b AS ({_BOX}), lat AS (SELECT code, x0, y0, CAST(y0 AS DOUBLE) AS y FROM b UNION ALL SELECT code, x0, y0, y + 4 / 110.574 FROM lat WHERE y + 4 / 110.574 <= y0 + 0.3),
+  lon AS (SELECT *, CAST(x0 AS DOUBLE) AS x, 4 / (111.32 * greatest(0.2, cos(radians(y)))) AS dx FROM lat UNION ALL SELECT code, x0, y0, y, x + dx, dx FROM lon WHERE x + dx <= x0 + 0.3)
+  SELECT code, count(*) AS n, round(sum(x), 4) AS x, round(sum(y), 4) AS y FROM lon GROUP BY code""")
 def grid_sample(get):
-    square = get("region").where("r_regionkey = 0").select(F.lit("A").alias("code"), F.lit("POLYGON ((0 0, 3 0, 3 3, 0 3, 0 0))").alias("wkt"))
-    return geo.grid(square, 0.5).groupBy("code").agg(F.count("*").alias("n"))
+    """a box in each nation's place; four kilometres are wider than a geohash of seven letters."""
+    corner = lambda dx, dy: F.concat((F.col("x0") + dx).cast("string"), F.lit(" "), (F.col("y0") + dy).cast("string"))
+    box = get("nation").select(F.col("n_name").alias("code"), (F.col("n_nationkey") / 4.0 + 7).alias("x0"), (F.col("n_nationkey") / 2.0 + 35).alias("y0"))
+    box = box.select("code", F.concat(F.lit("POLYGON (("), F.concat_ws(", ", corner(0, 0), corner(0.3, 0), corner(0.3, 0.3), corner(0, 0.3), corner(0, 0)), F.lit("))")).alias("wkt"))
+    return geo.grid(box, 4.0).groupBy("code").agg(F.count("*").alias("n"), F.round(F.sum("lon"), 4).alias("x"), F.round(F.sum("lat"), 4).alias("y"))
 
 
 def _stream_fold(spark, sf_dir):

@@ -5,37 +5,81 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promolens.functions import promo
+from promolens.functions import promo, text
 from promolens.operators import parity, products
 from promolens.plans import catalogue
 from promolens.plans.catalogue import query
 
 
 def _product_match(get) -> DataFrame:
-    """Promoted products of one year's menus as the other side of the year before's."""
-    view = parity.promo_view(get("own_products"))
-    comp = view.where("week_num = '1997' and flag = 'Y'").groupBy("city_code", F.col("store_name").alias("comp_name"), F.col("product_name").alias("comp_product"))
-    comp = comp.agg(F.min(F.round("avg_unit_price", 2)).alias("comp_price"), F.min(F.concat(F.col("percentage_off_np").cast("int").cast("string"), F.lit("% di sconto"))).alias("promotion_type"))
-    own = view.where("week_num = '1996'").groupBy("city_code", "store_name", F.col("product_name").alias("own_product"))
-    own = own.agg(F.min(F.round("avg_unit_price", 2)).alias("own_price"), F.min(promo.rank_of_kind(F.col("kind"), F.col("flag"))).alias("own_rank"), F.max("pct").alias("own_pct"), F.round(F.sum("revenue"), 2).alias("weight"))
+    """Reduced products of one year beside the own menu of the same year."""
+    comp = get("comp_products").where("week_num = '1996'").withColumn("comp_price", text.price(F.col("product_price")))
+    comp = comp.groupBy("city_code", F.col("restaurant_name").alias("comp_name"), F.col("product_name").alias("comp_product")).agg(F.min_by("comp_price", "seq").alias("comp_price"))
+    comp = comp.withColumns({"promotion_type": F.lit("10% di sconto"), "comp_cut": F.round(F.col("comp_price") * 0.9, 2)})
+    view = parity.promo_view(get("own_products")).where("week_num = '1996'")
+    own = view.groupBy("city_code", "store_name", F.col("product_name").alias("own_product"))
+    own = own.agg(F.round(F.min("avg_unit_price"), 2).alias("own_price"), F.min(promo.rank_of_kind(F.col("kind"), F.col("flag"))).alias("own_rank"), F.max("pct").alias("own_pct"), F.round(F.sum("revenue"), 2).alias("weight"))
     return products.best_products(products.anchored(get("mapping"), comp, own))
 
 
-@query()
+_LCS = """names AS (SELECT DISTINCT array_to_string(list_sort(string_split(trim(regexp_replace(strip_accents(lower(p_name)), '[^a-z0-9]+', ' ', 'g')), ' ')), ' ') AS n FROM part),
+  s AS (SELECT x.n AS a, y.n AS b, 0 AS i, list_transform(range(0, length(y.n) + 1), lambda z: CAST(0 AS BIGINT)) AS r FROM names x, names y
+  UNION ALL SELECT a, b, i + 1, list_transform(range(0, length(b) + 1), lambda j: greatest(r[j + 1], coalesce(list_max(list_transform(list_filter(range(1, j + 1), lambda k: substr(b, k, 1) = substr(a, i + 1, 1)), lambda k: r[k] + 1)), 0))) FROM s WHERE i < length(a)),
+  scored AS (SELECT a, b, round(200.0 * r[length(b) + 1] / (length(a) + length(b)), 4) AS score FROM s WHERE i = length(a))"""
+_SORTED = "array_to_string(list_sort(string_split(trim(regexp_replace(strip_accents(lower({0})), '[^a-z0-9]+', ' ', 'g')), ' ')), ' ')"
+_EURO = "CAST(replace(replace(product_price, ' €', ''), ',', '.') AS DOUBLE)"
+_MATCH = f"""RECURSIVE {_LCS}, {catalogue._stores('menu', False)},
+  comp AS (SELECT city_code, restaurant_name AS comp_name, product_name AS comp_product, arg_min({_EURO}, seq) AS comp_price FROM comp_products WHERE week_num = '1996' GROUP BY ALL),
+  own AS (SELECT city_code, store_name, product_name AS own_product, round(min(avg_unit_price), 2) AS own_price, min(CASE WHEN flag = 'Y' THEN {catalogue._RANK.format('kind')} ELSE 6.0 END) AS own_rank, max(pct) AS own_pct, round(sum(revenue), 2) AS weight
+    FROM (SELECT v.*, revenue / nullif(total_product_sold, 0) AS avg_unit_price FROM menu_v v WHERE week_num = '1996') GROUP BY ALL),
+  pairs AS (SELECT DISTINCT city_code, store_name, comp_name FROM mapping WHERE comp_name <> ''),
+  met AS (SELECT *, row_number() OVER w AS rn, max(score) OVER (PARTITION BY city_code, store_name, comp_name, comp_product) AS top FROM (
+    SELECT p.*, comp_product, comp_price, own_product, own_price, own_rank, own_pct, weight, score FROM pairs p JOIN comp USING (city_code, comp_name) JOIN own USING (city_code, store_name)
+    JOIN scored ON a = {_SORTED.format('comp_product')} AND b = {_SORTED.format('own_product')}) WINDOW w AS (PARTITION BY city_code, store_name, comp_name, comp_product ORDER BY score DESC, own_product)),
+  near AS (SELECT *, row_number() OVER (PARTITION BY city_code, store_name, comp_name, comp_product ORDER BY CASE WHEN comp_price IS NOT NULL THEN round(CASE WHEN own_price > 0 THEN abs(comp_price - own_price) / greatest(comp_price, own_price) ELSE 9.9 END, 9) END, score DESC, own_product) AS pick
+    FROM met WHERE rn = 1 OR (rn <= 5 AND score >= top - 3 AND score >= 60)),
+  best AS (SELECT *, CASE WHEN score < 60 THEN 'unmatched' WHEN score >= 88 OR coalesce(abs(gap_pct) <= 3, false) THEN 'auto' ELSE 'review' END AS match_type FROM (
+    SELECT *, CASE WHEN comp_price > 0 AND own_price > 0 THEN round((comp_price - own_price) / own_price * 100, 1) END AS gap_pct FROM near WHERE pick = 1)),
+  whole AS (SELECT city_code, store_name, comp_name, count(*) AS n_products FROM best GROUP BY ALL HAVING count(*) >= 3 AND count(*) = count(*) FILTER (match_type = 'auto')),
+  each AS (SELECT city_code, store_name, comp_name, n_products, own_product, max(own_rank) AS g, max(own_pct) AS gp, max(CASE WHEN weight > 0 THEN weight WHEN own_price > 0 THEN own_price ELSE 1.0 END) AS w,
+      max(round((comp_price - round(comp_price * 0.9, 2)) / comp_price * 100, 1)) AS dp FROM best JOIN whole USING (city_code, store_name, comp_name) GROUP BY ALL),
+  judged AS (SELECT *, CASE WHEN g < 2 THEN 'SUPERIORITY' WHEN g > 2 THEN 'INFERIORITY' WHEN gp > 0 AND dp > 0 AND gp - dp >= 2 THEN 'SUPERIORITY' WHEN gp > 0 AND dp > 0 AND gp - dp <= -2 THEN 'INFERIORITY' ELSE 'PARITY' END AS label FROM each),
+  shares AS (SELECT city_code, store_name, comp_name, n_products, sum(CASE label WHEN 'SUPERIORITY' THEN w WHEN 'PARITY' THEN 0.5 * w ELSE 0 END) / sum(w) AS s FROM judged GROUP BY ALL),
+  product_verdicts AS (SELECT city_code, store_name, comp_name, n_products, round(s, 3) AS share, CASE WHEN s >= 0.6 THEN 'SUPERIORITY' WHEN s >= 0.45 THEN 'PARITY' ELSE 'INFERIORITY' END AS parity_product FROM shares)"""
+_USES = "/* own_products comp_products mapping */"
+
+
+@query(f"cte: {_MATCH} SELECT city_code, store_name, comp_name, comp_product, own_product, score, gap_pct, match_type FROM best {_USES}")
 def product_match(get):
     return _product_match(get).select("city_code", "store_name", "comp_name", "comp_product", "own_product", "score", "gap_pct", "match_type")
 
 
-@query()
+@query(f"cte: {_MATCH} SELECT * FROM product_verdicts {_USES}")
 def product_verdict(get):
     return products.product_verdicts(_product_match(get))
 
 
-@query()
+@query(f"""cte: {_MATCH}, {catalogue._BASE.replace('cte: ', '', 1)}, worst AS (SELECT city_code, store_name, arg_min(parity_product, CASE parity_product WHEN 'INFERIORITY' THEN 0 WHEN 'PARITY' THEN 1 ELSE 2 END) AS by_product FROM product_verdicts GROUP BY ALL)
+  SELECT v.* REPLACE (CASE WHEN parity IN ('SUPERIORITY', 'PARITY', 'INFERIORITY') AND by_product IS NOT NULL AND coalesce(best_promo_type, '') <> 'BASKET_PERCENTAGE' THEN by_product ELSE parity END AS parity)
+  FROM verdicts v LEFT JOIN worst USING (city_code, store_name) {_USES}{catalogue._NAMES}""")
 def product_override(get):
     return products.override(catalogue._verdict_rows(get), products.product_verdicts(_product_match(get)))
 
 
+@query(f"""cte: {_MATCH} SELECT match_type, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 1) AS share, count(*) FILTER (abs(gap_pct) <= 3) AS n_confirmed FROM best GROUP BY match_type {_USES}""")
+def match_summary(get):
+    """How well products are matched, and how many matches a price confirms."""
+    return products.match_summary(_product_match(get))
+
+
+@query(f"""cte: {_MATCH} SELECT city_code, store_name, comp_name, comp_product, CASE WHEN match_type = 'unmatched' THEN '' WHEN own_rank >= 6 THEN 'OWN_NO_PROMO' WHEN own_pct + 0.5 >= round((comp_price - round(comp_price * 0.9, 2)) / comp_price * 100, 1) THEN 'OWN_AT_LEAST' ELSE 'COMP_STRONGER' END AS label FROM best {_USES}""")
+def product_label(get):
+    """F17/F18."""
+    best = _product_match(get)
+    label = promo.product_label(text.percent_off(F.col("comp_price"), F.col("comp_cut")), F.col("own_rank") < promo.NO_PROMO, F.col("own_pct"))
+    return best.select("city_code", "store_name", "comp_name", "comp_product", F.when(F.col("match_type") == "unmatched", "").otherwise(label).alias("label"))
+
+
 _PART = catalogue._rollup("filtered", "(SELECT v.* FROM verdicts v JOIN managers m ON v.city_code = m.city_code WHERE manager = 'EUROPE')")
 
 

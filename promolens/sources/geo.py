@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from promolens.functions.text import geohash
+
 
 def ring(wkt: Column) -> Column:
     """Outer ring of a WKT polygon as an array of (x, y)."""
@@ -28,11 +30,40 @@ def covers(points: Column, x: Column, y: Column) -> Column:
     return F.exists(edges, on) | (F.size(F.filter(edges, lambda e: F.coalesce(crosses(e), F.lit(False)))) % 2 == 1)
 
 
-def grid(polygons: DataFrame, step: float) -> DataFrame:
-    """code, x, y of the points of a grid of ``step`` degrees that the polygon covers; bad WKT gives none."""
+# Kilometres of a degree of latitude, and of longitude at the equator; the least cosine.
+LATITUDE_KM, LONGITUDE_KM, LEAST_COSINE = 110.574, 111.320, 0.2
+
+
+def read_polygons(spark: SparkSession, path: str, codes: list[str] | None = None) -> DataFrame:
+    """Code and WKT by position, with or without a header row; codes that are asked for; an error if none is left."""
+    rows = spark.read.csv(path, header=False, quote='"', encoding="UTF-8").select(F.upper(F.trim(F.regexp_replace("_c0", "\ufeff", ""))).alias("code"), F.col("_c1").alias("wkt"))
+    rows = rows.where(F.col("wkt").rlike(r"(?i)^\s*polygon\s*\(\("))
+    rows = rows.where(F.col("code").isin(*codes)) if codes else rows
+    if rows.isEmpty():
+        raise ValueError(f"no polygon in {path}")
+    return rows
+
+
+def grid(polygons: DataFrame, step_km: float, precision: int = 7) -> DataFrame:
+    """code, lat, lon and geohash of the points every ``step_km`` kilometres that the polygon covers.
+
+    Rows of the grid are added up from the south as the source does, so the last digit agrees; each
+    row has its own step of longitude. A geohash counts once, at its first point. A polygon that
+    holds no point of the grid has one: the middle of its corners' mean and its first corner, if
+    that is covered, else the first corner. Bad WKT gives none.
+    """
     p = polygons.where(F.col("wkt").rlike(r"(?i)^\s*polygon\s*\(\(")).withColumn("ring", ring(F.col("wkt")))
     low = lambda k: F.array_min(F.transform("ring", lambda q: q[k]))
     high = lambda k: F.array_max(F.transform("ring", lambda q: q[k]))
-    steps = lambda k: F.explode(F.sequence(F.lit(0), F.floor((high(k) - low(k)) / step + 1e-9).cast("int")))
-    p = p.withColumn("i", steps("x")).withColumn("j", steps("y")).withColumns({"x": low("x") + F.col("i") * step, "y": low("y") + F.col("j") * step})
-    return p.where(covers(F.col("ring"), F.col("x"), F.col("y"))).select("code", "x", "y")
+    p = p.withColumns({"x0": low("x"), "x1": high("x"), "y0": low("y"), "y1": high("y")})
+    line = lambda start, stop, step: F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil((stop - start) / step).cast("int") + 1)), F.array(start), lambda seen, _: F.concat(seen, F.array(F.element_at(seen, -1) + step)))
+    rows = p.withColumn("y", F.explode(F.filter(line(F.col("y0"), F.col("y1"), F.lit(step_km / LATITUDE_KM)), lambda v: v <= F.col("y1"))))
+    rows = rows.withColumn("dx", F.lit(step_km) / (LONGITUDE_KM * F.greatest(F.lit(LEAST_COSINE), F.cos(F.radians("y")))))
+    rows = rows.withColumn("x", F.explode(F.filter(line(F.col("x0"), F.col("x1"), F.col("dx")), lambda v: v <= F.col("x1"))))
+    inside = rows.where(covers(F.col("ring"), F.col("x"), F.col("y"))).withColumn("geohash", geohash(F.col("y"), F.col("x"), precision))
+    points = inside.groupBy("code", "geohash").agg(F.min(F.struct(F.col("y").alias("lat"), F.col("x").alias("lon"))).alias("p")).select("code", "p.lat", "p.lon", "geohash")
+    mean = lambda k: F.aggregate(F.transform("ring", lambda q: q[k]), F.lit(0.0), lambda s, v: s + v) / F.size("ring")
+    rest = p.join(points.select("code").distinct(), "code", "left_anti").withColumns({"mx": (mean("x") + F.get("ring", F.lit(0))["x"]) / 2, "my": (mean("y") + F.get("ring", F.lit(0))["y"]) / 2})
+    kept = covers(F.col("ring"), F.col("mx"), F.col("my"))
+    rest = rest.select("code", F.when(kept, F.col("my")).otherwise(F.get("ring", F.lit(0))["y"]).alias("lat"), F.when(kept, F.col("mx")).otherwise(F.get("ring", F.lit(0))["x"]).alias("lon"))
+    return points.unionByName(rest.withColumn("geohash", geohash(F.col("lat"), F.col("lon"), precision)))

@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 
 from promolens.operators.state import fold_log
 
-EVENT = "store_name string, seq long, name string"
+EVENT = "city_code string, store_name string, seq long, name string, source string"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    return spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='promolens-')}"
+    """The folder all executors share; only a session in one process gets its own where none is named."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where and not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return where or f"file://{tempfile.mkdtemp(prefix='promolens-')}"
 
 
 def fold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +38,7 @@ def fold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     run = log.writeStream.foreachBatch(keep).option("checkpointLocation", f"{base}/offsets").trigger(availableNow=True).start()
     run.awaitTermination()
-    return fold_log(spark.read.schema(EVENT).option("basePath", f"{base}/log").parquet(f"{base}/log/batch=*"), ["store_name"])
+    return fold_log(spark.read.schema(EVENT).option("basePath", f"{base}/log").parquet(f"{base}/log/batch=*"), ["city_code", "store_name"])
 
 
 def first_seen(events: DataFrame, key: list[str], time: str, late: str = "7 days") -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from promolens.functions import promo, text
-from promolens.plans import catalogue, products  # noqa: F401
+from promolens.plans import catalogue, dashboard, products  # noqa: F401
 from promolens.sources import tables
 
 SF = "/root/testdata/sf0.001"
