@@ -100,8 +100,8 @@ def drill_products(products: DataFrame, verdicts: DataFrame) -> DataFrame:
     kept = verdicts.where(F.col("parity").isin(*MATCHED)).select(*KEY, "best_promo_type")
     rows = products.join(kept, list(KEY))
     carries = (F.col("flag") == "Y") & promo.strongest_kind(F.col("kind")).eqNullSafe(F.col("best_promo_type"))
-    once = rows.groupBy(*KEY, "product_name").agg(F.max(F.coalesce(carries, F.lit(False))).alias("carries"), F.round(F.max("avg_unit_price"), 2).alias("price"))
-    return once.groupBy(*KEY).agg(F.count(F.when(F.col("carries"), 1)).alias("n_carrying"), F.round(F.max(F.when(F.col("carries"), F.col("price"))), 2).alias("dearest"),
+    once = rows.groupBy(*KEY, "product_name").agg(F.max(F.coalesce(carries, F.lit(False))).alias("carries"), F.max("avg_unit_price").alias("price"))
+    return once.groupBy(*KEY).agg(F.count(F.when(F.col("carries"), 1)).alias("n_carrying"), F.max(F.when(F.col("carries"), F.col("price"))).alias("dearest"),
                                   F.array_join(F.array_sort(F.collect_set(F.when(~F.col("carries"), F.col("product_name")))), "|").alias("others"))
 
 

@@ -27,8 +27,8 @@ def store_detail(get):
 
 @query(f"""{_B}, rows AS (SELECT p.*, best_promo_type, coalesce(flag = 'Y' AND k IS NOT DISTINCT FROM best_promo_type, false) AS carries FROM (SELECT city_code, store_name, week_num, product_name, avg_unit_price, promo_non_prime AS flag,
     CASE WHEN type_of_promo_np LIKE '%TWO_FOR_ONE%' THEN 'TWO_FOR_ONE' ELSE type_of_promo_np END AS k FROM own_products) p JOIN verdicts v USING (city_code, store_name, week_num) WHERE parity IN ('SUPERIORITY', 'PARITY', 'INFERIORITY')),
-  once AS (SELECT city_code, store_name, week_num, product_name, bool_or(carries) AS carries, round(max(avg_unit_price), 2) AS price FROM rows GROUP BY ALL)
-  SELECT city_code, store_name, week_num, count(*) FILTER (carries) AS n_carrying, round(max(price) FILTER (carries), 2) AS dearest, coalesce(string_agg(product_name, '|' ORDER BY product_name) FILTER (NOT carries), '') AS others FROM once GROUP BY city_code, store_name, week_num{_N}""")
+  once AS (SELECT city_code, store_name, week_num, product_name, bool_or(carries) AS carries, max(avg_unit_price) AS price FROM rows GROUP BY ALL)
+  SELECT city_code, store_name, week_num, count(*) FILTER (carries) AS n_carrying, max(price) FILTER (carries) AS dearest, coalesce(string_agg(product_name, '|' ORDER BY product_name) FILTER (NOT carries), '') AS others FROM once GROUP BY city_code, store_name, week_num{_N}""")
 def drill_products(get):
     return views.drill_products(parity.promo_view(get("own_products")), catalogue._verdict_rows(get))
 
