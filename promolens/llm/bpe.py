@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from promolens.llm.common import doc_texts, map_rows
 
 MODEL = "word_bpe_49k.json"
-#: Words a worker remembers, the longest one it remembers, and the characters encoded at once.
-CACHED, LONGEST, SLICE = 300_000, 64, 1 << 16
+#: Words a worker remembers (twice as many at most), the longest one it remembers, and the characters encoded at once.
+CACHED, LONGEST, SLICE = 400_000, 64, 1 << 16
 #: White space that every view of Unicode agrees on, what stands between, and characters that Python alone takes for blanks.
 _BLANK, _WORD, _ODD_BLANK = regex.compile(r"[ \t\n\r]"), regex.compile(r"[^ \t\n\r]+"), regex.compile(r"[\x1c-\x1f]")
 #: A sign before a letter: a place where a long word may be cut.
@@ -74,21 +74,23 @@ class Transducer:
         """Plain merging by rank, leftmost first: for pairs, short pre-tokens and the proof."""
         units, get, none = list(units), self.ranks.get, 1 << 60
         ranks = [get(p, none) for p in zip(units, units[1:], strict=False)]
-        while ranks:
-            rank = min(ranks)
-            if rank == none:
-                break
+        while ranks and (rank := min(ranks)) != none:
             k = ranks.index(rank)
             a, b = units[k], units[k + 1]
-            while k < len(units) - 1:  # all places of this pair, from the left
-                if ranks[k] == rank and units[k] == a and units[k + 1] == b:
-                    units[k : k + 2] = [a + b]
-                    del ranks[k]
-                    if k:
-                        ranks[k - 1] = get((units[k - 1], units[k]), none)
-                    if k < len(ranks):
-                        ranks[k] = get((units[k], units[k + 1]), none)
+            both = a + b
+            while True:  # all places of this pair, from the left
+                units[k : k + 2] = [both]
+                del ranks[k]
+                if k:
+                    ranks[k - 1] = get((units[k - 1], both), none)
+                if k == len(ranks):
+                    break
+                ranks[k] = get((both, units[k + 1]), none)
                 k += 1
+                while k < len(ranks) and not (ranks[k] == rank and units[k] == a and units[k + 1] == b):
+                    k += 1
+                if k >= len(ranks):
+                    break
         return units
 
     def fits(self, left: str, right: str) -> bool:
@@ -148,22 +150,26 @@ class Transducer:
 
 
 class _Known(dict):
-    """Ids, as little-endian bytes, of words and pre-tokens that a worker has encoded."""
+    """Ids, as little-endian bytes, of words and pre-tokens that a worker has encoded.
+
+    When it is full, its entries become the older ones, which are forgotten the next time unless
+    they are asked for.
+    """
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.older = make, {}
 
     def __missing__(self, word: str) -> bytes:
-        found = b"".join(self.make(word))
-        self.keep(word, found)
-        return found
-
-    def keep(self, key: str, value: bytes) -> None:
-        if len(key) <= LONGEST:
+        found = self.older.get(word)
+        if found is None:
+            found = b"".join(self.make(word))
+        if len(word) <= LONGEST:
             if len(self) >= CACHED:
+                self.older = self.copy()
                 self.clear()
-            self[key] = value
+            self[word] = found
+        return found
 
 
 class Codec:
