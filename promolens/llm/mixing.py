@@ -25,7 +25,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     Capped sources are those of the smallest cap/weight, so running sums in that order give
     the level of each prefix of capped sources; levels rise up to the right prefix and fall
     behind it, so the highest is the one. The windows run over one row a source, never over
-    documents.
+    documents; the number of sources must fit one task.
     """
     by_name, by_cap = Window.orderBy(F.col("source").asc_nulls_last()), Window.orderBy("ratio", F.col("source").asc_nulls_last())
     before = by_cap.rowsBetween(Window.unboundedPreceding, -1)

@@ -113,6 +113,11 @@ def counter(path: str) -> PieceCounter:
 def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -> DataFrame:
     """Operator: doc_id, n_bytes, n_tokens and over_limit of each whole text.
 
+    Texts of more than CHUNK characters are encoded in overlapping chunks that are spliced where both
+    have a token boundary at a blank. Shorter ones are counted segment by segment between the same
+    proven boundaries, each segment once a worker. A text without blanks has no place to splice,
+    so its overlap widens to all of it.
+
     Null and empty texts have no tokens; repeated rows are counted each; an empty table gives no
     rows. Special strings are ordinary text, as the library takes them.
     """
