@@ -94,8 +94,8 @@ def signatures(rows: DataFrame, cell: str) -> DataFrame:
 def upsert_listing(old: DataFrame, new: DataFrame) -> DataFrame:
     """Promotions of a name merged in order of sight, address and time of the last sight, delivery offers left out."""
     rows = old.unionByName(new).where(~excluded(F.col("promotion_type"))).withColumn("name_norm", text.fold(F.col("restaurant_name")))
-    parts = F.explode(F.filter(F.transform(F.split("promotion_type", r"\|"), F.trim), lambda x: x != ""))
-    once = rows.select("city_code", "name_norm", "seq", parts.alias("part")).groupBy("city_code", "name_norm", "part").agg(F.min("seq").alias("first"))
+    parts = F.posexplode(F.filter(F.transform(F.split("promotion_type", r"\|"), lambda x: F.trim(x)), lambda x: x != "")).alias("pos", "part")
+    once = rows.select("city_code", "name_norm", "seq", parts).groupBy("city_code", "name_norm", "part").agg(F.min(F.struct("seq", "pos")).alias("first"))
     merged = once.groupBy("city_code", "name_norm").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("first", "part"))), lambda x: x["part"]), " | ").alias("promotions"))
     last = rows.groupBy("city_code", "name_norm").agg(F.max_by("source_url", "seq").alias("source_url"), F.max("seq").alias("seq"))
     return merged.join(last, ["city_code", "name_norm"])

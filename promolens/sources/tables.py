@@ -1,7 +1,9 @@
-"""File tables: product scans, weekly archives and guarded sinks (S05, S12, K06, K11; parts of S01, S03)."""
+"""File tables: product scans, listings, managers, order values, weekly archives and guarded sinks."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,10 +17,73 @@ def ensure_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[(F.col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema])
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place))
+
+
+def read_text_table(spark: SparkSession, path: str) -> DataFrame:
+    """All columns as text, names trimmed, lower case and without blanks or a byte order mark.
+
+    UTF-8, and Latin-1 where some text of the file is no UTF-8: the reader marks such bytes.
+    """
+    for encoding in ("UTF-8", "ISO-8859-1"):
+        df = spark.read.csv(path, header=True, inferSchema=False, encoding=encoding, multiLine=True)
+        names = [c.replace("\ufeff", "").strip().lower().replace(" ", "_") for c in df.columns]
+        df = df.toDF(*names)
+        broken = [F.coalesce(F.col(f"`{c}`").contains("\ufffd"), F.lit(False)) for c in names]
+        if encoding != "UTF-8" or not any("\ufffd" in c for c in names) and df.where(reduce(lambda a, b: a | b, broken)).isEmpty():
+            break
+    return df
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table with the columns of the schema; none of its rows where there is no file."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return ensure_columns(read_text_table(spark, path), schema)
+
+
+def read_ragged(spark: SparkSession, path: str, width: int) -> DataFrame:
+    """Rows that are shorter than the header are eked out with blanks; a table without rows is an error."""
+    lines = spark.read.csv(path, header=False, inferSchema=False, encoding="UTF-8", schema=", ".join(f"c{k} string" for k in range(width)))
+    head = lines.first()
+    rows = lines.where(~reduce(lambda a, b: a & b, [F.col(f"c{k}").eqNullSafe(F.lit(head[k])) for k in range(width)])) if head else lines
+    if rows.isEmpty():
+        raise ValueError(f"no rows in {path}")
+    names = [(head[k] or f"column_{k}").replace("\ufeff", "").strip() for k in range(width)]
+    return rows.select(*[F.coalesce(f"c{k}", F.lit("")).alias(n) for k, n in enumerate(names)])
+
+
+def managers(df: DataFrame) -> DataFrame:
+    """Four columns of the managers' sheet, the first row of each store by its order in the sheet."""
+    rows = df.where("trim(city_code) <> '' and trim(store_name) <> ''")
+    first = rows.groupBy("city_code", "store_name").agg(F.min_by(F.struct("manager", "region"), "seq").alias("x"))
+    return first.select("city_code", "store_name", "x.*")
+
+
+def order_values(df: DataFrame, week: int) -> DataFrame:
+    """The last value of each store in the current week; of all weeks where the current one has none at all."""
+    rows = df.withColumn("aov", F.replace(F.col("aov"), F.lit(","), F.lit(".")).try_cast("double")).where("aov is not null")
+    rows = rows.withColumn("now", F.coalesce(F.col("week_src").try_cast("int") == week, F.lit(False)))
+    some = rows.agg(F.coalesce(F.max("now"), F.lit(False)).alias("some"))  # one row
+    kept = rows.crossJoin(F.broadcast(some)).where("now or not some")
+    return kept.groupBy("city_code", "store_name").agg(F.max_by("aov", "seq").alias("aov"))
+
+
+def not_done(targets: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
+    """Targets that no earlier run has finished."""
+    return targets.join(done.select(*key).distinct(), key, "left_anti")
+
+
+def pick_and_rename(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Those of the columns that are there, under their new names."""
+    return df.select(*[F.col(a).alias(b) for a, b in names.items() if a in df.columns])
+
+
 def read_products(spark: SparkSession, path: str) -> DataFrame:
-    """S01 for UTF-8 files only: either schema of the product file as one: names lower case, numbers 0 where they can't be read, flags trimmed upper case."""
-    df = spark.read.csv(path, header=True, inferSchema=False, encoding="UTF-8")
-    df = df.toDF(*[c.replace("﻿", "").strip().lower().replace(" ", "_") for c in df.columns])
+    """Either schema of the product file as one: names lower case, numbers 0 where they can't be read, flags trimmed upper case."""
+    df = read_text_table(spark, path)
     if "promo_non_prime" not in df.columns:
         df = df.withColumnsRenamed({"has_active_promo": "promo_non_prime", "type_of_promo": "type_of_promo_np", "avg_percentage_off": "percentage_off_np"})
         df = df.withColumns({"promotion_prime": F.lit("N"), "type_of_promo_p": F.lit(""), "percentage_off_p": F.lit("0"), "min_basket_size_np": F.lit(None).cast("string")})
