@@ -1,16 +1,18 @@
-"""Incremental twins of batch operators (R02, R03, R06, R08): file streams with checkpoints, AvailableNow."""
+"""Incremental twins of batch operators (R01-R03, R06, R08): file streams with checkpoints, AvailableNow."""
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from promolens.operators.state import fold_log
+from pyspark.sql.streaming.state import GroupState
 
 EVENT = "city_code string, store_name string, seq long, name string, source string"
+FOLDED = "city_code string, store_name string, seq long, name string, status string"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -21,24 +23,47 @@ def shared_folder(spark: SparkSession) -> str:
     return where or f"file://{tempfile.mkdtemp(prefix='promolens-')}"
 
 
+def _advance(key, frames, state: GroupState):
+    """The fold of one store: state holds its decisions from the last reset on, in whatever order they came."""
+    kept = [tuple(e) for e in json.loads(state.get[0])] if state.exists else []
+    for frame in frames:
+        kept += zip(frame["seq"].astype(int).tolist(), frame["name"].tolist(), frame["source"].tolist(), strict=True)
+    kept = sorted(set(kept))
+    reset = max((seq for seq, name, _ in kept if not name), default=None)
+    kept = [e for e in kept if reset is None or e[0] >= reset]  # what stands before a reset can't count again
+    state.update((json.dumps(kept),))
+    first: dict[str, int] = {}
+    for seq, name, _ in kept:
+        if name:
+            first.setdefault(name, seq)
+    rows = [(*key, seq, name, "manual_confirmed") for name, seq in first.items()]
+    if not rows:
+        absent = any(x in kept[-1][2].lower() for x in ("not_comp", "not_on_comp"))
+        rows = [(*key, kept[-1][0], "", "not_on_comp" if absent else "manual_rejected")]
+    yield pd.DataFrame(rows, columns=["city_code", "store_name", "seq", "name", "status"])
+
+
 def fold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The decision log as a stream; each batch is merged into the kept log by key and order, then folded.
+    """The decision log as a stream, folded by a state for each store; equal to the batch fold.
 
-    The log is append-only and batches may repeat after a failure, so a batch is written under its
-    own number: replaying one replaces what it had written before.
+    A store's rows come anew with each batch that brings a decision of it, and those of its last
+    batch hold. A batch is written under its own number, so replaying one after a failure replaces
+    what it had written, and the checkpoint says where to go on.
     """
     from promolens.plans.bridge import load
 
     base = f"{shared_folder(spark)}/promolens-stream/{uuid.uuid4().hex}"
     load(spark, sf_dir, "decisions").repartition(4).write.parquet(f"{base}/in")
     log = spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 2).parquet(f"{base}/in")
+    folded = log.groupBy("city_code", "store_name").applyInPandasWithState(_advance, FOLDED, "kept string", "update", "NoTimeout")
 
     def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{base}/log/batch={number}")
+        batch.write.mode("overwrite").parquet(f"{base}/out/batch={number}")
 
-    run = log.writeStream.foreachBatch(keep).option("checkpointLocation", f"{base}/offsets").trigger(availableNow=True).start()
-    run.awaitTermination()
-    return fold_log(spark.read.schema(EVENT).option("basePath", f"{base}/log").parquet(f"{base}/log/batch=*"), ["city_code", "store_name"])
+    folded.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{base}/offsets").trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.schema(f"{FOLDED}, batch long").option("basePath", f"{base}/out").parquet(f"{base}/out")
+    last = rows.groupBy("city_code", "store_name").agg(F.max("batch").alias("batch"))
+    return rows.join(last, ["city_code", "store_name", "batch"], "left_semi").drop("batch")
 
 
 def first_seen(events: DataFrame, key: list[str], time: str, late: str = "7 days") -> DataFrame:
