@@ -22,7 +22,7 @@ WINDOW, EVIDENCE, LOWEST = 3, 3, -4.0
 #: From which decision on a word's letters are left out one by one, and what leaving one out costs.
 NEAR, LEFT_OUT = -0.4, 0.1
 #: What a positive and a negative on the wrong side cost, and what a missed text costs against a false alarm.
-COSTS, MISSED = (3.0, 1.0), 3.0
+COSTS, MISSED = (3.0, 1.0), 5.0
 #: Tokens whose values a worker remembers.
 CACHED = 400_000
 #: The kernel: subsequences of three and four signs inside a stretch, each gap sign weighing DECAY.
