@@ -80,6 +80,22 @@ def doc_texts(docs: DataFrame, *more) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
+#: A key counts as hot when it holds more than one in so many rows, so fewer keys than this are.
+HOT = 1000
+
+
+def hot_join(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """Inner join of a written table with facts of one row a key, without null keys.
+
+    Hot keys (fewer than HOT, whatever the table's size) meet their facts in a broadcast, so their
+    rows stay where they are; only the others are shuffled.
+    """
+    least = rows.count() // HOT
+    hot = materialise(rows.groupBy(key).agg(F.count("*").alias("_rows")).where(F.col("_rows") > least).select(key), "hot-keys")
+    few = rows.join(F.broadcast(facts.join(F.broadcast(hot), key, "left_semi")), key)
+    return few.unionByName(rows.join(F.broadcast(hot), key, "left_anti").join(facts, key))
+
+
 def map_rows(df: DataFrame, fn, schema: str) -> DataFrame:
     """mapInArrow over columns as Python lists: fn(dict of lists) returns a dict of columns."""
     arrow_batches(df.sparkSession)
