@@ -81,29 +81,6 @@ def token_sort(c: Column) -> Column:
     return F.array_join(F.array_sort(F.filter(F.split(c, " "), lambda w: w != "")), " ")
 
 
-def lcs_length(a: Column, b: Column) -> Column:
-    """Longest common subsequence by one row of the table after another, in array functions."""
-    places = F.sequence(F.lit(0), F.length(b))
-    rows = F.when(F.length(a) == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), F.length(a)))
-
-    def step(row, i):
-        def cell(j):
-            before = F.when(j == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), j))
-            hits = F.filter(before, lambda k: F.substr(b, k, F.lit(1)) == F.substr(a, i, F.lit(1)))
-            return F.greatest(F.get(row, j), F.coalesce(F.array_max(F.transform(hits, lambda k: F.get(row, k - 1) + 1)), F.lit(0)))
-
-        return F.transform(places, cell)
-
-    return F.element_at(F.aggregate(rows, F.transform(places, lambda _: F.lit(0)), step), -1)
-
-
-def token_sort_ratio(a: Column, b: Column) -> Column:
-    """likeness in percent of two names with their words sorted; give distinct pairs."""
-    x, y = token_sort(a), token_sort(b)
-    total = F.length(x) + F.length(y)
-    return F.when(total == 0, 100.0).otherwise(200.0 * lcs_length(x, y) / total)
-
-
 def geohash(lat: Column, lon: Column, precision: int) -> Column:
     """F19 in closed form: both coordinates as integers, their bits interleaved, five a letter."""
     n = precision * 5

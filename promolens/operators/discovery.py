@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promolens.functions import text
+from promolens.operators import likeness
 
 # Products a menu needs, price difference that confirms, name score that a near price
 # needs, and from which hits and shares a candidate is sure, likely, or joins by itself.
@@ -31,8 +32,11 @@ def product_hits(comp: DataFrame, own: DataFrame) -> DataFrame:
     right = own.where("price is not null").select("city_code", "store_name", F.col("n").alias("m"), F.col("price").alias("own_price"), euro.alias("bucket"))
     met = left.join(right, ["city_code", "bucket"]).where(_near(F.col("price"), F.col("own_price")) & (F.col("n") != F.col("m")))
     met = met.select(*key, "n", "m").distinct().join(by_name, key, "left_anti")
-    scores = met.select("n", "m").distinct().withColumn("score", text.token_sort_ratio(F.col("n"), F.col("m"))).where(F.col("score") >= NAME)
-    by_price = met.join(scores, ["n", "m"]).select(*key).distinct().withColumn("confirmed", F.lit(True))
+    met = met.withColumns({"a": text.token_sort(F.col("n")), "b": text.token_sort(F.col("m"))})
+    # by length alone no pair below this can score NAME
+    met = met.where(200.0 * F.least(F.length("a"), F.length("b")) >= NAME * (F.length("a") + F.length("b")))
+    scores = likeness.scored(met.select("a", "b").distinct()).where(F.col("score") >= NAME)
+    by_price = met.join(scores, ["a", "b"]).select(*key).distinct().withColumn("confirmed", F.lit(True))
     return by_name.unionByName(by_price)
 
 

@@ -82,12 +82,16 @@ def competitor_index(listed: DataFrame) -> DataFrame:
 def store_verdicts(stores: DataFrame, mapping: DataFrame, index: DataFrame, order_values: DataFrame) -> DataFrame:
     """The verdict of each store and week against its most aggressive branch.
 
-    mapping: city_code, store_name, comp_name; a blank comp_name with its source says why there is none.
+    mapping: city_code, store_name, comp_name; a blank comp_name says why there is none by its source:
+    a rejection by hand makes the store exclusive, also beside an absence from the other side, and
+    any other source leaves it unmatched. An order value counts for its own week.
     """
     norm = mapping.select("city_code", "store_name", store_name(F.col("comp_name")).alias("name_norm"), "source")
-    absent = norm.where("name_norm = ''").groupBy("city_code", "store_name").agg(F.max(F.when(F.col("source") == "not_on_comp", "NOT_ON_COMP").otherwise("EXCLUSIVE_OWN")).alias("why"))
+    said = lambda source: F.bool_or(F.col("source") == source)
+    why = F.when(said("manual_rejected"), "EXCLUSIVE_OWN").when(said("not_on_comp"), "NOT_ON_COMP")
+    absent = norm.where("name_norm = ''").groupBy("city_code", "store_name").agg(why.alias("why"))
     branches = norm.where("name_norm <> ''").join(index, ["city_code", "name_norm"], "left")
-    own = stores.join(order_values, ["city_code", "store_name"], "left").withColumn("own_rank", promo.order_value_rank(F.col("best_promo_rank"), F.col("min_basket_size"), F.col("order_value")))
+    own = stores.join(order_values, list(KEY), "left").withColumn("own_rank", promo.order_value_rank(F.col("best_promo_rank"), F.col("min_basket_size"), F.col("order_value")))
     met = own.join(branches.drop("source"), ["city_code", "store_name"], "left").join(absent, ["city_code", "store_name"], "left")
     rank = F.coalesce(promo.order_value_rank(F.col("comp_rank"), F.col("comp_basket"), F.col("order_value")), F.lit(promo.NO_PROMO))
     pct = F.coalesce("max_pct_off", "avg_pct_off", F.lit(0.0))

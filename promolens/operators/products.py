@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from promolens.functions import promo, text
+from promolens.operators import likeness
 from promolens.operators.parity import MATCHED
 
 # Scores from which a name stands alone or counts at all, points within which prices
@@ -26,11 +27,15 @@ def anchored(mapping: DataFrame, comp: DataFrame, own: DataFrame) -> DataFrame:
 
 
 def best_products(met: DataFrame) -> DataFrame:
-    """One own product for each competitor product: the best name, near ones by price."""
+    """One own product for each competitor product: the best name, near ones by price.
+
+    One that is unmatched has its best score and nothing of any own product. ``price_confirmed``
+    says that prices are near enough, ``name_score`` is the score in whole points, and
+    ``own_revenue`` what the own product earns.
+    """
     key = ["city_code", "store_name", "comp_name", "comp_product"]
-    names = met.select(text.product_name(F.col("comp_product")).alias("a"), text.product_name(F.col("own_product")).alias("b")).distinct()
-    scores = names.withColumn("score", F.round(text.token_sort_ratio(F.col("a"), F.col("b")), 4))
-    rows = met.withColumns({"a": text.product_name(F.col("comp_product")), "b": text.product_name(F.col("own_product"))}).join(scores, ["a", "b"])
+    met = met.withColumns({"a": text.token_sort(text.product_name(F.col("comp_product"))), "b": text.token_sort(text.product_name(F.col("own_product")))})
+    rows = met.join(likeness.scored(met.select("a", "b").distinct()), ["a", "b"])
     ranked = Window.partitionBy(*key).orderBy(F.desc("score"), "own_product")
     rows = rows.withColumn("rn", F.row_number().over(ranked)).where(F.col("rn") <= TOP).withColumn("top", F.max("score").over(Window.partitionBy(*key)))
     rows = rows.where((F.col("rn") == 1) | ((F.col("score") >= F.col("top") - NEAR) & (F.col("score") >= LEAST)))
@@ -39,9 +44,12 @@ def best_products(met: DataFrame) -> DataFrame:
     best = rows.withColumn("pick", F.row_number().over(order)).where("pick = 1")
     gap = F.when((F.col("comp_price") > 0) & (F.col("own_price") > 0), F.round((F.col("comp_price") - F.col("own_price")) / F.col("own_price") * 100, 1))
     best = best.withColumn("gap_pct", gap)
-    sure = (F.col("score") >= AUTO) | F.coalesce(F.abs("gap_pct") <= GAP, F.lit(False))
-    kind = F.when(F.col("score") < LEAST, "unmatched").when(sure, "auto").otherwise("review")
-    return best.withColumn("match_type", kind).drop("a", "b", "rn", "top", "pick")
+    near = F.coalesce(F.abs("gap_pct") <= GAP, F.lit(False))
+    found = F.col("score") >= LEAST
+    kind = F.when(~found, "unmatched").when((F.col("score") >= AUTO) | near, "auto").otherwise("review")
+    best = best.withColumns({"match_type": kind, "price_confirmed": found & near, "name_score": F.bround("score", 0).cast("int"), "own_revenue": F.round("weight", 2)})
+    blank = {c: F.when(found, F.col(c)) for c in ("own_price", "own_rank", "own_pct", "weight", "own_revenue", "gap_pct")}
+    return best.withColumns(blank | {"own_product": F.when(found, F.col("own_product")).otherwise("")}).drop("a", "b", "rn", "top", "pick")
 
 
 def product_verdicts(best: DataFrame) -> DataFrame:
@@ -104,5 +112,5 @@ def open_stores(stores: DataFrame, mapping: DataFrame, review: DataFrame) -> Dat
 
 def match_summary(best: DataFrame) -> DataFrame:
     """Matches by kind, their share, and those that a price confirms."""
-    rows = best.groupBy("match_type").agg(F.count("*").alias("n"), F.count(F.when(F.abs("gap_pct") <= GAP, 1)).alias("n_confirmed"))
+    rows = best.groupBy("match_type").agg(F.count("*").alias("n"), F.count(F.when(F.col("price_confirmed"), 1)).alias("n_confirmed"))
     return rows.withColumn("share", F.round(F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy()), 1))  # a row a kind

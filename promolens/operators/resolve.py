@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from promolens.functions.text import lcs_length
+from promolens.operators import likeness
 
 # Scores from which a match stands by itself or goes to review, and the gap to the runner-up.
 AUTO, GAP, REVIEW = 88.0, 10.0, 70.0
@@ -24,15 +24,19 @@ def not_on_own(raw: DataFrame, mapping: DataFrame) -> DataFrame:
     return names.withColumn("k", F.lower(F.trim("restaurant_name"))).join(known, ["city_code", "k"], "left_anti").drop("k")
 
 
-def best_two(pairs: DataFrame) -> DataFrame:
-    """The best partner of each sorted name within its city, the runner-up's score, and what
-    follows. Pairs are scored once, in whatever cities they meet."""
-    score = F.round(200.0 * lcs_length(F.col("a"), F.col("b")) / (F.length("a") + F.length("b")), 4)
-    w = Window.partitionBy("city_code", "a").orderBy(F.desc("score"), "b")
-    scored = pairs.select("a", "b").distinct().withColumn("score", score)
-    top = pairs.join(scored, ["a", "b"]).withColumn("rn", F.row_number().over(w)).withColumn("second", F.coalesce(F.lead("score").over(w), F.lit(0.0)))
+def best_two(names: DataFrame, choices: DataFrame) -> DataFrame:
+    """The best partner of each sorted name within its city, the runner-up's score, and what follows.
+
+    names: city_code, a; choices: city_code, b; a name that is among its city's choices is no partner
+    of itself. Ties go to the smaller name.
+    """
+    order = Window.partitionBy("city_code").orderBy("b")
+    placed = choices.withColumn("place", F.row_number().over(order))
+    found = likeness.nearest(names, placed, 3).withColumn("best", F.slice(F.filter("best", lambda x: x["b"] != F.col("a")), 1, 2))
+    first, second = F.get("best", F.lit(0)), F.coalesce(F.get("best", F.lit(1))["score"], F.lit(0.0))
+    top = found.where(F.size("best") > 0).select("city_code", "a", first["b"].alias("b"), first["score"].alias("score"), second.alias("second"))
     outcome = F.when((F.col("score") >= AUTO) & (F.col("score") - F.col("second") >= GAP), "auto").when(F.col("score") >= AUTO, "ambiguous").when(F.col("score") >= REVIEW, "below_threshold").otherwise("silent")
-    return top.where("rn = 1").select("city_code", "a", "b", "score", "second", outcome.alias("outcome"))
+    return top.withColumn("outcome", outcome)
 
 
 def price_band(left: DataFrame, right: DataFrame, on: list[str], width: float = 1.0, rel: float = 0.05) -> DataFrame:

@@ -30,13 +30,14 @@ VIEWS = {
         FROM {orders} o JOIN {lineitem} l ON l.l_orderkey = o.o_orderkey JOIN {part} p ON l.l_partkey = p.p_partkey JOIN {supplier} s ON l.l_suppkey = s.s_suppkey JOIN {nation} n ON s.s_nationkey = n.n_nationkey
         WHERE l.l_discount >= 0.095""",
     "mapping": """
-        SELECT n.n_name AS city_code, a.s_name AS store_name, CASE WHEN a.s_suppkey % 10 IN (7, 8) THEN '' ELSE b.s_name END AS comp_name,
-               CASE a.s_suppkey % 10 WHEN 7 THEN 'manual_rejected' WHEN 8 THEN 'not_on_comp' ELSE 'manual_confirmed' END AS source
-        FROM {supplier} a JOIN {supplier} b ON a.s_nationkey = b.s_nationkey AND (a.s_suppkey = b.s_suppkey OR (a.s_suppkey % 3 = 0 AND b.s_suppkey % 5 = 0 AND a.s_suppkey % 10 NOT IN (7, 8)))
-        JOIN {nation} n ON a.s_nationkey = n.n_nationkey WHERE a.s_suppkey % 10 <> 9""",
+        SELECT n.n_name AS city_code, a.s_name AS store_name, CASE WHEN a.s_suppkey % 10 IN (6, 7, 8) THEN '' ELSE b.s_name END AS comp_name,
+               CASE WHEN a.s_suppkey % 10 = 6 THEN 'auto_review' WHEN a.s_suppkey % 10 = 7 THEN 'manual_rejected' WHEN a.s_suppkey % 10 = 8 THEN 'not_on_comp' ELSE 'manual_confirmed' END AS source
+        FROM {supplier} a JOIN {supplier} b ON a.s_nationkey = b.s_nationkey AND (a.s_suppkey = b.s_suppkey OR (a.s_suppkey % 3 = 0 AND b.s_suppkey % 5 = 0 AND a.s_suppkey % 10 NOT IN (6, 7, 8)))
+        JOIN {nation} n ON a.s_nationkey = n.n_nationkey WHERE a.s_suppkey % 10 <> 9
+        UNION ALL SELECT n.n_name, a.s_name, '', 'manual_rejected' FROM {supplier} a JOIN {nation} n ON a.s_nationkey = n.n_nationkey WHERE a.s_suppkey % 20 = 8""",
     "order_values": """
-        SELECT n.n_name AS city_code, s.s_name AS store_name, round(avg(o.o_totalprice) / 10000, 2) AS order_value
-        FROM {orders} o JOIN {supplier} s ON o.o_custkey = s.s_suppkey JOIN {nation} n ON s.s_nationkey = n.n_nationkey GROUP BY n.n_name, s.s_name""",
+        SELECT n.n_name AS city_code, s.s_name AS store_name, CAST(year(o.o_orderdate) AS STRING) AS week_num, round(avg(o.o_totalprice) / 10000, 2) AS order_value
+        FROM {orders} o JOIN {supplier} s ON o.o_custkey = s.s_suppkey JOIN {nation} n ON s.s_nationkey = n.n_nationkey GROUP BY n.n_name, s.s_name, year(o.o_orderdate)""",
     "managers": "SELECT n.n_name AS city_code, r.r_name AS manager FROM {nation} n JOIN {region} r ON n.n_regionkey = r.r_regionkey",
     "decisions": """
         SELECT concat('C', CAST(conv_id % 12 AS STRING)) AS city_code, CAST(conv_id AS STRING) AS store_name, turn AS seq, CASE WHEN role = 'user' THEN split_part(trim(text), ' ', 1) ELSE '' END AS name,

@@ -68,11 +68,11 @@ def _verdicts(name: str, stores: str) -> str:
       WHEN g = d AND g = 2 AND gp > 0 AND dp > 0 THEN CASE WHEN gp - dp >= 2 THEN 'SUPERIORITY' WHEN gp - dp <= -2 THEN 'INFERIORITY' WHEN gs = 'full' AND ds = 'selected' THEN 'SUPERIORITY' WHEN ds = 'full' AND gs = 'selected' THEN 'INFERIORITY' WHEN np >= 2 THEN 'SUPERIORITY' ELSE 'PARITY' END
       WHEN g = d AND g = 3 AND gp > 0 AND dp > 0 THEN CASE WHEN abs(gb - db) <= 10 THEN CASE WHEN gp - dp >= 2 THEN 'SUPERIORITY' WHEN gp - dp <= -2 THEN 'INFERIORITY' WHEN gb < db THEN 'SUPERIORITY' WHEN gb > db THEN 'INFERIORITY' ELSE 'PARITY' END
         ELSE CASE WHEN gp - dp >= 2 AND gb <= db THEN 'SUPERIORITY' WHEN gp - dp <= -2 AND gb >= db THEN 'INFERIORITY' ELSE 'PARITY' END END ELSE 'PARITY' END"""
-    return f"""absent AS (SELECT city_code, store_name, max(CASE WHEN source = 'not_on_comp' THEN 'NOT_ON_COMP' ELSE 'EXCLUSIVE_OWN' END) AS why FROM mapping WHERE trim(comp_name) = '' GROUP BY ALL),
+    return f"""absent AS (SELECT city_code, store_name, CASE WHEN bool_or(source = 'manual_rejected') THEN 'EXCLUSIVE_OWN' WHEN bool_or(source = 'not_on_comp') THEN 'NOT_ON_COMP' END AS why FROM mapping WHERE trim(comp_name) = '' GROUP BY ALL),
       {name}_m AS (SELECT s.*, m.name_norm, why, {up('best_promo_rank', 'min_basket_size')} AS g, coalesce({up('comp_rank', 'comp_basket')}, 6.0) AS d, coalesce(max_pct_off, avg_pct_off, 0) AS gp, coalesce(comp_pct, 0) AS dp,
           coalesce(promo_product_count, 0) AS np, coalesce(min_basket_size, 0) AS gb, coalesce(comp_basket, 0) AS db, CASE best_promo_type WHEN 'BASKET_PERCENTAGE' THEN 'full' WHEN 'TWO_FOR_ONE' THEN 'selected' ELSE '' END AS gs,
           CASE WHEN contains(lower(coalesce(promotion_type, '')), 'selezionat') THEN 'selected' WHEN regexp_matches(lower(coalesce(promotion_type, '')), 'spendi|risparmia|ordine|sconto|%') THEN 'full' ELSE '' END AS ds
-        FROM {stores} s LEFT JOIN order_values USING (city_code, store_name) LEFT JOIN (SELECT city_code, store_name, trim(regexp_replace(strip_accents(lower(comp_name)), '[^a-z0-9]+', ' ', 'g')) AS name_norm FROM mapping WHERE trim(comp_name) <> '') m USING (city_code, store_name)
+        FROM {stores} s LEFT JOIN order_values USING (city_code, store_name, week_num) LEFT JOIN (SELECT city_code, store_name, trim(regexp_replace(strip_accents(lower(comp_name)), '[^a-z0-9]+', ' ', 'g')) AS name_norm FROM mapping WHERE trim(comp_name) <> '') m USING (city_code, store_name)
         LEFT JOIN comp_index i ON i.city_code = s.city_code AND i.name_norm = m.name_norm LEFT JOIN absent a ON a.city_code = s.city_code AND a.store_name = s.store_name),
       {name} AS (SELECT city_code, store_name, week_num, unnest(arg_min({{'name_norm': name_norm, 'own_rank': g, 'comp_rank': d, 'parity': parity, 'revenue': revenue, 'promo_coverage_pct': promo_coverage_pct, 'best_promo_type': best_promo_type}},
           (CASE parity WHEN 'INFERIORITY' THEN 0 WHEN 'PARITY' THEN 1 ELSE 2 END, d, -dp, coalesce(name_norm, '')))) FROM (SELECT *, CASE WHEN name_norm IS NOT NULL THEN {ladder} ELSE coalesce(why, 'UNMATCHED') END AS parity FROM {name}_m) GROUP BY city_code, store_name, week_num)"""
@@ -350,8 +350,7 @@ _LCS = f"""WITH RECURSIVE names AS (SELECT DISTINCT p_brand AS city_code, {_SORT
 @query(_LCS)
 def fuzzy_best_two(get):
     names = get("part").select(F.col("p_brand").alias("city_code"), text.token_sort(F.lower("p_name")).alias("n")).distinct()
-    pairs = names.withColumnRenamed("n", "a").join(names.withColumnRenamed("n", "b"), "city_code").where("a <> b")
-    return resolve.best_two(pairs)
+    return resolve.best_two(names.withColumnRenamed("n", "a"), names.withColumnRenamed("n", "b"))
 
 
 @query("SELECT a.p_partkey AS a, b.p_partkey AS b FROM part a JOIN part b ON a.p_partkey < b.p_partkey AND a.p_brand = b.p_brand AND abs(a.p_retailprice - b.p_retailprice) <= 1 AND abs(a.p_retailprice - b.p_retailprice) <= 0.05 * greatest(a.p_retailprice, b.p_retailprice)")

@@ -9,7 +9,7 @@ from promolens.operators import discovery, legacy, parity, publish, state, views
 from promolens.plans import catalogue
 from promolens.plans.bridge import load
 from promolens.plans.catalogue import KEY, QUERIES, query
-from promolens.sources import payload
+from promolens.sources import cards, payload
 
 _B, _N = catalogue._BASE, catalogue._NAMES
 _COUNTS = f"counts AS (SELECT city_code, {catalogue.FOLD.format('restaurant_name')} AS name_norm, week_num, count(DISTINCT product_name) AS comp_products FROM comp_products GROUP BY ALL)"
@@ -173,22 +173,90 @@ def auto_merge(get):
 
 
 # ---------------------------------------------------------------- older matcher and its rules
-@query()
+_FOLDED = catalogue.FOLD
+_WORDS = "list_sort(list_distinct(list_filter(string_split({0}, ' '), lambda w: w <> '')))"
+_SIGNIFICANT = "list_filter(" + _WORDS + ", lambda w: length(w) > 2 AND w NOT IN ('pizza', 'pizzeria', 'sushi', 'burger', 'burgers', 'kebab', 'poke', 'pokè', 'ristorante', 'restaurant', 'food', 'house', 'bar', 'cucina', 'grill', 'chicken', 'delivery', 'mexican', 'italiano', 'italiana', 'plant', 'based', 'smashburger'))"
+_SHARED = f"list_filter({_SIGNIFICANT.format(_FOLDED.format('a'))}, lambda t: list_contains({_SIGNIFICANT.format(_FOLDED.format('b'))}, t))"
+
+
+@query(f"""WITH RECURSIVE own AS (SELECT DISTINCT p_brand AS city_code, concat('Ristorante ', p_name) AS a FROM part WHERE p_retailprice >= 910),
+  oth AS (SELECT p_brand AS city_code, CASE WHEN p_partkey % 3 = 0 THEN concat(upper(left(p_name, 1)), substr(p_name, 2)) ELSE p_name END AS b, p_partkey AS place FROM part),
+  pairs AS (SELECT DISTINCT a, b FROM own JOIN oth USING (city_code)),
+  words AS (SELECT a, b, {_WORDS.format('a')} AS x, {_WORDS.format('b')} AS y FROM pairs),
+  parts AS (SELECT a, b, array_to_string(list_filter(x, lambda w: list_contains(y, w)), ' ') AS meet, array_to_string(list_filter(x, lambda w: NOT list_contains(y, w)), ' ') AS l, array_to_string(list_filter(y, lambda w: NOT list_contains(x, w)), ' ') AS r FROM words),
+  s AS (SELECT DISTINCT l, r, 0 AS i, list_transform(range(0, length(r) + 1), lambda z: CAST(0 AS BIGINT)) AS v FROM parts
+    UNION ALL SELECT l, r, i + 1, list_transform(range(0, length(r) + 1), lambda j: greatest(v[j + 1], coalesce(list_max(list_transform(list_filter(range(1, j + 1), lambda k: substr(r, k, 1) = substr(l, i + 1, 1)), lambda k: v[k] + 1)), 0))) FROM s WHERE i < length(l)),
+  lengths AS (SELECT a, b, length(meet) AS n, length(p.l) AS p, length(p.r) AS q, v[length(p.r) + 1] AS lcs, CASE WHEN meet = '' THEN 0 ELSE 1 END AS gap FROM parts p JOIN s ON s.l = p.l AND s.r = p.r AND i = length(p.l)),
+  scored AS (SELECT a, b, round(CASE WHEN n > 0 AND (p = 0 OR q = 0) THEN 100.0 WHEN n = 0 THEN 200.0 * lcs / (p + q)
+    ELSE greatest(200.0 * (n + gap + lcs) / (2 * (n + gap) + p + q), 200.0 * n / (2 * n + gap + p), 200.0 * n / (2 * n + gap + q)) END, 4) AS score FROM lengths),
+  ranked AS (SELECT city_code, a, b, score, {_SHARED} AS shared, row_number() OVER w AS rn, lead(score) OVER w AS second, lead({_SHARED}) OVER w AS second_shared
+    FROM own JOIN oth USING (city_code) JOIN scored USING (a, b) WINDOW w AS (PARTITION BY city_code, a ORDER BY score DESC, place)),
+  top AS (SELECT *, len(list_filter(shared, lambda t: length(t) >= 4)) AS strong, {_FOLDED.format('a')} AS x, {_FOLDED.format('b')} AS y FROM ranked WHERE rn = 1)
+  SELECT city_code, a, b, score FROM top WHERE (x = y OR ((contains(x, y) OR contains(y, x)) AND strong > 0 AND score >= 84) OR (strong >= 2 AND score >= 84) OR (strong >= 1 AND score >= 88) OR score >= 95)
+    AND NOT coalesce(second >= score - 1.5 AND second_shared <> shared, false)""")
 def legacy_match(get):
-    """Names of one half of the menu with a word more, against the whole names of their brand."""
+    """Names of one half of the menu with a word more, against the names of their brand, every third with a capital."""
     names = get("part").select(F.col("p_brand").alias("city_code"), F.concat(F.lit("Ristorante "), F.col("p_name")).alias("a")).where("p_retailprice >= 910")
-    return legacy.match(names, get("part").select(F.col("p_brand").alias("city_code"), F.col("p_name").alias("b")))
+    name = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.upper(F.substring("p_name", 1, 1)), F.substring("p_name", 2, 10_000))).otherwise(F.col("p_name"))
+    return legacy.match(names, get("part").select(F.col("p_brand").alias("city_code"), name.alias("b"), F.col("p_partkey").alias("place")))
 
 
-_LINES = "(VALUES ('Preordina per le 19'), ('Oggi chiuso'), ('4,5 '), ('25 min'), ('12'), ('18:30 - 19:00'), ('Spendi almeno 10 € e risparmia'), ('2x1 sulle pizze'), ('Un menù in offerta'), ('consegna gratuita'), ('Pizzeria Da Ugo'), ('Tracking Ordine'), (' '), ('1,90 €')) x(line)"
+#: Lines as cards show them, dealt to the listing's rows: praise, an order for later, the name, measures, the promotion.
+_CARDS = """SELECT o_custkey % 50 AS point, o_orderkey AS place, concat('https://x.example/it/menu/c/da-', CAST(o_custkey % 7 AS STRING), '-amici?d=1') AS href,
+  CASE o_orderkey % 8 WHEN 0 THEN '  Nuovo ' WHEN 1 THEN concat(chr(39), 'tutto buono', chr(39)) WHEN 2 THEN 'Solo su Deliveroo' WHEN 3 THEN 'Tracking ordine' WHEN 4 THEN 'Preordina per domani' WHEN 5 THEN '20% di sconto' ELSE '' END AS l1,
+  CASE o_orderkey % 5 WHEN 0 THEN '4,5 ' WHEN 1 THEN ' ' ELSE concat('Locale ', CAST(o_custkey % 40 AS STRING), 'a') END AS l2,
+  CASE o_orderkey % 3 WHEN 0 THEN '25 min' WHEN 1 THEN '1,90 €' ELSE concat('Cucina ', CAST(o_custkey % 9 AS STRING), 'b') END AS l3,
+  CASE o_custkey % 7 WHEN 0 THEN '2 al prezzo di 1' WHEN 1 THEN 'Consegna gratis' WHEN 2 THEN 'Un menù in offerta' WHEN 3 THEN 'Spendi almeno 10 € e risparmia' WHEN 4 THEN '18:30 - 19:00' WHEN 5 THEN '12' ELSE 'due x uno' END AS l4 FROM {orders}"""
+_METRIC = r"regexp_matches({0}, '(?i)(\d+[.,]\d+\s*$|\bmin\b|\bkm\b|\bbuono\b|consegna|€|^\d+$|\d{{1,2}}:\d{{2}})')"
+_PROMO = r"regexp_matches({0}, '(?i)(2\s+al\s+prezzo\s+di\s+1|spendi\s+almeno|risparmia|%|prodotti\s+selezionati|men[uù]\s+in\s+offerta|consegna\s+grat(is|uita)|offerta|omaggio|aggiungi\s+un|2x1|due\s+x\s+uno)')"
+_PRE = r"regexp_matches({0}, '(?i)^(preordina|pre-order|preorder|ordina\s+per|chiude\s+alle|apre\s+alle|domani|oggi)\b')"
+_EDIT = r"(regexp_matches({0}, '(?i)(nuovo|novit[aà]|solo\s+su\s+deliveroo)') OR (starts_with({0}, chr(39)) AND ends_with({0}, chr(39))) OR " + _PRE + ")"
+_LINES = f"raw AS ({_CARDS.format(orders='orders')}), c AS (SELECT *, list_filter(list_transform([l1, l2, l3, l4], lambda x: trim(x)), lambda x: x <> '') AS lines FROM raw)"
 
 
-@query(f"""SELECT line, CASE WHEN trim(line) = '' THEN 'blank' WHEN lower(trim(line)) IN ('tracking ordine limitato', 'tracking ordine', 'ordine limitato') THEN 'placeholder' WHEN line IN ('Preordina per le 19', 'Oggi chiuso') THEN 'preorder'
-  WHEN line IN ('4,5 ', '25 min', '12', '18:30 - 19:00', 'consegna gratuita', '1,90 €', 'Spendi almeno 10 € e risparmia') THEN 'metric' WHEN line IN ('2x1 sulle pizze', 'Un menù in offerta') THEN 'promotion' ELSE 'name' END AS kind FROM {_LINES}""")
+def _captured(get):
+    return get("orders").sparkSession.sql(_CARDS, orders=get("orders")).select("point", "place", "href", F.array("l1", "l2", "l3", "l4").alias("lines"))
+
+
+@query(f"""WITH {_LINES}, each AS (SELECT unnest(list_concat(lines, [''])) AS line FROM c) SELECT kind, count(*) AS n, count(DISTINCT line) AS n_lines FROM (SELECT line, CASE WHEN line = '' THEN 'blank' WHEN lower(line) IN ('tracking ordine limitato', 'tracking ordine', 'ordine limitato') THEN 'placeholder'
+  WHEN {_PRE.format('line')} THEN 'preorder' WHEN {_METRIC.format('line')} THEN 'metric' WHEN {_PROMO.format('line')} THEN 'promotion' WHEN {_EDIT.format('line')} THEN 'editorial' ELSE 'name' END AS kind FROM each) GROUP BY kind""")
 def line_classes(get):
-    """P10: cases worked out by hand; a line with a price is a measure first."""
-    some = get("region").limit(1).select(F.explode(F.array(*[F.lit(x) for x in ("Preordina per le 19", "Oggi chiuso", "4,5 ", "25 min", "12", "18:30 - 19:00", "Spendi almeno 10 € e risparmia", "2x1 sulle pizze", "Un menù in offerta", "consegna gratuita", "Pizzeria Da Ugo", "Tracking Ordine", " ", "1,90 €")])).alias("line"))
-    return some.select("line", legacy.line_class(F.col("line")).alias("kind"))
+    """P10: the lines of all cards by what they tell, with one blank line a card."""
+    each = _captured(get).select(F.explode(F.concat(legacy.clean_lines(F.col("lines")), F.array(F.lit("")))).alias("line"))
+    return each.select("line", legacy.line_class(F.col("line")).alias("kind")).groupBy("kind").agg(F.count("*").alias("n"), F.countDistinct("line").alias("n_lines"))
+
+
+_URL_NAME = "concat('Da ', split_part(split_part(href, '/da-', 2), '-', 1), ' Amici')"
+_NAMED = f"""{_LINES}, m AS (SELECT *, list_position(list_transform(lines, lambda x: {_METRIC.format('x')}), true) AS k FROM c),
+  f AS (SELECT *, coalesce(list_filter(CASE WHEN k > 0 THEN lines[1:k - 1] ELSE lines END, lambda x: NOT {_PROMO.format('x')} AND NOT {_EDIT.format('x')})[1], list_filter(lines, lambda x: NOT {_METRIC.format('x')} AND NOT {_PROMO.format('x')} AND NOT {_EDIT.format('x')})[1], '') AS first FROM m),
+  g AS (SELECT *, CASE WHEN first = '' OR lower(first) IN ('tracking ordine limitato', 'tracking ordine', 'ordine limitato') THEN {_URL_NAME} ELSE first END AS restaurant_name,
+    array_to_string(list_filter(lines, lambda x, i: {_PROMO.format('x')} AND list_position(lines, x) = i), ' | ') AS promotion_type FROM f),
+  cards AS (SELECT point, place, restaurant_name, promotion_type, href AS source_url FROM g QUALIFY row_number() OVER (PARTITION BY point, {catalogue.FOLD.format('restaurant_name')}, lower(promotion_type) ORDER BY place) = 1)"""
+
+
+@query(f"WITH {_NAMED} SELECT * FROM cards")
+def card_listing(get):
+    """Names, promotions and addresses from the lines of cards."""
+    return cards.cards(_captured(get))
+
+
+@query(f"""WITH {_NAMED} SELECT point, CASE WHEN n > 0 THEN 'covered' ELSE 'no_restaurants_found' END AS status, n AS restaurant_count, n_promoted FROM (SELECT point, count(*) AS n,
+  count(*) FILTER (promotion_type <> '' AND NOT regexp_matches(promotion_type, '(?i)consegna\\s+grat(is|uita)')) AS n_promoted FROM cards GROUP BY point)""")
+def card_points(get):
+    """What each point showed, and how many of its cards go on into the listing."""
+    captured = _captured(get)
+    found = cards.cards(captured)
+    kept = cards.promoted(found).groupBy("point").agg(F.count("*").alias("k"))
+    return cards.point_status(captured, found).join(kept, "point", "left").select("point", "status", "restaurant_count", F.coalesce("k", F.lit(0)).alias("n_promoted"))
+
+
+@query(f"""WITH {_LINES}, p AS (SELECT point, place, href AS promotion_type, lines FROM c WHERE len(list_filter(lines, lambda x: {_PROMO.format('x')})) > 0),
+  n AS (SELECT *, coalesce(list_filter(lines, lambda x: NOT {_PROMO.format('x')} AND NOT {_METRIC.format('x')})[1], lines[1]) AS product_name, coalesce(list_filter(lines, lambda x: contains(x, '€'))[1], '') AS product_price FROM p),
+  d AS (SELECT *, coalesce(list_filter(lines[2:], lambda x: x <> product_name AND x <> product_price AND NOT {_PROMO.format('x')} AND NOT {_METRIC.format('x')})[1], '') AS product_description FROM n WHERE NOT {_PROMO.format('product_name')})
+  SELECT point, place, product_name, product_description, product_price, promotion_type FROM d QUALIFY row_number() OVER (PARTITION BY point, {catalogue.FOLD.format('product_name')}, {catalogue.FOLD.format('product_price')}, {catalogue.FOLD.format('promotion_type')} ORDER BY place) = 1""")
+def menu_entries(get):
+    """Promoted entries of menus from their lines."""
+    return cards.menu_entries(_captured(get).withColumn("promotion_type", F.col("href")))
 
 
 @query("SELECT promotion_type, count(*) AS n FROM comp_raw WHERE NOT regexp_matches(promotion_type, '(?i)consegna\\s+grat(is|uita)|spese\\s+di\\s+consegna\\s+a\\s+0|consegna\\s+a\\s+0|free\\s+delivery|delivery\\s+grat(is|uita)') GROUP BY ALL")

@@ -38,7 +38,9 @@ _MATCH = f"""RECURSIVE {_LCS}, {catalogue._stores('menu', False)},
     JOIN scored ON a = {_SORTED.format('comp_product')} AND b = {_SORTED.format('own_product')}) WINDOW w AS (PARTITION BY city_code, store_name, comp_name, comp_product ORDER BY score DESC, own_product)),
   near AS (SELECT *, row_number() OVER (PARTITION BY city_code, store_name, comp_name, comp_product ORDER BY CASE WHEN comp_price IS NOT NULL THEN round(CASE WHEN own_price > 0 THEN abs(comp_price - own_price) / greatest(comp_price, own_price) ELSE 9.9 END, 9) END, score DESC, own_product) AS pick
     FROM met WHERE rn = 1 OR (rn <= 5 AND score >= top - 3 AND score >= 60)),
-  best AS (SELECT *, CASE WHEN score < 60 THEN 'unmatched' WHEN score >= 88 OR coalesce(abs(gap_pct) <= 3, false) THEN 'auto' ELSE 'review' END AS match_type FROM (
+  best AS (SELECT * EXCLUDE (own_product, own_price, own_rank, own_pct, weight, gap_pct), CASE WHEN score < 60 THEN '' ELSE own_product END AS own_product, CASE WHEN score >= 60 THEN own_price END AS own_price, CASE WHEN score >= 60 THEN own_rank END AS own_rank,
+      CASE WHEN score >= 60 THEN own_pct END AS own_pct, CASE WHEN score >= 60 THEN weight END AS weight, CASE WHEN score >= 60 THEN gap_pct END AS gap_pct, score >= 60 AND coalesce(abs(gap_pct) <= 3, false) AS price_confirmed, CAST(round_even(score, 0) AS INTEGER) AS name_score,
+      CASE WHEN score < 60 THEN 'unmatched' WHEN score >= 88 OR coalesce(abs(gap_pct) <= 3, false) THEN 'auto' ELSE 'review' END AS match_type FROM (
     SELECT *, CASE WHEN comp_price > 0 AND own_price > 0 THEN round((comp_price - own_price) / own_price * 100, 1) END AS gap_pct FROM near WHERE pick = 1)),
   whole AS (SELECT city_code, store_name, comp_name, count(*) AS n_products FROM best GROUP BY ALL HAVING count(*) >= 3 AND count(*) = count(*) FILTER (match_type = 'auto')),
   each AS (SELECT city_code, store_name, comp_name, n_products, own_product, max(own_rank) AS g, max(own_pct) AS gp, max(CASE WHEN weight > 0 THEN weight WHEN own_price > 0 THEN own_price ELSE 1.0 END) AS w,
@@ -49,9 +51,9 @@ _MATCH = f"""RECURSIVE {_LCS}, {catalogue._stores('menu', False)},
 _USES = "/* own_products comp_products mapping */"
 
 
-@query(f"cte: {_MATCH} SELECT city_code, store_name, comp_name, comp_product, own_product, score, gap_pct, match_type FROM best {_USES}")
+@query(f"cte: {_MATCH} SELECT city_code, store_name, comp_name, comp_product, own_product, score, name_score, gap_pct, price_confirmed, weight AS own_revenue, match_type FROM best {_USES}")
 def product_match(get):
-    return _product_match(get).select("city_code", "store_name", "comp_name", "comp_product", "own_product", "score", "gap_pct", "match_type")
+    return _product_match(get).select("city_code", "store_name", "comp_name", "comp_product", "own_product", "score", "name_score", "gap_pct", "price_confirmed", "own_revenue", "match_type")
 
 
 @query(f"cte: {_MATCH} SELECT * FROM product_verdicts {_USES}")
@@ -66,7 +68,7 @@ def product_override(get):
     return products.override(catalogue._verdict_rows(get), products.product_verdicts(_product_match(get)))
 
 
-@query(f"""cte: {_MATCH} SELECT match_type, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 1) AS share, count(*) FILTER (abs(gap_pct) <= 3) AS n_confirmed FROM best GROUP BY match_type {_USES}""")
+@query(f"""cte: {_MATCH} SELECT match_type, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 1) AS share, count(*) FILTER (price_confirmed) AS n_confirmed FROM best GROUP BY match_type {_USES}""")
 def match_summary(get):
     """How well products are matched, and how many matches a price confirms."""
     return products.match_summary(_product_match(get))

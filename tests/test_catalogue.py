@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from promolens.functions import promo, text
+from promolens.operators import likeness
 from promolens.plans import catalogue, dashboard, products, streams  # noqa: F401
 from promolens.sources import tables
 
@@ -61,7 +62,8 @@ def test_names_and_prices(spark):
     prices = [("1.234,56 €", 1234.56), ("20,53", 20.53), ("12.50", 12.5), ("1.234", 1.234), ("gratis", None), ("1.2.3", None), ("", None)]
     assert one(spark, [(p[0],) for p in prices], "t string", c, text.price(c)) == prices
     ratios = [("fra diavolo", "fradiavolo", 66.67), ("kebabam plana", "kebabam", 70.0), ("new york pizza", "pizza new york", 100.0), ("", "", 100.0)]
-    assert one(spark, [r[:2] for r in ratios], "a string, b string", F.round(text.token_sort_ratio(F.col("a"), F.col("b")), 2)) == [(r[2],) for r in ratios]
+    pairs = spark.createDataFrame([r[:2] for r in ratios], "a string, b string").select(text.token_sort(F.col("a")).alias("a"), text.token_sort(F.col("b")).alias("b"))
+    assert [round(r["score"], 2) for r in likeness.scored(pairs).collect()] == [r[2] for r in ratios]
     assert one(spark, [(45.4642, 9.19)], "a double, b double", text.geohash(F.col("a"), F.col("b"), 7), text.geohash(F.lit(57.64911), F.lit(10.40744), 11)) == [("u0nd9he", "u4pruydqqvj")]
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from promolens.functions import promo, text
-from promolens.operators import discovery, legacy, parity, publish, state, views
+from promolens.operators import likeness, discovery, legacy, parity, publish, state, views
 from promolens.sources import geo, payload, tables
 
 
@@ -133,12 +133,21 @@ def test_older_rules(spark):
     got = one.select(legacy.infer_name(F.array(*map(F.lit, lines)), F.lit("")).alias("n"), legacy.infer_promotion(F.array(*map(F.lit, lines))).alias("p")).first()
     assert got["n"] == "Pizzeria Da Ugo" and got["p"] == "nuovo men\u00f9 2x1 | Spendi almeno 10 | 2x1"
     assert one.select(legacy.infer_name(F.array(F.lit("25 min")), F.lit("https://x/it/menu/da-ugo")).alias("n")).first()["n"] == "Da Ugo"
-    ratios = [("fuzzy was a bear", "fuzzy fuzzy was a bear", 100.0), ("red gear", "blue lamp", 400 / 17), ("", "", 0.0)]
+    ratios = [("fuzzy was a bear", "fuzzy fuzzy was a bear", 100.0), ("red gear", "blue lamp", 400 / 17), ("", "", 0.0), ("Fuzzy", "fuzzy", 80.0)]
     for a, b, want in ratios:
-        assert abs(one.select(legacy.token_set_ratio(F.lit(a), F.lit(b)).alias("v")).first()["v"] - want) < 0.01
-    names = spark.createDataFrame([("A", "Antica Focacceria Rossi"), ("A", "Nuova Trattoria"), ("A", "Gelato Blu")], "city_code string, a string")
-    choices = spark.createDataFrame([("A", "focacceria rossi"), ("A", "gelato blu uno"), ("A", "gelato blu due"), ("B", "nuova trattoria")], "city_code string, b string")
-    assert rows(legacy.match(names, choices), "a", "b")[0] == ("Antica Focacceria Rossi", "focacceria rossi")
+        assert abs(likeness.WordSet(a).score(likeness.WordSet(b)) - want) < 0.01
+    names = spark.createDataFrame([("A", "Antica Focacceria Rossi"), ("A", "Nuova Trattoria"), ("A", "Gelato Blu"), ("A", " | "), ("A", "Verdi Club")], "city_code string, a string")
+    choices = [("A", "Focacceria Rossi"), ("A", "Gelato Blu uno"), ("A", "Gelato Blu due"), ("B", "Nuova Trattoria"), ("A", "Verdi Club"), ("A", "Verdi Club")]
+    choices = spark.createDataFrame([(c, b, k) for k, (c, b) in enumerate(choices)], "city_code string, b string, place long")
+    # two gelato shops are alike and share the same words, so the first one stands; a repeated choice is its own runner-up
+    assert rows(legacy.match(names, choices), "a", "b") == [("Antica Focacceria Rossi", "Focacceria Rossi"), ("Gelato Blu", "Gelato Blu uno"), ("Verdi Club", "Verdi Club")]
+    lower = choices.withColumn("b", F.lower("b"))  # capitals count: Rossi and rossi are other words
+    assert [r[0] for r in rows(legacy.match(names, lower), "a", "b")] == ["Verdi Club"]
+    head = lambda lines, href="https://x/it/menu/da-ugo": one.select(legacy.infer_name(F.array(*map(F.lit, lines)), F.lit(href)).alias("n")).first()["n"]
+    assert head(["Nuovo", "Pizzeria Da Ugo", "4,5"]) == "Pizzeria Da Ugo" and head(["'buono'", "4,5", "Da Elena"]) == "Da Elena"
+    assert head(["Tracking ordine", "Da Elena", "4,5"]) == "Da Ugo" and head(["Preordina per domani", "4,5"]) == "Da Ugo" and head(["Tracking ordine"], "") == "Tracking ordine"
+    kinds = {"Nuovo": "editorial", "Solo su Deliveroo": "editorial", "'x'": "editorial", "Oggi chiuso": "preorder", "12": "metric", "2x1": "promotion", " ": "blank", "Tracking Ordine": "placeholder", "Da Ugo": "name", "consegna rapida": "metric"}
+    assert {x: one.select(legacy.line_class(F.lit(x)).alias("k")).first()["k"] for x in kinds} == kinds
     old = spark.createDataFrame([("A", "Da Ugo", "2x1 | 20% di sconto", "u1", 1), ("A", "Da Ugo", "consegna gratis", "u2", 2)], "city_code string, restaurant_name string, promotion_type string, source_url string, seq int")
     new = spark.createDataFrame([("A", "DA UGO", "30% di sconto | 2x1", "u3", 3)], old.schema)
     assert rows(legacy.upsert_listing(old, new), "promotions", "source_url") == [("2x1 | 20% di sconto | 30% di sconto", "u3")]
