@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from promolens.operators.retention import prune_versions
 from promolens.operators.state import upsert_sheet
 
 # Days after which a file is old, points of a shift and percent of a drop or gain that count.
@@ -37,7 +38,7 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], folder: str, orde
     """Merge each table into its published copy by MATRIX; one that fails doesn't stop the others.
 
     Returns (name, rows, status), rows -1 for a failure. The new copy is written beside the old one
-    and counted before the name points to it.
+    and counted before the name points to it; versions older than the last few go.
     """
     out = []
     for name, new in tables.items():
@@ -49,7 +50,10 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], folder: str, orde
             merged = upsert_sheet(old, new, key, order, part, keep)
             merged.write.mode("overwrite").parquet(f"{marker}/v={number + 1}")
             out.append((name, spark.read.parquet(f"{marker}/v={number + 1}").count(), "ok"))
+            prune_versions(spark, marker)
         except Exception as fault:  # noqa: BLE001  the others go on, this one is reported
+            if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
+                raise  # no table's fault
             out.append((name, -1, f"{type(fault).__name__}: {str(fault).splitlines()[0][:200]}"))
     return spark.createDataFrame(out, "name string, rows long, status string")
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,10 +46,13 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def read_ragged(spark: SparkSession, path: str, width: int) -> DataFrame:
-    """Rows that are shorter than the header are eked out with blanks; a table without rows is an error."""
-    lines = spark.read.csv(path, header=False, inferSchema=False, encoding="UTF-8", schema=", ".join(f"c{k} string" for k in range(width)))
-    head = lines.first()
-    rows = lines.where(~reduce(lambda a, b: a & b, [F.col(f"c{k}").eqNullSafe(F.lit(head[k])) for k in range(width)])) if head else lines
+    """Rows that are shorter than the header are eked out with blanks; a table without rows is an error.
+
+    The first line alone is the header; a row that repeats it stays.
+    """
+    shape = ", ".join(f"c{k} string" for k in range(width))
+    head = spark.read.csv(path, header=False, encoding="UTF-8", schema=shape).first()
+    rows = spark.read.csv(path, header=True, enforceSchema=True, encoding="UTF-8", schema=shape)
     if rows.isEmpty():
         raise ValueError(f"no rows in {path}")
     names = [(head[k] or f"column_{k}").replace("\ufeff", "").strip() for k in range(width)]
@@ -108,13 +112,29 @@ def import_seed(seed: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def write_verified(df: DataFrame, path: str, least: int = 0, partition: str | None = None) -> int:
-    """Refuse a table below ``least`` rows, write it, read it again and compare the count."""
-    n = df.count()
-    if n < least:
-        raise ValueError(f"refusing to overwrite with {n} rows; {least} are expected at least")
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
-    back = df.sparkSession.read.parquet(path).count()
-    if back < n:
-        raise RuntimeError(f"{back} of {n} rows arrived")
+    """Refuse a table below ``least`` rows or one of which rows are lost on the way; returns their number.
+
+    The table is made once, beside its place, counted as it is written and again as it is read; only
+    then it, or each of its partitions, takes the place of what was there.
+    """
+    spark, seen, stage = df.sparkSession, Observation(), f"{path}.stage-{uuid.uuid4().hex}"
+    writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write
+    (writer.partitionBy(partition) if partition else writer).parquet(stage)
+    n, back = seen.get["n"], spark.read.schema(df.schema).parquet(stage).count()
+    jvm_path = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    fs = jvm_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        if n < least:
+            raise ValueError(f"refusing to overwrite with {n} rows; {least} are expected at least")
+        if back < n:
+            raise RuntimeError(f"{back} of {n} rows arrived")
+        found = [s.getPath().getName() for s in fs.listStatus(jvm_path(stage)) if s.isDirectory()] if partition else [""]
+        for name in found:
+            target = jvm_path(f"{path}/{name}".rstrip("/"))
+            fs.delete(target, True)
+            fs.mkdirs(target.getParent())
+            if not fs.rename(jvm_path(f"{stage}/{name}".rstrip("/")), target):
+                raise OSError(f"could not move {name or stage} to {path}")
+    finally:
+        fs.delete(jvm_path(stage), True)
     return n
