@@ -2,23 +2,62 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accented Latin letters and what they fold to.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿāăąćčďđēėęěğīįłńňōőřśšťūůűźżž"
-FOLDED = "aaaaaaceeeeiiiinooooouuuuyyaaaccddeeeegiilnnoorsstuuuzzz"
 # Words of store names that tell nothing.
-STOPWORDS = (
-    "il la lo le gli i un una uno di da a in su per con tra fra del della dello dei degli delle al alla allo ai agli alle "
-    "dal dalla dallo dai dagli dalle restaurant ristorante pizzeria trattoria bar cafe caffe osteria"
-).split()
+STOPWORDS = [
+    "il", "la", "lo", "le", "gli", "i", "un", "una", "uno", "di", "da", "a", "in", "su", "per", "con", "tra", "fra",
+    "del", "della", "dello", "dei", "degli", "delle", "al", "alla", "allo", "ai", "agli", "alle", "dal", "dalla", "dallo", "dai",
+    "dagli", "dalle", "restaurant", "ristorante", "pizzeria", "trattoria", "bar", "cafe", "caffe", "osteria",
+]
 GEOHASH = "0123456789bcdefghjkmnpqrstuvwxyz"
 
 
+def _decomposed() -> tuple[str, str, dict[str, str]]:
+    """Letters that decompose to one, what they decompose to, and those that decompose to more; marks, which go, end the first.
+
+    The rule is compatibility decomposition without combining marks, of every character but Hangul
+    syllables, which stay whole.
+    """
+    one, to, marks, more = [], [], [], {}
+    for code in range(0x80, sys.maxunicode + 1):
+        c = chr(code)
+        if 0xAC00 <= code <= 0xD7A3 or 0xD800 <= code <= 0xDFFF:
+            continue
+        if unicodedata.combining(c):
+            marks.append(c)
+            continue
+        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if plain == c:
+            continue
+        if len(plain) == 1:
+            one.append(c)
+            to.append(plain)
+        else:
+            more[c] = plain
+    return "".join(one + marks), "".join(to), more
+
+
+ONE, PLAIN, MORE = _decomposed()
+#: Where letters that decompose to several stand, roughly: a few of Latin, and all from here on.
+RARE = r"[\x{bc}-\x{be}\x{132}\x{133}\x{13f}\x{140}\x{149}\x{1c4}-\x{10ffff}]"
+
+
 def unaccent(c: Column) -> Column:
-    """Lower case, accents off: by a table, so it stays inside generated code."""
-    return F.translate(F.lower(c), ACCENTED, FOLDED)
+    """Lower case, decomposed, accents off: by a table, so it stays inside generated code.
+
+    Letters that decompose to several (ligatures, fractions, units) are looked up one by one, in
+    rows that hold any.
+    """
+    low = F.lower(c)
+    several = F.str_to_map(F.lit("\x02".join(f"{a}\x01{b}" for a, b in MORE.items())), F.lit("\x02"), F.lit("\x01"))
+    rare = F.array_join(F.transform(F.split(low, ""), lambda x: F.coalesce(F.try_element_at(several, x), x)), "")
+    holds = low.rlike(RARE) & (F.translate(low, "".join(MORE), "") != low)
+    return F.translate(F.when(holds, rare).otherwise(low), ONE, PLAIN)
 
 
 def fold(c: Column) -> Column:

@@ -8,15 +8,20 @@ from pyspark.sql import functions as F
 from promolens.functions.text import geohash
 
 
-def ring(wkt: Column) -> Column:
-    """Outer ring of a WKT polygon as an array of (x, y)."""
-    body = F.regexp_extract(wkt, r"\(\(([^)]*)\)", 1)
-    return F.transform(F.split(body, r"\s*,\s*"), lambda p: F.struct(F.get(F.split(F.trim(p), r"\s+"), F.lit(0)).cast("double").alias("x"), F.get(F.split(F.trim(p), r"\s+"), F.lit(1)).cast("double").alias("y")))
+def rings(wkt: Column) -> Column:
+    """All rings of a WKT polygon, the outer one first, each an array of (x, y)."""
+    number = lambda p, k: F.get(F.split(F.trim(p), r"\s+"), F.lit(k)).try_cast("double")
+    each = F.regexp_extract_all(wkt, F.lit(r"\(([^()]*)\)"), F.lit(1))
+    return F.transform(each, lambda body: F.transform(F.split(body, r"\s*,\s*"), lambda p: F.struct(number(p, 0).alias("x"), number(p, 1).alias("y"))))
 
 
-def covers(points: Column, x: Column, y: Column) -> Column:
-    """Inside or on the border."""
-    edges = F.transform(F.sequence(F.lit(0), F.size(points) - 2), lambda i: F.struct(F.get(points, i).alias("a"), F.get(points, i + 1).alias("b")))
+def edges_of(some: Column) -> Column:
+    """The sides of all rings."""
+    return F.flatten(F.transform(some, lambda r: F.transform(F.sequence(F.lit(0), F.greatest(F.size(r) - 2, F.lit(0))), lambda i: F.struct(F.get(r, i).alias("a"), F.coalesce(F.get(r, i + 1), F.get(r, i)).alias("b")))))
+
+
+def covers(edges: Column, x: Column, y: Column) -> Column:
+    """Inside, so that a ray meets an odd number of sides and holes count, or on a border."""
 
     def on(e):
         a, b = e["a"], e["b"]
@@ -30,6 +35,27 @@ def covers(points: Column, x: Column, y: Column) -> Column:
     return F.exists(edges, on) | (F.size(F.filter(edges, lambda e: F.coalesce(crosses(e), F.lit(False)))) % 2 == 1)
 
 
+def inner_point(edges: Column) -> Column:
+    """(x, y) inside a polygon, null for one without any area: the middle of its widest stretch on a
+    line between two corners' heights, of the pair of heights nearest to half way up."""
+    heights = F.array_sort(F.array_distinct(F.transform(edges, lambda e: e["a"]["y"])))
+    half = (F.element_at(heights, 1) + F.element_at(heights, -1)) / 2
+    between = F.transform(F.slice(heights, 1, F.greatest(F.size(heights) - 1, F.lit(0))), lambda h, k: (h + F.get(heights, k + 1)) / 2)
+    line = F.array_min(F.transform(between, lambda y: F.struct(F.abs(y - half).alias("far"), y.alias("y"))))["y"]
+
+    def meets(y):
+        met = F.filter(edges, lambda e: (e["a"]["y"] > y) != (e["b"]["y"] > y))
+        return F.array_sort(F.transform(met, lambda e: (e["b"]["x"] - e["a"]["x"]) * (y - e["a"]["y"]) / (e["b"]["y"] - e["a"]["y"]) + e["a"]["x"]))
+
+    def widest(xs):
+        pairs = F.filter(F.transform(xs, lambda x, k: F.when(k % 2 == 0, F.struct((x - F.get(xs, k + 1)).alias("narrow"), ((x + F.get(xs, k + 1)) / 2).alias("x")))), lambda p: p.isNotNull() & p["x"].isNotNull())
+        return F.array_min(pairs)["x"]
+
+    # arrays of one bind what is worked out once
+    found = F.transform(F.array(line), lambda y: F.struct(F.element_at(F.transform(F.array(meets(y)), widest), 1).alias("x"), y.alias("y")))
+    return F.element_at(F.filter(found, lambda p: p["x"].isNotNull()), 1)
+
+
 # Kilometres of a degree of latitude, and of longitude at the equator; the least cosine.
 LATITUDE_KM, LONGITUDE_KM, LEAST_COSINE = 110.574, 111.320, 0.2
 
@@ -48,11 +74,13 @@ def grid(polygons: DataFrame, step_km: float, precision: int = 7) -> DataFrame:
     """code, lat, lon and geohash of the points every ``step_km`` kilometres that the polygon covers.
 
     Rows of the grid are added up from the south as the source does, so the last digit agrees; each
-    row has its own step of longitude. A geohash counts once, at its first point. A polygon that
-    holds no point of the grid has one: the middle of its corners' mean and its first corner, if
-    that is covered, else the first corner. Bad WKT gives none.
+    row has its own step of longitude. A geohash counts once, at its first point; holes are not
+    covered, borders are. A polygon that holds no point of the grid has one inside it, and one
+    without any area its first corner. Bad WKT gives none.
     """
-    p = polygons.where(F.col("wkt").rlike(r"(?i)^\s*polygon\s*\(\(")).withColumn("ring", ring(F.col("wkt")))
+    p = polygons.where(F.col("wkt").rlike(r"(?i)^\s*polygon\s*\(\(")).withColumn("rings", rings(F.col("wkt")))
+    p = p.withColumn("ring", F.element_at("rings", 1)).withColumn("edges", edges_of(F.col("rings")))
+    p = p.where(F.forall("edges", lambda e: e["a"]["x"].isNotNull() & e["a"]["y"].isNotNull() & e["b"]["x"].isNotNull() & e["b"]["y"].isNotNull()))
     low = lambda k: F.array_min(F.transform("ring", lambda q: q[k]))
     high = lambda k: F.array_max(F.transform("ring", lambda q: q[k]))
     p = p.withColumns({"x0": low("x"), "x1": high("x"), "y0": low("y"), "y1": high("y")})
@@ -60,10 +88,9 @@ def grid(polygons: DataFrame, step_km: float, precision: int = 7) -> DataFrame:
     rows = p.withColumn("y", F.explode(F.filter(line(F.col("y0"), F.col("y1"), F.lit(step_km / LATITUDE_KM)), lambda v: v <= F.col("y1"))))
     rows = rows.withColumn("dx", F.lit(step_km) / (LONGITUDE_KM * F.greatest(F.lit(LEAST_COSINE), F.cos(F.radians("y")))))
     rows = rows.withColumn("x", F.explode(F.filter(line(F.col("x0"), F.col("x1"), F.col("dx")), lambda v: v <= F.col("x1"))))
-    inside = rows.where(covers(F.col("ring"), F.col("x"), F.col("y"))).withColumn("geohash", geohash(F.col("y"), F.col("x"), precision))
+    inside = rows.where(covers(F.col("edges"), F.col("x"), F.col("y"))).withColumn("geohash", geohash(F.col("y"), F.col("x"), precision))
     points = inside.groupBy("code", "geohash").agg(F.min(F.struct(F.col("y").alias("lat"), F.col("x").alias("lon"))).alias("p")).select("code", "p.lat", "p.lon", "geohash")
-    mean = lambda k: F.aggregate(F.transform("ring", lambda q: q[k]), F.lit(0.0), lambda s, v: s + v) / F.size("ring")
-    rest = p.join(points.select("code").distinct(), "code", "left_anti").withColumns({"mx": (mean("x") + F.get("ring", F.lit(0))["x"]) / 2, "my": (mean("y") + F.get("ring", F.lit(0))["y"]) / 2})
-    kept = covers(F.col("ring"), F.col("mx"), F.col("my"))
-    rest = rest.select("code", F.when(kept, F.col("my")).otherwise(F.get("ring", F.lit(0))["y"]).alias("lat"), F.when(kept, F.col("mx")).otherwise(F.get("ring", F.lit(0))["x"]).alias("lon"))
+    first, inner = F.get("ring", F.lit(0)), inner_point(F.col("edges"))
+    rest = p.join(points.select("code").distinct(), "code", "left_anti").withColumn("p", F.coalesce(inner, first))
+    rest = rest.select("code", F.col("p.y").alias("lat"), F.col("p.x").alias("lon"))
     return points.unionByName(rest.withColumn("geohash", geohash(F.col("lat"), F.col("lon"), precision)))
