@@ -42,6 +42,9 @@ VIEWS = {
     "decisions": """
         SELECT concat('C', CAST(conv_id % 12 AS STRING)) AS city_code, CAST(conv_id AS STRING) AS store_name, turn AS seq, CASE WHEN role = 'user' THEN split_part(trim(text), ' ', 1) ELSE '' END AS name,
                CASE WHEN role = 'user' THEN 'manual_confirmed' WHEN length(text) % 2 = 0 THEN 'Manual_Not_Comp' ELSE 'manual_rejected' END AS source FROM {conversations} WHERE role IN ('user', 'assistant')""",
+    "commands": """
+        SELECT concat('C', CAST(conv_id % 12 AS STRING)) AS city_code, CAST(conv_id AS STRING) AS store_name, turn AS seq, CASE CASE WHEN conv_id % 5 = 0 THEN 2 ELSE (length(text) + turn) % 6 END WHEN 0 THEN 'reject' WHEN 1 THEN 'absent' WHEN 2 THEN 'remove' WHEN 3 THEN ' Set' ELSE 'confirm' END AS action,
+               CASE WHEN length(text) % 7 = 0 THEN ' ' ELSE lower(substring(trim(text), 1, 1)) END AS name1, lower(substring(trim(text), 2, 1)) AS name2 FROM {conversations} WHERE text IS NOT NULL""",
 }
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "conversations")
 

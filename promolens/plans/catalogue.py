@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from promolens.functions import promo, text
 from promolens.operators import parity, quality, resolve, state
-from promolens.plans.bridge import load, oracle
+from promolens.plans.bridge import oracle
+from promolens.plans.registry import Tables
 from promolens.sources import geo, payload
 
 QUERIES: dict = {}
@@ -16,10 +17,10 @@ KEY = list(parity.KEY)
 
 
 def query(sql: str | None = None):
-    """Register a function (get, spark, sf_dir) -> DataFrame under its name, with its SQL."""
+    """Register a function of a registry of tables under its name, with its SQL."""
 
     def add(f):
-        QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda name: load(spark, sf_dir, name))
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
         if sql is not None:
             ORACLE_SQL[f.__name__] = oracle(sql)
         return f

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from promolens.operators import commands
 from promolens.plans import catalogue
-from promolens.plans.bridge import load
+from promolens.plans.bridge import load, oracle
 from promolens.streaming import arrival, fold, listing, sink
 
 #: Events as rows of a listing: a user's events tell promotions of a store; an hour of a city is a point.
@@ -106,3 +107,39 @@ def weekly_stream(spark, sf_dir, folder):
     counted = fold.weekly(events, "ts", f"{_LATE} days").select(F.col("window.start").alias("week_start"), "event_type", "n")
     arrival.drain(counted, folder, "append")
     return _plain_time(arrival.drained(spark, folder, "week_start timestamp, event_type string, n long").drop("batch"))
+
+
+def _routing(wanted: str) -> str:
+    """Commands of each store one by one, over lists of rows."""
+    named = "list_filter(st, lambda r: r.c <> '')"
+    return f"""cte: RECURSIVE cmd AS (SELECT city_code, store_name, seq, lower(trim(action)) AS action, list_filter(CASE WHEN trim(name1) = trim(name2) THEN [trim(name1)] ELSE [trim(name1), trim(name2)] END, lambda n: n <> '') AS names FROM commands),
+      ok AS (SELECT *, row_number() OVER (PARTITION BY city_code, store_name ORDER BY seq) AS k FROM cmd WHERE action IN ('set', 'reject', 'absent') OR len(names) > 0),
+      base AS (SELECT DISTINCT city_code, store_name, 'e' AS comp_name, 'seed' AS source FROM commands WHERE CAST(store_name AS BIGINT) % 2 = 0),
+      run AS (SELECT DISTINCT o.city_code, o.store_name, 0 AS k, CASE WHEN b.comp_name IS NULL THEN [] ELSE [struct_pack(c := b.comp_name, s := b.source)] END AS st FROM ok o LEFT JOIN base b USING (city_code, store_name)
+        UNION ALL SELECT r.city_code, r.store_name, r.k + 1, CASE o.action WHEN 'confirm' THEN list_concat(list_filter({named}, lambda r: NOT list_contains(o.names, r.c)), list_transform(o.names, lambda n: struct_pack(c := n, s := 'manual_confirmed')))
+          WHEN 'set' THEN list_transform(o.names, lambda n: struct_pack(c := n, s := 'manual_confirmed')) WHEN 'remove' THEN list_filter(st, lambda r: NOT list_contains(o.names, r.c))
+          WHEN 'reject' THEN [struct_pack(c := '', s := 'manual_rejected')] ELSE [struct_pack(c := '', s := 'not_on_comp')] END
+        FROM run r JOIN ok o ON o.city_code = r.city_code AND o.store_name = r.store_name AND o.k = r.k + 1),
+      done AS (SELECT city_code, store_name, arg_max(st, k) AS st FROM run GROUP BY ALL), open AS (SELECT DISTINCT city_code, store_name FROM commands)
+      {wanted} /* commands */"""
+
+
+def _routed(spark, sf_dir, folder):
+    """Commands through a stream into the log, then over a mapping of which half the stores have a row."""
+    told = load(spark, sf_dir, "commands").select("city_code", "store_name", F.col("seq").cast("long").alias("seq"), "action", F.array("name1", "name2").alias("names"))
+    commands.take(arrival.arrivals(told, "seq", f"{folder}/in", 3), folder)
+    stores = told.select("city_code", "store_name").distinct()
+    base = stores.where(F.col("store_name").cast("long") % 2 == 0).withColumns({"comp_name": F.lit("e"), "source": F.lit("seed")})
+    return commands.apply(base, stores, commands.log(spark, folder))
+
+
+@query(oracle(_routing("SELECT city_code, store_name, x.c AS comp_name, x.s AS source FROM (SELECT city_code, store_name, unnest(st) AS x FROM done) UNION ALL SELECT * FROM base WHERE (city_code, store_name) NOT IN (SELECT (city_code, store_name) FROM done)")))
+def command_mapping(spark, sf_dir, folder):
+    """The mapping after all commands."""
+    return _routed(spark, sf_dir, folder)[0]
+
+
+@query(oracle(_routing("SELECT * FROM open WHERE (city_code, store_name) NOT IN (SELECT (city_code, store_name) FROM ok WHERE action <> 'remove')")))
+def command_review(spark, sf_dir, folder):
+    """What is left to review."""
+    return _routed(spark, sf_dir, folder)[1]
