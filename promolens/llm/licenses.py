@@ -17,16 +17,17 @@ from promolens.llm.common import doc_texts, map_rows
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 #: Short notices as they stand after normalising (lower case, words joined by one space), their
 #: labels, and the words that tell this license from others: they must stand in a place unharmed.
+#: A sentence that several licenses share bears a label that names them all.
 NOTICES = (
     ("released under the mit license", "mit", r"\bmit\b"),
-    ("permission is hereby granted free of charge to any person obtaining a copy of this software", "mit", r""),
+    ("permission is hereby granted free of charge to any person obtaining a copy of this software", "mit", r"\bof this software\b"),
     ("licensed under the apache license version 2 0", "apache", r"\bapache\b"),
-    ("you may not use this file except in compliance with the license", "apache", r""),
+    ("you may not use this file except in compliance with the license", "apache-or-cddl-or-ecl-or-mpl", r""),
     ("this work is licensed under the gnu general public license version 3", "gpl", r"\bgnu general public\b"),
     ("you can redistribute it and or modify it under the terms of the gnu general public license", "gpl", r"\bgnu general public\b"),
     ("licensed under cc by nc 4 0", "cc-by-nc", r"\bcc by nc \d"),
     ("licensed under a creative commons attribution 4 0 international license", "cc-by", r"\battribution \d"),
-    ("redistribution and use in source and binary forms with or without modification are permitted", "bsd", r""),
+    ("redistribution and use in source and binary forms with or without modification are permitted", "apache-1-or-bsd", r""),
     ("subject to the terms of the mozilla public license v 2 0", "mpl", r"\bmozilla\b"),
 )
 #: Edits allowed for each so many characters of a notice.
@@ -74,19 +75,60 @@ def may_hold(window: str, notice: str, wanted: Counter) -> bool:
     return (wanted & grams(window)).total() >= len(notice) - GRAM + 1 - GRAM * edits(notice)
 
 
+def letter_places(notice: str) -> dict[str, int]:
+    """For each letter the places where it stands in the notice, as bits."""
+    out: dict[str, int] = {}
+    for k, ch in enumerate(notice):
+        out[ch] = out.get(ch, 0) | 1 << k
+    return out
+
+
+def edit_row(places: dict[str, int], length: int, text: str, anchored: bool) -> list[int]:
+    """For each prefix of the text the least edits between the notice and a part that ends there
+    (the whole prefix if anchored): a column of the table a letter, as bits of two numbers."""
+    whole, top = (1 << length) - 1, 1 << (length - 1)
+    plus, minus, score, out = whole, 0, length, []
+    for ch in text:
+        same = places.get(ch, 0)
+        down = same | minus
+        across = (((same & plus) + plus) ^ plus) | same
+        up, less = minus | (whole & ~(across | plus)), plus & across
+        score += 1 if up & top else -1 if less & top else 0
+        up, less = (up << 1 | anchored) & whole, less << 1 & whole
+        plus, minus = less | (whole & ~(down | up)), up & down
+        out.append(score)
+    return out
+
+
 @cache
-def _pattern(notice: str, key: str):
-    """The notice with its edits, its grams, and the words that must be there."""
-    return regex.compile(f"(?b)(?:{regex.escape(notice)}){{e<={edits(notice)}}}"), grams(notice), regex.compile(key)
+def _notice(notice: str, key: str):
+    """The notice's letters forwards and backwards, its grams, and the words that must be there."""
+    return letter_places(notice), letter_places(notice[::-1]), grams(notice), regex.compile(key)
+
+
+@cache
+def _pattern(notice: str, wrong: int):
+    return regex.compile(f"(?:{regex.escape(notice)}){{e<={wrong}}}")
 
 
 @lru_cache(1 << 16)
 def _place(window: str, notice: str, key: str) -> tuple[int, int, int] | None:
-    """Start, end and edits of the notice's best place in a window (a text that repeats asks again and again)."""
-    pattern, wanted, words = _pattern(notice, key)
+    """Start, end and edits of the notice's best place in a window (a text that repeats asks again and again).
+
+    The table of edits tells whether there is any, how many edits it takes and where it lies, so
+    the bounded-error pattern is asked of that one place, and with no more edits than it has.
+    """
+    forwards, backwards, wanted, words = _notice(notice, key)
     if not may_hold(window, notice, wanted) or not words.search(window):
         return None
-    m = pattern.search(window)
+    row = edit_row(forwards, len(notice), window, False)
+    wrong = min(row)
+    if wrong > edits(notice):
+        return None
+    b = row.index(wrong) + 1
+    back = edit_row(backwards, len(notice), window[max(0, b - len(notice) - wrong) : b][::-1], True)
+    a = b - back.index(wrong) - 1
+    m = _pattern(notice, wrong).fullmatch(window, a, b)
     return (*m.span(), sum(m.fuzzy_counts)) if m else None
 
 
@@ -95,7 +137,8 @@ def notice_spans(joined: str, notices=NOTICES) -> list[tuple[str, int, int, int,
 
     A seed fixes where the notice would begin, give or take the edits; hits that point to the
     same place are one candidate. It is dropped if it lacks grams that no notice within the
-    edits can lack; the bounded-error pattern confirms or refuses all others. The words that carry
+    edits can lack, or if the table of edits finds too many; the bounded-error pattern confirms
+    all others and reports their spans. The words that carry
     the label have no more letters than a notice may have edits, so these must stand unharmed in
     the place itself, at its ends eked out to whole words: the name of another license is no edit.
     Pieces of the notices themselves are all that is looked for, so one pass over the text

@@ -354,6 +354,40 @@ def brute_words(rng):
     return " ".join(rng.choice(["the", "of", "license", "under", "granted", "x1"]) for _ in range(rng.randrange(9)))
 
 
+def test_shared_sentences_name_all_their_licenses():
+    file, forms = "apache-or-cddl-or-ecl-or-mpl", "apache-1-or-bsd"
+    texts = {
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of the Font Software, to use, study, copy": "",
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of the Unicode data files and any associated documentation (the "Data Files")': "",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation": "",
+        'The contents of this file are subject to the Mozilla Public License Version 1.1 (the "License"); you may not use this file except in compliance with the License.': file,
+        "subject to the terms of the Common Development and Distribution License. You may not use this file except in compliance with the License.": file,
+        'Licensed under the Educational Community License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.': file,
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that": forms,
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files": "mit",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.': f"apache,{file}",
+    }
+    assert {t: licenses.scan_text(t)["labels"] for t in texts} == texts
+
+
+def test_near_misses_take_little_time():
+    import time
+
+    rng = random.Random(72)
+    for low, high in ((0, 3), (3, 10), (8, 14), (12, 25)):  # notices with fewer, about as many and more edits than they may have
+        parts, size = [], 0
+        while size < 1_000_000:
+            harmed = list(rng.choice(licenses.NOTICES)[0])
+            for _ in range(rng.randrange(low, high)):
+                at = rng.randrange(len(harmed))
+                harmed[at : at + 1] = [[], [rng.choice("abcdefg ")], [harmed[at], rng.choice("abcdefg ")]][rng.randrange(3)]
+            parts.append("".join(harmed))
+            size += len(parts[-1]) + 1
+        began = time.process_time()
+        licenses.scan_text(" ".join(parts))
+        assert time.process_time() - began < 20  # some 5 s on a free core
+
+
 def test_licenses_take_linear_time():
     import time
 
@@ -482,7 +516,8 @@ def test_objections_are_weighed():
     known = (votes == quality.BAD) @ np.log(rates.T) + (votes == quality.GOOD) @ np.log1p(-rates.T) + np.log([0.85, 0.075, 0.075])
     best = known[:, 0] >= np.logaddexp(known[:, 1], known[:, 2])
     assert kept[fault == 0].mean() > best[fault == 0].mean() - 0.005 and kept[fault > 0].mean() < best[fault > 0].mean() + 0.03
-    assert (quality.label_model(patterns, count.astype(float), 1)[0][of.ravel()] >= 0.5)[fault > 0].mean() > 0.3  # what was expected alone doesn't find them
+    first = quality.label_model(patterns, count.astype(float), 1)[0][of.ravel()] >= 0.5
+    assert first[fault > 0].mean() > 2 * kept[fault > 0].mean()  # what was expected alone finds fewer
     assert accuracy.argmin() == 5 and accuracy[5] < 0.75
     where = {tuple(p): g for p, g in zip(patterns, good, strict=True)}
     assert where[3 * (1,) + (1, 1, 0)] > 0.9 > 0.1 > where[0, 0, 1, 1, 1, 1]
