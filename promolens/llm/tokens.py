@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from functools import cache
 
 from pyspark.sql import DataFrame
@@ -40,10 +41,11 @@ class _Counts(dict):
 class PieceCounter:
     """Counts tokens of whole texts as the model does, on less than whole texts at a time.
 
-    A blank that follows another character is a stable boundary if no piece of the vocabulary
-    holds a blank behind another character: no merge can then reach across it. The constructor
-    proves this of the vocabulary, and probes that the model keeps blanks as they are; a model
-    that fails either gets every text whole.
+    Two characters that stand side by side in no piece of the vocabulary have a stable boundary
+    between them: no merge can reach across it. Blanks behind other characters are such places, if
+    the constructor finds none in the vocabulary, and so are most pairs of rare characters. The
+    constructor also probes that the model keeps characters as they are and falls back on bytes
+    for those it doesn't know; a model that fails gets every text whole.
     """
 
     def __init__(self, path: str, chunk: int = CHUNK, overlap: int = OVERLAP):
@@ -53,7 +55,10 @@ class PieceCounter:
         self.chunk, self.overlap, self.widened = chunk, overlap, 0
         pieces = [self.model.id_to_piece(k) for k in range(self.model.get_piece_size())]
         kept = "".join(self.model.encode("  a  b ", out_type=str)) == "▁▁▁a▁▁b▁"
+        rare = "ａ\u0301\ufb01\u200b\U0001f9ff"  # what a normaliser would change, and what no vocabulary holds
+        kept = kept and b"".join(bytes([int(p[3:5], 16)]) if p.startswith("<0x") else p.replace("▁", "").encode() for p in self.model.encode(rare, out_type=str)) == rare.encode()
         self.stable = kept and not any("▁" in p.lstrip("▁") for p in pieces)
+        self.pairs = {p[k : k + 2].replace("▁", " ") for p in pieces for k in range(len(p) - 1)}
         self.known = _Counts(self.model)
 
     def count(self, text: str) -> int:
@@ -91,14 +96,14 @@ class PieceCounter:
                 begin = max(done, stop - overlap)
                 end = min(len(text), begin + 2 * overlap + self.chunk)
                 following = self._starts(text, begin, end)
-                both = set(tokens).intersection(following)
-                splice = max((p for p in both if begin < p < stop and text[p] == " " and text[p - 1] != " "), default=0)
+                both = set(tokens[bisect_right(tokens, begin) :]).intersection(following[: bisect_left(following, stop)])
+                splice = max((p for p in both if text[p - 1 : p + 1] not in self.pairs), default=0)
                 if splice or begin == done:
                     break
                 overlap, self.widened = 2 * overlap, self.widened + 1
             if splice:
-                n += sum(done <= p < splice for p in tokens)
-                done, tokens = splice, [p for p in following if p >= splice]
+                n += bisect_left(tokens, splice) - bisect_left(tokens, done)
+                done, tokens = splice, following[bisect_left(following, splice) :]
             else:
                 tokens = following
             stop = end
@@ -114,9 +119,9 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
     """Operator: doc_id, n_bytes, n_tokens and over_limit of each whole text.
 
     Texts of more than CHUNK characters are encoded in overlapping chunks that are spliced where both
-    have a token boundary at a blank. Shorter ones are counted segment by segment between the same
-    proven boundaries, each segment once a worker. A text without blanks has no place to splice,
-    so its overlap widens to all of it.
+    have a token boundary at a proven place. Shorter ones are counted segment by segment between the same
+    proven boundaries, each segment once a worker. A long text that is nowhere provable, as
+    one letter over and over, has no place to splice, so its overlap widens to all of it.
 
     Null and empty texts have no tokens; repeated rows are counted each; an empty table gives no
     rows. Special strings are ordinary text, as the library takes them.
