@@ -60,8 +60,14 @@ class Transducer:
         self.letters = byte_letters()
         self._fits: dict[tuple[str, str], bool] = {}
         self.reachable = {t: self.merge(self.units(t)) == [t] for t in self.ids}
-        self.by_length = sorted({len(self.units(t)) for t, ok in self.reachable.items() if ok}, reverse=True)
-        self.lookahead = max(self.by_length)
+        self.lookahead = max(len(self.units(t)) for t, ok in self.reachable.items() if ok)
+        self.backwards: dict = {}  # a trie of reachable tokens from their last unit on; None leads to the token itself
+        for token, ok in self.reachable.items():
+            if ok:
+                node = self.backwards
+                for unit in reversed(self.units(token)):
+                    node = node.setdefault(unit, {})
+                node[None] = token
 
     def units(self, token: str) -> list[str]:
         """The single units of a token; the last one carries the end of the word."""
@@ -104,32 +110,45 @@ class Transducer:
 
     def stream(self, units):
         """Tokens of an iterable of units, each as soon as it is stable; memory is a constant."""
-        reach = self.lookahead
-        held: list[str] = []  # units from `base` on
+        reach, trie, fits = self.lookahead, self.backwards, self._fits
+        held: list[str] = []  # units that no token has been emitted for
         last: list[tuple[str, int]] = []  # for each prefix that ends there: its last token and that token's length
-        base = 0
         for unit in units:
             held.append(unit)
-            best = None
-            n = len(held)
-            for size in self.by_length:
-                if size > n:
-                    continue
-                token = "".join(held[n - size :]) if size > 1 else unit
-                if self.reachable.get(token) and (size == n or (last[n - size - 1] and self.fits(last[n - size - 1][0], token))):
-                    best = (token, size)
+            # the tokens that end here, shortest first, in one walk backwards
+            node, k, found = trie, len(held), []
+            while k and (node := node.get(held[k - 1])):
+                k -= 1
+                if None in node:
+                    found.append((node[None], k))
+            best = (unit, 1)
+            for token, k in reversed(found):
+                if not k:
+                    best = (token, len(held))
                     break
-            last.append(best or (unit, 1))
-            if n >= 4 * reach:  # emit what the last `reach` prefixes share
-                ends = range(n - reach + 1, n + 1)
-                paths = [set(self._path(last, e)) for e in ends]
-                cut = max(set.intersection(*paths) - {0}, default=0)
-                if cut and cut <= n - reach:
+                pair = (last[k - 1][0], token)
+                if fits[pair] if pair in fits else self.fits(*pair):
+                    best = (token, len(held) - k)
+                    break
+            last.append(best)
+            if len(held) >= 8 * reach:  # emit what the last `reach` prefixes share
+                cut = self._shared(last, reach)
+                if cut:
                     yield from self._tokens(last, cut)
                     del held[:cut], last[:cut]
-                    base += cut
         yield from self._tokens(last, len(last))
 
+    def _shared(self, last, reach: int) -> int:
+        """The last prefix that all of the last ``reach`` ones go through: each leads to one before it, so the highest is led on until one is left."""
+        some = set(range(len(last) - reach + 1, len(last) + 1))
+        for end in range(len(last), 0, -1):
+            if end in some:
+                if len(some) == 1:
+                    return end
+                some.remove(end)
+                some.add(end - last[end - 1][1])
+        return 0
+
     def _path(self, last, end: int):
         while end > 0:
             yield end

@@ -203,6 +203,54 @@ def test_chunks_are_spliced():
     assert few.widened
 
 
+def _blankless():
+    rng = random.Random(73)
+    kana = [chr(c) for c in range(0x3041, 0x3094)] + [chr(c) for c in range(0x4E00, 0x4F00)]
+    say = lambda of, n: "".join(rng.choice(of) for _ in range(n))
+    return {"japanese": say(kana, 340_000), "base64": say("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 200_000), "letters": say("abcdefghijklmnopqrstuvwxyz", 60_000), "one": "a" * 50_000, "code": "function(a,b){return+a[b]}" * 4000, "marks": say("a\u0301e\u0308ａ\ufb01", 30_000)}
+
+
+def test_counts_without_blanks():
+    import time
+
+    whole, few = sentencepiece.SentencePieceProcessor(model_file=(path := public_tokenizers.path(tokens.MODEL))), tokens.PieceCounter(path, chunk=64, overlap=4)
+    one = tokens.counter(path)
+    for name, text in _blankless().items():
+        began = time.process_time()
+        n = one.count(text)
+        took, began = time.process_time() - began, time.process_time()
+        assert n == len(whole.encode(text)), name
+        if name == "japanese":  # 1 MB
+            assert took < 8 * (time.process_time() - began) + 0.1
+        assert few.count(text[:3000]) == len(whole.encode(text[:3000])), name
+    # places that are held to be stable are: texts cut there count as their parts
+    rng = random.Random(74)
+    letters = sorted({c for p in range(whole.get_piece_size()) for c in whole.id_to_piece(p) if len(whole.id_to_piece(p)) < 9} - set("▁<>")) + list("日本語ａ\u0301")
+    cuts = 0
+    for _ in range(300):
+        text = "".join(rng.choice(letters) for _ in range(40))
+        for k in range(1, 40):
+            if text[k - 1 : k + 1] not in one.pairs:
+                cuts += 1
+                parts = [[x for x in whole.encode(t, out_type=str)] for t in ("a" + text[:k], "a" + text)]
+                assert len(parts[0]) <= len(parts[1]) and parts[1][: len(parts[0])] == parts[0]
+    assert cuts > 1000
+
+
+def test_codes_without_blanks():
+    import time
+
+    one, model = bpe.codec(bpe.model_path()), Tokenizer.from_file(public_tokenizers.path(bpe.MODEL))
+    for name, text in _blankless().items():
+        text = text[:60_000]
+        began = time.process_time()
+        got = b"".join(one.encode(text))
+        took = time.process_time() - began
+        assert got == b"".join(i.to_bytes(4, "little") for i in model.encode(text, add_special_tokens=False).ids), name
+        if name == "japanese":
+            assert took < 8e-6 * len(text.encode()) + 0.5  # some 4 s a MB on a free core
+
+
 def test_stream_is_merge():
     machine = bpe.Transducer(public_tokenizers.path(bpe.MODEL))
     rng = random.Random(3)
