@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,19 +29,49 @@ DIGEST = re.compile(
     r"(?:sha1[-_=](?:[0-9a-f]{40}|[A-Za-z0-9+/_-]{27}=)|sha256[-_=](?:[0-9a-f]{64}|[A-Za-z0-9+/_-]{43}=)|sha512[-_=](?:[0-9a-f]{128}|[A-Za-z0-9+/_-]{86}==)"
     r"|md5[-_=](?:[0-9a-f]{32}|[A-Za-z0-9+/_-]{22}==))(?![A-Za-z0-9])", re.I,
 )
-#: Words and paths of words. Only their parts between separators that are long enough to be random letters are looked at.
-WORDY = re.compile(r"(?:[^0-9]*|(?:[A-Za-z]{2,}[0-9]{0,4}[/_-])+[A-Za-z]{2,}[0-9]{0,4})\Z")
+#: Words and paths of words and dates. Only their parts between separators that are long enough to be random letters are looked at.
+WORDY = re.compile(r"(?:[^0-9]*|(?:(?:[A-Za-z]{2,}[0-9]{0,4}|(?:19|20)[0-9]{2}|[01][0-9])[/_-])+[A-Za-z]{2,}[0-9]{0,4})\Z")
 PART = re.compile(r"[0-9A-Za-z]{%d,}" % WINDOW)
 #: Stretches that no window of a secret holds whole: words of examples, repeated characters, alphabets in order.
 _ORDERS = ("0123456789abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz0123456789")
 PLACEHOLDER = re.compile("(?=(example|sample|xxxxxx|" + "|".join(sorted({o[k : k + 10] for o in _ORDERS for k in range(27)})) + r"|(.)\2{7}))", re.I | re.S)
 
+#: Words of four languages, from whose letter pairs the pairs of words are told from those of random letters.
+WORDS = (
+    "the and that with have this from they would there their what about which when make like time just know people into year your good some could them "
+    "other than then look only come over think also back after work first well even want because these give most service production internet container "
+    "configuration international implementation development management information application understanding government environment responsibility "
+    "der die und den von das mit sich des auf für ist nicht eine als auch werden aus hat dass nach wird einer schaft gesellschaft versicherung rechts "
+    "kapitän schiff fahrt dampf über wachung aufgaben fleisch lebens mittel grund stück verkehr genehmigung zuständigkeit geschwindigkeit wirtschaft arbeit "
+    "les des que une dans pour qui sur pas plus par avec tout faire sont mais comme nous leur bien où sans peut elle aussi entre après développement "
+    "gouvernement administration consommation anticonstitutionnellement établissement mouvement travailleur "
+    "los las por una con para como más pero sus este entre cuando muy sin sobre también hasta hay donde quien desde todo nos durante todos uno les "
+    "desarrollo administración responsabilidad electrodoméstico agradecimiento extraordinario conocimiento trabajador"
+).translate(str.maketrans("äöüßéèàçñáíóúùêâîôû", "aousseeacnaiouueaiou"[:19])).split()
+
+
+def _pair_scores() -> dict[str, float]:
+    """For each pair of letters how much likelier it is in words than among random letters, in bits."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    seen = {a: dict.fromkeys(letters, 0.5) for a in letters}
+    for word in WORDS:
+        for a, b in zip(word, word[1:], strict=False):
+            seen[a][b] += 1
+    return {a + b: math.log2(n / sum(row.values()) * len(letters)) for a, row in seen.items() for b, n in row.items()}
+
+
+PAIRS = _pair_scores()
+#: Bits from which a window's pairs are those of words: where letters stand alone, and where digits and signs are among them.
+WORD_LIKE, OTHER_LIKE = -3.0, 8.0
+
 _XLOG = [0.0] + [k * math.log2(k) for k in range(1, 4097)]
 
 
-def entropy_spans(text: str, start: int, stop: int, least: float, window: int = WINDOW) -> list[tuple[int, int]]:
+def entropy_spans(text: str, start: int, stop: int, least: float, window: int = WINDOW, word: list[float] | None = None, like: float = 0.0) -> list[tuple[int, int]]:
     """Unions of the windows of text[start:stop] whose Shannon entropy reaches least.
 
+    With ``word``, running sums of pair scores, windows whose pairs score more than ``like`` are left out.
+
     One count leaves and one enters a step, and the sum of c*log2(c) is adjusted for these two
     alone, so the work is a constant for each character.
     """
@@ -58,6 +89,8 @@ def entropy_spans(text: str, start: int, stop: int, least: float, window: int =
             counts[old] = c - 1
         if k - start >= size - 1 and full - total / size >= least - 1e-9:
             low = k - size + 1
+            if word and word[k] - word[low] > like:
+                continue
             if found and low <= found[-1][1]:
                 found[-1] = (found[-1][0], k + 1)
             else:
@@ -91,7 +124,8 @@ def method_spans(text: str) -> list[tuple[int, str, int]]:
     """(start, kind, end) of high-entropy stretches of candidate strings, but for what the rules above cover.
 
     A rule takes no more than it covers: a placeholder the windows that hold it, a digest itself,
-    words their parts. In words, capitals count as their small letters.
+    words their parts. In words, capitals count as their small letters. Windows whose letter pairs
+    are those of words are none of a secret.
     """
     out = []
     for m in CANDIDATE.finditer(text):
@@ -102,13 +136,15 @@ def method_spans(text: str) -> list[tuple[int, str, int]]:
         if len(value) < WINDOW or ALLOWED.match(value):
             continue
         least = next(e for _, pattern, e in CLASSES if pattern.match(value))
-        parts = [(0, len(value))]
+        parts, like = [(0, len(value))], OTHER_LIKE
         if WORDY.match(value):
             value, least = value.lower(), CLASSES[1][2]
-            parts = [p.span() for p in PART.finditer(value)]
+            parts, like = [p.span() for p in PART.finditer(value)], WORD_LIKE
+        small = value.lower()
+        word = list(accumulate((PAIRS.get(small[k : k + 2], 0.0) for k in range(len(small) - 1)), initial=0.0))
         found: list[tuple[int, int]] = []
         for a, b in (piece for part in parts for piece in _pieces(value, *part)):
-            for low, high in entropy_spans(value, a, b, least):
+            for low, high in entropy_spans(value, a, b, least, word=word, like=like):
                 if found and low <= found[-1][1]:
                     found[-1] = (found[-1][0], max(high, found[-1][1]))
                 else:

@@ -351,6 +351,26 @@ def test_rules_hide_no_more_than_they_cover():
         assert not secrets.method_spans(text), text
 
 
+def test_long_words_are_no_secrets():
+    named = ("Donaudampfschifffahrtsgesellschaftskapitaen Rindfleischetikettierungsueberwachungsaufgaben AbstractSingletonProxyFactoryBeanImplementation docker-compose-production-v2-kubernetes "
+             "wp-content_uploads_2019_03_photograph internationalisation_of_characterisation anticonstitutionnellement Betaeubungsmittelverschreibungsverordnung floccinaucinihilipilification "
+             "extraordinariamente_desproporcionados configuration/management/transaction2/handler Kraftfahrzeughaftpflichtversicherung").split()
+    assert [w for w in named if secrets.method_spans(f"see {w} there")] == []
+    rng = random.Random(75)
+    nouns = "Arbeit Bildung Dampf Eisen Fahrt Gericht Haus Industrie Kraft Leben Markt Natur Ordnung Pflege Recht Schiff Technik Umwelt Verkehr Wirtschaft Zeit Versicherung Gesellschaft Geschwindigkeit Begrenzung Steuer Erklaerung Krankenhaus Schwimmbad Pruefung Bezirk Mittel Vergiftung".split()
+    plain = "get set update remove create abstract factory bean proxy container production database connection pool manager handler listener request response environment deployment photograph upload customer repository controller singleton builder context resource locator".split()
+    hits = 0
+    for k in range(4000):
+        n = rng.randrange(2, 6)
+        word = "".join(rng.choice(nouns) for _ in range(n)).capitalize() if k % 2 else rng.choice(["", "-", "_", "/"]).join(rng.choice(plain).capitalize() if rng.random() < 0.5 else rng.choice(plain) for _ in range(n))
+        hits += bool(secrets.method_spans(f"see {word} there"))
+    assert hits <= 40  # one in a hundred; 840 without letter pairs
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    for size, of, least in ((32, letters, 0.93), (40, letters[26:], 0.96), (32, letters + "0123456789", 0.99), (40, letters + "0123456789+/", 0.99)):
+        found = sum(bool(secrets.method_spans(f"see {''.join(rng.choice(of) for _ in range(size))} there")) for _ in range(1000))
+        assert found >= least * 1000, (size, len(of), found)
+
+
 def test_redacting_leaves_the_rest():
     assert secrets.redact("a password=abcdefgh1 b") == "a [ASSIGN] b" and secrets.redact("clean text") == "clean text"
 
