@@ -26,7 +26,7 @@ VIEWS = {
         JOIN {{supplier}} s ON o.s = s.s_suppkey JOIN {{nation}} n ON s.s_nationkey = n.n_nationkey""",
     "comp_products": """
         SELECT n.n_name AS city_code, s.s_name AS restaurant_name, CAST(year(o.o_orderdate) AS STRING) AS week_num, p.p_name AS product_name,
-               concat(replace(CAST(round(l.l_extendedprice / l.l_quantity, 2) AS STRING), '.', ','), ' €') AS product_price, l.l_discount, l.l_orderkey * 10 + l.l_linenumber AS seq
+               concat(replace(CAST(floor(l.l_extendedprice / l.l_quantity * 100 + 0.5) / 100 AS STRING), '.', ','), ' €') AS product_price, l.l_discount, l.l_orderkey * 10 + l.l_linenumber AS seq
         FROM {orders} o JOIN {lineitem} l ON l.l_orderkey = o.o_orderkey JOIN {part} p ON l.l_partkey = p.p_partkey JOIN {supplier} s ON l.l_suppkey = s.s_suppkey JOIN {nation} n ON s.s_nationkey = n.n_nationkey
         WHERE l.l_discount >= 0.095""",
     "mapping": """

@@ -448,10 +448,10 @@ def reject(get):
 
 
 # ---------------------------------------------------------------- checks
-@query("SELECT n_name AS city_code FROM nation WHERE n_name NOT IN (SELECT n.n_name FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey)")
+@query("SELECT n_name AS city_code FROM nation WHERE n_name NOT IN (SELECT n.n_name FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey WHERE s.s_acctbal > 5000 AND s.s_suppkey % 3 = 0)")
 def qc_coverage(get):
     n = get("nation").select(F.col("n_name").alias("city_code"), "n_nationkey")
-    found = get("supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+    found = get("supplier").where("s_acctbal > 5000 and s_suppkey % 3 = 0").join(n, F.col("s_nationkey") == F.col("n_nationkey"))
     return quality.missing_cities(n.select("city_code"), found)
 
 

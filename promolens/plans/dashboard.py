@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from promolens.functions import promo, text
 from promolens.operators import discovery, legacy, parity, publish, state, views
 from promolens.plans import catalogue
-from promolens.plans.bridge import load
 from promolens.plans.catalogue import KEY, QUERIES, query
-from promolens.sources import cards, payload
+from promolens.sources import cards, payload, tables
 
 _B, _N = catalogue._BASE, catalogue._NAMES
 _COUNTS = f"counts AS (SELECT city_code, {catalogue.FOLD.format('restaurant_name')} AS name_norm, week_num, count(DISTINCT product_name) AS comp_products FROM comp_products GROUP BY ALL)"
@@ -402,14 +401,12 @@ def rank_labels(get):
     return get("comp_raw").select(rank.alias("rank")).distinct().select("rank", promo.rank_label(F.col("rank")).alias("label"))
 
 
-def _resume_set(spark, sf_dir):
-    events = load(spark, sf_dir, "events")
-    done = events.where(~F.lower("event_type").rlike("^(view|error)")).select("user_id").distinct()
-    return events.select("user_id").distinct().join(done, "user_id", "left_anti")
-
-
-QUERIES["resume_set"] = _resume_set  # S21/J28: cells with no outcome but a failed one are visited again
-catalogue.ORACLE_SQL["resume_set"] = "SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE NOT regexp_matches(lower(event_type), '^(view|error)'))"
+@query("WITH c AS (SELECT user_id, CAST(ts AS DATE) AS day, event_type FROM events) SELECT DISTINCT user_id, day FROM c WHERE (user_id, day) NOT IN (SELECT (user_id, day) FROM c WHERE NOT regexp_matches(lower(event_type), '^(view|error)'))")
+def resume_set(get):
+    """Cells, here days of users, that have no outcome but a failed one are visited again."""
+    cells = get("events").select("user_id", F.to_date("ts").alias("day"), "event_type")
+    done = cells.where(~F.lower("event_type").rlike("^(view|error)"))
+    return tables.not_done(cells.select("user_id", "day").distinct(), done, ["user_id", "day"])
 
 
 @query("SELECT n_name AS city_code, count(*) AS points FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey GROUP BY n_name ORDER BY points, city_code")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from promolens.functions import promo, text
 from promolens.operators import likeness
-from promolens.plans import catalogue, dashboard, products, streams  # noqa: F401
+from promolens.plans import catalogue, dashboard, details, products, streams  # noqa: F401
 from promolens.sources import tables
 
 SF = "/root/testdata/sf0.001"
