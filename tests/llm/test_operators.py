@@ -507,11 +507,31 @@ def test_toxicity_holds_out_of_sample(spark):
     caught = sum(p for p, r in zip(said, held, strict=True) if r["toxic"])
     # one toxic label in twenty stands on a text without any insult
     print("toxic held out", sum(r["toxic"] for r in held), "said", sum(said), "caught", caught)
-    assert caught >= 0.78 * sum(r["toxic"] for r in held) and caught >= 0.92 * sum(said)
+    assert caught >= 0.85 * sum(r["toxic"] for r in held) and caught >= 0.93 * sum(said)
     bad = model.score(["you are an idiot my friend", "you are an idxiot my friend", "such a lozser", "this is tragsh", "i d i o t", "i.d.i.o.t said the", "the mo*ron went"])
     assert min(bad) > 0.3 and sum(s >= 0.5 for s in bad) >= 5 and max(model.score(["hello there my friend", "12 34", ""])) < 0.1, bad
 
 
+@pytest.mark.xfail(reason="an open limit, see the README: harmless words that are toxic side by side only are not told from their parts")
+def test_phrases_can_be_toxic():
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(300)]
+    say = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    rows = [(f"{say(15)} zwurblex {say(15)}", 1) for _ in range(60)] + [(f"{say(30)}", 0) for _ in range(120)]
+    rows += [(f"{say(9)} {a} {b} {say(9)}", int((a, b) == ("kromig", "paltuf"))) for a, b in [("kromig", "paltuf"), ("kromig", say(1)), (say(1), "paltuf")] * 40]
+    model = toxicity.train(rows)
+    bad, hidden, good, phrase, half = model.score([f"{say(9)} zwurblex {say(9)}", f"{say(9)} zwurhblex {say(9)}", say(19), f"{say(9)} kromig paltuf {say(9)}", f"{say(9)} kromig {say(9)}"])
+    assert min(bad, hidden) >= 0.5 > good and phrase > max(half, good)
+
+
+def test_repeated_ids_add_no_training_rows(spark):
+    docs = spark.createDataFrame([(k % 7, f"text {k}") for k in range(700)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(7)] * 3, "doc_id long, toxic int")
+    rows, share = toxicity.training_rows(docs, labels)
+    want = sum(zlib.crc32(str(k).encode()) % 5 != 0 for k in range(7))
+    assert len(rows) == want and rows == toxicity.training_rows(docs.repartition(5), labels)[0] and 0 < share < 1
+
+
 def test_insults_are_learned_from_sentences():
     rng = random.Random(9)
     words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(300)]
