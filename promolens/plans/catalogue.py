@@ -421,7 +421,7 @@ def schema_union(get):
 
 
 def _commands(get, rest: int):
-    return get("mapping").where(f"cast(right(store_name, 3) as int) % 6 = {rest}").select("city_code", "store_name", F.lit("Chosen").alias("comp_name"), F.lit("manual_confirmed").alias("source")).distinct()
+    return get("mapping").where(f"try_cast(right(store_name, 3) as int) % 6 = {rest}").select("city_code", "store_name", F.lit("Chosen").alias("comp_name"), F.lit("manual_confirmed").alias("source")).distinct()
 
 
 _CMD = "cmd AS (SELECT DISTINCT city_code, store_name, 'Chosen' AS comp_name, 'manual_confirmed' AS source FROM mapping WHERE CAST(right(store_name, 3) AS INTEGER) % 6 = {0})"
@@ -439,7 +439,7 @@ def set_matches(get):
 
 @query("SELECT * FROM mapping WHERE NOT (CAST(right(store_name, 3) AS INTEGER) % 6 = 3 AND store_name = comp_name)")
 def remove_match(get):
-    return state.remove_match(get("mapping"), get("mapping").where("cast(right(store_name, 3) as int) % 6 = 3 and store_name = comp_name"))
+    return state.remove_match(get("mapping"), get("mapping").where("try_cast(right(store_name, 3) as int) % 6 = 3 and store_name = comp_name"))
 
 
 @query(f"cte: {_CMD.format(4)} SELECT * FROM mapping m WHERE NOT EXISTS (SELECT 1 FROM cmd c WHERE c.city_code = m.city_code AND c.store_name = m.store_name) UNION ALL SELECT city_code, store_name, '' AS comp_name, 'manual_rejected' AS source FROM cmd /* mapping */")
