@@ -16,7 +16,11 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose posterior quality holds, and which no base rule rejects."""
+    """Documents whose posterior quality holds, and which no base rule rejects.
+
+    Null and empty texts have no words and go; null ids and repeated rows are judged by their texts,
+    so equal texts share their fate; an empty table gives none.
+    """
     return quality.keep_good(docs, COLUMNS)
 
 
@@ -39,12 +43,20 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them.
+
+    A null source is a source of its own, null and empty texts have size 0; equal rows share their
+    fate, ties in the hash are taken together; an empty table gives none.
+    """
     return mixing.take_mix(docs, COLUMNS)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's ids, their number, and digests of them and of what they decode to."""
+    """Each document's ids, their number, and digests of them and of what they decode to.
+
+    Null and empty texts have no ids; null ids and repeated rows give a row each; an empty table
+    gives none.
+    """
     return bpe.code_documents(docs)
 
 

@@ -30,10 +30,16 @@ def query(sql: str | None = None):
 
 # ---------------------------------------------------------------- shared SQL
 _RANK = "CAST(CASE {0} WHEN 'TWO_FOR_ONE' THEN 1.0 WHEN 'PERCENTAGE_DISCOUNT' THEN 2.0 WHEN 'FLAT_PRODUCT' THEN 2.5 WHEN 'BASKET_PERCENTAGE' THEN 3.0 WHEN 'FREE_DELIVERY' THEN 4.0 WHEN 'FLAT_DELIVERY' THEN 5.0 ELSE 6.0 END AS DOUBLE)"
-_TEXT_RANK = "CAST(CASE " + " ".join(f"WHEN regexp_matches({{0}}, '(?i){p}') THEN {r}" for r, p in promo.TEXT_RANKS) + " ELSE 6.0 END AS DOUBLE)"
+#: The patterns as the rules have them, written out so that they do not rest on the engine's.
+_TEXT_RANK = r"""CAST(CASE WHEN regexp_matches({0}, '(?i)2\s*al\s*prezzo\s*di\s*1|2x1|due\s+al\s+prezzo') THEN 1.0
+  WHEN regexp_matches({0}, '(?i)\d+\s*%\s*(di\s*)?sconto|prodotti\s*selezionati|fino\s*al\s*\d+\s*%|sconto\s+su\s+(prodotti|articoli)|sconto\s+sull') THEN 2.0
+  WHEN regexp_matches({0}, '(?i)sconto\s*fisso|prezzo\s*speciale|\d+[,\.]\d+\s*€\s*di\s*sconto') THEN 2.5
+  WHEN regexp_matches({0}, '(?i)spendi\s*(almeno|min|da)?\s*[\d,\.]+|basket\s*%|spend[io]\s*\d+\s*€?\s*(per|ottieni|e\s*ottieni)') THEN 3.0
+  WHEN regexp_matches({0}, '(?i)consegna\s*grat(is|uita)|free\s*delivery|spedizione\s*grat') THEN 4.0
+  WHEN regexp_matches({0}, '(?i)consegna\s*a\s*[\d,\.]+\s*€|flat\s*delivery|\d+[,\.]\d+\s*€\s*(di\s*)?consegna') THEN 5.0 ELSE 6.0 END AS DOUBLE)"""
 _NUM = "list_transform(regexp_extract_all({0}, '(?i){1}', 1), lambda x: CAST(replace(x, ',', '.') AS DOUBLE))"
-_PCT = f"coalesce(list_max({_NUM.format('{0}', promo.PERCENT)}), 0.0)"
-_BASKET = f"coalesce(list_min({_NUM.format('{0}', promo.BASKET)}), 0.0)"
+_PCT = "coalesce(list_max(" + _NUM.format("{0}", r"(\d+(?:[.,]\d+)?)\s*%") + "), 0.0)"
+_BASKET = "coalesce(list_min(" + _NUM.format("{0}", r"(?:spendi|almeno|min|da)\s*(?:almeno|min|da)?\s*(\d+(?:[.,]\d+)?)\s*€") + "), 0.0)"
 _STRONGEST = "CASE WHEN kind LIKE '%TWO_FOR_ONE%' THEN 'TWO_FOR_ONE' ELSE kind END"
 
 
