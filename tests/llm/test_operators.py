@@ -632,6 +632,16 @@ def test_groups_beyond_a_block(spark, monkeypatch):
     assert 2 < len({r["component_id"] for r in got if r["doc_id"] < 200}) < 100
 
 
+@pytest.mark.parametrize("width", [2, 5])
+def test_no_link_is_lost_on_a_larger_table(spark, width):
+    """Every document's component is that of all pairs, so recall and precision of links are 1 here."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = rows_of(docs)
+    want = brute.near(rows, width)
+    same([r[:3] for r in neardup.near_duplicates(docs, width).collect()], [(d, *want[d]) for d, _ in rows])
+    assert sum(c != d for d, (_, c) in want.items()) > 50
+
+
 def test_bit_maps_rule_out_no_link():
     import numpy as np
 
