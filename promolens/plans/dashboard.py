@@ -401,12 +401,12 @@ def rank_labels(get):
     return get("comp_raw").select(rank.alias("rank")).distinct().select("rank", promo.rank_label(F.col("rank")).alias("label"))
 
 
-@query("WITH c AS (SELECT user_id, CAST(ts AS DATE) AS day, event_type FROM events) SELECT DISTINCT user_id, day FROM c WHERE (user_id, day) NOT IN (SELECT (user_id, day) FROM c WHERE NOT regexp_matches(lower(event_type), '^(view|error)'))")
+@query("WITH c AS (SELECT user_id, CAST(ts AS DATE) AS day, event_type FROM events) SELECT DISTINCT user_id, CAST(day AS VARCHAR) AS day FROM c WHERE (user_id, day) NOT IN (SELECT (user_id, day) FROM c WHERE NOT regexp_matches(lower(event_type), '^(view|error)'))")
 def resume_set(get):
     """Cells, here days of users, that have no outcome but a failed one are visited again."""
     cells = get("events").select("user_id", F.to_date("ts").alias("day"), "event_type")
     done = cells.where(~F.lower("event_type").rlike("^(view|error)"))
-    return tables.not_done(cells.select("user_id", "day").distinct(), done, ["user_id", "day"])
+    return tables.not_done(cells.select("user_id", "day").distinct(), done, ["user_id", "day"]).select("user_id", F.col("day").cast("string").alias("day"))
 
 
 @query("SELECT n_name AS city_code, count(*) AS points FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey GROUP BY n_name ORDER BY points, city_code")

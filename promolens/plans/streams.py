@@ -37,15 +37,16 @@ def _events(spark: SparkSession, sf_dir: str, shape: dict[str, str] | None = Non
 
 
 def _plain_time(df: DataFrame) -> DataFrame:
-    """Times without a zone, as the tables have them."""
-    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name) if f.dataType.typeName() == "timestamp" else f.name for f in df.schema])
+    """Times as text, so that no reader's zone or precision shows in them."""
+    return df.select(*[F.date_format(f.name, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(f.name) if f.dataType.typeName() == "timestamp" else f.name for f in df.schema])
 
 
+_TEXT = "strftime(CAST({0} AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f')"
 _SQL_ROWS = lambda shape: f"rows AS ({_ROWS.format(events='events', **shape)})"
 _LISTING = f"""WITH {_SQL_ROWS(_BY_USER)}, parts AS (SELECT city_code, store_name, seq, unnest(list_transform(string_split(promotion, '|'), lambda p: trim(p))) AS p, generate_subscripts(string_split(promotion, '|'), 1) AS k FROM rows),
   first AS (SELECT city_code, store_name, p, min((seq, k)) AS place FROM parts WHERE p <> '' GROUP BY ALL),
   names AS (SELECT city_code, store_name, string_agg(p, ' | ' ORDER BY place) AS promotions FROM first GROUP BY ALL)
-  SELECT n.*, u.url, u.last_seen FROM names n JOIN (SELECT city_code, store_name, coalesce(arg_min(url, seq) FILTER (url <> ''), '') AS url, max(ts) AS last_seen FROM rows GROUP BY ALL) u USING (city_code, store_name)"""
+  SELECT n.*, u.url, u.last_seen FROM names n JOIN (SELECT city_code, store_name, coalesce(arg_min(url, seq) FILTER (url <> ''), '') AS url, {_TEXT.format('max(ts)')} AS last_seen FROM rows GROUP BY ALL) u USING (city_code, store_name)"""
 
 
 @query(_LISTING)
@@ -65,7 +66,7 @@ def listing_stream(spark, sf_dir, folder):
   islands AS (SELECT *, sum(head) OVER (PARTITION BY city_code ORDER BY point) AS island FROM marks),
   streaks AS (SELECT *, row_number() OVER (PARTITION BY city_code, island ORDER BY point) - CASE WHEN max(new_info) OVER (PARTITION BY city_code, island) > 0 THEN 1 ELSE 0 END AS streak FROM islands),
   ends AS (SELECT city_code, min(point) FILTER (streak >= {_MOST}) AS last FROM streaks GROUP BY ALL)
-  SELECT city_code, point, CAST(new_info AS INT) AS new_info, CAST(streak AS INT) AS streak, streak >= {_MOST} AS stopped FROM streaks JOIN ends USING (city_code) WHERE last IS NULL OR point <= last""")
+  SELECT city_code, {_TEXT.format('point')} AS point, CAST(new_info AS INT) AS new_info, CAST(streak AS INT) AS streak, streak >= {_MOST} AS stopped FROM streaks JOIN ends USING (city_code) WHERE last IS NULL OR point <= last""")
 def early_stop(spark, sf_dir, folder):
     """The points of each city up to the one after which it is passed over."""
     rows = arrival.arrivals(_events(spark, sf_dir, _BY_KIND), "seq", f"{folder}/in")
@@ -73,7 +74,7 @@ def early_stop(spark, sf_dir, folder):
     return _plain_time(arrival.drained(spark, folder, listing.POINT).drop("batch"))
 
 
-@query(f"""SELECT user_id, ts AS last_seen, ts + INTERVAL 6 HOUR AS deadline FROM (SELECT user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS next FROM events)
+@query(f"""SELECT user_id, {_TEXT.format('ts')} AS last_seen, {_TEXT.format('ts + INTERVAL 6 HOUR')} AS deadline FROM (SELECT user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS next FROM events)
   WHERE (next IS NULL OR next - ts >= INTERVAL 6 HOUR) AND ts + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL {_LATE} DAY""")
 def inactivity(spark, sf_dir, folder):
     """Users that fell silent for six hours."""
@@ -99,7 +100,7 @@ def first_seen_stream(spark, sf_dir, folder):
     return arrival.drained(spark, folder, "user_id long, event_type string").drop("batch")
 
 
-@query(f"""SELECT CAST(date_trunc('week', ts) AS TIMESTAMP) AS week_start, event_type, count(*) AS n FROM events
+@query(f"""SELECT {_TEXT.format("date_trunc('week', ts)")} AS week_start, event_type, count(*) AS n FROM events
   WHERE date_trunc('week', ts) + INTERVAL 7 DAY <= (SELECT max(ts) FROM events) - INTERVAL {_LATE} DAY GROUP BY ALL""")
 def weekly_stream(spark, sf_dir, folder):
     """Counts of the weeks that the watermark has closed."""
