@@ -109,18 +109,32 @@ def _index(get) -> DataFrame:
 
 
 def _branches(raw: DataFrame) -> DataFrame:
-    return raw.select("city_code", text.fold(F.col("restaurant_name")).alias("name_norm"), "store_id")
+    return raw.select("city_code", "restaurant_name", "store_id").distinct().select("city_code", text.fold(F.col("restaurant_name")).alias("name_norm"), "store_id")
 
 
 def _verdict_rows(get, member: bool = False) -> DataFrame:
-    return parity.store_verdicts(parity.store_aggregate(get("own_products"), member), get("mapping"), _index(get), get("order_values"))
+    return parity.store_verdicts(parity.store_aggregate(get("own_products"), member), get("mapping_links"), _index(get), get("order_values"), get("mapping_pools"))
+
+
+def _mapped_stores(get) -> DataFrame:
+    """Stores with a name on the other side, without the mapping's pairs."""
+    links, named = get("mapping_links"), get("mapping_pools").where("comp_name <> ''")
+    own, shared = links.where("comp_name <> ''"), links.join(named, ["city_code", "pool"], "left_semi")
+    return own.select("city_code", "store_name").unionByName(shared.select("city_code", "store_name")).distinct()
+
+
+def _mapped_names(get) -> DataFrame:
+    """Names on the other side that the mapping has, blank ones included, without its pairs."""
+    links = get("mapping_links")
+    shared = get("mapping_pools").join(links, ["city_code", "pool"], "left_semi")
+    return links.where("pool is null").select("city_code", "comp_name").unionByName(shared.select("city_code", "comp_name")).distinct()
 
 
 def _latest_verdicts(get) -> DataFrame:
     """Verdicts of the latest week: its products alone are read, and its name comes from the scan."""
     last = get("lineitem").agg(F.max(F.year("l_shipdate")).cast("string").alias("week_num"))  # one row
     own = get("own_products").join(F.broadcast(last), "week_num", "left_semi")
-    return parity.store_verdicts(parity.store_aggregate(own), get("mapping"), _index(get), get("order_values"))
+    return parity.store_verdicts(parity.store_aggregate(own), get("mapping_links"), _index(get), get("order_values"), get("mapping_pools"))
 
 
 def _cities(get) -> DataFrame:
@@ -330,13 +344,12 @@ def truth_lookup(get):
 
 @query("SELECT DISTINCT city_code, restaurant_name FROM comp_raw c WHERE promotion_type <> '' AND NOT EXISTS (SELECT 1 FROM mapping m WHERE m.city_code = c.city_code AND lower(trim(m.comp_name)) = lower(trim(c.restaurant_name)))")
 def not_on_own(get):
-    return resolve.not_on_own(get("comp_raw"), get("mapping"))
+    return resolve.not_on_own(get("comp_raw"), _mapped_names(get))
 
 
 @query("SELECT p.city_code, p.store_name, count(*) AS n FROM own_products p WHERE EXISTS (SELECT 1 FROM mapping m WHERE m.city_code = p.city_code AND m.store_name = p.store_name AND m.comp_name <> '') GROUP BY ALL")
 def known_store_semi(get):
-    known = get("mapping").where("comp_name <> ''")
-    return get("own_products").join(known, ["city_code", "store_name"], "left_semi").groupBy("city_code", "store_name").agg(F.count("*").alias("n"))
+    return get("own_products").join(_mapped_stores(get), ["city_code", "store_name"], "left_semi").groupBy("city_code", "store_name").agg(F.count("*").alias("n"))
 
 
 @query("SELECT s.city_code, s.store_name, coalesce(n, 0) AS n_promos FROM (SELECT DISTINCT city_code, store_name FROM own_products) s LEFT JOIN (SELECT city_code, restaurant_name AS store_name, count(DISTINCT promotion_type) AS n FROM comp_raw WHERE promotion_type <> '' GROUP BY ALL) c USING (city_code, store_name)")
@@ -427,7 +440,7 @@ def schema_union(get):
 
 
 def _commands(get, rest: int):
-    return get("mapping").where(f"try_cast(right(store_name, 3) as int) % 6 = {rest}").select("city_code", "store_name", F.lit("Chosen").alias("comp_name"), F.lit("manual_confirmed").alias("source")).distinct()
+    return get("mapping_links").where(f"try_cast(right(store_name, 3) as int) % 6 = {rest}").select("city_code", "store_name", F.lit("Chosen").alias("comp_name"), F.lit("manual_confirmed").alias("source")).distinct()
 
 
 _CMD = "cmd AS (SELECT DISTINCT city_code, store_name, 'Chosen' AS comp_name, 'manual_confirmed' AS source FROM mapping WHERE CAST(right(store_name, 3) AS INTEGER) % 6 = {0})"

@@ -51,7 +51,7 @@ def store_parity_full(get):
     """J08 inside the verdicts."""
     raw, v = get("comp_raw"), catalogue._verdict_rows(get)
     listed = parity.listing(raw, catalogue._branches(raw))
-    return v.unionByName(views.not_on_own_rows(listed, get("mapping"), v))
+    return v.unionByName(views.not_on_own_rows(listed, catalogue._mapped_names(get), v))
 
 
 # ---------------------------------------------------------------- counters and coverage
@@ -115,7 +115,7 @@ def am_filter_semi(get):
 def unmatched_open(get):
     """J24."""
     v = catalogue._verdict_rows(get).where("parity = 'UNMATCHED'")
-    return v.join(get("mapping").where("comp_name <> ''"), ["city_code", "store_name"], "left_anti").select(*KEY)
+    return v.join(catalogue._mapped_stores(get), ["city_code", "store_name"], "left_anti").select(*KEY)
 
 
 @query(f"SELECT DISTINCT city_code, {catalogue.FOLD.format('product_name')} AS name FROM comp_products WHERE contains({catalogue.FOLD.format('product_name')}, 'red')")
@@ -153,7 +153,7 @@ def _candidates(get):
     comp = get("comp_products").where("week_num = '1997'").withColumn("price", text.price(F.col("product_price")))
     comp = comp.groupBy("city_code", F.col("restaurant_name").alias("comp"), F.col("product_name").alias("product")).agg(F.min_by("price", "seq").alias("price")).withColumn("n", text.product_name(F.col("product")))
     own = get("own_products").where("week_num = '1997'").select("city_code", "store_name", text.product_name(F.col("product_name")).alias("n"), F.round("avg_unit_price", 2).alias("price")).distinct()
-    return discovery.discover(comp, own, get("mapping"))
+    return discovery.discover(comp, own, catalogue._mapped_names(get))
 
 
 @query("cte: " + _disc() + " SELECT * FROM candidates WHERE confidence IS NOT NULL /* own_products comp_products mapping */")

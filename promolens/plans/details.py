@@ -31,7 +31,7 @@ def detail_table(get):
     raw = get("comp_raw")
     listed, stores = parity.listing(raw, catalogue._branches(raw)), parity.store_aggregate(get("own_products"))
     index = parity.competitor_index(listed)
-    verdicts = parity.store_verdicts(stores, get("mapping"), index, get("order_values")).where(_FREE.replace("trunc(revenue)", "cast(revenue as long)"))
+    verdicts = parity.store_verdicts(stores, get("mapping_links"), index, get("order_values"), get("mapping_pools")).where(_FREE.replace("trunc(revenue)", "cast(revenue as long)"))
     return detail.detail_table(verdicts, stores, index, listed, get("order_values"), views.comp_counts(get("comp_products")))
 
 
@@ -47,7 +47,7 @@ def _own(get):
 @query(f"cte: {_OWN} SELECT city_code, store_name, week_num, product_name, {_BADGE} AS badge, price, row_number() OVER (PARTITION BY city_code, store_name, week_num ORDER BY flag DESC, price DESC, product_name, seq) AS place FROM own WHERE (city_code, store_name) IN (SELECT (city_code, store_name) FROM mapping WHERE source = 'manual_rejected') AND week_num IN ('1996', '1997') /* own_products mapping */")
 def product_list(get):
     """Ordered products of some stores in two weeks."""
-    wanted = get("mapping").where("source = 'manual_rejected'").select("city_code", "store_name", F.explode(F.array(F.lit("1996"), F.lit("1997"))).alias("week_num"))
+    wanted = get("mapping_links").where("source = 'manual_rejected'").select("city_code", "store_name", F.explode(F.array(F.lit("1996"), F.lit("1997"))).alias("week_num"))
     return detail.product_list(_own(get), wanted).select(*KEY, "product_name", "badge", "price", "place")
 
 
