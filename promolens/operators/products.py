@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from promolens.functions import promo, text
@@ -14,6 +15,9 @@ from promolens.operators.parity import MATCHED
 # the shares from which a store is ahead or level.
 AUTO, LEAST, NEAR, TOP, GAP, PRODUCTS, AHEAD, LEVEL = 88.0, 60.0, 3.0, 5, 3.0, 3, 0.60, 0.45
 
+#: Competitor stores of a pool whose menus one task holds, and tasks at most.
+CELL, TASKS = 200, 20_000
+
 
 def anchored(mapping: DataFrame, comp: DataFrame, own: DataFrame) -> DataFrame:
     """Every competitor product beside every own product of the store that is mapped to its store.
@@ -39,17 +43,108 @@ def best_products(met: DataFrame) -> DataFrame:
     ranked = Window.partitionBy(*key).orderBy(F.desc("score"), "own_product")
     rows = rows.withColumn("rn", F.row_number().over(ranked)).where(F.col("rn") <= TOP).withColumn("top", F.max("score").over(Window.partitionBy(*key)))
     rows = rows.where((F.col("rn") == 1) | ((F.col("score") >= F.col("top") - NEAR) & (F.col("score") >= LEAST)))
-    apart = F.when(F.col("own_price") > 0, F.abs(F.col("comp_price") - F.col("own_price")) / F.greatest("comp_price", "own_price")).otherwise(9.9)
-    order = Window.partitionBy(*key).orderBy(F.when(F.col("comp_price").isNotNull(), F.round(apart, 9)), F.desc("score"), "own_product")
-    best = rows.withColumn("pick", F.row_number().over(order)).where("pick = 1")
-    gap = F.when((F.col("comp_price") > 0) & (F.col("own_price") > 0), F.round((F.col("comp_price") - F.col("own_price")) / F.col("own_price") * 100, 1))
-    best = best.withColumn("gap_pct", gap)
-    near = F.coalesce(F.abs("gap_pct") <= GAP, F.lit(False))
+    best = rows.withColumn("pick", F.row_number().over(Window.partitionBy(*key).orderBy(_apart(F.col("comp_price"), F.col("own_price")), F.desc("score"), "own_product"))).where("pick = 1")
+    return _judged(best).drop("a", "b", "rn", "top", "pick")
+
+
+def _apart(comp_price: Column, own_price: Column) -> Column:
+    """How far two prices are apart; nothing where the competitor has none."""
+    apart = F.when(own_price > 0, F.abs(comp_price - own_price) / F.greatest(comp_price, own_price)).otherwise(9.9)
+    return F.when(comp_price.isNotNull(), text.rounded(apart, 9))
+
+
+def _kind(score: Column, comp_price: Column, own_price: Column) -> tuple[Column, Column, Column]:
+    """What becomes of the best product: its price gap, whether that confirms it, and the kind of match."""
+    gap = F.when((comp_price > 0) & (own_price > 0), text.rounded((comp_price - own_price) / own_price * 100, 1))
+    near = F.coalesce(F.abs(gap) <= GAP, F.lit(False))
+    return gap, near, F.when(~(score >= LEAST), "unmatched").when((score >= AUTO) | near, "auto").otherwise("review")
+
+
+def _judged(best: DataFrame) -> DataFrame:
+    gap, near, kind = _kind(F.col("score"), F.col("comp_price"), F.col("own_price"))
     found = F.col("score") >= LEAST
-    kind = F.when(~found, "unmatched").when((F.col("score") >= AUTO) | near, "auto").otherwise("review")
-    best = best.withColumns({"match_type": kind, "price_confirmed": found & near, "name_score": F.bround("score", 0).cast("int"), "own_revenue": F.round("weight", 2)})
+    best = best.withColumns({"gap_pct": gap, "match_type": kind, "price_confirmed": found & near, "name_score": F.bround("score", 0).cast("int"), "own_revenue": text.rounded(F.col("weight"), 2)})
     blank = {c: F.when(found, F.col(c)) for c in ("own_price", "own_rank", "own_pct", "weight", "own_revenue", "gap_pct")}
-    return best.withColumns(blank | {"own_product": F.when(found, F.col("own_product")).otherwise("")}).drop("a", "b", "rn", "top", "pick")
+    return best.withColumns(blank | {"own_product": F.when(found, F.col("own_product")).otherwise("")})
+
+
+def _near_names(batches):
+    """For each name of a cell the places in a store's menu that stand to choice: its best names, best first."""
+    known: dict[str, dict[str, float]] = {}
+    made: dict[str, likeness.Sorted] = {}
+    for batch in batches:
+        out = []
+        for names, menu in zip(batch.column("names").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            if len(known) * len(menu) > 1_000_000 or len(made) > 100_000:
+                known.clear()
+                made.clear()
+            rows = []
+            for a in names:
+                row = known.setdefault(a, {})
+                for b in menu:
+                    if b not in row:
+                        x, y = (made.get(n) or made.setdefault(n, likeness.Sorted(n)) for n in (a, b))
+                        row[b] = x.score(y)
+                scores = [row[b] for b in menu]
+                top = max(scores)
+                least = max(top - NEAR, LEAST)
+                some = sorted((k for k, s in enumerate(scores) if s >= least), key=lambda k: -scores[k])[:TOP] if top >= LEAST else [scores.index(top)]
+                rows.append([{"place": k, "score": scores[k]} for k in some])
+            out.append(rows)
+        near = pa.array(out, pa.list_(pa.list_(pa.struct([("place", pa.int32()), ("score", pa.float64())]))))
+        yield pa.RecordBatch.from_arrays([*batch.columns, near], [*batch.schema.names, "near"])
+
+
+def pool_pairs(links: DataFrame, pools: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stores with their pools, and the names of those, so that every pair of stores is in one pool:
+    a name of a store alone is a pool of its own, unless a pool of the store has it already."""
+    city = "city_code"
+    shared = links.where("pool is not null").select(city, "store_name", "pool").distinct()
+    members = pools.where("comp_name <> ''").select(city, "pool", "comp_name").distinct()
+    single = links.where("pool is null and comp_name <> ''").select(city, "store_name", "comp_name").distinct()
+    twice = single.join(members, [city, "comp_name"]).join(shared, [city, "store_name", "pool"], "left_semi")
+    single = single.join(twice.select(city, "store_name", "comp_name"), [city, "store_name", "comp_name"], "left_anti")
+    named = lambda kind, c: F.concat(F.lit(kind), F.col(c)).alias("pool")
+    stores = shared.select(city, "store_name", named("pool ", "pool")).unionByName(single.select(city, "store_name", named("name ", "comp_name")))
+    return stores, members.select(city, named("pool ", "pool"), "comp_name").unionByName(single.select(city, named("name ", "comp_name"), "comp_name").distinct())
+
+
+def best_of_pools(links: DataFrame, pools: DataFrame, comp: DataFrame, own: DataFrame, whole: bool = False) -> DataFrame:
+    """best_products(anchored(...)) of a mapping by links and pools, without a row for every two products.
+
+    A pool's competitors are dealt to cells. A store's menu meets the names of a cell once, whatever
+    stores have them; then a row is a pair of menus, and each product picks among its near names by
+    price within the row. With ``whole`` only pairs are left that a verdict can come from. The pools
+    of one store have no name in common.
+    """
+    city = "city_code"
+    stores, members = pool_pairs(links, pools)
+    sizes = members.groupBy(city, "pool").agg(F.ceil(F.count("*") / CELL).cast("int").alias("n"))
+    cells = sizes.where("n > 1").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]  # a number
+    tasks = min(cells + int(comp.sparkSession.conf.get("spark.sql.shuffle.partitions")), TASKS)  # work grows with pairs and not with bytes
+    told = [c for c in ("comp_product", "comp_price", "promotion_type", "comp_cut") if c in comp.columns]
+    menus = comp.withColumn("a", text.token_sort(text.product_name(F.col("comp_product")))).groupBy(city, "comp_name").agg(F.collect_list(F.struct("a", *told)).alias("products"))
+    theirs = members.join(sizes, [city, "pool"]).withColumn("cell", F.pmod(F.xxhash64("comp_name"), F.col("n")).cast("int")).drop("n").join(menus, [city, "comp_name"])
+    names = theirs.select(city, "pool", "cell", F.explode("products.a").alias("a")).groupBy(city, "pool", "cell").agg(F.collect_set("a").alias("names"))
+    sold = ["own_product", "own_price", "own_rank", "own_pct", "weight"]
+    mine = own.withColumn("b", text.token_sort(text.product_name(F.col("own_product")))).groupBy(city, "store_name").agg(F.sort_array(F.collect_list(F.struct(*sold, "b"))).alias("menu"))
+    mine = mine.select(city, "store_name", F.transform("menu", lambda x: x["b"]).alias("b"), F.transform("menu", lambda x: F.struct(*[x[c].alias(c) for c in sold])).alias("menu"))
+    mine = stores.join(mine, [city, "store_name"]).join(names, [city, "pool"])
+    shape = mine.select("*", F.lit(None).cast("array<array<struct<place: int, score: double>>>").alias("near")).schema
+    mine = mine.mapInArrow(_near_names, shape).withColumn("near", F.map_from_arrays("names", "near")).drop("names", "b")
+    key = [city, "pool", "cell"]
+    pairs = mine.repartition(tasks, *key).join(theirs.repartition(tasks, *key), key)
+
+    def pick(p: Column) -> Column:
+        choices = F.transform(F.try_element_at(F.col("near"), p["a"]), lambda c: F.struct(_apart(p["comp_price"], F.get("menu", c["place"])["own_price"]).alias("apart"), (-c["score"]).alias("low"), c["place"].alias("place")))
+        return F.struct(p.alias("p"), F.array_min(choices).alias("x"))
+
+    best = F.transform(F.transform("products", pick), lambda r: F.struct(*[r["p"][c].alias(c) for c in told], (-r["x"]["low"]).alias("score"), F.get("menu", r["x"]["place"]).alias("own")))
+    pairs = pairs.select(city, "store_name", "comp_name", best.alias("best"))
+    if whole:
+        auto = F.forall("best", lambda x: _kind(x["score"], x["comp_price"], x["own"]["own_price"])[2] == "auto")
+        pairs = pairs.where((F.size("best") >= PRODUCTS) & auto)
+    return _judged(pairs.select(city, "store_name", "comp_name", F.explode("best").alias("x")).select(city, "store_name", "comp_name", *[f"x.{c}" for c in told], "x.score", "x.own.*"))
 
 
 def product_verdicts(best: DataFrame) -> DataFrame:
@@ -71,7 +166,7 @@ def product_verdicts(best: DataFrame) -> DataFrame:
     won = F.sum(F.when(F.col("label") == "SUPERIORITY", F.col("weight")).when(F.col("label") == "PARITY", 0.5 * F.col("weight")).otherwise(0.0))
     out = one.groupBy(*pair, "n_products").agg((won / F.sum("weight")).alias("s")).where("s is not null")
     label = F.when(F.col("s") >= AHEAD, "SUPERIORITY").when(F.col("s") >= LEVEL, "PARITY").otherwise("INFERIORITY")
-    return out.select(*pair, "n_products", F.round("s", 3).alias("share"), label.alias("parity_product"))
+    return out.select(*pair, "n_products", text.rounded(F.col("s"), 3).alias("share"), label.alias("parity_product"))
 
 
 def override(verdicts: DataFrame, products: DataFrame) -> DataFrame:

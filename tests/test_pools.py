@@ -2,7 +2,7 @@
 
 import random
 
-from promolens.operators import parity
+from promolens.operators import parity, products
 from promolens.plans import catalogue
 from promolens.plans.registry import Tables
 
@@ -41,3 +41,25 @@ def test_verdicts_from_pools(spark):
     assert rows(parity.store_verdicts(given[0], links, given[1], given[2], pools)) == rows(want)
     # a store meets a promotion of its pool once, however many names have it
     assert parity.shared_branches(links, pools, given[1]).groupBy("store_name", "pool").count().where("count > 6").count() == 0
+
+
+def test_products_from_pools(spark, monkeypatch):
+    monkeypatch.setattr(products, "CELL", 3)
+    rng = random.Random(52)
+    words = "pizza rossa bianca grande piccola zuppa".split()
+    say = lambda: " ".join(rng.sample(words, rng.choice([1, 2, 2, 3])))
+    comp = {("A", f"c{k}", say()): (rng.choice([None, 4.0, 5.0, 5.05]), "10% di sconto") for k in range(10) for _ in range(k // 2)}
+    own = {("A", f"s{k}", say()): (rng.choice([0.0, 4.0, 4.1, 5.0]), 2.0, 20.0, rng.choice([0.0, 7.5])) for k in range(8) for _ in range(6)}
+    pools = [("A", "x", f"c{k}") for k in range(8)] + [("A", "y", "c9"), ("A", "x", "")]
+    links = [("A", f"s{k}", None, p) for k in range(6) for p in ("xy" if k % 2 else "x")] + [("A", f"s{k}", f"c{k}", None) for k in range(8)] + [("A", "s7", "", None)]
+    make = spark.createDataFrame
+    comp, own = make([k + v for k, v in comp.items()], "city_code string, comp_name string, comp_product string, comp_price double, promotion_type string"), make([k + v for k, v in own.items()], "city_code string, store_name string, own_product string, own_price double, own_rank double, own_pct double, weight double")
+    pairs = [(c, s, n) for c, s, n, p in links if p is None] + [(c, s, n) for c, s, _, p in links for _, q, n in pools if p == q]
+    links, pools = make(links, "city_code string, store_name string, comp_name string, pool string"), make(pools, "city_code string, pool string, comp_name string")
+    want = products.best_products(products.anchored(make(pairs, "city_code string, store_name string, comp_name string"), comp, own))
+    assert rows(products.best_of_pools(links, pools, comp, own).select(want.columns)) == rows(want)
+    assert want.count() > 60 and want.where("match_type = 'review'").count()
+    assert rows(products.product_verdicts(products.best_of_pools(links, pools, comp, own, whole=True))) == rows(products.product_verdicts(want))
+    # a store's names meet a cell's once: there is no row for every two products
+    plan = products.best_of_pools(links, pools, comp, own)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan

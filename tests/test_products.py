@@ -1,5 +1,7 @@
 """Product matches and store verdicts from them, by hand-made menus."""
 
+import duckdb
+
 from promolens.operators import products
 
 COMP = "city_code string, comp_name string, comp_product string, comp_price double, promotion_type string"
@@ -37,3 +39,12 @@ def test_override(spark):
     found = spark.createDataFrame([("X", s, p) for s in "SBU" for p in ("PARITY", "INFERIORITY")], "city_code string, store_name string, parity_product string")
     got = {r["store_name"]: r["parity"] for r in products.override(verdicts, found).collect()}
     assert got == {"S": "INFERIORITY", "B": "SUPERIORITY", "U": "UNMATCHED", "N": "PARITY"}
+
+
+def test_halves_go_as_in_sql(spark):
+    # amounts that print as halves and lie beside them, and exact halves
+    halves = [1.005, 0.125, 2.675, 1.115, 8.345, 100.685, 4.0]
+    met = spark.createDataFrame([("X", "S", "C", f"Pizza {k}", 3.0, "", f"Pizza {k}", x, 2.0, 10.0, x) for k, x in enumerate(halves)], "city_code string, store_name string, comp_name string, comp_product string, comp_price double, promotion_type string, own_product string, own_price double, own_rank double, own_pct double, weight double")
+    got = {r["comp_product"]: (r["own_revenue"], r["gap_pct"]) for r in products.best_products(met).collect()}
+    want = duckdb.sql(f"SELECT round(x, 2), round((3.0::DOUBLE - x) / x * 100, 1) FROM (SELECT unnest({halves}::DOUBLE[]) AS x)").fetchall()
+    assert [got[f"Pizza {k}"] for k in range(len(halves))] == want
