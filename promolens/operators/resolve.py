@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from promolens.operators import likeness
 
 # Scores from which a match stands by itself or goes to review, and the gap to the runner-up.
 AUTO, GAP, REVIEW = 88.0, 10.0, 70.0
+#: Stores of either side that one task compares at most, rows that it multiplies at once, names at once, and tasks at most.
+BLOCK, STEP, WIDTH, TASKS = 2000, 256, 4096, 20_000
 
 
 def truth_lookup(stores: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -47,13 +51,47 @@ def price_band(left: DataFrame, right: DataFrame, on: list[str], width: float =
     return a.join(b, [*on, "bucket"]).where((gap <= width) & (gap <= rel * F.greatest("pa", "pb"))).drop("bucket")
 
 
-def fingerprint(comp: DataFrame, own: DataFrame, least: int = 4) -> DataFrame:
-    """J13 and the overlap of A13, without hits that prices confirm: for each competitor store the own store whose menu shares most product names."""
-    c = comp.select("city_code", F.col("store_name").alias("comp"), "n").distinct()
-    o = own.select("city_code", F.col("store_name").alias("own"), "n").distinct()
-    sizes = c.groupBy("city_code", "comp").agg(F.count("*").alias("products")).where(F.col("products") >= least)
-    hits = c.join(o, ["city_code", "n"]).groupBy("city_code", "comp", "own").agg(F.count("*").alias("n_overlap"))
-    best = hits.groupBy("city_code", "comp").agg(F.min_by(F.struct("own", "n_overlap"), F.struct(-F.col("n_overlap"), "own")).alias("x")).select("city_code", "comp", "x.*")
+def _shared_names(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+    """The best own store of one block for each competitor store of one block, by products of 0/1 matrices."""
+    theirs, mine = frame[frame["side"] == 0], frame[frame["side"] == 1].sort_values("store")
+    out = []
+    if len(theirs) and len(mine):
+        names = mine["store"].tolist()
+        column = {n: k for k, n in enumerate({n for menu in theirs["menu"] for n in menu})}
+        for start in range(0, len(theirs), STEP):
+            some = theirs.iloc[start : start + STEP]
+            shared = np.zeros((len(some), len(mine)), np.float32)
+            for low in range(0, len(column), WIDTH):
+                left, right = (np.zeros((len(f), min(WIDTH, len(column) - low)), np.float32) for f in (some, mine))
+                for side, menus in ((left, some["menu"]), (right, mine["menu"])):
+                    for k, menu in enumerate(menus):
+                        side[k, [c - low for c in map(column.get, menu) if c is not None and low <= c < low + WIDTH]] = 1
+                shared += left @ right.T
+            best = shared.argmax(axis=1)  # the first of the most: own stores stand in order
+            out += [(key[0], comp, names[j], int(shared[k, j])) for k, (comp, j) in enumerate(zip(some["store"], best, strict=True)) if shared[k, j]]
+    return pd.DataFrame(out, columns=["city_code", "comp", "own", "n_overlap"])
+
+
+def fingerprint(comp: DataFrame, own: DataFrame, least: int = 4, block: int | None = None) -> DataFrame:
+    """J13 and the overlap of A13, without hits that prices confirm: for each competitor store the own store whose menu shares most product names.
+
+    A menu is a row; stores of a city are dealt to blocks, and a block of either side meets each block of the
+    other in a task of its own, which pairs of stores never leave.
+    """
+    size = BLOCK if block is None else block
+    menus = lambda df: df.where("city_code is not null and store_name is not null").groupBy("city_code", F.col("store_name").alias("store")).agg(F.collect_set("n").alias("menu"), F.count_if(F.col("n").isNull()).alias("nulls"))
+    c = menus(comp).withColumn("products", F.size("menu") + (F.col("nulls") > 0).cast("int")).where(F.col("products") >= least)
+    o = menus(own)
+    blocks = lambda df, n: df.groupBy("city_code").agg(F.ceil(F.count("*") / size).cast("int").alias(n))
+    counts = blocks(c, "i").join(blocks(o, "j"), "city_code")  # a row a city
+    dealt = lambda n: F.pmod(F.xxhash64("store"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = c.join(counts, "city_code").select("city_code", F.lit(0).alias("side"), "store", "menu", dealt("i").alias("x"), every("j").alias("y"))
+    right = o.join(counts, "city_code").select("city_code", F.lit(1).alias("side"), "store", "menu", every("i").alias("x"), dealt("j").alias("y"))
+    tasks = min(counts.agg(F.coalesce(F.sum(F.col("i").cast("long") * F.col("j")), F.lit(1))).first()[0], TASKS)  # a number
+    found = left.unionByName(right).repartition(tasks, "city_code", "x", "y").groupBy("city_code", "x", "y").applyInPandas(_shared_names, "city_code string, comp string, own string, n_overlap long")
+    best = found.groupBy("city_code", "comp").agg(F.min_by(F.struct("own", "n_overlap"), F.struct(-F.col("n_overlap"), "own")).alias("x")).select("city_code", "comp", "x.*")
+    sizes = c.select("city_code", F.col("store").alias("comp"), F.col("products").cast("long").alias("products"))
     return best.join(sizes, ["city_code", "comp"]).withColumn("ratio", F.round(F.col("n_overlap") / F.col("products"), 2))
 
 

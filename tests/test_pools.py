@@ -1,9 +1,12 @@
 """Names that stores share, said once: the same mapping, verdicts and matches as from its pairs."""
 
+import datetime
 import random
 
-from promolens.operators import parity, products
-from promolens.plans import catalogue
+import duckdb
+
+from promolens.operators import parity, products, resolve
+from promolens.plans import bridge, catalogue
 from promolens.plans.registry import Tables
 
 SF = "/root/testdata/sf0.001"
@@ -63,3 +66,35 @@ def test_products_from_pools(spark, monkeypatch):
     # a store's names meet a cell's once: there is no row for every two products
     plan = products.best_of_pools(links, pools, comp, own)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan
+
+
+def test_fingerprint_of_blocks(spark, monkeypatch):
+    rng = random.Random(53)
+    monkeypatch.setattr(resolve, "WIDTH", 5)
+    menu = lambda side, n: [(c, f"{side}{k}", rng.choice([f"p{i}" for i in range(12)] + [None])) for c in "AB" for k in range(n) for _ in range(rng.randrange(1, 12))]
+    comp, own = menu("c", 15) + [("D", "alone", f"p{i}") for i in range(5)], menu("s", 20) + [("A", None, "p1")]
+    want = set()
+    of = lambda rows, c: {s: {n for d, t, n in rows if (d, t) == (c, s)} for d, s, _ in rows if d == c and s is not None}
+    for c in "ABD":
+        for name, a in of(comp, c).items():
+            both = min(((-len((a & b) - {None}), s) for s, b in of(own, c).items()), default=(0, ""))
+            if len(a) >= 4 and both[0]:
+                want.add((c, name, both[1], -both[0], len(a)))
+    make = lambda rows: spark.createDataFrame(rows, "city_code string, store_name string, n string")
+    for block in (4, 2000):
+        got = resolve.fingerprint(make(comp), make(own), block=block).collect()
+        assert {(r["city_code"], r["comp"], r["own"], r["n_overlap"], r["products"]) for r in got} == want and len(got) == len(want)
+    assert len(want) > 15
+
+
+def test_order_values_round_as_in_sql(spark, tmp_path):
+    make = spark.createDataFrame
+    totals = [10050.0, 20250.0, 30150.0, 23450.0, 100550.0, 81450.0, 26750.0, 11150.0]
+    make([(k, k, x, datetime.datetime(1996, 1, 1)) for k, x in enumerate(totals)], "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp").write.parquet(f"{tmp_path}/orders.parquet")
+    make([(k, f"S{k}", 0) for k in range(len(totals))], "s_suppkey long, s_name string, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    make([(0, "N")], "n_nationkey int, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    con = duckdb.connect()
+    for t in ("orders", "supplier", "nation"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    want = con.sql(bridge.oracle("SELECT store_name, order_value FROM order_values")).fetchall()
+    assert sorted(map(tuple, bridge.load(spark, str(tmp_path), "order_values").select("store_name", "order_value").collect())) == sorted(want)
