@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from promolens.functions import promo
@@ -26,30 +26,41 @@ def promo_view(products: DataFrame, member: bool = False) -> DataFrame:
     return out.withColumns({"pct": F.when(counts, c("pct")).otherwise(0.0), "promo_revenue": F.when(c("flag") == "Y", c("revenue")).otherwise(0.0)})
 
 
+def _covered(view: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """Sums of what each kind covers, NULL where no active product has it: kinds are few and known, so
+    they are columns of the grouping at hand and take no scan or shuffle of their own."""
+    view = view.withColumn("strongest", F.when(F.col("flag") == "Y", promo.strongest_kind(F.col("kind"))))
+    return view, [F.sum(F.when(F.col("strongest") == k, F.coalesce("revenue", F.lit(0.0)))).alias(k) for k in promo.KIND_RANKS]
+
+
+def _dominant() -> Column:
+    """Of those sums the largest, ties to the better rank, as a struct of rank and kind."""
+    of = [F.when(F.col(k).isNotNull(), F.struct((-F.round(k, 4)).alias("covered"), F.lit(rank).alias("best_promo_rank"), F.lit(k).alias("best_promo_type"))) for k, rank in promo.KIND_RANKS.items()]
+    return F.array_min(F.array(*of))
+
+
 def dominant_promo(view: DataFrame) -> DataFrame:
     """The strongest kind that covers most revenue, ties to the better rank."""
-    kinds = view.where("flag = 'Y'").groupBy(*KEY, "kind").agg(F.sum("revenue").alias("revenue"))  # lists of kinds are few, rows are many
-    one = kinds.withColumn("best_promo_type", promo.strongest_kind(F.col("kind"))).where("best_promo_type is not null")
-    sums = one.groupBy(*KEY, "best_promo_type").agg(F.round(F.sum("revenue"), 4).alias("covered"))
-    sums = sums.withColumn("best_promo_rank", promo.rank_of_kind(F.col("best_promo_type"), F.lit("Y")))
-    best = sums.groupBy(*KEY).agg(F.min_by(F.struct("best_promo_type", "best_promo_rank"), F.struct(-F.col("covered"), F.col("best_promo_rank"))).alias("x"))
-    return best.select(*KEY, "x.*")
+    view, sums = _covered(view.where("flag = 'Y'"))
+    return view.groupBy(*KEY).agg(*sums).withColumn("x", _dominant()).where("x is not null").select(*KEY, "x.best_promo_type", "x.best_promo_rank")
 
 
 def store_aggregate(products: DataFrame, member: bool = False) -> DataFrame:
-    """One row a store and week. The two groupings share their shuffle key."""
-    c, view = F.col, promo_view(products, member).dropna(subset=list(KEY))
+    """One row a store and week, the dominant promotion (A02) from the same grouping. Names are
+    counted beside it: a grouping by name has nearly a row a product, and sums would make each of them wide."""
+    c = F.col
+    view, covered = _covered(promo_view(products, member).dropna(subset=list(KEY)))
     on = c("flag") == "Y"
     some = on & (c("pct") > 0)
+    names = view.where(on).groupBy(*KEY).agg(F.countDistinct("product_name").alias("n"))
     sums = view.groupBy(*KEY).agg(
         F.round(F.avg(F.when(some, c("pct"))), 1).alias("avg_pct_off"), F.round(F.max(F.when(some, c("pct"))), 1).alias("max_pct_off"),
         F.round(F.max(F.when(on & (c("kind") == "BASKET_PERCENTAGE"), c("min_basket_size_np"))), 0).alias("min_basket_size"),
-        F.countDistinct(F.when(on, c("product_name"))).alias("promo_product_count"), F.sum("total_product_sold").cast("long").alias("total_sold"),
-        F.sum("revenue").alias("r"), F.sum("promo_revenue").alias("p"),
+        F.sum("total_product_sold").cast("long").alias("total_sold"), F.sum("revenue").alias("r"), F.sum("promo_revenue").alias("p"), *covered,
     )
-    out = sums.join(dominant_promo(view), list(KEY), "left")
+    out = sums.withColumn("x", _dominant()).join(names, list(KEY), "left").withColumn("promo_product_count", F.coalesce("n", F.lit(0).cast("long")))
     return out.select(
-        *KEY, "best_promo_type", F.coalesce("best_promo_rank", F.lit(promo.NO_PROMO)).alias("best_promo_rank"), "avg_pct_off", "max_pct_off", "min_basket_size",
+        *KEY, "x.best_promo_type", F.coalesce("x.best_promo_rank", F.lit(promo.NO_PROMO)).alias("best_promo_rank"), "avg_pct_off", "max_pct_off", "min_basket_size",
         "promo_product_count", "total_sold", F.round("r", 2).alias("revenue"), F.round("p", 2).alias("promo_revenue"),
         F.when(c("r") > 0, F.round(c("p") / c("r") * 100, 1)).otherwise(0.0).alias("promo_coverage_pct"),
     )

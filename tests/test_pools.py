@@ -4,6 +4,7 @@ import datetime
 import random
 
 import duckdb
+from pyspark.sql import functions as F
 
 from promolens.operators import parity, products, resolve
 from promolens.plans import bridge, catalogue
@@ -98,3 +99,22 @@ def test_order_values_round_as_in_sql(spark, tmp_path):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
     want = con.sql(bridge.oracle("SELECT store_name, order_value FROM order_values")).fetchall()
     assert sorted(map(tuple, bridge.load(spark, str(tmp_path), "order_values").select("store_name", "order_value").collect())) == sorted(want)
+
+
+PRODUCT = "city_code string, store_name string, week_num string, product_name string, avg_unit_price double, total_product_sold double, promo_non_prime string, type_of_promo_np string, percentage_off_np double, min_basket_size_np double"
+
+
+def test_dominant_promotion_from_the_grouping_of_sums(spark):
+    said = [("a", 5.0, 2.0, "Y", "FREE_DELIVERY"), ("b", None, 1.0, "Y", "BASKET_PERCENTAGE"), ("b", 9.0, 9.0, "N", "TWO_FOR_ONE"), ("c", 4.0, 1.0, "Y", "flat_product , FREE_DELIVERY"), ("d", 4.0, 1.0, "Y", "no kind")]
+    tied = [("a", 3.0, 1.0, "Y", "FREE_DELIVERY"), ("b", 3.0, 1.0, "Y", " two_for_one,FREE_DELIVERY"), ("c", 1.0, 1.0, "Y", None)]
+    rows = [("A", s, "1", *x, 10.0, 5.0) for s, of in (("said", said), ("tied", tied), ("none", [("a", 3.0, 1.0, "N", "FREE_DELIVERY")])) for x in of]
+    products = spark.createDataFrame(rows, PRODUCT).withColumns({"promotion_prime": F.lit("N"), "type_of_promo_p": F.lit(""), "percentage_off_p": F.lit(0.0)})
+    out = parity.store_aggregate(products)
+    got = {r["store_name"]: (r["best_promo_type"], r["best_promo_rank"], r["promo_product_count"]) for r in out.collect()}
+    # a kind whose revenue is not known covers none of it; before, it came first
+    assert got == {"said": ("FREE_DELIVERY", 4.0, 4), "tied": ("TWO_FOR_ONE", 1.0, 3), "none": (None, 6.0, 0)}
+    alone = {r["store_name"]: (r["best_promo_type"], r["best_promo_rank"]) for r in parity.dominant_promo(parity.promo_view(products)).collect()}
+    assert alone == {"said": ("FREE_DELIVERY", 4.0), "tied": ("TWO_FOR_ONE", 1.0)}
+    # a grouping by name carries no sums: it has nearly a row a product
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert not [line for line in plan.splitlines() if "Aggregate(keys=" in line and "product_name" in line.split("functions=")[0] and "sum(" in line]
