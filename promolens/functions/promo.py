@@ -34,10 +34,12 @@ def rank_of_kind(kind: Column, flag: Column) -> Column:
 
 
 def strongest_kind(kinds: Column) -> Column:
-    """of a comma list, the first of the best rank; NULL if none is known. One kind alone is no list."""
-    parts = F.transform(F.split(F.coalesce(kinds, F.lit("")), ","), lambda x: F.upper(F.trim(x)))
-    ranked = F.transform(parts, lambda x, i: F.struct(F.try_element_at(_kinds(), x).alias("rank"), i.alias("at"), x.alias("kind")))
-    return F.when(kinds.isin(*KIND_RANKS), kinds).otherwise(F.array_min(F.filter(ranked, lambda x: x["rank"].isNotNull()))["kind"])
+    """of a comma list, the kind of the best rank; NULL if none is known. One kind alone is no list.
+    Kinds are looked for by rank, as patterns, which the engine compiles; functions over arrays it does not."""
+    out, said = F.when(kinds.isin(*KIND_RANKS), kinds), F.upper(kinds)
+    for kind in sorted(KIND_RANKS, key=KIND_RANKS.get):
+        out = out.when(said.rlike(rf"(?:^|,) *{kind} *(?:,|\z)"), kind)
+    return out
 
 
 def rank_of_text(text: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,17 +28,17 @@ def promo_view(products: DataFrame, member: bool = False) -> DataFrame:
     return out.withColumns({"pct": F.when(counts, c("pct")).otherwise(0.0), "promo_revenue": F.when(c("flag") == "Y", c("revenue")).otherwise(0.0)})
 
 
-def _covered(view: DataFrame) -> tuple[DataFrame, list[Column]]:
+def _covered(rows: DataFrame, of: str = "") -> tuple[DataFrame, list[Column]]:
     """Sums of what each kind covers, NULL where no active product has it: kinds are few and known, so
     they are columns of the grouping at hand and take no scan or shuffle of their own."""
-    view = view.withColumn("strongest", F.when(F.col("flag") == "Y", promo.strongest_kind(F.col("kind"))))
-    return view, [F.sum(F.when(F.col("strongest") == k, F.coalesce("revenue", F.lit(0.0)))).alias(k) for k in promo.KIND_RANKS]
+    rows = rows.withColumn(f"strongest{of}", F.when(F.col(f"flag{of}") == "Y", promo.strongest_kind(F.col(f"kind{of}"))))
+    return rows, [F.sum(F.when(F.col(f"strongest{of}") == k, F.coalesce("revenue", F.lit(0.0)))).alias(f"{k}{of}") for k in promo.KIND_RANKS]
 
 
-def _dominant() -> Column:
+def _dominant(of: str = "") -> Column:
     """Of those sums the largest, ties to the better rank, as a struct of rank and kind."""
-    of = [F.when(F.col(k).isNotNull(), F.struct((-F.round(k, 4)).alias("covered"), F.lit(rank).alias("best_promo_rank"), F.lit(k).alias("best_promo_type"))) for k, rank in promo.KIND_RANKS.items()]
-    return F.array_min(F.array(*of))
+    sums = {k: F.col(f"{k}{of}") for k in promo.KIND_RANKS}
+    return F.array_min(F.array(*[F.when(x.isNotNull(), F.struct((-F.round(x, 4)).alias("covered"), F.lit(promo.KIND_RANKS[k]).alias("best_promo_rank"), F.lit(k).alias("best_promo_type"))) for k, x in sums.items()]))
 
 
 def dominant_promo(view: DataFrame) -> DataFrame:
@@ -46,24 +48,45 @@ def dominant_promo(view: DataFrame) -> DataFrame:
 
 
 def store_aggregate(products: DataFrame, member: bool = False) -> DataFrame:
-    """One row a store and week, the dominant promotion (A02) from the same grouping. Names are
-    counted beside it: a grouping by name has nearly a row a product, and sums would make each of them wide."""
-    c = F.col
-    view, covered = _covered(promo_view(products, member).dropna(subset=list(KEY)))
-    on = c("flag") == "Y"
-    some = on & (c("pct") > 0)
-    names = view.where(on).groupBy(*KEY).agg(F.countDistinct("product_name").alias("n"))
-    sums = view.groupBy(*KEY).agg(
-        F.round(F.avg(F.when(some, c("pct"))), 1).alias("avg_pct_off"), F.round(F.max(F.when(some, c("pct"))), 1).alias("max_pct_off"),
-        F.round(F.max(F.when(on & (c("kind") == "BASKET_PERCENTAGE"), c("min_basket_size_np"))), 0).alias("min_basket_size"),
-        F.sum("total_product_sold").cast("long").alias("total_sold"), F.sum("revenue").alias("r"), F.sum("promo_revenue").alias("p"), *covered,
-    )
-    out = sums.withColumn("x", _dominant()).join(names, list(KEY), "left").withColumn("promo_product_count", F.coalesce("n", F.lit(0).cast("long")))
-    return out.select(
-        *KEY, "x.best_promo_type", F.coalesce("x.best_promo_rank", F.lit(promo.NO_PROMO)).alias("best_promo_rank"), "avg_pct_off", "max_pct_off", "min_basket_size",
-        "promo_product_count", "total_sold", F.round("r", 2).alias("revenue"), F.round("p", 2).alias("promo_revenue"),
-        F.when(c("r") > 0, F.round(c("p") / c("r") * 100, 1)).otherwise(0.0).alias("promo_coverage_pct"),
-    )
+    """One row a store and week, the dominant promotion (A02) from the same grouping."""
+    return _aggregate(products, {"": member}).select(*KEY, *_seen())
+
+
+def both_aggregates(products: DataFrame) -> DataFrame:
+    """A01 for both views, named by a column view: they share the products' joins, scans and shuffles."""
+    views = {"_standard": False, "_member": True}
+    rows = [F.struct(F.lit(v[1:]).alias("view"), *_seen(v)) for v in views]
+    return _aggregate(products, views).select(*KEY, F.inline(F.array(*rows)))
+
+
+def _aggregate(products: DataFrame, views: dict[str, bool]) -> DataFrame:
+    """A row a store and week with the sums of each view. Names are counted beside them: a grouping by
+    name has nearly a row a product, and sums would make each of them wide."""
+    rows, sums, on = products.dropna(subset=list(KEY)), [], {}
+    for of, member in views.items():
+        rows = promo_view(rows, member).withColumnsRenamed({x: x + of for x in ("flag", "kind", "pct", "promo_revenue")})
+        rows, covered = _covered(rows, of)
+        kind, pct, on[of] = F.col(f"kind{of}"), F.col(f"pct{of}"), F.col(f"flag{of}") == "Y"
+        some = F.when(on[of] & (pct > 0), pct)
+        sums += [
+            F.round(F.avg(some), 1).alias(f"avg_pct_off{of}"), F.round(F.max(some), 1).alias(f"max_pct_off{of}"),
+            F.round(F.max(F.when(on[of] & (kind == "BASKET_PERCENTAGE"), F.col("min_basket_size_np"))), 0).alias(f"min_basket_size{of}"),
+            F.sum(f"promo_revenue{of}").alias(f"p{of}"), *covered,
+        ]
+    names = rows.where(reduce(Column.__or__, on.values())).groupBy(*KEY, "product_name").agg(*[F.max(x).alias(f"on{of}") for of, x in on.items()])
+    names = names.where("product_name is not null").groupBy(*KEY).agg(*[F.count(F.when(F.col(f"on{of}"), 1)).alias(f"n{of}") for of in views])
+    out = rows.groupBy(*KEY).agg(F.sum("total_product_sold").cast("long").alias("total_sold"), F.sum("revenue").alias("r"), *sums)
+    return out.withColumns({f"x{of}": _dominant(of) for of in views}).join(names, list(KEY), "left")
+
+
+def _seen(of: str = "") -> list[Column]:
+    """The columns of one view of _aggregate."""
+    c, r, x, p = lambda name: F.col(f"{name}{of}").alias(name), F.col("r"), F.col(f"x{of}"), F.col(f"p{of}")
+    return [
+        x["best_promo_type"].alias("best_promo_type"), F.coalesce(x["best_promo_rank"], F.lit(promo.NO_PROMO)).alias("best_promo_rank"), c("avg_pct_off"), c("max_pct_off"), c("min_basket_size"),
+        F.coalesce(F.col(f"n{of}"), F.lit(0).cast("long")).alias("promo_product_count"), F.col("total_sold"), F.round(r, 2).alias("revenue"), F.round(p, 2).alias("promo_revenue"),
+        F.when(r > 0, F.round(p / r * 100, 1)).otherwise(0.0).alias("promo_coverage_pct"),
+    ]
 
 
 def store_totals(index: DataFrame) -> DataFrame:
@@ -110,8 +133,9 @@ def store_verdicts(stores: DataFrame, mapping: DataFrame, index: DataFrame, orde
     a rejection by hand makes the store exclusive, also beside an absence from the other side, and
     any other source leaves it unmatched. An order value counts for its own week.
     pools: city_code, pool, comp_name, lists of names that stores share; a row of the mapping with a
-    pool stands for all names of it.
+    pool stands for all names of it. Stores with a column view have a verdict in each view.
     """
+    key = [*KEY, *(c for c in stores.columns if c == "view")]
     norm = (mapping if pools is None else mapping.where("pool is null")).select("city_code", "store_name", store_name(F.col("comp_name")).alias("name_norm"), "source")
     said = lambda source: F.bool_or(F.col("source") == source)
     why = F.when(said("manual_rejected"), "EXCLUSIVE_OWN").when(said("not_on_comp"), "NOT_ON_COMP")
@@ -129,16 +153,23 @@ def store_verdicts(stores: DataFrame, mapping: DataFrame, index: DataFrame, orde
     met = met.withColumn("parity", F.when(F.col("name_norm").isNotNull(), F.col("parity")).otherwise(F.coalesce("why", F.lit("UNMATCHED"))))
     severity = F.when(F.col("parity") == "INFERIORITY", 0).when(F.col("parity") == "PARITY", 1).otherwise(2)
     order = F.struct(severity.alias("a"), F.col("comp_rank").alias("b"), (-F.coalesce("comp_pct", F.lit(0.0))).alias("c"), F.coalesce("name_norm", F.lit("")).alias("d"))
-    best = met.groupBy(*KEY).agg(F.min_by(F.struct("name_norm", "own_rank", "comp_rank", "parity", "revenue", "promo_coverage_pct", "best_promo_type"), order).alias("x"))
-    return best.select(*KEY, "x.*")
+    best = met.groupBy(*key).agg(F.min_by(F.struct("name_norm", "own_rank", "comp_rank", "parity", "revenue", "promo_coverage_pct", "best_promo_type"), order).alias("x"))
+    return best.select(*key, "x.*")
+
+
+def side_by_side(verdicts: DataFrame) -> DataFrame:
+    """The verdicts of both views in one row a store and week."""
+    of = lambda view: F.max(F.when(F.col("view") == view, F.col("parity"))).alias(f"{view}_parity")
+    return verdicts.groupBy(*KEY).agg(of("standard"), F.max(F.when(F.col("view") == "standard", F.col("revenue"))).alias("revenue"), of("member"))
 
 
 def city_rollup(verdicts: DataFrame) -> DataFrame:
-    """Counts, shares, revenue-weighted shares, label and coverage."""
+    """Counts, shares, revenue-weighted shares, label and coverage, of each view where there is one."""
+    key = ["city_code", "week_num", *(c for c in verdicts.columns if c == "view")]
     c, rows = F.col, verdicts.where("parity <> 'NOT_ON_OWN'")
     count = lambda *names: F.count(F.when(c("parity").isin(*names), 1))
     total = lambda *names: F.sum(F.when(c("parity").isin(*names), c("revenue")).otherwise(0.0))
-    out = rows.groupBy("city_code", "week_num").agg(
+    out = rows.groupBy(*key).agg(
         F.count("*").alias("n_stores_total"), count(*MATCHED).alias("n_stores_matched"), count("UNMATCHED").alias("n_unmatched"), count("EXCLUSIVE_OWN", "NOT_ON_COMP").alias("n_exclusive_own"),
         *[count(v).alias(f"n_{v.lower()}") for v in MATCHED], *[total(v).alias(f"r_{v.lower()}") for v in MATCHED], total(*MATCHED).alias("r"),
     )
@@ -152,11 +183,10 @@ def city_rollup(verdicts: DataFrame) -> DataFrame:
     return out.drop("r", "r_superiority", "r_parity", "r_inferiority")
 
 
-def member_delta(standard: DataFrame, member: DataFrame) -> DataFrame:
+def member_delta(verdicts: DataFrame) -> DataFrame:
     """Stores whose verdict differs between the views."""
-    a, b = standard.select(*KEY, F.col("parity").alias("standard_parity"), "revenue"), member.select(*KEY, F.col("parity").alias("member_parity"))
     rank = lambda x: F.when(F.col(x) == "SUPERIORITY", 0).when(F.col(x) == "PARITY", 1).when(F.col(x) == "INFERIORITY", 2).otherwise(9)
-    out = a.join(b, list(KEY)).where("standard_parity <> member_parity")
+    out = side_by_side(verdicts).where("standard_parity <> member_parity")
     return out.withColumn("direction", F.when(rank("member_parity") < rank("standard_parity"), "improves").otherwise("worsens"))
 
 

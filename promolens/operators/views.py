@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from promolens.functions import promo, text
-from promolens.operators.parity import KEY, MATCHED
+from promolens.operators.parity import KEY, MATCHED, side_by_side
 
 #: Rows of a detail table that are shown.
 SHOWN = 1000
@@ -43,11 +43,11 @@ def store_detail(verdicts: DataFrame, counts: DataFrame, cities=(), weeks=(), ve
     return out.select(*KEY, "parity", "own_label", "comp_label", "comp_products", F.round("revenue", 2).alias("revenue"))
 
 
-def boost(member: DataFrame, standard: DataFrame) -> DataFrame:
+def boost(verdicts: DataFrame) -> DataFrame:
     """Each member verdict beside the store's last standard one, and whether it is better."""
-    last = standard.groupBy("city_code", "store_name").agg(F.max_by("parity", "week_num").alias("standard_parity"))
+    last = F.max_by("standard_parity", F.when(F.col("standard_parity").isNotNull(), F.col("week_num"))).over(Window.partitionBy("city_code", "store_name"))
     level = lambda c: F.when(F.col(c) == "SUPERIORITY", 2).when(F.col(c) == "PARITY", 1).when(F.col(c) == "INFERIORITY", 0)
-    rows = member.join(last, ["city_code", "store_name"], "left")
+    rows = side_by_side(verdicts).withColumn("standard_parity", last).where("member_parity is not null").withColumnRenamed("member_parity", "parity")
     badge = F.when(level("parity") > level("standard_parity"), "boost").when(level("parity") < level("standard_parity"), "drop").otherwise("")
     return rows.select(*KEY, "parity", "standard_parity", badge.alias("badge"))
 
@@ -72,13 +72,12 @@ def counters(cities: DataFrame, verdicts: DataFrame, mapping: DataFrame) -> Data
     return a.crossJoin(b).crossJoin(c)  # one row each
 
 
-def member_kpis(standard: DataFrame, member: DataFrame) -> DataFrame:
+def member_kpis(cities: DataFrame) -> DataFrame:
     """Sums of stores and plain means of their shares in both views, and the difference."""
-    side = lambda df, p: df.agg(*[F.sum(f"n_{v.lower()}").alias(f"{p}_n_{v.lower()}") for v in MATCHED], *[F.avg(f"pct_{v.lower()}").alias(f"{p}_pct_{v.lower()}") for v in MATCHED])
-    both = side(standard, "s").crossJoin(side(member, "m"))  # one row each
-    n = [f"n_{v.lower()}" for v in MATCHED]
-    p = [f"pct_{v.lower()}" for v in MATCHED]
-    return both.select(*[F.col(f"m_{x}").alias(f"member_{x}") for x in n], *[(F.col(f"m_{x}") - F.col(f"s_{x}")).alias(f"delta_{x}") for x in n], *[F.round(F.col(f"m_{x}") - F.col(f"s_{x}"), 1).alias(f"delta_{x}") for x in p])
+    of = lambda view, c: F.when(F.col("view") == view, F.col(c))
+    n, p = [f"n_{v.lower()}" for v in MATCHED], [f"pct_{v.lower()}" for v in MATCHED]
+    both = cities.agg(*[f(of(view, c)).alias(f"{view}_{c}") for view in ("standard", "member") for f, cs in ((F.sum, n), (F.avg, p)) for c in cs])
+    return both.select(*[f"member_{x}" for x in n], *[(F.col(f"member_{x}") - F.col(f"standard_{x}")).alias(f"delta_{x}") for x in n], *[F.round(F.col(f"member_{x}") - F.col(f"standard_{x}"), 1).alias(f"delta_{x}") for x in p])
 
 
 def national_delta(trend: DataFrame) -> DataFrame:

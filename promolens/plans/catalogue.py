@@ -116,6 +116,11 @@ def _verdict_rows(get, member: bool = False) -> DataFrame:
     return parity.store_verdicts(parity.store_aggregate(get("own_products"), member), get("mapping_links"), _index(get), get("order_values"), get("mapping_pools"))
 
 
+def _both_verdicts(get) -> DataFrame:
+    """The verdicts of both views from one pass over each table."""
+    return parity.store_verdicts(parity.both_aggregates(get("own_products")), get("mapping_links"), _index(get), get("order_values"), get("mapping_pools"))
+
+
 def _mapped_stores(get) -> DataFrame:
     """Stores with a name on the other side, without the mapping's pairs."""
     links, named = get("mapping_links"), get("mapping_pools").where("comp_name <> ''")
@@ -162,7 +167,7 @@ _DIR = "CASE WHEN (CASE m.parity WHEN 'SUPERIORITY' THEN 0 WHEN 'PARITY' THEN 1
 
 @query(_MEMBER + f"SELECT s.city_code, s.store_name, s.week_num, s.parity AS standard_parity, s.revenue, m.parity AS member_parity, {_DIR} FROM verdicts s JOIN member_verdicts m USING (city_code, store_name, week_num) WHERE s.parity <> m.parity" + _NAMES)
 def parity_delta(get):
-    return parity.member_delta(_verdict_rows(get), _verdict_rows(get, True))
+    return parity.member_delta(_both_verdicts(get))
 
 
 @query(_BASE + "SELECT * FROM stores /* own_products comp_raw mapping order_values */")

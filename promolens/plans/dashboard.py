@@ -69,7 +69,7 @@ _M = catalogue._MEMBER + ", " + catalogue._rollup("cities", "verdicts") + ", " +
 @query(_M + "SELECT " + ", ".join(f"m.n_{v} AS member_n_{v}, m.n_{v} - s.n_{v} AS delta_n_{v}, round(m.p_{v} - s.p_{v}, 1) AS delta_pct_{v}" for v in ("superiority", "parity", "inferiority")) + " FROM "
        + ", ".join("(SELECT " + ", ".join(f"CAST(sum(n_{v}) AS BIGINT) AS n_{v}, avg(pct_{v}) AS p_{v}" for v in ("superiority", "parity", "inferiority")) + f" FROM {t}) {a}" for t, a in (("cities", "s"), ("member_cities", "m"))) + _N)
 def member_kpis(get):
-    return views.member_kpis(catalogue._cities(get), parity.city_rollup(catalogue._verdict_rows(get, True)))
+    return views.member_kpis(parity.city_rollup(catalogue._both_verdicts(get)))
 
 
 _LEVEL = "CASE {0} WHEN 'SUPERIORITY' THEN 2 WHEN 'PARITY' THEN 1 WHEN 'INFERIORITY' THEN 0 END"
@@ -77,7 +77,7 @@ _LEVEL = "CASE {0} WHEN 'SUPERIORITY' THEN 2 WHEN 'PARITY' THEN 1 WHEN 'INFERIOR
 
 @query(catalogue._MEMBER + f", last AS (SELECT city_code, store_name, arg_max(parity, week_num) AS standard_parity FROM verdicts GROUP BY ALL) SELECT city_code, store_name, week_num, parity, standard_parity, CASE WHEN {_LEVEL.format('parity')} > {_LEVEL.format('standard_parity')} THEN 'boost' WHEN {_LEVEL.format('parity')} < {_LEVEL.format('standard_parity')} THEN 'drop' ELSE '' END AS badge FROM member_verdicts LEFT JOIN last USING (city_code, store_name)" + _N)
 def prime_boost(get):
-    return views.boost(catalogue._verdict_rows(get, True), catalogue._verdict_rows(get))
+    return views.boost(catalogue._both_verdicts(get))
 
 
 @query("SELECT DISTINCT city_code, store_name, week_num FROM own_products WHERE promotion_prime = 'Y'")

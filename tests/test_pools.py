@@ -6,8 +6,9 @@ import random
 import duckdb
 from pyspark.sql import functions as F
 
+from promolens.functions import promo
 from promolens.operators import parity, products, resolve
-from promolens.plans import bridge, catalogue
+from promolens.plans import bridge, catalogue, dashboard  # noqa: F401  (dashboard joins the catalogue)
 from promolens.plans.registry import Tables
 
 SF = "/root/testdata/sf0.001"
@@ -118,3 +119,31 @@ def test_dominant_promotion_from_the_grouping_of_sums(spark):
     # a grouping by name carries no sums: it has nearly a row a product
     plan = out._jdf.queryExecution().sparkPlan().toString()
     assert not [line for line in plan.splitlines() if "Aggregate(keys=" in line and "product_name" in line.split("functions=")[0] and "sum(" in line]
+
+
+def test_both_views_from_one_pass(spark):
+    rng = random.Random(54)
+    kinds = ["TWO_FOR_ONE", "FREE_DELIVERY", "BASKET_PERCENTAGE", "PERCENTAGE_DISCOUNT , free_delivery", "no kind", "", None]
+    products = [("A", f"s{rng.randrange(9)}", rng.choice(["1", "2", None]), rng.choice(["p", "q", "r", None]), rng.choice([1.0, 2.5, None]), 2.0, rng.choice(["Y", "N", None]), rng.choice(kinds), 10.0, 5.0, rng.choice(["Y", "N", None]), rng.choice(kinds), 20.0) for _ in range(150)]
+    own = spark.createDataFrame(products, PRODUCT + ", promotion_prime string, type_of_promo_p string, percentage_off_p double")
+    both = parity.both_aggregates(own)
+    each = [parity.store_aggregate(own, view == "member").withColumn("view", F.lit(view)) for view in ("standard", "member")]
+    assert rows(both) == rows(each[0].union(each[1]).select(both.columns)) and both.count() > 20
+    # a verdict in each view, side by side
+    empty = lambda of: spark.createDataFrame([], of)
+    given = empty("city_code string, store_name string, comp_name string, source string"), empty(INDEX), empty("city_code string, store_name string, week_num string, order_value double")
+    assert rows(parity.store_verdicts(both, *given).groupBy("view").count()) == rows(both.groupBy("view").count())
+    # the queries of both views read each table of theirs as often as those of one
+    scans = lambda query: catalogue.QUERIES[query](spark, SF)._jdf.queryExecution().optimizedPlan().toString().count("Relation [l_")
+    assert scans("parity_delta") == scans("prime_boost") == scans("store_parity_std") == 2
+
+
+def test_strongest_kind_of_lists(spark):
+    rng = random.Random(55)
+    say = lambda: ",".join(rng.choice(["", " "]) + rng.choice([*promo.KIND_RANKS, "two_for_one", "XFLAT_PRODUCT", "FREE DELIVERY", ""]) + rng.choice(["", "  ", "\n"]) for _ in range(rng.randrange(1, 4)))
+    said = [say() for _ in range(400)] + [None, "", "FREE_DELIVERY\n"]
+    for kinds, got in spark.createDataFrame([(x,) for x in said], "x string").select("x", promo.strongest_kind(F.col("x"))).collect():
+        known = [k for k in (x.strip(" ").upper() for x in (kinds or "").split(",")) if k in promo.KIND_RANKS]
+        assert got == min(known, key=promo.KIND_RANKS.get, default=None), kinds
+    # no function over arrays, which runs outside the compiled code
+    assert "lambda" not in spark.range(1).select(promo.strongest_kind(F.lit("a").substr(F.col("id").cast("int"), F.lit(1))))._jdf.queryExecution().optimizedPlan().toString()
