@@ -106,11 +106,19 @@ def count_report(now: DataFrame, before: DataFrame) -> DataFrame:
 
 
 def shift_report(now: DataFrame, before: DataFrame) -> DataFrame:
-    """A share of inferior verdicts that rose by more than SHIFT points warns; else the shares are told."""
-    matched = lambda df: df.where(~F.col("parity").isin("UNMATCHED", "EXCLUSIVE_OWN"))
-    share = lambda v, p: (F.count(F.when(F.col("parity") == v, 1)) / F.count("*") * 100).alias(p)
-    a, b = matched(now).agg(F.count("*").alias("n"), share("INFERIORITY", "inf"), share("SUPERIORITY", "sup"), share("PARITY", "par")), matched(before).agg(F.count("*").alias("m"), share("INFERIORITY", "was"))
-    one = a.crossJoin(b)  # one row each
+    """C03 for two tables of verdicts."""
+    both = now.select("parity", F.lit("now").alias("week_num")).unionByName(before.select("parity", F.lit("before").alias("week_num")))
+    return week_shift(both, "now", "before")
+
+
+def week_shift(verdicts: DataFrame, now: str, before: str) -> DataFrame:
+    """A share of inferior verdicts that rose by more than SHIFT points warns; else the shares are
+    told. Both weeks come from one pass over the verdicts."""
+    week, parity = F.col("week_num"), F.col("parity")
+    count = lambda w, *said: F.count(F.when((week == w) & (parity.isin(*said) if said else F.lit(True)), 1))
+    share = lambda w, v, p: (F.try_divide(count(w, v), count(w)) * 100).alias(p)
+    rows = verdicts.where(week.isin(now, before) & ~parity.isin("UNMATCHED", "EXCLUSIVE_OWN"))
+    one = rows.agg(count(now).alias("n"), count(before).alias("m"), share(now, "INFERIORITY", "inf"), share(now, "SUPERIORITY", "sup"), share(now, "PARITY", "par"), share(before, "INFERIORITY", "was"))
     warns = F.col("inf") - F.col("was") > SHIFT
     text = F.when(F.col("n") == 0, "no matched store").when(warns, F.format_string("INFERIORITY %.1f%% -> %.1f%%", "was", "inf")).otherwise(F.format_string("SUP %.1f%% | PAR %.1f%% | INF %.1f%%", "sup", "par", "inf"))
     return one.where("n = 0 or m > 0").select(F.when((F.col("n") == 0) | warns, "WARNING").otherwise("INFO").alias("level"), F.lit("parity_distribution").alias("check"), F.lit("").alias("city_code"), text.alias("message"))

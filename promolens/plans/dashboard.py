@@ -327,8 +327,7 @@ _SHIFT = f"""SELECT CASE WHEN inf - was > 15 THEN 'WARNING' ELSE 'INFO' END AS l
 
 @query(_B + _SHIFT + _N)
 def qc_shift(get):
-    v = catalogue._verdict_rows(get)
-    return publish.shift_report(v.where("week_num = '1997'"), v.where("week_num = '1996'"))
+    return publish.week_shift(catalogue._verdict_rows(get), "1997", "1996")
 
 
 _WRITTEN = "(SELECT 'own_products' AS name, count(*) AS rows, count(*) AS expected FROM lineitem UNION ALL SELECT 'orders', -1, count(*) FROM orders UNION ALL SELECT 'customer', count(*) - 1, count(*) FROM customer)"
@@ -351,7 +350,7 @@ def qc_report(get):
     """C02, C03, C06."""
     v = catalogue._verdict_rows(get)
     now, before = v.where("week_num = '1997'"), v.where("week_num = '1996'")
-    return publish.report("1997", publish.count_report(now, before), publish.shift_report(now, before))
+    return publish.report("1997", publish.count_report(now, before), publish.week_shift(v, "1997", "1996"))
 
 
 # ---------------------------------------------------------------- parsers

@@ -7,7 +7,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from promolens.functions import promo
-from promolens.operators import parity, products, resolve
+from promolens.operators import parity, products, publish, resolve
 from promolens.plans import bridge, catalogue, dashboard  # noqa: F401  (dashboard joins the catalogue)
 from promolens.plans.registry import Tables
 
@@ -147,3 +147,17 @@ def test_strongest_kind_of_lists(spark):
         assert got == min(known, key=promo.KIND_RANKS.get, default=None), kinds
     # no function over arrays, which runs outside the compiled code
     assert "lambda" not in spark.range(1).select(promo.strongest_kind(F.lit("a").substr(F.col("id").cast("int"), F.lit(1))))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_weeks_are_compared_in_one_pass(spark):
+    make = lambda *rows: spark.createDataFrame(rows, "week_num string, parity string")
+    said = lambda df: [(r["level"], r["message"]) for r in publish.week_shift(df, "2", "1").collect()]
+    was = [("1", "INFERIORITY"), ("1", "PARITY"), ("1", "PARITY"), ("1", "PARITY"), ("1", "UNMATCHED"), ("3", "INFERIORITY")]
+    assert said(make(*was, ("2", "INFERIORITY"), ("2", "SUPERIORITY"))) == [("WARNING", "INFERIORITY 25.0% -> 50.0%")]
+    assert said(make(*was, ("2", "PARITY"), ("2", "NOT_ON_COMP"))) == [("INFO", "SUP 0.0% | PAR 50.0% | INF 0.0%")]
+    # a week without matched stores is told and no division by none of them; nothing is told against such a week
+    assert said(make(*was, ("2", "UNMATCHED"))) == [("WARNING", "no matched store")]
+    assert said(make(("1", "EXCLUSIVE_OWN"), ("2", "PARITY"))) == []
+    # both weeks' verdicts are planned once
+    plan = catalogue.QUERIES["qc_shift"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [l_") == 2
