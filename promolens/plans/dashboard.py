@@ -152,7 +152,7 @@ def _disc() -> str:
 def _candidates(get):
     comp = get("comp_products").where("week_num = '1997'").withColumn("price", text.price(F.col("product_price")))
     comp = comp.groupBy("city_code", F.col("restaurant_name").alias("comp"), F.col("product_name").alias("product")).agg(F.min_by("price", "seq").alias("price")).withColumn("n", text.product_name(F.col("product")))
-    own = get("own_products").where("week_num = '1997'").select("city_code", "store_name", text.product_name(F.col("product_name")).alias("n"), F.round("avg_unit_price", 2).alias("price")).distinct()
+    own = get("own_products").where("week_num = '1997'").select("city_code", "store_name", text.product_name(F.col("product_name")).alias("n"), text.rounded(F.col("avg_unit_price"), 2).alias("price"))
     return discovery.discover(comp, own, catalogue._mapped_names(get))
 
 
