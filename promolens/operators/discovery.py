@@ -160,10 +160,21 @@ def tight(name):
     return F.replace(text.fold(name), F.lit(" "), F.lit(""))
 
 
-def auto_merge(candidates: DataFrame, mapping: DataFrame) -> DataFrame:
-    """The mapping and the candidates whose name holds the other one or whose products leave no doubt."""
+def auto_merge(candidates: DataFrame, mapping: DataFrame, links: DataFrame | None = None, pools: DataFrame | None = None) -> DataFrame:
+    """The mapping and the candidates whose name holds the other one or whose products leave no doubt.
+
+    With links and pools, the same mapping with shared names said once, candidates are looked up there and
+    the mapping's pairs are not dealt out by a key.
+    """
     a, b = tight(F.col("comp")), tight(F.col("store_name"))
     inside = (F.least(F.length(a), F.length(b)) >= SHORTEST) & (F.contains(a, b) | F.contains(b, a))
     strong = (F.col("ratio") >= MERGE_SHARE) & (F.col("n_confirmed") >= MERGE_HITS)
+    pair = ["city_code", "store_name", "comp_name"]
     fresh = candidates.where(inside | strong).select("city_code", "store_name", F.col("comp").alias("comp_name"), F.lit("auto_fingerprint").alias("source"))
-    return mapping.unionByName(fresh.join(mapping, ["city_code", "store_name", "comp_name"], "left_anti").distinct())
+    if links is None or pools is None:
+        return mapping.unionByName(fresh.join(mapping, pair, "left_anti").distinct())
+    fresh = fresh.join(links.where("pool is null").select(*pair), pair, "left_anti")
+    stores = links.where("pool is not null").groupBy("city_code", "store_name").agg(F.collect_set("pool").alias("of_store"))
+    names = pools.groupBy("city_code", "comp_name").agg(F.collect_set("pool").alias("of_name"))
+    fresh = fresh.join(stores, pair[:2], "left").join(names, ["city_code", "comp_name"], "left")
+    return mapping.unionByName(fresh.where(~F.coalesce(F.arrays_overlap("of_store", "of_name"), F.lit(False))).select(mapping.columns).distinct())

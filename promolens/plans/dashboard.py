@@ -168,7 +168,7 @@ _TIGHT = "replace(" + catalogue.FOLD + ", ' ', '')"
 @query("cte: " + _disc() + f""" SELECT * FROM mapping UNION ALL SELECT DISTINCT city_code, store_name, comp AS comp_name, 'auto_fingerprint' AS source FROM candidates c WHERE confidence IS NOT NULL AND (ratio >= 0.7 AND n_confirmed >= 4 OR least(length({_TIGHT.format('comp')}), length({_TIGHT.format('store_name')})) >= 4
   AND (contains({_TIGHT.format('comp')}, {_TIGHT.format('store_name')}) OR contains({_TIGHT.format('store_name')}, {_TIGHT.format('comp')}))) AND (city_code, store_name, comp) NOT IN (SELECT (city_code, store_name, comp_name) FROM mapping) /* own_products comp_products mapping */""")
 def auto_merge(get):
-    return discovery.auto_merge(_candidates(get), get("mapping"))
+    return discovery.auto_merge(_candidates(get), get("mapping"), get("mapping_links"), get("mapping_pools"))
 
 
 # ---------------------------------------------------------------- older matcher and its rules

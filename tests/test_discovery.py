@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from promolens.operators import discovery, likeness
+from promolens.plans import bridge
+from promolens.plans.registry import Tables
 
 COMP = "city_code string, comp string, product string, n string, price double"
 OWN = "city_code string, store_name string, n string, price double"
@@ -62,3 +64,24 @@ def test_pairs_stay_inside_tasks(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join Inner" in line]
     assert joins and all("strategy=broadcast" in line for line in joins)
+
+
+def test_merge_looks_candidates_up_in_links_and_pools(spark):
+    make = spark.createDataFrame
+    links = make([("A", "shop one", "shop one a", None), ("A", "shop two", None, "x"), ("A", "shop six", None, "x"), ("A", "shop six", None, "y"), ("A", "shop two", "", None)], "city_code string, store_name string, comp_name string, pool string").withColumn("source", F.lit("seed"))
+    pools = make([("A", "x", "shop two a"), ("A", "y", "shop six a"), ("B", "x", "shop six b")], "city_code string, pool string, comp_name string")
+    mapping = links.where("pool is null").drop("pool").unionByName(links.drop("comp_name").join(pools, ["city_code", "pool"]).drop("pool"))
+    found = make([("A", f"shop {k} {x}", f"shop {k}") for k in ("one", "two", "six", "ten") for x in "ab"], "city_code string, comp string, store_name string").withColumns({"ratio": F.lit(0.5), "n_confirmed": F.lit(1)})
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    got, want = discovery.auto_merge(found, mapping, links, pools), discovery.auto_merge(found, mapping)
+    assert rows(got.select(want.columns)) == rows(want) and got.where("source <> 'seed'").count() == 5
+    assert any(r[2] == "shop six b" and r[3] != "seed" for r in rows(got.select("city_code", "store_name", "comp_name", "source")))  # the pool of another city
+
+
+def test_mapping_tries_no_pair_in_vain(spark):
+    sf = "/root/testdata/sf0.01"
+    tables = {t: spark.read.parquet(f"{sf}/{t}.parquet") for t in ("supplier", "nation")}
+    got, want = Tables(spark, sf)("mapping"), spark.sql(bridge.VIEWS["mapping"], **tables)
+    assert got.columns == want.columns and got.exceptAll(want).count() == want.exceptAll(got).count() == 0 and want.count() > 100
+    plan = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert plan and not any(" OR " in line for line in plan)
