@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from promolens.operators import discovery, likeness
-from promolens.plans import bridge
+from promolens.plans import bridge, catalogue, details  # noqa: F401  (details joins the catalogue)
 from promolens.plans.registry import Tables
 
 COMP = "city_code string, comp string, product string, n string, price double"
@@ -85,3 +85,11 @@ def test_mapping_tries_no_pair_in_vain(spark):
     assert got.columns == want.columns and got.exceptAll(want).count() == want.exceptAll(got).count() == 0 and want.count() > 100
     plan = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
     assert plan and not any(" OR " in line for line in plan)
+
+
+def test_places_by_city(spark):
+    """The report's order from the blocks: no join by name or price is behind a place."""
+    df = catalogue.QUERIES["discovery_order"](spark, "/root/testdata/sf0.01")
+    got = df.collect()
+    assert got and {(r["city_code"], r["place"]) for r in got} == {(c, k + 1) for c in {r["city_code"] for r in got} for k in range(sum(r["city_code"] == c for r in got))}
+    assert "bucket" not in df._jdf.queryExecution().optimizedPlan().toString()
