@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ AUTO, LEAST, NEAR, TOP, GAP, PRODUCTS, AHEAD, LEVEL = 88.0, 60.0, 3.0, 5, 3.0, 3
 
 #: Competitor stores of a pool whose menus one task holds, and tasks at most.
 CELL, TASKS = 200, 20_000
+#: Competitors of a pool that one task holds, scores it keeps, and verdicts from the worst.
+BLOCK, HELD, SEVERITY = 2000, 1_000_000, ("INFERIORITY", "PARITY", "SUPERIORITY")
+WORST = pa.schema([("city_code", pa.string()), ("store_name", pa.string()), ("worst", pa.int32())])
 
 
 def anchored(mapping: DataFrame, comp: DataFrame, own: DataFrame) -> DataFrame:
@@ -169,6 +173,133 @@ def product_verdicts(best: DataFrame) -> DataFrame:
     return out.select(*pair, "n_products", text.rounded(F.col("s"), 3).alias("share"), label.alias("parity_product"))
 
 
+class Rivals:
+    """The promoted products of one block of competitors, as arrays in order of competitors and promotions."""
+
+    def __init__(self, menus: list[list[dict]], known: dict[str, dict[str, float]], made: dict[str, likeness.Sorted]) -> None:
+        rows = sorted(((c, x["r"], -x["p"], x["a"], x["comp_price"]) for c, menu in enumerate(menus) for x in menu), key=lambda r: r[:3])
+        self.names, self.known, self.made = list({r[3]: 0 for r in rows}), known, made
+        name = {a: k for k, a in enumerate(self.names)}
+        self.of, self.name = (np.array(x, np.int64) for x in ([r[0] for r in rows], [name[r[3]] for r in rows]))
+        self.rank, self.pct, self.price = (np.array(x, float) for x in ([r[1] for r in rows], [-r[2] for r in rows], [r[4] for r in rows]))  # no price is NaN
+        self.size = np.bincount(self.of, minlength=len(menus))
+        self.forget()
+
+    def forget(self) -> None:
+        self.at, self.matrix = {}, np.zeros((len(self.names), 0))
+
+    def _score(self, a: str, b: str) -> float:
+        row = self.known.setdefault(a, {})
+        if b not in row:
+            x, y = (self.made.get(n) or self.made.setdefault(n, likeness.Sorted(n)) for n in (a, b))
+            row[b] = x.score(y)
+        return row[b]
+
+    def _scores(self, menu: list[str]) -> np.ndarray:
+        """Scores of all names of the block with those of a menu, which stores share mostly."""
+        if len(self.names) * (len(self.at) + len(menu)) > HELD:
+            self.forget()
+        fresh = list({b: 0 for b in menu if b not in self.at})
+        if fresh:
+            self.matrix = np.hstack([self.matrix, np.array([[self._score(a, b) for b in fresh] for a in self.names])])
+            self.at |= {b: len(self.at) + k for k, b in enumerate(fresh)}
+        return self.matrix[:, [self.at[b] for b in menu]]
+
+    def worst(self, menu: list[str], price: np.ndarray, rank: np.ndarray, pct: np.ndarray, weight: np.ndarray) -> int | None:
+        """The worst verdict on a store, as a place in SEVERITY; nothing where no competitor's products are all matched."""
+        scores = self._scores(menu)
+        order = np.argsort(-scores, axis=1, kind="stable")[:, :TOP]  # names alike stand in order of products
+        near = np.take_along_axis(scores, order, 1)
+        counts = near >= np.maximum(near[:, :1] - NEAR, LEAST)
+        counts[:, 0] = True
+        place, cost = order[self.name], self.price[:, None]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            own = price[place]
+            apart = np.where(own > 0, _half_up(np.abs(cost - own) / np.maximum(cost, own), 9), 9.9)
+            apart = np.where(counts[self.name], np.where(np.isnan(cost), 0.0, apart), np.inf)
+            pick = apart.argmin(axis=1)[:, None]  # the first of the nearest
+            place, score = np.take_along_axis(place, pick, 1)[:, 0], np.take_along_axis(near[self.name], pick, 1)[:, 0]
+            own = price[place]
+            close = (self.price > 0) & (own > 0) & (np.abs(_half_up((self.price - own) / own * 100, 1)) <= GAP)
+        auto = (score >= AUTO) | ((score >= LEAST) & close)
+        whole = (np.bincount(self.of, weights=auto, minlength=len(self.size)) == self.size) & (self.size >= PRODUCTS)
+        some = np.flatnonzero(whole[self.of])
+        if not some.size:
+            return None
+        key = self.of[some] * len(menu) + place[some]
+        by = np.argsort(key, kind="stable")
+        first = by[np.flatnonzero(np.diff(key[by], prepend=-1))]  # each own product meets its strongest promotion
+        some, place = some[first], place[some[first]]
+        g, d, gp, dp = rank[place], self.rank[some], np.nan_to_num(pct[place]), self.pct[some]
+        even = (g == d) & ((g == 2.0) | (g == 3.0)) & (gp > 0) & (dp > 0)
+        won = np.where((g < d) | (even & (gp - dp >= promo.POINTS)), 1.0, np.where((g > d) | (even & (gp - dp <= -promo.POINTS)), 0.0, 0.5))
+        earns = np.where(weight[place] > 0, weight[place], np.where(price[place] > 0, price[place], 1.0))
+        won, all_of = (np.bincount(self.of[some], weights=x, minlength=len(self.size))[whole] for x in (won * earns, earns))
+        share = (won / all_of).min()
+        return 2 if share >= AHEAD else 1 if share >= LEVEL else 0
+
+
+def _half_up(x: np.ndarray, digits: int) -> np.ndarray:
+    """text.rounded of arrays."""
+    scaled = np.abs(x) * 10.0**digits
+    low = np.floor(scaled)
+    return np.copysign(low + (scaled - low >= 0.5), x) / 10.0**digits
+
+
+def _worst_of_blocks(batches):
+    """The worst verdict of each store in a block; a partition's rows come block by block, competitors first."""
+    known: dict[str, dict[str, float]] = {}
+    made: dict[str, likeness.Sorted] = {}
+    at, rivals, menus = None, None, []
+    for batch in batches:
+        if len(made) > 100_000 or sum(map(len, known.values())) > HELD:
+            known.clear()
+            made.clear()
+        cells = list(zip(*(batch.column(c).to_pylist() for c in ("city_code", "pool", "cell")), strict=True))
+        sides, stores, products, lists = batch.column("side").to_pylist(), batch.column("store_name").to_pylist(), batch.column("products"), batch.column("menu")
+        ends, sold = lists.offsets.to_numpy(), lists.values
+        names = sold.field("b").to_pylist()
+        numbers = [sold.field(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in ("own_price", "own_rank", "own_pct", "weight")]
+        out = []
+        for k, cell in enumerate(cells):
+            if cell != at:
+                at, rivals, menus = cell, None, []
+            if not sides[k]:
+                menus.append(products[k].as_py())
+                continue
+            if rivals is None and menus:
+                rivals, menus = Rivals(menus, known, made), []
+            if rivals is not None and ends[k] < ends[k + 1]:
+                part = slice(ends[k], ends[k + 1])
+                worst = rivals.worst(names[part], *(x[part] for x in numbers))
+                if worst is not None:
+                    out.append({"city_code": cell[0], "store_name": stores[k], "worst": worst})
+        yield pa.RecordBatch.from_pylist(out, WORST)
+
+
+def worst_of_pools(links: DataFrame, pools: DataFrame, comp: DataFrame, own: DataFrame, block: int | None = None) -> DataFrame:
+    """Each store's worst of product_verdicts(best_of_pools(...)), without a row for any pair of menus.
+
+    A pool's competitors are dealt to blocks; each store of the pool meets each block in a task that holds the
+    block and reads stores one by one, and gives one verdict for each.
+    """
+    city, key = "city_code", ["city_code", "pool", "cell"]
+    cut = text.percent_off(F.col("comp_price"), F.col("comp_cut")) if "comp_cut" in comp.columns else F.lit(None)
+    told = {"a": text.token_sort(text.product_name(F.col("comp_product"))), "r": promo.rank_of_text(F.col("promotion_type")), "p": F.coalesce(cut, promo.percent_of_text(F.col("promotion_type")))}
+    menus = comp.withColumns(told).groupBy(city, "comp_name").agg(F.collect_list(F.struct("a", "comp_price", "r", "p")).alias("products")).where(F.size("products") >= PRODUCTS)
+    stores, members = pool_pairs(links, pools)
+    sizes = members.groupBy(city, "pool").agg(F.ceil(F.count("*") / (BLOCK if block is None else block)).cast("int").alias("n"))
+    blocks = sizes.where("n > 1").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]  # a number
+    tasks = min(blocks + int(comp.sparkSession.conf.get("spark.sql.shuffle.partitions")), TASKS)  # work grows with pairs and not with bytes
+    sold = ["own_product", "own_price", "own_rank", "own_pct", "weight"]
+    mine = own.withColumn("b", text.token_sort(text.product_name(F.col("own_product")))).groupBy(city, "store_name").agg(F.sort_array(F.collect_list(F.struct(*sold, "b"))).alias("menu"))
+    mine = stores.join(mine, [city, "store_name"]).join(sizes, [city, "pool"]).select(city, "pool", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("cell"), F.lit(1).alias("side"), "store_name", "menu")
+    theirs = members.join(sizes, [city, "pool"]).join(menus, [city, "comp_name"]).select(city, "pool", F.pmod(F.xxhash64("comp_name"), F.col("n")).cast("int").alias("cell"), F.lit(0).alias("side"), "products")
+    rows = theirs.unionByName(mine, allowMissingColumns=True).repartition(tasks, *key).sortWithinPartitions(*key, "side")
+    worst = rows.mapInArrow(_worst_of_blocks, "city_code string, store_name string, worst int").groupBy(city, "store_name").agg(F.min("worst").alias("worst"))
+    return worst.select(city, "store_name", F.get(F.array(*map(F.lit, SEVERITY)), F.col("worst")).alias("parity_product"))
+
+
 def override(verdicts: DataFrame, products: DataFrame) -> DataFrame:
     """A store's worst product verdict replaces its own, but for basket promotions and unmatched stores."""
     severity = F.when(F.col("parity_product") == "INFERIORITY", 0).when(F.col("parity_product") == "PARITY", 1).otherwise(2)

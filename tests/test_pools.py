@@ -175,3 +175,28 @@ def test_other_managers_products_are_not_grouped(spark):
     # the choice of cities stands below the groupings, at every reading of the products
     assert at("Join LeftSemi") > at("min_by(struct(name_norm")
     assert sum("Join LeftSemi" in line for line in lines) == sum("Relation [l_" in line for line in lines) == 2
+
+
+def test_worst_of_pools(spark):
+    rng = random.Random(54)
+    words = "pizza rossa bianca grande piccola zuppa".split()
+    say = lambda: " ".join(rng.sample(words, rng.choice([1, 2, 2, 3])))
+    texts = ["10% di sconto", "2 al prezzo di 1", "Consegna gratis", "Spendi almeno 10,00 \u20ac, risparmia 15%", ""]
+    comp = [(c, f"c{k}", x, *y) for c in "AB" for k in range(40) for x, y in {say(): (rng.choice([None, 4.0, 5.0, 5.05]), rng.choice(texts), rng.choice([None, 3.0, 4.5])) for _ in range(rng.randrange(1, 6))}.items()]
+    own = [(c, f"s{k}", x, *y) for c in "AB" for k in range(40) for x, y in {say(): (rng.choice([None, 0.0, 4.0, 4.1, 5.0]), rng.choice([1.0, 2.0, 2.0, 3.0, 6.0]), rng.choice([None, 0.0, 10.0, 20.0, 40.0]), rng.choice([None, 0.0, 7.5, 40.0])) for _ in range(rng.randrange(4, 25))}.items()]
+    pools = [("A", p, f"c{k}") for p, of in (("x", range(25)), ("y", range(25, 40))) for k in of] + [("B", "x", f"c{k}") for k in range(0, 40, 9)] + [("A", "x", ""), ("B", "none", "nobody")]
+    links = [(c, f"s{k}", None, p) for c in "AB" for k in range(30) for p in rng.choice(["x", "y", "xy"])] + [(c, f"s{k}", f"c{k}", None) for c in "AB" for k in range(40)] + [("A", "s39", "", None), ("B", "s38", None, "none")]
+    make = spark.createDataFrame
+    comp, own = make(comp, "city_code string, comp_name string, comp_product string, comp_price double, promotion_type string, comp_cut double"), make(own, "city_code string, store_name string, own_product string, own_price double, own_rank double, own_pct double, weight double")
+    links, pools = make(links, "city_code string, store_name string, comp_name string, pool string"), make(pools, "city_code string, pool string, comp_name string")
+    verdicts = own.select("city_code", "store_name").distinct().withColumns({"parity": F.lit("PARITY"), "best_promo_type": F.lit("")}).withColumn("parity", F.when(F.col("store_name") == "s7", "UNMATCHED").otherwise("PARITY"))
+    found = products.product_verdicts(products.best_of_pools(links, pools, comp, own, whole=True))
+    want = rows(products.override(verdicts, found))
+    assert len({r["parity_product"] for r in found.collect()}) == 3 and found.count() > 40
+    for block in (3, 2000):
+        worst = products.worst_of_pools(links, pools, comp, own, block=block)
+        assert rows(products.override(verdicts, worst)) == want
+        assert worst.count() == found.select("city_code", "store_name").distinct().count()
+    # a pair of menus is no row: a store is joined with its pool's size and not with its names
+    plan = worst._jdf.queryExecution().optimizedPlan().toString()
+    assert "near" not in plan and "Generate explode(best" not in plan
